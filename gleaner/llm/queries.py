@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import decontaminate, linededup
+from gleaner.llm import decontaminate, linededup, neardup
 from gleaner.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
@@ -21,7 +25,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op8_line_dedup, op9_decontaminate)}
+    return {f.__name__: f for f in (op3_minhash_near_dedup, op8_line_dedup, op9_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
