@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import decontaminate, linededup, neardup
+from gleaner.llm import decontaminate, langid, linededup, neardup, pieces
 from gleaner.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op5_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.report(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
@@ -25,7 +33,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_minhash_near_dedup, op8_line_dedup, op9_decontaminate)}
+    return {f.__name__: f for f in (op1_language_id, op3_minhash_near_dedup, op5_piece_encoding, op8_line_dedup, op9_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
