@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import decontaminate, langid, linededup, neardup, pieces
+from gleaner.llm import decontaminate, langid, linededup, neardup, pieces, quality, secrets
 from gleaner.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,18 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
 def op5_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.report(table(spark, sf_dir, "documents"))
 
@@ -33,8 +41,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op3_minhash_near_dedup, op5_piece_encoding, op8_line_dedup, op9_decontaminate)}
+    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_minhash_near_dedup, op4_quality_rules, op5_piece_encoding, op8_line_dedup, op9_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": linededup.SQL}
+    return {"op4_quality_rules": quality.SQL, "op8_line_dedup": linededup.SQL}
