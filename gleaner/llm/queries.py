@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import decontaminate, langid, linededup, neardup, pieces, quality, secrets
+from gleaner.llm import decontaminate, langid, linededup, neardup, pieces, quality, secrets, tokencounts, wavelet
 from gleaner.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.report(table(spark, sf_dir, "documents"))
 
 
+def op6_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.report(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
@@ -40,8 +44,12 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_minhash_near_dedup, op4_quality_rules, op5_piece_encoding, op8_line_dedup, op9_decontaminate)}
+    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_minhash_near_dedup, op4_quality_rules, op5_piece_encoding, op6_wavelet_token_files, op8_line_dedup, op9_decontaminate, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
