@@ -1 +1,3 @@
 """Imports every module that registers queries."""
+
+from gleaner.plans import metagame  # noqa: F401
