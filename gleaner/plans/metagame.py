@@ -122,16 +122,16 @@ def unassigned_results(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "unique_name_join",
     """
-WITH a AS (SELECT c_acctbal, c_name, c_nationkey FROM customer QUALIFY count(*) OVER (PARTITION BY c_acctbal) = 1), b AS (SELECT s_acctbal, s_name FROM supplier QUALIFY count(*) OVER (PARTITION BY s_acctbal) = 1)
-SELECT c_name, s_name FROM a JOIN b ON c_acctbal = s_acctbal
+WITH a AS (SELECT CAST(floor(c_acctbal) AS BIGINT) AS k, c_name FROM customer QUALIFY count(*) OVER (PARTITION BY k) = 1), b AS (SELECT CAST(floor(s_acctbal) AS BIGINT) AS k, s_name FROM supplier QUALIFY count(*) OVER (PARTITION BY k) = 1)
+SELECT k, c_name, s_name FROM a JOIN b USING (k)
 """,
 )
 def unique_name_join(spark: SparkSession, d: str) -> DataFrame:
     """A join on keys that occur once on either side; ambiguous keys match nothing."""
     from gleaner.session import table
 
-    a, b = priority.unambiguous(table(spark, d, "customer"), "c_acctbal"), priority.unambiguous(table(spark, d, "supplier"), "s_acctbal")
-    return a.join(b, a["c_acctbal"] == b["s_acctbal"]).select("c_name", "s_name")
+    keyed = lambda t, c, n: priority.unambiguous(table(spark, d, t).select(F.floor(c).alias("k"), n), "k")
+    return keyed("customer", "c_acctbal", "c_name").join(keyed("supplier", "s_acctbal", "s_name"), "k")
 
 
 @query(
