@@ -60,7 +60,7 @@ def unmask(name: Column) -> Column:
 
 def shorten(x: Column, limit: int) -> Column:
     """At most limit characters, cut before a word, with an ellipsis."""
-    return F.when(F.length(x) <= limit, x).otherwise(F.concat(F.regexp_replace(F.substring(x, 1, limit), r"\s+\S*$", ""), F.lit("…")))
+    return F.when(F.length(x) <= limit, x).otherwise(F.concat(F.regexp_replace(F.substring(x, 1, limit), r"\s+\S*\z", ""), F.lit("…")))
 
 
 def fragment(quote: Column) -> Column:

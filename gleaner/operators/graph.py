@@ -5,20 +5,23 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gleaner.session import written
+
 
 def min_label(spark: SparkSession, edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
     """(node, label): the smallest node reachable, by label propagation with pointer jumping.
 
-    Every round is checkpointed to the shared folder of the session, so lineage stays short.
+    Every round is a table in the session's shared folder, so lineage stays short and a lost executor loses nothing.
     """
     both = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(F.col(b), F.col(a))).distinct()
-    labels = both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("label")).withColumnRenamed("x", "node").checkpoint()
+    both = written(both)
+    labels = written(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("m")).select("node", F.least("node", "m").alias("label")))
     for _ in range(rounds):
         near = both.join(labels.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("other"))
         step = labels.join(near, "node").select("node", F.least("label", "other").alias("label"), "label")
         step = step.toDF("node", "label", "was")
         hop = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        moved = step.join(hop, "label").select("node", F.least("label", "next").alias("label"), (F.least("label", "next") != F.col("was")).alias("moved")).checkpoint()
+        moved = written(step.join(hop, "label").select("node", F.least("label", "next").alias("label"), (F.least("label", "next") != F.col("was")).alias("moved")))
         labels = moved.select("node", "label")
         if moved.where("moved").isEmpty():
             break
@@ -70,3 +73,16 @@ def roots(spark: SparkSession, parents: DataFrame, node: str, parent: str, depth
     last = up.where("next is null").select("at", F.lit(True).alias("ends"))
     out = state.join(last, "at", "left").join(up.select("at", F.lit(True).alias("known")), "at", "left")
     return out.select("node", F.when(F.col("ends") | F.col("known").isNull(), F.col("at")).alias("root"))
+
+
+def reachable(edges: DataFrame, start: DataFrame, a: str, b: str, depth: int) -> DataFrame:
+    """(node, steps): nodes within depth steps of start (column node), each with its fewest steps; circles end."""
+    seen = written(start.select("node").distinct().withColumn("steps", F.lit(0)))
+    front = seen
+    for k in range(1, depth + 1):
+        front = edges.join(front.select(F.col("node").alias(a)), a).select(F.col(b).alias("node")).distinct().join(seen, "node", "left_anti").withColumn("steps", F.lit(k))
+        front = written(front)
+        if front.isEmpty():
+            break
+        seen = seen.union(front)
+    return seen

@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from gleaner.plans import metagame, relations  # noqa: F401
+from gleaner.plans import documents, metagame, relations  # noqa: F401

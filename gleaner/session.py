@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,3 +26,21 @@ def build(app: str = "gleaner", master: str | None = None, partitions: int | Non
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share (spark.checkpoint.dir); one of our own only where none is set, as in tests."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        at = f"file://{tempfile.mkdtemp(prefix='gleaner-')}"
+        spark.conf.set("spark.checkpoint.dir", at)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(at)
+    return at.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written as Parquet to the shared folder and read again: lineage ends, and a lost executor loses nothing."""
+    at = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
