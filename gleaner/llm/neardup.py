@@ -27,6 +27,8 @@ from gleaner.llm.common import column, cut, in_arrow, utf8, written
 BANDS, ROWS = 56, 7
 #: Signature values compared, the size of a batch, and the chance at which a true pair may be given up.
 COMPARED, BATCH, MISS = 128, 16, 1e-6
+#: Members of a bucket, and of a family, that are compared with one another in one place.
+BLOCK, SIDE = 4096, 1024
 
 _SCHEMA = "d long, n long, f1 long, f2 long, sig binary, bands array<long>"
 
@@ -180,15 +182,212 @@ def components(edges: DataFrame) -> DataFrame:
     return out
 
 
-def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that survive the signature batches and hold on the full sets."""
+def _pruned(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that survive the signature batches."""
     side = lambda c: reps.select(F.col("node").alias(c), F.col("sig").alias(f"s{c}"))
-    near = written(in_arrow(pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "sa", "sb"), _prune(percent), "a long, b long").distinct())
+    return in_arrow(pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "sa", "sb"), _prune(percent), "a long, b long")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that hold on the full sets."""
     text = lambda c: texts.select(F.col("d").alias(c), F.col("t").alias(f"t{c}"))
-    whole = near.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
+    whole = written(pairs).join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
     return written(in_arrow(whole, _verify(size, percent), "a long, b long").distinct())
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels after the components that links between nodes join."""
+    to = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
+    lifted = links.join(to("a"), "a").join(to("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    merged = components(lifted).select(F.col("node").alias("label"), F.col("label").alias("next"))
+    return written(labels.join(merged, "label", "left").select("node", F.coalesce("next", "label").alias("label")))
+
+
+def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
+    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).where("a <> b").distinct()
+
+
+def _best_center(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Each node with the smallest member of its buckets that it meets most often."""
+    stars = members.where("node <> center").groupBy("node", "center").count()
+    return _pairs(stars.groupBy("node").agg(F.max_by("center", F.struct("count", -F.col("center"))).alias("center")), "node", "center")
+
+
+def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, and the bucket's largest component main."""
+    placed = written(members.join(labels, "node").select("key", "node", "label"))
+    sizes = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.min_by("node", F.xxhash64("node", "key")).alias("one"))
+    main = sizes.groupBy("key").agg(F.max_by(F.struct("label", "one"), F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return placed.join(written(main.select("key", F.col("main.label").alias("main"), F.col("main.one").alias("one"))), "key")
+
+
+def _representatives(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """In each bucket with several components: every node outside the largest one with a hashed member of it, so that
+    a node meets another member in each of its buckets."""
+    return _pairs(_open_buckets(members, labels).where("label <> main"), "node", "one")
+
+
+class _Sets:
+    """Union-find over the labels of one group; yields one edge for each label that joins another."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+
+    def edges(self) -> list[tuple[int, int]]:
+        return [(self.root(x), x) for x in list(self.up) if self.root(x) != x]
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups from batches sorted by keys, with the groups' edges; what is left of a batch waits for the next."""
+    rest = None
+    for batch in _and_end(batches):
+        parts = [x for x in (rest, pa.Table.from_batches([batch]) if batch is not None else None) if x is not None]
+        table = pa.concat_tables(parts).combine_chunks() if parts else None
+        if table is None or not len(table):
+            continue
+        ids = np.stack([table[c].to_numpy() for c in keys])
+        edges = np.concatenate(([0], np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1, [len(table)]))
+        if batch is not None:
+            edges = edges[:-1]
+        rest = table.slice(int(edges[-1]))
+        if edges[-1]:
+            yield table.slice(0, int(edges[-1])), edges
+
+
+def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = (np.array([e[k] for e in edges], np.int64) for k in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def _survivors(percent: int):
+    """Streams the members of bucket blocks: compares those outside the bucket's main component with the members of
+    other components by signature batches, and emits edges that connect the components of surviving pairs."""
+    least = least_matches(percent)
+
+    def against(x, others, sig):
+        alive, matches = others, np.zeros(len(others), np.int64)
+        for k, m in enumerate(least):
+            at = slice(k * BATCH, (k + 1) * BATCH)
+            matches = matches + (sig[alive, at] == sig[x, at]).sum(axis=1)
+            near = matches >= m
+            alive, matches = alive[near], matches[near]
+            if not len(alive):
+                break
+        return alive
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in _grouped(batches, ["key", "i", "j"]):
+            label, main, i, j, block = (table[c].to_numpy() for c in ("label", "main", "i", "j", "block"))
+            sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(-1, COMPARED)
+            out = []
+            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                rows, sets = np.arange(s, e), _Sets()
+                for x in (s + np.flatnonzero(label[s:e] != main[s])).tolist():
+                    wanted = label[s:e] != label[x]
+                    if i[s] != j[s]:
+                        wanted &= block[s:e] != block[x]
+                    for y in set(label[against(x, rows[wanted], sig)].tolist()):
+                        sets.join(int(label[x]), y)
+                out += sets.edges()
+            yield _edge_batch(out)
+
+    return run
+
+
+def _exact(percent: int):
+    """Streams blocks of a family: rows (role 1) against columns (role 0) on their full sets, and emits edges that
+    connect the components of linked pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in _grouped(batches, ["family", "rb", "cb"]):
+            label, role = table["label"].to_numpy(), table["role"].to_numpy()
+            out = []
+            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                sets = [np.frombuffer(x, np.uint64) for x in table["s"].slice(s, e - s).to_pylist()]
+                columns, rows, joined = np.flatnonzero(role[s:e] == 0), np.flatnonzero(role[s:e] == 1), _Sets()
+                if not len(columns) or not len(rows):
+                    continue
+                size = np.array([len(x) for x in sets])
+                values = np.concatenate([sets[c] for c in columns])
+                owner = np.repeat(np.arange(len(columns)), size[columns])
+                order = np.argsort(values, kind="stable")
+                values, owner = values[order], owner[order]
+                for r in rows.tolist():
+                    lo, hi = np.searchsorted(values, sets[r], "left"), np.searchsorted(values, sets[r], "right")
+                    n = hi - lo
+                    at = np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())
+                    both = np.bincount(owner[at], minlength=len(columns))
+                    near = (100 * both >= percent * (size[r] + size[columns] - both)) & (label[s + columns] != label[s + r])
+                    for y in set(label[s + columns[near]].tolist()):
+                        joined.join(int(label[s + r]), y)
+                out += joined.edges()
+            yield _edge_batch(out)
+
+    return run
+
+
+def _sets(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, off = utf8(column(batch, "t"))
+            found = [x.tobytes() for i, j in cut(off) for x in distinct_sets(raw[off[i] : off[j]], off[i : j + 1] - off[i], size)]
+            yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in ("node", "label", "family", "main", "cbs", "rbs")), pa.array(found, pa.binary())], names=["node", "label", "family", "main", "cbs", "rbs", "s"])
+
+    return run
+
+
+def _and_end(batches):
+    yield from batches
+    yield None
+
+
+def _sorted_by(df: DataFrame, *keys: str) -> DataFrame:
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys)
+
+
+def _families(members: DataFrame, labels: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(label, family): components that are connected by bucket neighbours whose signatures don't rule a link out.
+
+    The members of a bucket are dealt into blocks of about BLOCK by a hash, and each pair of blocks is compared in one
+    place, so that no task holds more than two blocks, and only connecting edges become rows.
+    """
+    rows = written(_open_buckets(members, labels))
+    n = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(n, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = dealt.select("key", "node", "label", "main", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    placed = placed.join(reps.select("node", "sig"), "node").select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "label", "main", "block", "sig")
+    edges = in_arrow(_sorted_by(placed, "key", "i", "j"), _survivors(percent), "a long, b long")
+    return components(edges).select(F.col("node").alias("label"), F.col("label").alias("family"))
+
+
+def _family_links(families: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges (a, b) between the components of a family that a link joins: every node outside the family's largest
+    component is held against all nodes of the family on their full sets, in blocks of rows and columns."""
+    inside = written(labels.join(families, "label"))
+    parts = inside.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
+    whole = parts.groupBy("family").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    blocks = whole.select("family", "main", F.ceil(F.col("all") / SIDE).cast("int").alias("cbs"), F.ceil((F.col("all") - F.col("most")) / SIDE).cast("int").alias("rbs"))
+    nodes = inside.join(written(blocks), "family").join(texts.select(F.col("d").alias("node"), "t"), "node").select("node", "label", "family", "main", "cbs", "rbs", "t")
+    sets = written(in_arrow(nodes, _sets(size), "node long, label long, family long, main long, cbs int, rbs int, s binary"))
+    mine = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = sets.select("family", every("rbs").alias("rb"), mine("cbs", 1).alias("cb"), F.lit(0).alias("role"), "label", "s")
+    rows = sets.where("label <> main").select("family", mine("rbs", 2).alias("rb"), every("cbs").alias("cb"), F.lit(1).alias("role"), "label", "s")
+    return in_arrow(_sorted_by(columns.union(rows), "family", "rb", "cb"), _exact(percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Per row of docs: key, n_shingles, component_id (smallest key reachable) and kept (key is component_id).
 
@@ -204,25 +403,19 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     rows = reps.select("node", F.explode("bands").alias("key"))
     shared = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("center")).where("n > 1").select("key", "center"))
     members = written(rows.join(shared, "key"))
-    stars = members.where("node <> center").groupBy("node", "center").count()
-    first = stars.groupBy("node").agg(F.max_by("center", F.struct("count", -F.col("center"))).alias("a")).select("a", F.col("node").alias("b"))
-    links = _links(first, reps, texts, size, percent)
     repeated = nodes.groupBy("d").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("a", "b")
-    labels = written(components(links.union(repeated)))
-
-    placed = written(members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")))
-    sizes = placed.groupBy("key", "label").count()
-    main = written(sizes.groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "main"))
-    open_ = written(placed.join(main, "key"))
-    others = open_.where("label <> main").select("key", F.col("node").alias("x"), F.col("label").alias("lx"))
-    against = open_.select("key", F.col("node").alias("y"), F.col("label").alias("ly"), (F.col("label") == F.col("main")).alias("is_main"))
-    pairs = others.join(against, "key").where("lx <> ly and (is_main or x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = _links(pairs, reps, texts, size, percent)
-    to = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
-    lifted = more.join(to("a"), "a", "left").join(to("b"), "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-    merged = components(lifted).select(F.col("node").alias("label"), F.col("label").alias("next"))
-
-    final = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(merged, "label", "left").select("d", "f1", "f2", F.coalesce("next", "label").alias("c")).distinct()
+    labels = written(members.select("node").union(repeated.select("a")).union(repeated.select("b")).distinct().withColumn("label", F.col("node")))
+    labels = _joined(labels, written(repeated))
+    tried = None
+    for choose in (_best_center, _representatives):
+        pairs = choose(members, labels)
+        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        labels = _joined(labels, _verified(_pruned(pairs, reps, percent), texts, size, percent))
+        tried = pairs if tried is None else tried.union(pairs)
+    families = written(_families(members, labels, reps, percent))
+    labels = _joined(labels, written(_family_links(families, labels, texts, size, percent)))
+
+    final = nodes.join(labels, "node", "left").select("d", "f1", "f2", F.coalesce("label", "node").alias("c")).distinct()
     out = marked.select("d", "n", "f1", "f2").join(final, ["d", "f1", "f2"], "left")
     component = F.coalesce("c", "d")
     return out.select(F.col("d").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("d"), F.lit(True)).alias("kept"))
