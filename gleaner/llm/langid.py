@@ -199,8 +199,6 @@ class Labeller:
         for i, w in enumerate(words):
             if w and not any(c.isalpha() for x in w for c in x):
                 words[i] = []
-        if len(self.known) > CACHE:
-            self.known, self.scores = {}, self.scores[:0]
         new = {x for w in words for x in w if x not in self.known}
         if new:
             self._learn(sorted(new))
@@ -210,10 +208,25 @@ class Labeller:
         at = np.fromiter((self.known[x] for w in words for x in w), np.int64, int(lengths.sum()))
         some = lengths[lengths > 0]
         post, _ = marginals(self.scores[at].astype(float), some, self.model.trans)
+        if len(self.known) > CACHE:
+            for x in new:
+                del self.known[x]
+            self.scores = self.scores[: len(self.known)]
         ends = np.cumsum(lengths)
         return [(w, post[e - n : e]) for w, e, n in zip(words, ends.tolist(), lengths.tolist())]
 
 
+_labellers: dict[int, Labeller] = {}
+
+
+def _labeller(model: Model) -> Labeller:
+    """One labeller per Python worker and model, so that its cache outlives a task."""
+    if id(model) not in _labellers:
+        _labellers.clear()
+        _labellers[id(model)] = Labeller(model)
+    return _labellers[id(model)]
+
+
 def _groups(texts: list[str | None], limit: int = 400_000) -> Iterator[tuple[int, int]]:
     i = 0
     while i < len(texts):
@@ -228,7 +241,7 @@ def _groups(texts: list[str | None], limit: int = 400_000) -> Iterator[tuple[int
 def _predict(model, text: str, words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        labeller = Labeller(m) if m else None
+        labeller = _labeller(m) if m else None
         for batch in batches:
             texts = column(batch, text).to_pylist()
             langs, scores, tags = [], [], []

@@ -13,6 +13,7 @@ no tokens. Other columns pass through untouched.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -96,9 +97,9 @@ class Pieces:
         for unit in self.units(" " + text):
             found = cache.get(unit)
             if found is None:
-                if len(cache) >= CACHE:
-                    cache.clear()
-                found = cache[unit] = self.solve(unit)
+                found = self.solve(unit)
+                if len(cache) < CACHE:
+                    cache[unit] = found
             ids += found
         return ids
 
@@ -111,9 +112,15 @@ def _until(gaps: list[int], end: int) -> Iterator[int]:
         yield gaps.pop(0)
 
 
+@functools.cache
+def loaded(model_file: str) -> Pieces:
+    """One encoder per Python worker and model, so that its cache outlives a task."""
+    return Pieces(model_file)
+
+
 def _encode(model_file: str | None, text: str, check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model_file or default_model())
+        pieces = loaded(model_file or default_model())
         for batch in batches:
             texts = column(batch, text).to_pylist()
             ids = [pieces.encode(t) for t in texts]
@@ -145,7 +152,7 @@ def decode(tokens: DataFrame, *, ids: str, into: str = "text", model_file: str |
     """tokens with the text of array column ids; null ids give null."""
 
     def run(batches):
-        pieces = Pieces(model_file or default_model())
+        pieces = loaded(model_file or default_model())
         for batch in batches:
             texts = [None if x is None else pieces.decode(x) for x in column(batch, ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, into])

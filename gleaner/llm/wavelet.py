@@ -9,9 +9,13 @@ Null and empty texts are the end id alone. Repeated rows are repeated documents.
 
 from __future__ import annotations
 
+import functools
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from gleaner.llm.common import column, in_arrow, shared_folder
 
 PLANES, STEP = 16, 512
-SHARD_TOKENS, CACHE = 2_000_000, 500_000
+SHARD_TOKENS, CACHE = 2_000_000, 700_000
 SPECIAL = "<|endoftext|>"
 FORMAT = "part int, nth int, n_tokens long, docs array<long>, lengths array<int>, zeros array<int>, planes array<binary>, ranks array<binary>"
 
@@ -109,46 +113,94 @@ class WaveletMatrix:
         return now
 
 
+class _Index(dict):
+    """Numbers for pre-tokens; those met for the first time are listed in new."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, x: str) -> int:
+        self[x] = n = len(self)
+        self.new.append(x)
+        return n
+
+
 class Encoder:
     """The tokenizers library's encoder, asked once for each pre-token: its merges never cross one.
 
-    Pre-tokens are cut by the tokenizer's own published pattern; texts with its special token go to the library whole.
+    Pre-tokens are cut by the tokenizer's own published pattern (for texts in ASCII and Latin letters, in a form with
+    those classes spelled out); texts with its special token go to the library whole. Of the pre-tokens, CACHE are kept
+    from batch to batch; later ones are encoded anew in each batch.
     """
 
     def __init__(self, tokenizer_file: str | None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(tokenizer_file or public_tokenizers.path("byte_bpe_50k.json"))
-        pattern = public_tokenizers.PATTERN.replace(r"[^\s\p{L}", r"[^\p{White_Space}\p{L}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
-        self.cut = regex.compile(pattern).findall
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.start = np.zeros(0, np.uint16), np.zeros(1, np.int64)
+        self.width = np.zeros(self.lib.get_vocab_size(), np.int64)
+        for piece, i in self.lib.get_vocab().items():
+            self.width[i] = len(piece)  # in the byte-level alphabet, one character is one byte
+        pattern = public_tokenizers.PATTERN
+        general = pattern.replace(r"[^\s\p{L}", r"[^\p{White_Space}\p{L}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+        letters = "A-Za-zÀ-ÖØ-öø-ɏ"
+        self.general = regex.compile(general).findall
+        self.latin = re.compile(pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{letters}0-9]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", "[0-9]")).findall
+        self.foreign = re.compile(rf"[^\x20-\x7e\t\n\r{letters[6:]}]").search
+        self.plain = re.compile(f" [{letters}]+").fullmatch
+        self.index, self.flat, self.start = _Index(), np.zeros(0, np.uint16), np.zeros(1, np.int64)
+
+    def cut(self, text: str) -> list[str]:
+        return (self.general if self.foreign(text) else self.latin)(text)
+
+    def _ids(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all, number of ids of each). Space-led words are encoded as one text, which is cut back into them."""
+        plain = [x for x in pretokens if self.plain(x)]
+        ids, sizes = {}, {}
+        for i in range(0, len(plain), 2000):
+            some = plain[i : i + 2000]
+            found = np.array(self.lib.encode("".join(some), add_special_tokens=False).ids, np.int64)
+            ends = np.searchsorted(np.cumsum(self.width[found]), np.cumsum([len(x.encode()) for x in some])) + 1
+            for x, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
+                ids[x] = found[a:b]
+        other = [x for x in pretokens if x not in ids]
+        for i in range(0, len(other), 2000):
+            for x, e in zip(other[i : i + 2000], self.lib.encode_batch_fast(other[i : i + 2000], add_special_tokens=False)):
+                ids[x] = np.array(e.ids, np.int64)
+        each = [ids[x] for x in pretokens]
+        return np.concatenate(each).astype(np.uint16), np.array([len(x) for x in each])
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.index) > CACHE:
-            self.clear()
         cut, index = [self.cut(t) if t and SPECIAL not in t else [] for t in texts], self.index
-        new = [x for x in {x for c in cut for x in c} if x not in index]
-        if new:
-            ids = [e.ids for e in self.lib.encode_batch_fast(new, add_special_tokens=False)]
-            for x in new:
-                index[x] = len(index)
-            self.flat = np.concatenate((self.flat, np.fromiter((i for x in ids for i in x), np.uint16)))
-            self.start = np.concatenate((self.start, self.start[-1] + np.cumsum([len(x) for x in ids])))
-        at = np.fromiter((index[x] for c in cut for x in c), np.int64, sum(map(len, cut)))
-        first, size = self.start[at], np.diff(self.start)[at]
+        known = len(index)
+        at = np.fromiter(map(index.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
+        flat, start = self.flat, self.start
+        if index.new:
+            ids, size = self._ids(index.new)
+            flat, start = np.concatenate((flat, ids)), np.concatenate((start, start[-1] + np.cumsum(size)))
+            if len(index) <= CACHE:
+                self.flat, self.start = flat, start
+            else:
+                for x in index.new:
+                    del index[x]
+                assert len(index) == known
+            index.new = []
+        first, size = start[at], np.diff(start)[at]
         ends = np.cumsum(size)
-        ids = self.flat[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        ids = flat[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
         edges = np.concatenate(([0], ends))[np.cumsum([0, *map(len, cut)])]
         return [np.array(self.lib.encode(t, add_special_tokens=False).ids, np.uint16) if t and SPECIAL in t else ids[a:b] for t, a, b in zip(texts, edges[:-1], edges[1:])]
 
 
+@functools.cache
+def encoder(tokenizer_file: str | None) -> Encoder:
+    """One encoder per Python worker and file, so that its cache outlives a task."""
+    return Encoder(tokenizer_file)
+
+
 def _shards(tokenizer_file: str | None, end_id: int):
     def row(nth: int, docs: list, parts: list[np.ndarray]) -> pa.RecordBatch:
         ids = np.concatenate(parts)
@@ -158,7 +210,7 @@ def _shards(tokenizer_file: str | None, end_id: int):
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=[c.split()[0] for c in FORMAT.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = Encoder(tokenizer_file), np.array([end_id], np.uint16)
+        encode, end = encoder(tokenizer_file), np.array([end_id], np.uint16)
         nth, docs, parts, size = 0, [], [], 0
         for batch in batches:
             for d, ids in zip(column(batch, "d").to_pylist(), encode(column(batch, "t").to_pylist())):
