@@ -9,7 +9,9 @@ CORRUPT = "_corrupt"
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One JSON object a line (also gzipped); lines that don't parse have only _corrupt."""
-    return spark.read.schema(schema.add(CORRUPT, T.StringType()) if CORRUPT not in schema.names else schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("row")).select("row.*")
 
 
 def array_lines(spark: SparkSession, path: str, schema: T.StructType, wanted: Column | None = None) -> DataFrame:
