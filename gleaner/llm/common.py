@@ -1,9 +1,7 @@
-"""What the training-data operators share: shared-folder tables and Arrow batches."""
+"""What the training-data operators share: Arrow batches, column names and expressions."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,27 +9,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from gleaner.session import shared_folder, written  # noqa: F401  shared with the rest of the library
+
 #: Word separators of the contracts: space and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a folder of our own only where none is set (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='gleaner-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df written as Parquet to the shared folder and read again: lineage ends, and lost executors lose nothing."""
-    spark = df.sparkSession
-    at = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
-
-
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bounds the rows of an Arrow batch, so that a batch of long texts fits a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -42,6 +25,16 @@ def in_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return df.mapInArrow(f, schema)
 
 
+def shielded(df: DataFrame) -> tuple[DataFrame, Callable[[str], str], Callable[[DataFrame], DataFrame]]:
+    """df with neutral column names, what a name has become, and how to get the columns of df back from a result.
+
+    Added columns then clash with no column of df, whatever its names.
+    """
+    names = df.columns
+    neutral = [f"_in{i}" for i in range(len(names))]
+    return df.toDF(*neutral), lambda name: neutral[names.index(name)], lambda out: out.select(*neutral).toDF(*names)
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     c = batch.column(batch.schema.get_field_index(name))
     return c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c

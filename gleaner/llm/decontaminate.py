@@ -1,7 +1,7 @@
 """Benchmark decontamination: a broadcast set of normalised test windows against every training window.
 
 Null or word-free texts have no windows and are clean; items without words match nothing; repeated items
-and rows give repeated results; other columns pass through untouched whatever their names.
+and rows give repeated results; other columns pass through untouched, but for those named as an added one.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gleaner.llm import spans
-from gleaner.llm.common import column, cut, in_arrow, utf8, written
+from gleaner.llm.common import column, cut, in_arrow, shielded, utf8, written
 
 #: Columns that the scan adds; their prefix keeps them apart from any column of the input.
 ADDED = WORDS, HITS, FIRST, LAST, STARTS, ENDS, ITEMS = ("_gl_words", "_gl_hit", "_gl_first", "_gl_last", "_gl_start", "_gl_end", "_gl_items")
@@ -123,7 +123,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str
     broadcast for its own pass, which adds its hits to those of the passes before.
     """
     spark = docs.sparkSession
-    out = docs if keep is None else docs.select(*keep)
+    out = (docs if keep is None else docs.select(*keep)).drop(*ADDED)
     schema = T.StructType([*out.schema.fields, *T.StructType.fromDDL(f"{WORDS} long, {HITS} long, {FIRST} array<int>, {LAST} array<int>, {STARTS} array<int>, {ENDS} array<int>, {ITEMS} array<string>").fields])
     bench = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
     total = bench.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
@@ -136,19 +136,23 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """docs without the documents that hold a benchmark window; the columns of docs only."""
-    return scan(docs, benchmark, **options).where(F.size(ITEMS) == 0).select(*docs.columns)
+    inner, of, back = shielded(docs)
+    return back(scan(inner, benchmark, text=of(text), **options).where(F.size(ITEMS) == 0))
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """docs with the hit spans taken out of their texts; the columns of docs only."""
-    out = scan(docs, benchmark, text=text, **options)
+    inner, of, back = shielded(docs)
+    text = of(text)
+    out = scan(inner, benchmark, text=text, **options)
     raw = F.col(text).cast("binary")
     starts = F.concat(F.array(F.lit(0)), F.col(ENDS))
     stops = F.concat(F.col(STARTS), F.array(F.octet_length(text)))
     kept = F.concat_ws("", F.transform(F.arrays_zip(starts.alias("s"), stops.alias("e")), lambda x: F.substring(raw, x["s"] + 1, x["e"] - x["s"]).cast("string")))
-    return out.withColumn(text, F.when(F.size(ITEMS) > 0, kept).otherwise(F.col(text))).select(*docs.columns)
+    out = out.withColumn(text, F.when(F.size(ITEMS) > 0, kept).otherwise(F.col(text)))
+    return back(out)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:

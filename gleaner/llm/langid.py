@@ -5,7 +5,7 @@ between labels are learned. Marginals come from forward-backward over the whole
 language with the largest mean marginal, which is its score.
 
 A text that is null or has no letter is `und` with score 0, and so is every text if no language could be learned.
-Training reads a bounded sample; prediction reads text alone. Other columns pass through untouched.
+Training reads a bounded sample; prediction reads text alone. Other columns pass through untouched, but for those named as an added one.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from gleaner.llm.common import column, crc_bucket, in_arrow
+from gleaner.llm.common import column, crc_bucket, in_arrow, shielded
 
 UNKNOWN = "und"
 LABEL, SCORE, WORDS = "_gl_lang", "_gl_score", "_gl_word_labels"
@@ -283,6 +283,7 @@ def fit(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str =
 
 def label(docs: DataFrame, model, *, text: str = "text", words: bool = False) -> DataFrame:
     """docs with _gl_lang, _gl_score and, if words, the label of each word of letters in _gl_word_labels."""
+    docs = docs.drop(LABEL, SCORE, *[WORDS] * words)
     ddl = f"{LABEL} string, {SCORE} double" + f", {WORDS} array<string>" * words
     return in_arrow(docs, _predict(model, text, words), T.StructType([*docs.schema.fields, *T.StructType.fromDDL(ddl).fields]))
 
@@ -302,4 +303,5 @@ def report(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: st
 def keep_known(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.3) -> DataFrame:
     """docs whose language is recognised with a score of least or more; the columns of docs only."""
     model = fit(docs, key=key, text=text, lang=lang, where=learnable(key))
-    return label(docs, model, text=text).where((F.col(LABEL) != UNKNOWN) & (F.col(SCORE) >= least)).select(*docs.columns)
+    inner, of, back = shielded(docs)
+    return back(label(inner, model, text=of(text)).where((F.col(LABEL) != UNKNOWN) & (F.col(SCORE) >= least)))

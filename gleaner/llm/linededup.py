@@ -4,14 +4,15 @@ Only lines with a word count; the others are never in a window and always stay.
 the white space around them. An occurrence is later if its (doc_id, line) is larger than the smallest one of
 the same window; the lines of all later occurrences go, overlaps counted once. Null or empty texts and texts
 with fewer lines than a window keep everything. Rows that repeat a doc_id tie at equal lines: ties both stay.
-Rows without doc_id are left alone. Other columns pass through.
+Rows without doc_id are left alone. Other columns pass through,
+but for those named as an added one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleaner.llm.common import let, written
+from gleaner.llm.common import let, shielded, written
 
 _LINES, _AT, _GONE = "_gl_lines", "_gl_at", "_gl_gone"
 
@@ -51,7 +52,8 @@ def covered_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", s
 def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
     """docs with later occurrences cut from text, and _gl_lines (lines with a word) and _gl_gone (removed indexes)."""
     gone = covered_lines(docs, key=key, text=text, size=size)
-    joined = docs.join(gone, docs[key] == gone["d"], "left").drop("d")
+    inner, of, _ = shielded(docs.drop(_LINES, _GONE))
+    joined = inner.join(gone, F.col(of(key)) == F.col("d"), "left").select(*inner.columns, _GONE).toDF(*docs.drop(_LINES, _GONE).columns, _GONE)
     return joined.withColumns({_LINES: F.size(_lines(F.col(text))).cast("long"), text: F.when(F.col(_GONE).isNull(), F.col(text)).otherwise(_kept(F.col(text), F.col(_GONE)))})
 
 

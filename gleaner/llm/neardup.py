@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.llm import spans
-from gleaner.llm.common import column, cut, in_arrow, utf8, written
+from gleaner.llm.common import column, cut, in_arrow, shielded, utf8, written
 
 #: Bands and rows a band. A pair at similarity 0.8 is missed by all bands with (1 - 0.8**7)**56, or 2e-6.
 BANDS, ROWS = 56, 7
@@ -424,4 +424,5 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each group, the one of the smallest key."""
     gone = near_duplicates(docs, key=key, text=text, size=size, percent=percent).where("not kept").select(F.col(key).alias("_gl_gone")).distinct()
-    return docs.join(gone, docs[key] == F.col("_gl_gone"), "left_anti")
+    inner, of, back = shielded(docs)
+    return back(inner.join(gone, F.col(of(key)) == F.col("_gl_gone"), "left_anti"))

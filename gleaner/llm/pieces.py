@@ -8,7 +8,8 @@ solved once and cached.
 
 A space is put before each text, as the model's own encoder does; decoding takes it away. Every text is restored
 exactly: characters without pieces, line ends and the model's own space mark travel as bytes. Null and empty texts have
-no tokens. Other columns pass through untouched.
+no tokens. Other columns pass through untouched,
+but for those named as an added one.
 """
 
 from __future__ import annotations
@@ -144,6 +145,7 @@ def encode(docs: DataFrame, *, model_file: str | None = None, text: str = "text"
 
     model_file must be readable on every executor; by default the installed public model is found there.
     """
+    docs = docs.drop(IDS, *[ROUND] * check)
     ddl = f"{IDS} array<int>" + f", {ROUND} boolean" * check
     return in_arrow(docs, _encode(model_file, text, check), T.StructType([*docs.schema.fields, *T.StructType.fromDDL(ddl).fields]))
 
