@@ -211,3 +211,31 @@ def test_dates_and_diff(spark):
     now = spark.createDataFrame([("m", "a", 4), ("m", "b", 1)], "board string, slug string, q int")
     base = spark.createDataFrame([("m", "a", 2), ("m", "c", 3)], "board string, slug string, q int")
     assert rows(diff.list_diff(now, base, ["board", "slug"], "q")) == [("m", "a", 2, 0), ("m", "b", 1, 0), ("m", "c", 0, 3)]
+
+
+def test_constrained_fill_respects_limits(spark):
+    from gleaner.operators import guides
+
+    rows_ = [("g", f"c{i:02}", "land" if i % 2 else "spell", 1.0 - i / 100, "hard" if i < 4 else None) for i in range(12)]
+    df = spark.createDataFrame(rows_, "g string, c string, role string, s double, flag string")
+    got = [(r["pick"], r["c"]) for r in guides.fill(df, "g", "c", "role", "s", {"land": 2, "spell": 1}, 5, {"hard": 2}, "flag", {"x": {"c04", "c05"}}).orderBy("pick").collect()]
+    assert got == [(1, "c00"), (2, "c01"), (3, "c05"), (4, "c06"), (5, "c07")]
+
+
+def test_levels_and_nearest(spark):
+    from gleaner.operators import guides
+
+    df = spark.createDataFrame([("a", 1, 50), ("a", 2, 2), ("a", 3, 50), ("b", 5, 0)], "k string, level int, n int")
+    assert rows(guides.levels(df, "k", "level", "n", 10)) == [("a", 1, 1), ("a", 2, 1), ("a", 3, 1), ("b", 5, 5)]
+    have = spark.createDataFrame([("a", 1), ("a", 3)], "k string, level int")
+    assert rows(guides.nearest_level(spark.createDataFrame([("a", 2)], "k string, level int"), have, "k", "level", "f")) == [("a", 2, 3)]
+
+
+def test_empty_inputs_give_empty_results(spark):
+    lines = spark.createDataFrame([], "g int, deck_id int, board string, slug string, qty long")
+    assert tallies.consensus(lines, ["g"]).count() == tallies.profile(lines, ["g"]).count() == tallies.hand(lines, ["g"]).count() == 0
+    series = spark.createDataFrame([], "k int, day date, v int")
+    assert timeseries.filled(series, ["k"], "day", "v", "2024-01-01", "2024-01-02", 3).count() == 0
+    e = spark.createDataFrame([], "a int, b int")
+    assert graph.min_label(spark, e, "a", "b").count() == 0
+    assert similarity.self_cosine(spark.createDataFrame([], "i int, s string, w double"), "i", ["s"]).count() == 0
