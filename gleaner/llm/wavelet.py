@@ -15,17 +15,17 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from gleaner.llm.common import column, in_arrow, shared_folder
+from gleaner.llm import spans
+from gleaner.llm.common import column, cut, in_arrow, shared_folder, utf8
 
 PLANES, STEP = 16, 512
-SHARD_TOKENS, CACHE = 2_000_000, 700_000
+SHARD_TOKENS, CACHE = 2_000_000, 1_500_000
 SPECIAL = "<|endoftext|>"
 FORMAT = "part int, nth int, n_tokens long, docs array<long>, lengths array<int>, zeros array<int>, planes array<binary>, ranks array<binary>"
 
@@ -49,9 +49,9 @@ class WaveletMatrix:
             whole[: len(packed)] = packed
             ones = np.bitwise_count(whole.view(np.uint64)).reshape(-1, STEP // 64).sum(axis=1, dtype=np.uint32)
             ranks.append(np.concatenate(([0], np.cumsum(ones))).astype(np.uint32).tobytes())
-            low = now[~one]
+            low = np.compress(~one, now)
             zeros.append(len(low))
-            now = np.concatenate((low, now[one]))
+            now = np.concatenate((low, np.compress(one, now)))
         return cls(len(ids), zeros, planes, ranks)
 
     def _bit(self, plane: int, i: int) -> int:
@@ -107,92 +107,163 @@ class WaveletMatrix:
         for p in range(PLANES - 1, -1, -1):
             one = np.unpackbits(self._bytes[p], count=self.n, bitorder="little").view(bool)
             back = np.empty_like(now)
-            back[~one] = now[: self.zeros[p]]
-            back[one] = now[self.zeros[p] :] | np.uint16(1 << (PLANES - 1 - p))
+            back[np.flatnonzero(~one)] = now[: self.zeros[p]]  # indexes, as masks are several times slower
+            back[np.flatnonzero(one)] = now[self.zeros[p] :] | np.uint16(1 << (PLANES - 1 - p))
             now = back
         return now
 
 
-class _Index(dict):
-    """Numbers for pre-tokens; those met for the first time are listed in new."""
-
-    def __init__(self):
-        self.new: list[str] = []
-
-    def __missing__(self, x: str) -> int:
-        self[x] = n = len(self)
-        self.new.append(x)
-        return n
+class _Table:
+    """A hash table of 64-bit keys to numbers, looked up and filled for whole arrays at once (linear probing)."""
+
+    def __init__(self, bits: int):
+        self.mask = np.uint64((1 << bits) - 1)
+        self.keys, self.numbers, self.size = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32), 0
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 for those that are absent."""
+        out, at = np.full(len(h), -1, np.int32), (h & self.mask).astype(np.int64)
+        open_ = np.arange(len(h))
+        while len(open_):
+            key = self.keys[at]
+            hit = np.flatnonzero(key == h[open_])
+            out[open_[hit]] = self.numbers[at[hit]]
+            go = np.flatnonzero((key != h[open_]) & (key != 0))
+            open_, at = open_[go], (at[go] + 1) & int(self.mask)
+        return out
+
+    def add(self, h: np.ndarray, numbers: np.ndarray) -> None:
+        """Distinct keys that are absent."""
+        at, left = (h & self.mask).astype(np.int64), np.arange(len(h))
+        while len(left):
+            free = left[self.keys[at[left]] == 0]
+            _, first = np.unique(at[free], return_index=True)
+            won = free[first]
+            self.keys[at[won]], self.numbers[at[won]] = h[won], numbers[won]
+            left = left[~np.isin(left, won, assume_unique=True)]
+            at[left] = (at[left] + 1) & int(self.mask)
+        self.size += len(h)
+
+
+#: Classes of bytes of texts in ASCII and Latin letters: letter, digit, white space, other.
+_CLASS = np.full(256, 3, np.uint8)
+_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 0
+_CLASS[48:58] = 1
+_CLASS[[9, 10, 13, 32]] = 2
+#: Bytes that such texts lack: controls, and lead bytes of other characters than U+00C0 to U+024F.
+_FOREIGN = np.zeros(256, bool)
+_FOREIGN[[*range(9), 11, 12, *range(14, 32), 127, *range(0xC0, 0xC3), *range(0xCA, 256)]] = True
+
+
+def pretokens(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The first byte of each pre-token of the tokenizer's pattern, for texts in ASCII and Latin letters.
+
+    A pre-token is a run of letters, of digits or of other characters, each with the space before it if there is one;
+    white space without that last character; or an apostrophe with s, t, m, d, re, ve or ll where no space leads it.
+    """
+    n = len(raw)
+    kind = _CLASS[raw]
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    begins = edge[:n].copy()
+    begins[1:] |= kind[1:] != kind[:-1]
+    last = np.flatnonzero((kind[:-1] == 2) & (kind[1:] != 2) & ~edge[1:n])  # white space before something else
+    begins[last] = True
+    begins[last[raw[last] == 32] + 1] = False
+    quote = np.flatnonzero((raw[:-1] == 39) & begins[:-1] & (kind[1:] == 0) & ~edge[1:n])
+    x, y = raw[quote + 1], raw[np.minimum(quote + 2, n - 1)]
+    inside = (quote + 2 < n) & ~edge[np.minimum(quote + 2, n)]
+    one = np.isin(x, np.frombuffer(b"stmd", np.uint8))
+    two = inside & ((y == 101) & ((x == 114) | (x == 118)) | (x == 108) & (y == 108))
+    tail = quote[one | two]
+    after = tail + np.where(one, 2, 3)[one | two]
+    begins[tail + 1] = False
+    begins[after[after < n]] = True
+    return np.flatnonzero(begins)
 
 
 class Encoder:
-    """The tokenizers library's encoder, asked once for each pre-token: its merges never cross one.
+    """The tokenizers library's encoder, asked once for each pre-token, as its merges never cross one.
 
-    Pre-tokens are cut by the tokenizer's own published pattern (for texts in ASCII and Latin letters, in a form with
-    those classes spelled out); texts with its special token go to the library whole. Of the pre-tokens, CACHE are kept
-    from batch to batch; later ones are encoded anew in each batch.
+    Texts with other characters than ASCII and Latin letters, or with the special token, go to the library whole. Of the
+    rest the pre-tokens are cut and looked up by a 64-bit hash for a whole batch at once; up to CACHE of them are kept
+    from batch to batch, later ones are encoded anew in each batch.
     """
 
     def __init__(self, tokenizer_file: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(tokenizer_file or public_tokenizers.path("byte_bpe_50k.json"))
         self.width = np.zeros(self.lib.get_vocab_size(), np.int64)
         for piece, i in self.lib.get_vocab().items():
             self.width[i] = len(piece)  # in the byte-level alphabet, one character is one byte
-        pattern = public_tokenizers.PATTERN
-        general = pattern.replace(r"[^\s\p{L}", r"[^\p{White_Space}\p{L}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
-        letters = "A-Za-zÀ-ÖØ-öø-ɏ"
-        self.general = regex.compile(general).findall
-        self.latin = re.compile(pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{letters}0-9]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", "[0-9]")).findall
-        self.foreign = re.compile(rf"[^\x20-\x7e\t\n\r{letters[6:]}]").search
-        self.plain = re.compile(f" [{letters}]+").fullmatch
-        self.index, self.flat, self.start = _Index(), np.zeros(0, np.uint16), np.zeros(1, np.int64)
-
-    def cut(self, text: str) -> list[str]:
-        return (self.general if self.foreign(text) else self.latin)(text)
-
-    def _ids(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all, number of ids of each). Space-led words are encoded as one text, which is cut back into them."""
-        plain = [x for x in pretokens if self.plain(x)]
-        ids, sizes = {}, {}
+        self.plain = re.compile(" [A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
+        self.known = _Table(CACHE.bit_length() + 1)
+        self.flat, self.first, self.size = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _ids(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first id of each, number of ids of each). Space-led words are encoded as one text and cut apart by width."""
+        first, size, parts, at = np.zeros(len(pretokens), np.int64), np.zeros(len(pretokens), np.int64), [], 0
+        led = np.array([self.plain(x) is not None for x in pretokens])
+        plain, other = np.flatnonzero(led), np.flatnonzero(~led)
         for i in range(0, len(plain), 2000):
             some = plain[i : i + 2000]
-            found = np.array(self.lib.encode("".join(some), add_special_tokens=False).ids, np.int64)
-            ends = np.searchsorted(np.cumsum(self.width[found]), np.cumsum([len(x.encode()) for x in some])) + 1
-            for x, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
-                ids[x] = found[a:b]
-        other = [x for x in pretokens if x not in ids]
+            found = np.array(self.lib.encode("".join([pretokens[k] for k in some]), add_special_tokens=False).ids)
+            ends = np.searchsorted(np.cumsum(self.width[found]), np.cumsum([len(pretokens[k].encode()) for k in some])) + 1
+            size[some] = np.diff(ends, prepend=0)
+            first[some] = at + ends - size[some]
+            parts.append(found)
+            at += len(found)
         for i in range(0, len(other), 2000):
-            for x, e in zip(other[i : i + 2000], self.lib.encode_batch_fast(other[i : i + 2000], add_special_tokens=False)):
-                ids[x] = np.array(e.ids, np.int64)
-        each = [ids[x] for x in pretokens]
-        return np.concatenate(each).astype(np.uint16), np.array([len(x) for x in each])
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text."""
-        cut, index = [self.cut(t) if t and SPECIAL not in t else [] for t in texts], self.index
-        known = len(index)
-        at = np.fromiter(map(index.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
-        flat, start = self.flat, self.start
-        if index.new:
-            ids, size = self._ids(index.new)
-            flat, start = np.concatenate((flat, ids)), np.concatenate((start, start[-1] + np.cumsum(size)))
-            if len(index) <= CACHE:
-                self.flat, self.start = flat, start
-            else:
-                for x in index.new:
-                    del index[x]
-                assert len(index) == known
-            index.new = []
-        first, size = start[at], np.diff(start)[at]
+            some = other[i : i + 2000]
+            found = [e.ids for e in self.lib.encode_batch_fast([pretokens[k] for k in some], add_special_tokens=False)]
+            size[some] = [len(x) for x in found]
+            first[some] = at + np.cumsum(size[some]) - size[some]
+            parts.append(np.array([x for ids in found for x in ids]))
+            at += len(parts[-1])
+        return np.concatenate(parts).astype(np.uint16), first, size
+
+    def _latin(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text in ASCII and Latin letters."""
+        start = pretokens(raw, offsets)
+        end = np.concatenate((start[1:], [len(raw)]))
+        h = spans.span_hash(spans.prefix(spans.byte_values()[raw], "bytes"), start, end, "bytes") | np.uint64(1)
+        number = self.known.find(h)
+        flat, first, size = self.flat, self.first, self.size
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            keys, where, again = np.unique(h[missing], return_index=True, return_inverse=True)
+            where = missing[where]
+            ids, at, n = self._ids([raw[a:b].tobytes().decode() for a, b in zip(start[where].tolist(), end[where].tolist())])
+            number[missing] = len(first) + again
+            first, size, flat = np.concatenate((first, at + len(flat))), np.concatenate((size, n)), np.concatenate((flat, ids))
+            if len(first) <= CACHE:
+                self.known.add(keys, np.arange(len(self.first), len(first), dtype=np.int32))
+                self.flat, self.first, self.size = flat, first, size
+        first, size = first[number], size[number]
         ends = np.cumsum(size)
         ids = flat[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        edges = np.concatenate(([0], ends))[np.cumsum([0, *map(len, cut)])]
-        return [np.array(self.lib.encode(t, add_special_tokens=False).ids, np.uint16) if t and SPECIAL in t else ids[a:b] for t, a, b in zip(texts, edges[:-1], edges[1:])]
+        edges = np.concatenate(([0], ends))[np.searchsorted(start, offsets)]
+        return [ids[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; null is empty."""
+        raw, offsets = utf8(texts)
+        out = []
+        for i, j in cut(offsets):
+            part, at = raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            odd = _FOREIGN[part]
+            odd[:-1] |= (part[:-1] == 0xC3) & ((part[1:] == 0x97) | (part[1:] == 0xB7))
+            bad = np.diff(np.concatenate(([0], np.cumsum(odd)))[at]) > 0
+            for k in range(j - i):
+                bad[k] = bad[k] or SPECIAL.encode() in part[at[k] : at[k + 1]].tobytes()
+            good = np.flatnonzero(~bad)
+            latin = iter(self._latin(*utf8(texts.slice(i, j - i).take(pa.array(good))))) if len(good) else iter(())
+            whole = (np.array(self.lib.encode(x.as_py(), add_special_tokens=False).ids, np.uint16) for x in texts.slice(i, j - i).take(pa.array(np.flatnonzero(bad))))
+            out += [next(whole) if b else next(latin) for b in bad.tolist()]
+        return out
 
 
 @functools.cache
@@ -213,7 +284,7 @@ def _shards(tokenizer_file: str | None, end_id: int):
         encode, end = encoder(tokenizer_file), np.array([end_id], np.uint16)
         nth, docs, parts, size = 0, [], [], 0
         for batch in batches:
-            for d, ids in zip(column(batch, "d").to_pylist(), encode(column(batch, "t").to_pylist())):
+            for d, ids in zip(column(batch, "d").to_pylist(), encode(column(batch, "t"))):
                 docs.append(d)
                 parts.append(np.concatenate((ids, end)))
                 size += len(parts[-1])
