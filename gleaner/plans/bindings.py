@@ -18,7 +18,7 @@ NOW, EVENTS_NOW = "1998-07-01 00:00:00", "2024-01-30 00:00:00"
 def decks(spark: SparkSession, d: str) -> DataFrame:
     """deck_id, player, archetype, format, ts, place, published, kind, prestige."""
     geo = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    people = table(spark, d, "customer").join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+    people = table(spark, d, "customer").join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = table(spark, d, "orders").join(people, F.col("o_custkey") == F.col("c_custkey"))
     return rows.select(
         F.col("o_orderkey").alias("deck_id"),

@@ -15,11 +15,11 @@ from gleaner.streaming import windows as streams
 
 @query(
     "parsed_deck_lists",
-    f"""WITH {LINES} SELECT deck_id, board, name, qty AS quantity FROM lines WHERE deck_id < 3000""",
+    f"""WITH {LINES} SELECT deck_id, board, name, qty AS quantity FROM lines""",
 )
 def parsed_deck_lists(spark: SparkSession, d: str) -> DataFrame:
     """Plain deck lists parsed back into boards, names and quantities."""
-    rows = lines(spark, d).where("deck_id < 3000")
+    rows = lines(spark, d)
     board = lambda b: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("board") == b, F.struct("name", "qty")))), lambda x: F.concat_ws(" ", x["qty"].cast("string"), x["name"])), "\n")
     listed = rows.groupBy("deck_id").agg(board("main").alias("m"), board("side").alias("s")).select("deck_id", F.concat(F.lit("1 marker\r\n"), F.col("m"), F.lit("\nSideboard\n"), F.col("s")).alias("body"))
     return texts.deck_lines(listed, "deck_id", "body").where("problem is null and name <> 'marker'").select("deck_id", "board", "name", "quantity")
@@ -90,14 +90,14 @@ def document_lines(spark: SparkSession, d: str) -> DataFrame:
     """
 WITH l AS (SELECT doc_id, i, s[i] AS line FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents))),
 h AS (SELECT *, max(CASE WHEN regexp_matches(line, '^[AEIO]') THEN i END) OVER w AS c, max(CASE WHEN regexp_matches(line, '^T') THEN i END) OVER w AS s FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i))
-SELECT h.doc_id, h.i - 1 AS pos, left(a.line, 20) AS chapter, CASE WHEN h.c IS NOT NULL AND h.s >= h.c OR h.c IS NULL AND h.s IS NOT NULL THEN left(b.line, 20) END AS section FROM h LEFT JOIN l a ON a.doc_id = h.doc_id AND a.i = h.c LEFT JOIN l b ON b.doc_id = h.doc_id AND b.i = h.s
+SELECT h.doc_id, h.i - 1 AS pos, a.line AS chapter, CASE WHEN h.c IS NOT NULL AND h.s >= h.c OR h.c IS NULL AND h.s IS NOT NULL THEN b.line END AS section FROM h LEFT JOIN l a ON a.doc_id = h.doc_id AND a.i = h.c LEFT JOIN l b ON b.doc_id = h.doc_id AND b.i = h.s
 """,
 )
 def carried_headings(spark: SparkSession, d: str) -> DataFrame:
     """Each line with the headings above it; a heading ends those of lower levels."""
     rows = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     out = texts.line_tree(rows, "doc_id", "pos", "line", {"chapter": "^[AEIO]", "section": "^T"})
-    return out.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.left("chapter", F.lit(20)).alias("chapter"), F.left("section", F.lit(20)).alias("section"))
+    return out.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "chapter", "section")
 
 
 @query(
@@ -174,12 +174,12 @@ def listings(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "natural_order",
-    """SELECT p_partkey, p_brand, row_number() OVER (ORDER BY CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INTEGER), p_brand, p_partkey) AS rank FROM part WHERE p_size = 1""",
+    """SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_type ORDER BY CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INTEGER), p_brand, p_partkey) AS rank FROM part""",
 )
 def natural_order(spark: SparkSession, d: str) -> DataFrame:
-    """Collector numbers in natural order (a listing of one size only, so its ranks are few)."""
-    w = Window.orderBy(tx.natural(F.col("p_brand")), "p_partkey")
-    return table(spark, d, "part").where("p_size = 1").select("p_partkey", "p_brand", F.row_number().over(w).cast("bigint").alias("rank"))
+    """Collector numbers of each type in natural order."""
+    w = Window.partitionBy("p_type").orderBy(tx.natural(F.col("p_brand")), "p_partkey")
+    return table(spark, d, "part").select("p_partkey", "p_brand", F.row_number().over(w).cast("bigint").alias("rank"))
 
 
 @query(
@@ -230,11 +230,11 @@ def image_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "significant_figures",
-    """SELECT l_orderkey, l_linenumber, CAST(format('{:.4g}', l_extendedprice * 1.00013 / 7) AS DOUBLE) AS price FROM lineitem WHERE l_orderkey < 500""",
+    """SELECT l_orderkey, l_linenumber, CAST(format('{:.4g}', l_extendedprice * 1.00013 / 7) AS DOUBLE) AS price FROM lineitem""",
 )
 def significant_figures(spark: SparkSession, d: str) -> DataFrame:
     """Four significant figures."""
-    return table(spark, d, "lineitem").where("l_orderkey < 500").select("l_orderkey", "l_linenumber", numbers.significant(F.col("l_extendedprice") * 1.00013 / 7).alias("price"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", numbers.significant(F.col("l_extendedprice") * 1.00013 / 7).alias("price"))
 
 
 @query("document_bodies", f"""WITH {DECKS} SELECT CAST(deck_id AS VARCHAR) AS key, '{{"deck_id":' || deck_id || ',"archetype":"' || archetype || '"' || CASE WHEN place <= 2 THEN ',"place":' || place ELSE '' END || '}}' AS body FROM decks WHERE published""")

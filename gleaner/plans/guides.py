@@ -63,7 +63,7 @@ def synergy_groups(spark: SparkSession, d: str) -> DataFrame:
     """Per role the five cards that gain most in a theme."""
     cards = _page_cards(spark, d)
     b = cards.where("page = 'base'").select("archetype", "slug", F.col("rate").alias("base"))
-    t = cards.where("page = 'theme:BUILDING'").join(b, ["archetype", "slug"]).join(F.broadcast(catalog(spark, d).select("slug", F.col("kind").alias("role"))), "slug")
+    t = cards.where("page = 'theme:BUILDING'").join(b, ["archetype", "slug"]).join(catalog(spark, d).select("slug", F.col("kind").alias("role")), "slug")
     x = t.select("archetype", "role", "slug", F.round(F.col("rate") - F.col("base"), 9).alias("synergy")).where("synergy > 0")
     return priority.top_per_group(x, ["archetype", "role"], [F.desc("synergy"), F.col("slug")], 5)
 
@@ -121,7 +121,7 @@ def color_identity(spark: SparkSession, d: str) -> DataFrame:
 @query("constrained_fill")
 def constrained_fill(spark: SparkSession, d: str) -> DataFrame:
     """A greedy fill by roles, with limits on flagged cards and forbidden combinations."""
-    pool = guides.pool(_page_cards(spark, d), "archetype", "slug", 60).join(F.broadcast(catalog(spark, d)), "slug")
+    pool = guides.pool(_page_cards(spark, d), "archetype", "slug", 60).join(catalog(spark, d), "slug")
     x = pool.select("archetype", "slug", F.col("kind").alias("role"), "best", F.when(F.col("color") == 0, "restricted").alias("flag"))
     combos = {"a": {"red-ring", "red-rod"}, "b": {"hot-plate", "old-plate"}}
     return guides.fill(x, "archetype", "slug", "role", "best", {"PROMO": 3, "SMALL": 4, "LARGE": 2}, 20, {"restricted": 3}, "flag", combos)
@@ -148,7 +148,7 @@ def win_lines(spark: SparkSession, d: str) -> DataFrame:
 )
 def deck_averages(spark: SparkSession, d: str) -> DataFrame:
     """Average cost without lands, and the price of a deck."""
-    x = lines(spark, d).join(F.broadcast(catalog(spark, d).select("slug", "kind", "color", "price")), "slug", "left")
+    x = lines(spark, d).join(catalog(spark, d).select("slug", "kind", "color", "price"), "slug", "left")
     spell = F.col("kind") != "PROMO"
     mana = F.try_divide(F.sum(F.when(spell, F.col("qty") * F.col("color"))), F.sum(F.when(spell, F.col("qty"))))
     return x.groupBy("deck_id").agg(F.round(mana, 6).alias("mana"), F.round(F.sum(F.col("qty") * F.coalesce("price", F.lit(0.0))), 2).alias("price"))
@@ -254,13 +254,13 @@ def archetype_tiles(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "namesake_cards",
     f"""
-WITH {DECKS}, {LINES}, {CATALOG}, x AS (SELECT deck_id, slug, qty, price, list_has_any(string_split(l.name, ' '), ['ring', 'rod']) AS own FROM lines l JOIN catalog c USING (slug) WHERE board = 'main' AND deck_id < 5000)
+WITH {DECKS}, {LINES}, {CATALOG}, x AS (SELECT deck_id, slug, qty, price, list_has_any(string_split(l.name, ' '), ['ring', 'rod']) AS own FROM lines l JOIN catalog c USING (slug) WHERE board = 'main')
 SELECT deck_id, slug, CAST(k AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY deck_id ORDER BY own DESC, qty DESC, coalesce(price, -1) DESC, slug) AS k FROM x) WHERE k <= 3
 """,
 )
 def namesake_cards(spark: SparkSession, d: str) -> DataFrame:
     """The cards that stand for a deck: namesakes, copies, price, name."""
-    x = lines(spark, d).where("board = 'main' and deck_id < 5000").join(F.broadcast(catalog(spark, d).select("slug", "price")), "slug")
+    x = lines(spark, d).where("board = 'main'").join(catalog(spark, d).select("slug", "price"), "slug")
     own = F.arrays_overlap(F.split("name", " "), F.array(F.lit("ring"), F.lit("rod")))
     return priority.top_per_group(x, ["deck_id"], [F.desc(own), F.desc("qty"), F.desc(F.coalesce("price", F.lit(-1.0))), F.col("slug")], 3).select("deck_id", "slug", "rank")
 
@@ -295,13 +295,13 @@ def ranked_with_fallback(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "localized_printings",
     """
-WITH c AS (SELECT l_partkey, l_suppkey % 4 AS lang, l_suppkey, l_shipdate, l_orderkey, l_linenumber FROM lineitem WHERE l_partkey < 500)
+WITH c AS (SELECT l_partkey, l_suppkey % 4 AS lang, l_suppkey, l_shipdate, l_orderkey, l_linenumber FROM lineitem)
 SELECT l_partkey, lang, l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey, lang ORDER BY CASE WHEN l_suppkey = l_partkey % 100 THEN 0 ELSE 1 END, l_shipdate DESC, l_orderkey, l_linenumber) AS k FROM c) WHERE k = 1
 """,
 )
 def localized_printings(spark: SparkSession, d: str) -> DataFrame:
     """The printing of the same set, else the newest."""
-    c = table(spark, d, "lineitem").where("l_partkey < 500").select("l_partkey", (F.col("l_suppkey") % 4).alias("lang"), "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber")
+    c = table(spark, d, "lineitem").select("l_partkey", (F.col("l_suppkey") % 4).alias("lang"), "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber")
     own = F.when(F.col("l_suppkey") == F.col("l_partkey") % 100, 0).otherwise(1)
     return priority.first_per_key(c, ["l_partkey", "lang"], [own, -F.unix_micros(F.col("l_shipdate").cast("timestamp")), F.col("l_orderkey"), F.col("l_linenumber")]).select("l_partkey", "lang", "l_orderkey", "l_linenumber")
 
@@ -380,13 +380,13 @@ def opponents(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "enriched_pages",
     f"""
-WITH {LINES}, {CATALOG}, p AS (SELECT slug, count(DISTINCT deck_id) AS decks FROM lines WHERE deck_id % 3 = 0 GROUP BY 1), e AS (SELECT slug, price FROM catalog WHERE color <> 1)
+WITH {DECKS}, {LINES}, {CATALOG}, p AS (SELECT slug, count(DISTINCT deck_id) AS decks FROM lines JOIN decks USING (deck_id) WHERE published GROUP BY 1), e AS (SELECT slug, price FROM catalog WHERE color <> 1)
 SELECT slug, p.decks, e.price, p.slug IS NULL AS added FROM p FULL JOIN e USING (slug)
 """,
 )
 def enriched_pages(spark: SparkSession, d: str) -> DataFrame:
     """Pages with an entry of another source, and pages of entries alone."""
-    p = lines(spark, d).where("deck_id % 3 = 0").groupBy("slug").agg(F.count_distinct("deck_id").alias("decks")).withColumn("own", F.lit(True))
+    p = lines(spark, d).join(decks(spark, d).where("published").select("deck_id"), "deck_id").groupBy("slug").agg(F.count_distinct("deck_id").alias("decks")).withColumn("own", F.lit(True))
     e = catalog(spark, d).where("color <> 1").select("slug", "price")
     return p.join(e, "slug", "full").select("slug", "decks", "price", F.col("own").isNull().alias("added"))
 
@@ -508,12 +508,12 @@ def alias_shortenings(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "parsed_dates",
-    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS long, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 123456 MICROSECOND AS exact FROM orders WHERE o_orderkey % 10 = 0""",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS long, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 123456 MICROSECOND AS exact FROM orders""",
 )
 def parsed_dates(spark: SparkSession, d: str) -> DataFrame:
     """Month names, and stamps with seven fraction digits."""
     ts = F.col("o_orderdate").cast("timestamp")
-    x = table(spark, d, "orders").where("o_orderkey % 10 = 0").select("o_orderkey", F.date_format(ts, "MMMM d, yyyy").alias("a"), F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".1234567Z")).alias("b"))
+    x = table(spark, d, "orders").select("o_orderkey", F.date_format(ts, "MMMM d, yyyy").alias("a"), F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".1234567Z")).alias("b"))
     return x.select("o_orderkey", dates.long_date(F.col("a")).alias("long"), dates.parsed(F.col("b")).alias("exact"))
 
 

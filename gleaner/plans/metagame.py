@@ -32,7 +32,7 @@ def popular_items_by_window(spark: SparkSession, d: str) -> DataFrame:
     recent = windows.trailing(decks(spark, d), "ts", NOW).select("deck_id", "format", "window")
     span = lines(spark, d).join(recent, "deck_id")
     out = tallies.tally(span, ["format", "window"]).where(tallies.floor(F.col("decks"), F.col("of_decks"))).drop("copies")
-    out = out.join(F.broadcast(catalog(spark, d).select("slug", "kind")), "slug")
+    out = out.join(catalog(spark, d).select("slug", "kind"), "slug")
     return priority.top_per_group(out, ["format", "window", "kind"], [F.desc("decks"), F.desc("avg_copies"), F.col("slug")], 5)
 
 
@@ -165,7 +165,7 @@ def breakouts(spark: SparkSession, d: str) -> DataFrame:
     per = span.groupBy("format", "slug").agg(
         n_if(recent).alias("decks"), n_if(base).alias("before"), F.min(F.when(recent, ts)).alias("first_seen"), n_if(recent & (F.col("board") == "main")).alias("main_decks"), F.max(F.when(recent, F.col("prestige"))).alias("best_prestige")
     )
-    x = per.join(F.broadcast(of), "format").where("nb >= 20 and na > 0")
+    x = per.join(of, "format").where("nb >= 20 and na > 0")
     out = x.where(trends.breakout(F.col("decks"), F.col("na"), F.col("before"), F.col("nb"), times=F.lit(1.3)))
     return out.select("format", "slug", "decks", "before", "first_seen", "main_decks", "best_prestige", numbers.share(F.col("decks"), F.col("na")).alias("share"))
 
@@ -235,7 +235,7 @@ k AS (SELECT archetype, count(DISTINCT deck_id) AS known FROM s GROUP BY 1) SELE
 )
 def majority_colors(spark: SparkSession, d: str) -> DataFrame:
     """Colours in at least half of the known decks of an archetype."""
-    span = lines(spark, d).join(decks(spark, d).where("place = 1").select("deck_id", "archetype"), "deck_id").join(F.broadcast(catalog(spark, d).select("slug", "color")), "slug")
+    span = lines(spark, d).join(decks(spark, d).where("place = 1").select("deck_id", "archetype"), "deck_id").join(catalog(spark, d).select("slug", "color"), "slug")
     return tallies.majority(span, ["archetype"], "deck_id", "color")
 
 
@@ -262,7 +262,7 @@ SELECT archetype, color, CAST(mass AS BIGINT) AS mass, round(mass / sum(mass) OV
 )
 def color_weights(spark: SparkSession, d: str) -> DataFrame:
     """Colour mass per copy of the main boards, normalised per archetype."""
-    span = lines(spark, d).where("board = 'main'").join(decks(spark, d).select("deck_id", "archetype"), "deck_id").join(F.broadcast(catalog(spark, d).select("slug", "color")), "slug")
+    span = lines(spark, d).where("board = 'main'").join(decks(spark, d).select("deck_id", "archetype"), "deck_id").join(catalog(spark, d).select("slug", "color"), "slug")
     mass = span.groupBy("archetype", "color").agg(F.sum("qty").alias("mass"))
     return mass.withColumn("weight", F.round(F.col("mass") / F.sum("mass").over(Window.partitionBy("archetype")), 6))
 

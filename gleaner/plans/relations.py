@@ -141,48 +141,49 @@ def nearest_release(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "most_overlap",
-    """
-WITH x AS (SELECT DISTINCT l_suppkey AS g, l_partkey FROM lineitem), y AS (SELECT DISTINCT l_orderkey AS h, l_partkey FROM lineitem WHERE l_orderkey < 400),
-s AS (SELECT h, count(*) AS size FROM y GROUP BY 1), c AS (SELECT g, h, count(*) AS shared, size FROM x JOIN y USING (l_partkey) JOIN s USING (h) GROUP BY g, h, size HAVING 2 * count(*) >= size)
+    f"""
+WITH {DECKS}, x AS (SELECT DISTINCT format || kind || CAST(ts AS DATE) AS g, player, CAST(date_trunc('month', ts) AS DATE) AS month FROM decks WHERE published), y AS (SELECT DISTINCT format || kind || CAST(ts AS DATE) AS h, player, CAST(date_trunc('month', ts) AS DATE) AS month FROM decks WHERE NOT published),
+s AS (SELECT h, count(DISTINCT player) AS size FROM y GROUP BY 1), c AS (SELECT g, h, count(*) AS shared, size FROM x JOIN y USING (player, month) JOIN s USING (h) GROUP BY g, h, size HAVING 2 * count(*) >= size)
 SELECT g, h, shared, size FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY shared DESC, h) AS k FROM c) WHERE k = 1
 """,
 )
 def most_overlap(spark: SparkSession, d: str) -> DataFrame:
-    """The group that shares most parts, at least half of its own."""
-    rows = table(spark, d, "lineitem")
-    a = rows.select(F.col("l_suppkey").alias("g"), "l_partkey")
-    b = rows.where("l_orderkey < 400").select(F.col("l_orderkey").alias("h"), "l_partkey")
-    return matching.most_overlap(a, b, "l_partkey", "g", "h", [])
+    """The event of the month that shares most players, at least half of its own."""
+    rows = decks(spark, d).select(F.concat("format", "kind", F.to_date("ts").cast("string")).alias("e"), "player", F.trunc("ts", "month").alias("month"), "published")
+    a = rows.where("published").select(F.col("e").alias("g"), "player", "month")
+    b = rows.where("not published").select(F.col("e").alias("h"), "player", "month")
+    return matching.most_overlap(a, b, "player", "g", "h", ["month"])
 
 
 @query(
     "shared_name_keys",
     """
-WITH w AS (SELECT p_partkey, unnest(list_distinct(string_split(p_name, ' ') || [p_brand])) AS k FROM part WHERE p_size = 1), v AS (SELECT p_partkey AS other, unnest(list_distinct(string_split(p_name, ' ') || [p_brand])) AS k FROM part WHERE p_size = 2)
-SELECT DISTINCT p_partkey, other FROM w JOIN v USING (k)
+WITH w AS (SELECT DISTINCT p_name AS name, unnest(string_split(p_name, ' ')) AS k FROM part), v AS (SELECT DISTINCT p_brand || ' ' || split_part(p_name, ' ', 2) AS page, unnest([p_brand, split_part(p_name, ' ', 2)]) AS k FROM part)
+SELECT DISTINCT name, page FROM w JOIN v USING (k)
 """,
 )
 def shared_name_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of which any key is shared."""
-    keyed = table(spark, d, "part").select("p_partkey", "p_size", F.array_distinct(F.concat(F.split("p_name", " "), F.array("p_brand"))).alias("keys"))
-    a, b = keyed.where("p_size = 1"), keyed.where("p_size = 2").withColumnRenamed("p_partkey", "other")
-    return matching.shared_key(a, b, "keys", "keys", "p_partkey", "other")
+    """Names and pages of which any key is shared."""
+    part, last = table(spark, d, "part"), F.split_part("p_name", F.lit(" "), F.lit(2))
+    a = part.select(F.col("p_name").alias("name"), F.split("p_name", " ").alias("keys")).distinct()
+    b = part.select(F.concat_ws(" ", "p_brand", last).alias("page"), F.array(F.col("p_brand"), last).alias("keys")).distinct()
+    return matching.shared_key(a, b, "keys", "keys", "name", "page")
 
 
 @query(
     "name_prefixes",
-    """SELECT DISTINCT a.p_brand AS a, b.p_brand AS b FROM part a JOIN part b ON starts_with(a.p_brand, b.p_brand) OR starts_with(b.p_brand, a.p_brand) WHERE length(a.p_brand) > 5 AND length(b.p_brand) > 5 AND a.p_size = 3 AND b.p_size = 4""",
+    """WITH b AS (SELECT DISTINCT p_brand FROM part WHERE length(p_brand) > 5) SELECT a.p_brand AS a, b.p_brand AS b FROM b a JOIN b ON starts_with(a.p_brand, b.p_brand) OR starts_with(b.p_brand, a.p_brand)""",
 )
 def name_prefixes(spark: SparkSession, d: str) -> DataFrame:
     """Names of which one starts with the other."""
-    brands = lambda size, c: table(spark, d, "part").where(F.col("p_size") == size).select(F.col("p_brand").alias(c)).distinct()
-    return matching.prefix_pairs(brands(3, "a"), brands(4, "b"), "a", "b", 5)
+    brands = lambda c: table(spark, d, "part").select(F.col("p_brand").alias(c)).distinct()
+    return matching.prefix_pairs(brands("a"), brands("b"), "a", "b", 5)
 
 
 @query(
     "jaccard_names",
     """
-WITH x AS (SELECT DISTINCT p_name AS a, p_type AS t FROM part WHERE p_size < 10), y AS (SELECT DISTINCT p_name AS b, p_type AS t FROM part WHERE p_size >= 40),
+WITH x AS (SELECT DISTINCT p_name AS a, p_type AS t FROM part WHERE p_size < 25), y AS (SELECT DISTINCT p_name AS b, p_type AS t FROM part WHERE p_size >= 25),
 p AS (SELECT t, a, b, len(list_intersect(string_split(a, ' '), string_split(b, ' '))) AS n FROM x JOIN y USING (t))
 SELECT t, a, b, n / (len(list_distinct(string_split(a, ' '))) + len(list_distinct(string_split(b, ' '))) - n) AS similarity FROM p WHERE n > 0 AND n / (len(list_distinct(string_split(a, ' '))) + len(list_distinct(string_split(b, ' '))) - n) >= 0.3
 """,
@@ -190,8 +191,8 @@ SELECT t, a, b, n / (len(list_distinct(string_split(a, ' '))) + len(list_distinc
 def jaccard_names(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of names by the Jaccard similarity of their words, formed over shared words."""
     rows = table(spark, d, "part").select("p_name", F.col("p_type").alias("t"), "p_size").withColumn("words", F.split("p_name", " "))
-    a = rows.where("p_size < 10").select(F.col("p_name").alias("a"), "t", "words").distinct()
-    b = rows.where("p_size >= 40").select(F.col("p_name").alias("b"), "t", "words").distinct()
+    a = rows.where("p_size < 25").select(F.col("p_name").alias("a"), "t", "words").distinct()
+    b = rows.where("p_size >= 25").select(F.col("p_name").alias("b"), "t", "words").distinct()
     return matching.jaccard_pairs(a, b, "a", "b", "words", 0.3, ["t"])
 
 
@@ -230,13 +231,13 @@ def contained_combos(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "combo_supersets",
     """
-WITH c AS (SELECT DISTINCT p_size * 100 + CAST(floor(p_retailprice) AS BIGINT) % 3 AS combo, p_name FROM part WHERE p_partkey % 5 = 0), n AS (SELECT combo, count(*) AS n FROM c GROUP BY 1)
+WITH c AS (SELECT DISTINCT p_partkey - p_partkey % 4 + p_size % 2 AS combo, p_name FROM part), n AS (SELECT combo, count(*) AS n FROM c GROUP BY 1)
 SELECT a.combo AS small, b.combo AS large FROM c a JOIN c b ON a.p_name = b.p_name AND a.combo <> b.combo JOIN n na ON na.combo = a.combo JOIN n nb ON nb.combo = b.combo GROUP BY a.combo, b.combo, na.n, nb.n HAVING count(*) = na.n AND na.n < nb.n
 """,
 )
 def combo_supersets(spark: SparkSession, d: str) -> DataFrame:
     """Combinations that hold all of another and more."""
-    rows = table(spark, d, "part").where("p_partkey % 5 = 0").select((F.col("p_size") * 100 + F.floor("p_retailprice").cast("bigint") % 3).alias("combo"), "p_name")
+    rows = table(spark, d, "part").select((F.col("p_partkey") - F.col("p_partkey") % 4 + F.col("p_size") % 2).alias("combo"), "p_name")
     return containment.supersets(rows, "combo", "p_name")
 
 
@@ -429,20 +430,23 @@ def principal_axes(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "components_by_link",
     """
-WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS a, 100000 + l_suppkey AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_shipdate < TIMESTAMP '1995-01-20'), s AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
-r AS (SELECT a AS node, a AS label FROM s UNION SELECT s.b, r.label FROM r JOIN s ON s.a = r.node) SELECT node, min(label) AS label FROM r GROUP BY 1
+WITH RECURSIVE k AS (SELECT c_custkey, unnest([1000000000 + CAST(floor(c_acctbal) AS BIGINT), 2000000000 + c_nationkey * 1000000 + CAST(floor(c_acctbal / 50) AS BIGINT)]) AS k FROM customer), f AS (SELECT k, min(c_custkey) AS m FROM k GROUP BY 1),
+e AS (SELECT DISTINCT c_custkey AS a, m AS b FROM k JOIN f USING (k)), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS label FROM s UNION SELECT s.b, r.label FROM r JOIN s ON s.a = r.node WHERE r.label < s.b) SELECT node, min(label) AS label FROM r GROUP BY 1
 """,
 )
 def components_by_link(spark: SparkSession, d: str) -> DataFrame:
-    """Connected components of customers and suppliers."""
-    rows = table(spark, d, "orders").join(table(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).where("l_shipdate < '1995-01-20'")
-    return graph.min_label(spark, rows.select(F.col("o_custkey").alias("a"), (F.lit(100000) + F.col("l_suppkey")).alias("b")), "a", "b")
+    """Connected components of customers that share a balance, or a nation and nearly a balance."""
+    bal = F.col("c_acctbal")
+    keys = F.array(F.lit(1000000000) + F.floor(bal), F.lit(2000000000) + F.col("c_nationkey") * 1000000 + F.floor(bal / 50))
+    k = table(spark, d, "customer").select("c_custkey", F.explode(keys).alias("k"))
+    edges = k.join(k.groupBy("k").agg(F.min("c_custkey").alias("b")), "k").select(F.col("c_custkey").alias("a"), "b")
+    return graph.min_label(spark, edges, "a", "b")
 
 
 @query("unions_with_apart")
 def unions_with_apart(spark: SparkSession, d: str) -> DataFrame:
     """Names joined in order, but never across a pair kept apart."""
-    parts = table(spark, d, "part").where("p_size <= 5")
+    parts = table(spark, d, "part")
     edges = parts.select("p_brand", F.col("p_partkey").alias("ord"), F.col("p_name").alias("a"), F.col("p_type").alias("b"))
     apart = parts.select("p_brand", F.lit("SMALL").alias("a"), F.lit("LARGE").alias("b")).distinct()
     return graph.union_with_apart(edges, apart, "p_brand")

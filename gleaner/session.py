@@ -29,14 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); one of our own only where none is set, as in tests."""
+    """This application's place in the folder that driver and executors share (spark.checkpoint.dir); in a folder of our own
+    only where none is set, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         at = f"file://{tempfile.mkdtemp(prefix='gleaner-')}"
         spark.conf.set("spark.checkpoint.dir", at)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
+    return f"{at.rstrip('/')}/gleaner-{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Removes this application's intermediate tables. Results of operators read them: call it when those are done with."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame) -> DataFrame:
