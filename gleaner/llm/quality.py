@@ -22,43 +22,48 @@ SMALL = 50
 METRICS = {"m_word_length": (50, True), "m_symbols": (20, False), "m_dup_lines": (100, False), "m_repeats": (50, False)}
 
 
-def _repeat_words(words: Column) -> Column:
-    """Words in three-word windows found twice or more. Most texts have none, which a distinct count shows; the others
-    sort their windows, so that equal ones meet."""
-
-    def covered(tri: Column) -> Column:
-        ordered = F.array_sort(F.transform(tri, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        twice = let(ordered, lambda s: F.filter(s, lambda x, k: F.coalesce((F.get(s, k + 1)["h"] == x["h"]), F.lit(False)) | F.coalesce((k > 0) & (F.get(s, k - 1)["h"] == x["h"]), F.lit(False))))
-        return F.size(F.array_distinct(F.flatten(F.transform(twice, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
-
-    tri = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
-    return F.when(F.size(words) < 4, 0).otherwise(let(tri, lambda t: F.when(F.size(F.array_distinct(t)) == F.size(t), 0).otherwise(covered(t))))
+def _covered(tri: Column) -> Column:
+    """Words in three-word windows (hashes tri) found twice or more. Most texts have none, which a distinct count shows;
+    the others sort their windows, so that equal ones meet."""
+    ordered = F.array_sort(F.transform(tri, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    same = lambda s, x, k: F.coalesce(F.get(s, k)["h"] == x["h"], F.lit(False))
+    twice = let(ordered, lambda s: F.filter(s, lambda x, k: same(s, x, k + 1) | (k > 0) & same(s, x, k - 1)))
+    words = F.size(F.array_distinct(F.flatten(F.transform(twice, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
+    return F.when(F.size(F.array_distinct(tri)) == F.size(tri), 0).otherwise(words).cast("long")
 
 
 def measured(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """Per row: key, language, source, the counts of the fixed rules, the metrics and base_failed."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    words = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    n = let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _repeat_words(w).cast("long").alias("n_repeat_words")))
-    lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    dup = let(lines, lambda x: F.struct(F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
-    out = docs.select(
-        F.col(key).alias("k"),
-        F.col(lang).alias("l"),
-        F.col(source).alias("s"),
-        n.alias("n"),
-        F.length(F.translate(t, BLANKS, "")).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        dup.alias("d"),
-    )
+    """Per row: key, language, source, the counts of the fixed rules, the metrics and base_failed.
+
+    Each array is a column of its own step, so that it is made once and no lambda goes deep.
+    """
+    none = F.expr("cast(array() as array<string>)")
+    x = docs.select(F.col(key).alias("k"), F.col(lang).alias("l"), F.col(source).alias("s"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    x = x.select("*", F.trim("t", F.lit(BLANKS)).alias("inner"))
+    x = x.select(
+        "k", "l", "s", "t",
+        F.when(F.col("inner") == "", none).otherwise(F.split("inner", r"[\x20\x09-\x0D]+")).alias("w"),
+        F.filter(F.split("t", "\n", -1), lambda y: y.rlike(r"[^\x20\x09-\x0D]")).alias("a"),
+    )
+    hashes = F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)))
+    x = x.select(
+        "k", "l", "s",
+        F.size("w").cast("long").alias("n_words"),
+        F.length(F.translate("t", BLANKS, "")).cast("long").alias("word_chars"),
+        (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.size("a").alias("n_lines"),
+        (F.size("a") - F.size(F.array_distinct("a"))).cast("long").alias("n_dup_lines"),
+        F.when(F.size("w") >= 4, hashes).otherwise(F.expr("cast(array() as array<bigint>)")).alias("tri"),
+    )
+    x = x.select("k", "l", "s", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", _covered(F.col("tri")).alias("n_repeat_words"))
     per = lambda a, scale, b: F.expr(f"({scale} * {a}) div greatest({b}, 1)")
-    return out.select(
-        "k", "l", "s", "n.n_words", "word_chars", "n_symbols", "d.n_dup_lines", "n.n_repeat_words",
-        per("word_chars", 100, "n.n_words").alias("m_word_length"),
-        per("n_symbols", 1000, "n.n_words").alias("m_symbols"),
-        per("d.n_dup_lines", 1000, "d.n_lines").alias("m_dup_lines"),
-        per("n.n_repeat_words", 1000, "n.n_words").alias("m_repeats"),
-        F.expr("n.n_words < 50 or 100 * n.n_repeat_words > 50 * n.n_words").alias("base_failed"),
+    return x.select(
+        "k", "l", "s", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        per("word_chars", 100, "n_words").alias("m_word_length"),
+        per("n_symbols", 1000, "n_words").alias("m_symbols"),
+        per("n_dup_lines", 1000, "n_lines").alias("m_dup_lines"),
+        per("n_repeat_words", 1000, "n_words").alias("m_repeats"),
+        F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words").alias("base_failed"),
     )
 
 
