@@ -19,7 +19,7 @@ from gleaner.llm.common import let, written
 SYMBOLS, BLANKS = "#*$%&|<>", " \t\n\x0b\f\r"
 SMALL = 50
 #: Metric: its least quartile distance, and whether too small a value fails as well.
-METRICS = {"m_word_length": (50, True), "m_symbols": (20, False), "m_dup_lines": (100, False), "m_repeats": (50, False)}
+METRICS = {"m_word_length": (50, True), "m_symbols": (20, False), "m_dup_lines": (170, False), "m_repeats": (110, False)}
 
 
 def _covered(tri: Column) -> Column:
@@ -129,7 +129,7 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 v AS (
   SELECT r, doc_id, l, s, base_failed, m, CASE m WHEN 'm_word_length' THEN (100 * word_chars) // greatest(n_words, 1) WHEN 'm_symbols' THEN (1000 * n_symbols) // greatest(n_words, 1)
     WHEN 'm_dup_lines' THEN (1000 * n_dup_lines) // greatest(n_lines, 1) ELSE (1000 * n_repeat_words) // greatest(n_words, 1) END AS v, d
-  FROM f, (VALUES ('m_word_length', 50), ('m_symbols', 20), ('m_dup_lines', 100), ('m_repeats', 50)) m(m, d)
+  FROM f, (VALUES ('m_word_length', 50), ('m_symbols', 20), ('m_dup_lines', 170), ('m_repeats', 110)) m(m, d)
 ),
 sk AS (SELECT l, s, m, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS b, count(*) AS c FROM v WHERE NOT base_failed GROUP BY ALL),
 g1 AS (SELECT l, s, m, b, sum(c) OVER (PARTITION BY l, s, m ORDER BY b) AS u, sum(c) OVER (PARTITION BY l, s, m) AS n FROM sk),
