@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from gleaner.session import shared_folder, written  # noqa: F401  shared with the rest of the library
+from gleaner.session import shared_folder, ship, written  # noqa: F401  shared with the rest of the library
 
 #: Word separators of the contracts: space and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]"
@@ -21,6 +21,7 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
 
 
 def in_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    ship(df.sparkSession)
     small_batches(df.sparkSession)
     return df.mapInArrow(f, schema)
 
