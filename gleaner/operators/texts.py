@@ -81,3 +81,16 @@ def spotted(texts: DataFrame, names: DataFrame, key: str, text: str, name: str,
     free = lambda acc, x: ~F.exists(acc, lambda y: (y["at"] < x["at"] + x["n"]) & (x["at"] < y["at"] + y["n"]))
     chosen = F.aggregate("s", none, lambda acc, x: F.when(free(acc, x), F.array_append(acc, x)).otherwise(acc))
     return spans.select(key, F.explode(chosen).alias("x")).select(key, F.col("x.at").alias("at"), F.col(f"x.{name}").alias(name))
+
+
+def longest_prefix(rows: DataFrame, names: DataFrame, text: str, name: str, lengths: int = 32) -> DataFrame:
+    """The longest name that each text starts with (null if none): equal on every head of the text, not by comparing all."""
+    heads = rows.select(F.col(text).alias("_t")).distinct().select("_t", F.explode(F.sequence(F.lit(1), F.least(F.length("_t"), F.lit(lengths)))).alias("_n")).select("_t", F.left("_t", F.col("_n")).alias(name))
+    best = heads.join(names.select(name).distinct(), name).groupBy("_t").agg(F.max_by(name, F.length(name)).alias(name))
+    return rows.join(best, rows[text] == best["_t"], "left").drop("_t")
+
+
+def key_values(json: Column, key: str) -> Column:
+    """The string and number values of a key at any depth of a JSON text, in order, without repeats."""
+    found = F.regexp_extract_all(json, F.lit(rf'"{key}"\s*:\s*("(?:[^"\\]|\\.)*"|-?[0-9.eE+-]+)'), F.lit(1))
+    return F.array_distinct(F.transform(found, lambda x: F.trim(x, F.lit('"'))))
