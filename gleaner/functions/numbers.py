@@ -1,4 +1,4 @@
-"""Numbers: rounding as the reference's host language does, ratios and apportionment helpers."""
+"""Numbers: rounding as Python does, ratios and apportionment helpers."""
 
 from __future__ import annotations
 

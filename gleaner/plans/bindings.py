@@ -1,4 +1,4 @@
-"""The reference concepts bound to the given tables, as DataFrames and as SQL of the same rows.
+"""Decks, lists, cards and prices bound to the given tables, as DataFrames and as SQL of the same rows.
 
 A deck is an order, its archetype the customer's nation, its format the region; deck lines are line items joined to
 parts, summed per name and board; the place comes from the priority's leading digit.

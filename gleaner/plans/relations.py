@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from gleaner.functions import dates, text
-from gleaner.operators import containment, diff, graph, matching, priority, probability, similarity, tallies, timeseries, topk
-from gleaner.plans.bindings import CATALOG, DECKS, LINES, PRICES, decks, lines, prices
+from gleaner.functions import text
+from gleaner.operators import containment, diff, graph, matching, probability, similarity, tallies, timeseries, topk
+from gleaner.plans.bindings import DECKS, LINES, PRICES, decks, lines, prices
 from gleaner.plans.registry import query
 from gleaner.session import table
 

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Fixed values of the format: magic words, version and the finishes of the mask's bits.
-HISTORY, DELTA, VERSION, FINISHES, LATEST = b"MTGH", b"MTGD", 1, 3, 6
+HISTORY, DELTA, VERSION, FINISHES = b"MTGH", b"MTGD", 1, 3
 
 
 def varints(raw: np.ndarray) -> np.ndarray:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gleaner.session import shared_folder
 
-#: The reference's own bound on late rows.
+#: Rows may be two days late: results wait that long for names from a second source.
 LATENESS = "2 days"
 
 
