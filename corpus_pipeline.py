@@ -19,7 +19,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later occurrences of repeated three-line windows; documents that lose every line with a word go."""
     out = linededup.line_dedup(docs)
-    left = F.coalesce(F.size(linededup._GONE), F.lit(0)) < F.col(linededup._LINES)
+    left = F.coalesce(F.size(linededup.GONE), F.lit(0)) < F.col(linededup.LINES)
     return out.where(left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gleaner.llm.common import let, shielded, written
 
-_LINES, _AT, _GONE = "_gl_lines", "_gl_at", "_gl_gone"
+LINES, GONE = "_gl_lines", "_gl_gone"
 
 
 def _lines(text: Column) -> Column:
@@ -46,15 +46,15 @@ def covered_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", s
     repeated = written(repeated_windows(docs, key=key, text=text, size=size))
     later = _occurrences(docs, key, text, size).join(repeated, ["w", "v"]).where(F.struct("d", "p") > F.col("first"))
     lines = F.array_distinct(F.flatten(F.transform(F.collect_list("p"), lambda p: F.sequence(p, p + size - 1))))
-    return later.groupBy("d").agg(F.array_sort(lines).alias(_GONE))
+    return later.groupBy("d").agg(F.array_sort(lines).alias(GONE))
 
 
 def line_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
     """docs with later occurrences cut from text, and _gl_lines (lines with a word) and _gl_gone (removed indexes)."""
     gone = covered_lines(docs, key=key, text=text, size=size)
-    inner, of, _ = shielded(docs.drop(_LINES, _GONE))
-    joined = inner.join(gone, F.col(of(key)) == F.col("d"), "left").select(*inner.columns, _GONE).toDF(*docs.drop(_LINES, _GONE).columns, _GONE)
-    return joined.withColumns({_LINES: F.size(_lines(F.col(text))).cast("long"), text: F.when(F.col(_GONE).isNull(), F.col(text)).otherwise(_kept(F.col(text), F.col(_GONE)))})
+    inner, of, _ = shielded(docs.drop(LINES, GONE))
+    joined = inner.join(gone, F.col(of(key)) == F.col("d"), "left").select(*inner.columns, GONE).toDF(*docs.drop(LINES, GONE).columns, GONE)
+    return joined.withColumns({LINES: F.size(_lines(F.col(text))).cast("long"), text: F.when(F.col(GONE).isNull(), F.col(text)).otherwise(_kept(F.col(text), F.col(GONE)))})
 
 
 def _kept(text: Column, gone: Column) -> Column:
@@ -67,9 +67,9 @@ def _kept(text: Column, gone: Column) -> Column:
 def report(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
     """Per row: lines with a word, removed lines, removed runs and a digest of the text that stays."""
     out = line_dedup(docs.select(key, text), key=key, text=text, size=size)
-    g = F.coalesce(F.col(_GONE), F.expr("cast(array() as array<int>)"))
+    g = F.coalesce(F.col(GONE), F.expr("cast(array() as array<int>)"))
     runs = let(g, lambda a: F.size(F.filter(a, lambda x, i: (i == 0) | (x - F.get(a, i - 1) > 1))))
-    return out.select(key, F.col(_LINES).alias("n_lines"), F.size(g).cast("long").alias("n_removed"), runs.cast("long").alias("n_spans"), F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+    return out.select(key, F.col(LINES).alias("n_lines"), F.size(g).cast("long").alias("n_removed"), runs.cast("long").alias("n_spans"), F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
 #: DuckDB SQL for the rows of report() over table documents.
