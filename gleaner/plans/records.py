@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from gleaner.functions import text as tx
+from gleaner.functions import dates, text as tx
 from gleaner.operators import priority, texts
-from gleaner.plans.bindings import CATALOG, DECKS, LINES, catalog, decks, lines
+from gleaner.plans.bindings import CATALOG, DECKS, LINES, PRICES, catalog, decks, lines, prices
 from gleaner.plans.registry import query
 from gleaner.session import table
+from gleaner.sources import history
 from gleaner.sources.jsonlines import canonical
 
 
@@ -145,3 +146,40 @@ def name_folds(spark: SparkSession, d: str) -> DataFrame:
     """Look-alike letters read as the Latin ones."""
     masked = F.translate("p_name", "ao", "ао")
     return table(spark, d, "part").select("p_partkey", masked.alias("masked"), tx.nfkc(tx.unmask(masked)).alias("plain"))
+
+
+@query(
+    "history_round_trip",
+    f"""WITH {PRICES} SELECT lpad(lower(to_hex(printing)), 32, '0') AS printing, day, cents FROM prices""",
+)
+def history_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Prices encoded as binary histories and decoded again."""
+    key = F.lower(F.lpad(F.hex("printing"), 32, "0"))
+    points = prices(spark, d).select(key.alias("printing"), F.lit(0).alias("finish"), dates.day_number(F.col("day")).alias("day"), "cents")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = history.points(history.files(points, 9000, 12000, parts))
+    return out.select(F.replace("printing", F.lit("-"), F.lit("")).alias("printing"), "day", "cents")
+
+
+@query(
+    "entry_maps",
+    """SELECT p_brand AS product, p_partkey AS id, p_size AS size FROM part""",
+)
+def entry_maps(spark: SparkSession, d: str) -> DataFrame:
+    """Entries of a JSON object by their keys, each parsed with its own schema."""
+    part = table(spark, d, "part").select("p_brand", "p_type", F.map_from_arrays(F.array(F.col("p_partkey").cast("string")), F.array(F.struct(F.col("p_size").alias("size"), F.col("p_name").alias("name")))).alias("m"))
+    bodies = part.select("p_brand", F.to_json("m").alias("body"))
+    return bodies.select(F.col("p_brand").alias("product"), F.explode(F.from_json("body", "map<string,struct<size:int,name:string>>")).alias("id", "e")).select("product", F.col("id").cast("bigint").alias("id"), "e.size")
+
+
+@query(
+    "identities",
+    """SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'W' WHEN p_size % 4 < 3 THEN array_to_string(list_filter(['W', 'U', 'B', 'R', 'G'], lambda c: list_contains(list_distinct([['W', 'U', 'B', 'R', 'G'][p_size % 5 + 1], ['W', 'U', 'B', 'R', 'G'][CAST(p_partkey % 5 AS INTEGER) + 1]]), c)), '') END AS identity FROM part""",
+)
+def identities(spark: SparkSession, d: str) -> DataFrame:
+    """A page's own colours, else the union of both halves in order, else unknown."""
+    wheel = F.array(*map(F.lit, "WUBRG"))
+    k, at = F.col("p_size") % 4, lambda i: F.element_at(wheel, i.cast("int") + 1)
+    halves = F.array_union(F.array(at(F.col("p_size") % 5)), F.array(at(F.col("p_partkey") % 5)))
+    own, both = F.when(k == 0, F.array(F.lit("W"))), F.when(k < 3, F.filter(wheel, lambda c: F.array_contains(halves, c)))
+    return table(spark, d, "part").select("p_partkey", F.array_join(F.coalesce(own, both), "").alias("identity"))

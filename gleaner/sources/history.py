@@ -100,8 +100,13 @@ def encode_day(rows: list[tuple[str, int, int | None]], day: int, previous: int)
     return b"".join(out)
 
 
-def read(spark: SparkSession, path: str, wanted: list[str] | None = None, finish: int | None = None, since: int | None = None) -> DataFrame:
-    """(printing, finish, day, cents) of the history files at path; the filters work while decoding."""
+def read(spark: SparkSession, path: str, **filters) -> DataFrame:
+    """(printing, finish, day, cents) of the history files at path, filtered as points()."""
+    return points(spark.read.format("binaryFile").load(path).select("content"), **filters)
+
+
+def points(contents: DataFrame, wanted: list[str] | None = None, finish: int | None = None, since: int | None = None) -> DataFrame:
+    """(printing, finish, day, cents) of histories in a column content; the filters work while decoding."""
     keep = set(wanted) if wanted is not None else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,7 +117,7 @@ def read(spark: SparkSession, path: str, wanted: list[str] | None = None, finish
                         near = days >= since if since is not None else slice(None)
                         yield pd.DataFrame({"printing": printing, "finish": f, "day": days[near], "cents": cents[near]})
 
-    rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "printing string, finish int, day int, cents long")
+    rows = contents.select("content").mapInPandas(run, "printing string, finish int, day int, cents long")
     return rows.withColumn("day", F.date_add(F.lit("1970-01-01").cast("date"), F.col("day")))
 
 
