@@ -166,3 +166,17 @@ def report(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", **opti
         F.sha2(F.concat_ws(",", ITEMS).cast("binary"), 256).alias("items_sha256"),
         (F.size(ITEMS) > 0).alias("contaminated"),
     )
+
+
+#: DuckDB SQL for the rows of report() over tables documents and benchmark.
+SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bk AS (SELECT item_id, w, least(10, len(w)) AS k FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM bk)),
+dw AS (SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS g FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bk) WHERE len(w) >= k)),
+h AS (SELECT doc_id, dw.k, i, item_id FROM dw JOIN bw ON bw.k = dw.k AND bw.g = dw.g),
+c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM h) GROUP BY 1),
+t AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM h GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+"""

@@ -426,3 +426,19 @@ def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "t
     gone = near_duplicates(docs, key=key, text=text, size=size, percent=percent).where("not kept").select(F.col(key).alias("_gl_gone")).distinct()
     inner, of, back = shielded(docs)
     return back(inner.join(gone, F.col(of(key)) == F.col("_gl_gone"), "left_anti"))
+
+
+#: DuckDB SQL for the rows of near_duplicates() over table documents with two-word shingles at 80 per cent.
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda y: y <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, g FROM (SELECT doc_id, w[i] || ' ' || w[i + 1] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM w WHERE len(w) >= 2) UNION ALL SELECT doc_id, w[1] FROM w WHERE len(w) = 1)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a AS node, a AS label FROM e UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.node WHERE r.label < e.b),
+c AS (SELECT node, min(label) AS label FROM r GROUP BY 1)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.label, w.doc_id) AS component_id, coalesce(c.label, w.doc_id) = w.doc_id AS kept FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.node = w.doc_id
+"""

@@ -57,4 +57,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": quality.SQL, "op8_line_dedup": linededup.SQL}
+    return {"op3_minhash_near_dedup": neardup.SQL, "op4_quality_rules": quality.SQL, "op8_line_dedup": linededup.SQL, "op9_decontaminate": decontaminate.SQL}
