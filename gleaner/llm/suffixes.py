@@ -8,8 +8,10 @@ about three segments a hundred bytes.
 1. The tuple of a segment (leader's hash, hash of its bytes, document, offset) goes through Spark's external sort,
    which spills to disk, so neighbours in sorted order are segments with common content. A segment equal to an earlier
    one is removed whole.
-2. Where segments share a leader but not all of their bytes, their common part is shorter than the segment. The order
-   of their first copies is induced string by string: the same sort runs over the 100-byte strings of those segments.
+2. Where segments share a leader but not all of their bytes, their common part is shorter than the segment. Two of them
+   can share a 100-byte string only if they agree in the 34 bytes before the leader or the 34 bytes after it; the tuples
+   carry short marks of both. The first copies of those that agree with another are induced string by string: the same
+   sort runs over their 100-byte strings.
 
 Nothing depends on the size of a partition or shard, and no group is held in memory: sorted tuples are streamed.
 
@@ -24,17 +26,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from gleaner.llm import spans
 from gleaner.llm.common import column, cut, in_arrow, utf8, written
 
 #: Bytes of a string that may not occur twice, and of a leader.
 SIZE, LEAD = 100, 32
+#: Bytes beside the leader that two segments with a common string share on one side at least, and values of a mark of them.
+BESIDE, MARKS = (SIZE - LEAD) // 2, 4096
+#: Kinds of segments of one leader that are held to compare their marks; those of leaders with more are all induced.
+HELD = 100_000
 #: Ids of documents to look at again that are broadcast; above this they are joined by shuffle.
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 200_000
 
-_TUPLE = "lead long, same long, d long, lo int, more int, done boolean"
+#: spot packs first string (32 bits), marks before and after (12 bits each), further strings (7 bits) and done (1 bit).
+_TUPLE = "lead long, same long, d long, spot long"
 
 
 def _first_copies(lead, same, d, lo) -> np.ndarray:
@@ -45,11 +52,18 @@ def _first_copies(lead, same, d, lo) -> np.ndarray:
     return ~again
 
 
-def _emit(lead, same, d, lo, more) -> pa.RecordBatch:
+def _emit(lead, same, d, lo, more, before, after) -> pa.RecordBatch:
     """Tuples as a batch; those with an earlier copy here are done and need no sorting with their like."""
     done = ~_first_copies(lead, same, d, lo)
     lead = np.where(done, spans.mix(d.astype(np.uint64)), lead)
-    return pa.RecordBatch.from_arrays([pa.array(lead.astype(np.int64)), pa.array(same.astype(np.int64)), pa.array(d), pa.array(lo.astype(np.int32)), pa.array(more.astype(np.int32)), pa.array(done)], names=["lead", "same", "d", "lo", "more", "done"])
+    spot = lo.astype(np.int64) << 32 | before << 20 | after << 8 | more << 1 | done
+    return pa.RecordBatch.from_arrays([pa.array(lead.astype(np.int64)), pa.array(same.astype(np.int64)), pa.array(d), pa.array(spot)], names=["lead", "same", "d", "spot"])
+
+
+def _mark(sums: np.ndarray, start: np.ndarray, end: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """A mark of the bytes between, from 1; 0 where they aren't all in the document."""
+    h = spans.span_hash(sums, np.where(valid, start, 0), np.where(valid, end, 0), "bytes")
+    return np.where(valid, 1 + (h % np.uint64(MARKS - 1)).astype(np.int64), 0)
 
 
 def leaders(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -64,7 +78,8 @@ def leaders(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(raw: np.ndarray, offsets: np.ndarray):
-    """(leader's hash, segment's hash, document, first string, further strings) of all segments; offsets in the batch."""
+    """(leader's hash, segment's hash, document, first string, further strings, marks before and after the leader) of all
+    segments; offsets in the batch."""
     sizes = np.diff(offsets)
     long = np.flatnonzero(sizes >= SIZE)
     if not len(long):
@@ -80,7 +95,10 @@ def segments(raw: np.ndarray, offsets: np.ndarray):
     lead = at[start]
     first = np.flatnonzero(np.concatenate(([True], (lead[1:] != lead[:-1]) | (doc[1:] != doc[:-1]))))
     lo, hi = start[first], start[np.concatenate((first[1:], [len(start)])) - 1]
-    return h[lead[first]], spans.span_hash(sums, lo, hi + SIZE, "bytes"), doc[first], lo, hi - lo
+    at, doc = lead[first].astype(np.int64), doc[first]
+    before = _mark(sums, at - BESIDE, at, at - BESIDE >= offsets[doc])
+    after = _mark(sums, at + LEAD, at + LEAD + BESIDE, at + LEAD + BESIDE <= offsets[doc + 1])
+    return h[at], spans.span_hash(sums, lo, hi + SIZE, "bytes"), doc, lo, hi - lo, before, after
 
 
 def _segment_tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,8 +108,8 @@ def _segment_tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for i, j in cut(off):
             found = segments(raw[off[i] : off[j]], off[i : j + 1] - off[i])
             if found:
-                lead, same, doc, lo, more = found
-                yield _emit(lead, same, ids[i + doc], lo - (off[i + doc] - off[i]), more)
+                lead, same, doc, lo, more, before, after = found
+                yield _emit(lead, same, ids[i + doc], lo - (off[i + doc] - off[i]), more, before, after)
 
 
 def _string_tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,56 +129,78 @@ def _string_tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             owner = np.repeat(doc, n)
             within = np.repeat(lo[mine].astype(np.int64), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             start = at[owner] + within
-            yield _emit(np.repeat(lead[mine], n).view(np.uint64), spans.span_hash(sums, start, start + SIZE, "bytes"), ids[i + owner], within, np.zeros(len(within), np.int32))
+            yield _emit(np.repeat(lead[mine], n).view(np.uint64), spans.span_hash(sums, start, start + SIZE, "bytes"), ids[i + owner], within, *[np.zeros(len(within), np.int64)] * 3)
+
+
+def _agreeing(lead: np.ndarray, spot: np.ndarray) -> np.ndarray:
+    """True for rows whose mark before or after the leader another row of the same leader has."""
+    _, group = np.unique(lead, return_inverse=True)
+    out = np.zeros(len(lead), bool)
+    for shift in (20, 8):
+        mark = spot >> shift & (MARKS - 1)
+        _, inverse, count = np.unique(group * MARKS + mark, return_inverse=True, return_counts=True)
+        out |= (mark > 0) & (count[inverse] > 1)
+    return out
 
 
 def _neighbours(again: bool):
     """Streams sorted tuples: a tuple equal to the one before is removed; if again, the first copies of tuples that
-    share a leader with another are passed on to be looked at string by string."""
+    share a leader and a mark with another are passed on to be looked at string by string."""
 
-    def out(d, lo, more, lead, check):
-        return pa.RecordBatch.from_arrays([pa.array(d), pa.array(lo), pa.array(more), pa.array(lead, mask=~check), pa.array(check)], names=["d", "lo", "more", "lead", "check"])
+    def out(lead, d, spot, check: bool):
+        lo, more = (spot >> 32).astype(np.int32), (spot >> 1 & 127).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(d), pa.array(lo), pa.array(more), pa.array(lead, mask=np.full(len(lead), not check)), pa.array(np.full(len(lead), check))], names=["d", "lo", "more", "lead", "check"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # (lead, same) of the tuple before
-        held = None  # the only tuple kind of its leader so far, with its row
+        held = None  # first copies of the leader that may go on in the next batch
+        crowded = None  # a leader with more than HELD of them
         for batch in batches:
-            lead, same, d, lo, more, done = (column(batch, c).to_numpy(zero_copy_only=False) for c in ("lead", "same", "d", "lo", "more", "done"))
+            lead, same, d, spot = (column(batch, c).to_numpy() for c in ("lead", "same", "d", "spot"))
+            done = spot & 1 == 1
             if done.any():
-                yield out(d[done], lo[done], more[done], lead[done], np.zeros(int(done.sum()), bool))
-                lead, same, d, lo, more = (x[~done] for x in (lead, same, d, lo, more))
+                yield out(lead[done], d[done], spot[done], False)
+                lead, same, d, spot = (x[~done] for x in (lead, same, d, spot))
             if not len(lead):
                 continue
             first_lead, first_same = last or (~lead[0], 0)
-            new_lead = lead != np.concatenate(([first_lead], lead[:-1]))
-            new_same = new_lead | (same != np.concatenate(([first_same], same[:-1])))
+            new = (lead != np.concatenate(([first_lead], lead[:-1]))) | (same != np.concatenate(([first_same], same[:-1])))
             last = (lead[-1], same[-1])
-            gone = ~new_same
-            if gone.any():
-                yield out(d[gone], lo[gone], more[gone], lead[gone], np.zeros(int(gone.sum()), bool))
+            if not new.all():
+                yield out(lead[~new], d[~new], spot[~new], False)
             if not again:
                 continue
-            at = np.flatnonzero(new_same)
-            if not len(at):
-                continue
-            opens = new_lead[at]
+            rows = tuple(x[new] for x in (lead, d, spot))
+            if crowded is not None:
+                more = rows[0] == crowded
+                if more.any():
+                    yield out(*(x[more] for x in rows), True)
+                rows = tuple(x[~more] for x in rows)
             if held is not None:
-                if not opens[0]:
-                    yield out(*held, np.ones(1, bool))
+                rows = tuple(np.concatenate((x, y)) for x, y in zip(held, rows))
+            if not len(rows[0]):
+                continue
+            open_ = rows[0] == lead[-1]
+            held, rows = tuple(x[open_] for x in rows), tuple(x[~open_] for x in rows)
+            if len(held[0]) > HELD:
+                crowded = lead[-1]
+                yield out(*held, True)
                 held = None
-            followed = np.concatenate((~opens[1:], [False]))
-            shared = at[~opens | followed]
-            if len(shared):
-                yield out(d[shared], lo[shared], more[shared], lead[shared], np.ones(len(shared), bool))
-            if opens[-1]:
-                held = tuple(x[at[-1:]] for x in (d, lo, more, lead))
+            near = _agreeing(rows[0], rows[2])
+            if near.any():
+                yield out(*(x[near] for x in rows), True)
+        if held is not None:
+            near = _agreeing(held[0], held[2])
+            if near.any():
+                yield out(*(x[near] for x in held), True)
 
     return run
 
 
 def _sorted_neighbours(tuples: DataFrame, again: bool) -> DataFrame:
     n = int(tuples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = tuples.repartition(n, "lead").sortWithinPartitions("lead", "same", "d", "lo")
+    keys = ["lead"] if again else ["lead", "same"]  # strings need not meet by leader, which spreads a frequent one
+    ordered = tuples.repartition(n, *keys).sortWithinPartitions("lead", "same", "d", "spot")
     tuples.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
     return written(ordered.mapInArrow(_neighbours(again), "d long, lo int, more int, lead long, check boolean"))
 
@@ -229,3 +269,18 @@ def dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFr
 def report(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """dedup() with a digest of the bytes that stay instead of the bytes."""
     return _applied(docs, key, text, _digest, "kept_sha256 string")
+
+
+#: DuckDB SQL for the rows of report() over table documents with unique ids.
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS g FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM d)),
+f AS (SELECT g, min((doc_id, i)) AS first FROM w GROUP BY g HAVING count(*) > 1),
+l AS (SELECT doc_id, i FROM w JOIN f USING (g) WHERE (doc_id, i) > first),
+m AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS opens FROM l),
+r AS (SELECT doc_id, min(i) AS s, max(i) + 100 AS e FROM (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM m) GROUP BY doc_id, k),
+p AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS b FROM r),
+k AS (SELECT doc_id, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last, string_agg(substr(h, 2 * b + 1, 2 * (s - b)), '' ORDER BY s) AS head FROM p JOIN d USING (doc_id) GROUP BY 1)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
