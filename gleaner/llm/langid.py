@@ -15,11 +15,13 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from gleaner.llm import spans
 from gleaner.llm.common import column, crc_bucket, in_arrow, shielded
 
 UNKNOWN = "und"
@@ -39,13 +41,26 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def features(word: str) -> list[int]:
-    """Buckets of the word, its affixes and its n-grams."""
-    crc, mask, marked = zlib.crc32, BUCKETS - 1, f"^{word[:40]}$"
-    names = {f"w{word[:60]}", *(f"p{word[:k]}" for k in (1, 2, 3, 4)), *(f"s{word[-k:]}" for k in (1, 2, 3, 4))}
-    names.update(marked[i : i + 2] for i in range(len(marked) - 1))
-    names.update(marked[i : i + 3] for i in range(len(marked) - 2))
-    return [crc(x.encode("utf-8", "surrogatepass")) & mask for x in names]
+def features(types: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, word) of every feature of the words: the word itself, affixes of one to four bytes and n-grams of two and
+    three bytes, which see where a word begins and ends. Ordered by word; each has at least one."""
+    marked = [f"^{x[:60]}$".encode("utf-8", "surrogatepass") for x in types]
+    ends = np.cumsum([len(x) for x in marked])
+    starts = ends - [len(x) for x in marked]
+    raw = np.frombuffer(b"".join(marked), np.uint8)
+    sums, word = spans.prefix(spans.byte_values()[raw], "bytes"), np.arange(len(types))
+    inside = np.repeat(word, ends - starts)
+    found = [(starts, ends, word, 0)]
+    for k in (1, 2, 3, 4):
+        fits = np.flatnonzero(ends - starts - 2 >= k)
+        found += [(starts[fits] + 1, starts[fits] + 1 + k, fits, 10 + k), (ends[fits] - 1 - k, ends[fits] - 1, fits, 20 + k)]
+    for k in (2, 3):
+        at = np.flatnonzero(np.arange(len(raw)) + k <= ends[inside])
+        found.append((at, at + k, inside[at], 30 + k))
+    bucket = np.concatenate([(spans.span_hash(sums, a, b, "bytes") ^ spans.mix(np.full(1, kind, np.uint64))) & np.uint64(BUCKETS - 1) for a, b, _, kind in found])
+    owner = np.concatenate([x[2] for x in found])
+    order = np.argsort(owner, kind="stable")
+    return bucket[order].astype(np.int64), owner[order]
 
 
 @dataclass
@@ -106,7 +121,8 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tup
         beta[:, t] = v
         nxt = (v * q[:, t]) @ a.T
         v = np.where(live[:, t, None], nxt / nxt.sum(axis=1, keepdims=True), v)
-    alpha, beta, before, q = alpha[live], beta[live], before[live], q[live]
+    words = np.flatnonzero(live)
+    alpha, beta, before, q = (x.reshape(-1, k)[words] for x in (alpha, beta, before, q))
     post = alpha * beta
     post /= post.sum(axis=1, keepdims=True)
     reach = beta * q
@@ -139,7 +155,7 @@ def train(rows: list[tuple[str, str]]) -> Model | None:
                 lexicon[x] = lexicon.get(x, 0) | 1 << y
     types = {x: i for i, x in enumerate(dict.fromkeys(tokens))}
     word = np.fromiter(map(types.__getitem__, tokens), np.int64, len(tokens))
-    index, owner = _table(list(types))
+    index, owner = features(list(types))
     lex = _lexical(list(types), lexicon, len(labels))
     k, n = len(labels), len(types)
     starts = np.searchsorted(owner, np.arange(n))
@@ -167,30 +183,35 @@ def train(rows: list[tuple[str, str]]) -> Model | None:
     return Model(labels, weights.astype(np.float32), trans, lexicon, lexical)
 
 
-def _table(types: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    each = [features(x) for x in types]
-    return np.concatenate(each).astype(np.int64), np.repeat(np.arange(len(each)), [len(x) for x in each])
-
-
 def _lexical(types: list[str], lexicon: dict[str, int], k: int) -> np.ndarray:
     bits = np.array([lexicon.get(x, 0) for x in types], dtype=object)
     return np.array([[(int(b) >> y) & 1 for y in range(k)] for b in bits], float).reshape(len(types), k)
 
 
+class _Index(dict):
+    """Numbers for words; those met for the first time are listed in new."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, x: str) -> int:
+        self[x] = n = len(self)
+        self.new.append(x)
+        return n
+
+
 class Labeller:
     """A model with a bounded cache of word types' scores."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, int] = {}
+        self.known = _Index()
         self.scores = np.zeros((0, len(model.labels)), np.float32)
 
     def _learn(self, new: list[str]) -> None:
         m = self.model
-        index, owner = _table(new)
+        index, owner = features(new)
         emit = np.add.reduceat(m.weights[index], np.searchsorted(owner, np.arange(len(new))), axis=0) + _lexical(new, m.lexicon, len(m.labels)) @ m.lexicon_weights
-        for i, x in enumerate(new):
-            self.known[x] = len(self.scores) + i
         self.scores = np.concatenate((self.scores, emit.astype(np.float32)))
 
     def __call__(self, texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray]]:
@@ -199,13 +220,13 @@ class Labeller:
         for i, w in enumerate(words):
             if w and not any(c.isalpha() for x in w for c in x):
                 words[i] = []
-        new = {x for w in words for x in w if x not in self.known}
-        if new:
-            self._learn(sorted(new))
         lengths = np.array([len(w) for w in words])
         if not lengths.sum():
             return [(w, np.zeros((0, self.scores.shape[1]))) for w in words]
-        at = np.fromiter((self.known[x] for w in words for x in w), np.int64, int(lengths.sum()))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(lengths.sum()))
+        new, self.known.new = self.known.new, []
+        if new:
+            self._learn(new)
         some = lengths[lengths > 0]
         post, _ = marginals(self.scores[at].astype(float), some, self.model.trans)
         if len(self.known) > CACHE:
