@@ -36,6 +36,18 @@ def shielded(df: DataFrame) -> tuple[DataFrame, Callable[[str], str], Callable[[
     return df.toDF(*neutral), lambda name: neutral[names.index(name)], lambda out: out.select(*neutral).toDF(*names)
 
 
+_kept: dict = {}
+
+
+def kept(key, make: Callable[[], object]):
+    """What make gives for key, kept by this Python worker from task to task until another operator keeps something else:
+    a reused worker then holds one operator's cache, not one of each that it has run."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     c = batch.column(batch.schema.get_field_index(name))
     return c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gleaner.llm import spans
-from gleaner.llm.common import column, cut, in_arrow, shielded, utf8, written
+from gleaner.llm.common import column, cut, in_arrow, kept, shielded, utf8, written
 
 #: Columns that the scan adds; their prefix keeps them apart from any column of the input.
 ADDED = WORDS, HITS, FIRST, LAST, STARTS, ENDS, ITEMS = ("_gl_words", "_gl_hit", "_gl_first", "_gl_last", "_gl_start", "_gl_end", "_gl_items")
@@ -71,6 +71,7 @@ def _scan(table, text: str, before: bool):
     """before: the batch already has the columns of an earlier pass, whose hits stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("windows", lambda: None)
         found = table.value
         lookups = {k: _Lookup(x) for k, x in found.items()}
         for batch in batches:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gleaner.llm import spans
-from gleaner.llm.common import column, crc_bucket, in_arrow, shielded
+from gleaner.llm.common import column, crc_bucket, in_arrow, kept, shielded
 
 UNKNOWN = "und"
 LABEL, SCORE, WORDS = "_gl_lang", "_gl_score", "_gl_word_labels"
@@ -237,15 +237,9 @@ class Labeller:
         return [(w, post[e - n : e]) for w, e, n in zip(words, ends.tolist(), lengths.tolist())]
 
 
-_labellers: dict[int, Labeller] = {}
-
-
 def _labeller(model: Model) -> Labeller:
     """One labeller per Python worker and model, so that its cache outlives a task."""
-    if id(model) not in _labellers:
-        _labellers.clear()
-        _labellers[id(model)] = Labeller(model)
-    return _labellers[id(model)]
+    return kept(("labels", id(model)), lambda: Labeller(model))
 
 
 def _groups(texts: list[str | None], limit: int = 400_000) -> Iterator[tuple[int, int]]:

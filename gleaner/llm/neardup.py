@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.llm import spans
-from gleaner.llm.common import column, cut, in_arrow, shielded, utf8, written
+from gleaner.llm.common import column, cut, in_arrow, kept, shielded, utf8, written
 
 #: Bands and rows a band. A pair at similarity 0.8 is missed by all bands with (1 - 0.8**7)**56, or 2e-6.
 BANDS, ROWS = 56, 7
@@ -82,6 +82,7 @@ def minhash(values: np.ndarray, seeds, block: int = 512) -> np.ndarray:
 
 def _signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("signatures", lambda: None)
         seeds = _seeds(BANDS * ROWS)
         weights = spans.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).reshape(BANDS, ROWS) | np.uint64(1)
         for batch in batches:

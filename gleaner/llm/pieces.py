@@ -14,7 +14,6 @@ but for those named as an added one.
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from gleaner.llm.common import column, in_arrow
+from gleaner.llm.common import column, in_arrow, kept
 
 IDS, ROUND = "_gl_ids", "_gl_round_trip"
 MARK, UNKNOWN, CACHE = "▁", 10.0, 400_000
@@ -113,10 +112,9 @@ def _until(gaps: list[int], end: int) -> Iterator[int]:
         yield gaps.pop(0)
 
 
-@functools.cache
 def loaded(model_file: str) -> Pieces:
     """One encoder per Python worker and model, so that its cache outlives a task."""
-    return Pieces(model_file)
+    return kept(("pieces", model_file), lambda: Pieces(model_file))
 
 
 def _encode(model_file: str | None, text: str, check: bool):

@@ -9,7 +9,6 @@ Null and empty texts are the end id alone. Repeated rows are repeated documents.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 import uuid
@@ -22,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gleaner.llm import spans
-from gleaner.llm.common import column, cut, in_arrow, shared_folder, utf8
+from gleaner.llm.common import column, cut, in_arrow, kept, shared_folder, utf8
 
 PLANES, STEP = 16, 512
 SHARD_TOKENS, CACHE = 2_000_000, 1_500_000
@@ -266,10 +265,9 @@ class Encoder:
         return out
 
 
-@functools.cache
 def encoder(tokenizer_file: str | None) -> Encoder:
     """One encoder per Python worker and file, so that its cache outlives a task."""
-    return Encoder(tokenizer_file)
+    return kept(("tokens", tokenizer_file), lambda: Encoder(tokenizer_file))
 
 
 def _shards(tokenizer_file: str | None, end_id: int):
