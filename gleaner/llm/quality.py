@@ -6,6 +6,11 @@ a quantile is off by at most 1/32. A document is kept if each metric is within [
 quartile distance or the metric's least distance if that is larger. Groups of fewer than SMALL documents use the
 merged sketch of their language, and languages of fewer the merged sketch of all.
 
+The least distances of METRICS are wider than most groups' own, so they decide. With spread=True the sketch alone does:
+d is the largest of the quartile distance, the distance from q75 to the upper eighth, and one bucket of q75. The eighth
+gives a width to metrics that are 0 in three quarters of a group; an eighth of junk in a group does not move it.
+Counts up to ALLOWED pass there, so that one repeated line does not fail a short text.
+
 Null texts are empty and fail. Null languages and sources are groups of their own. Repeated rows count again and get
 the same verdict. Only key, text, lang and source are read.
 """
@@ -21,6 +26,9 @@ SMALL = 50
 #: Metric: its least quartile distance, and whether too small a value fails as well.
 METRICS = {"m_word_length": (50, True), "m_symbols": (20, False), "m_dup_lines": (170, False), "m_repeats": (110, False)}
 
+#: With spread, the counts that never fail a document: a symbol, a repeated line, the words of a three-word window and its copy.
+ALLOWED = {"m_symbols": ("n_symbols", 1), "m_dup_lines": ("n_dup_lines", 1), "m_repeats": ("n_repeat_words", 6)}
+
 
 def _covered(tri: Column) -> Column:
     """Words in three-word windows (hashes tri) found twice or more. Most texts have none, which a distinct count shows;
@@ -75,37 +83,47 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 
 def _quartiles(sketch: DataFrame, *by: str) -> DataFrame:
-    """Quartiles of each metric of each merged sketch, and its documents n."""
+    """Quartiles and upper eighth (e) of each metric of each merged sketch, and its documents n."""
     merged = sketch.groupBy(*by, "m", "b").agg(F.sum("c").alias("c"))
     w = Window.partitionBy(*by, "m")
     upto = merged.select(*by, "m", "b", F.sum("c").over(w.orderBy("b")).alias("upto"), F.sum("c").over(w).alias("n"))
     quartile = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("n"), F.col("b")))
-    return upto.groupBy(*by, "m").agg(F.max("n").alias("n"), quartile(1).alias("q1"), quartile(3).alias("q3"))
+    return upto.groupBy(*by, "m").agg(F.max("n").alias("n"), quartile(1).alias("q1"), quartile(3).alias("q3"), F.min(F.when(8 * F.col("upto") >= 7 * F.col("n"), F.col("b"))).alias("e"))
 
 
-def fences(sketch: DataFrame) -> DataFrame:
+def fences(sketch: DataFrame, spread: bool = False) -> DataFrame:
     """Per language and source: lo_ and hi_ of each metric, from the smallest group with SMALL documents."""
     own, language, all_ = (_quartiles(sketch, *by) for by in (("l", "s"), ("l",), ()))
-    put = lambda df, p: df.select(*(c for c in df.columns if c in ("l", "s", "m")), *(F.col(c).alias(f"{p}{c}") for c in ("n", "q1", "q3")))
+    put = lambda df, p: df.select(*(c for c in df.columns if c in ("l", "s", "m")), *(F.col(c).alias(f"{p}{c}") for c in ("n", "q1", "q3", "e")))
     a, b, c = put(own, "a"), put(language, "b").withColumnsRenamed({"l": "bl", "m": "bm"}), put(all_, "c").withColumnRenamed("m", "cm")
     x = a.join(b, F.col("l").eqNullSafe(F.col("bl")) & (F.col("m") == F.col("bm"))).join(c, F.col("m") == F.col("cm"))
     q = lambda k: F.when(F.col("an") >= SMALL, F.col(f"a{k}")).when(F.col("bn") >= SMALL, F.col(f"b{k}")).otherwise(F.col(f"c{k}"))
     least = F.create_map(*(F.lit(v) for m, (d, _) in METRICS.items() for v in (m, d)))
-    x = x.select("l", "s", "m", q("q1").alias("q1"), q("q3").alias("q3"))
-    d = 3 * F.greatest(F.col("q3") - F.col("q1"), F.element_at(least, F.col("m")))
-    x = x.select("l", "s", "m", (F.col("q1") - d).alias("lo"), (F.col("q3") + d).alias("hi"))
+    x = x.select("l", "s", "m", q("q1").alias("q1"), q("q3").alias("q3"), q("e").alias("e"))
+    if spread:
+        width = F.expr("shiftleft(1L, greatest(length(bin(q3)) - 6, 0))")
+        d = 3 * F.greatest(F.col("q3") - F.col("q1"), F.col("e") - F.col("q3"), width)
+        hi = F.col("q3") + width - 1 + d
+    else:
+        d = 3 * F.greatest(F.col("q3") - F.col("q1"), F.element_at(least, F.col("m")))
+        hi = F.col("q3") + d
+    x = x.select("l", "s", "m", (F.col("q1") - d).alias("lo"), hi.alias("hi"))
     of = lambda m, c: F.max(F.when(F.col("m") == m, F.col(c))).alias(f"{c}_{m}")
     return x.groupBy("l", "s").agg(*(of(m, c) for m in METRICS for c in ("lo", "hi")))
 
 
-def report(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+def report(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", spread: bool = False) -> DataFrame:
     """Per row: the counts, base_failed and kept."""
     rows = written(measured(docs, key=key, text=text, lang=lang, source=source))
-    limits = written(fences(sketches(rows))).withColumnsRenamed({"l": "fl", "s": "fs"})
+    limits = written(fences(sketches(rows), spread)).withColumnsRenamed({"l": "fl", "s": "fs"})
     joined = rows.join(limits, F.col("l").eqNullSafe(F.col("fl")) & F.col("s").eqNullSafe(F.col("fs")), "left")
     inside = ~F.col("base_failed")
     for m, (_, low) in METRICS.items():
-        inside &= F.col(m) <= F.col(f"hi_{m}")
+        below = F.col(m) <= F.col(f"hi_{m}")
+        if spread and m in ALLOWED:
+            count, most = ALLOWED[m]
+            below |= F.col(count) <= most
+        inside &= below
         if low:
             inside &= F.col(m) >= F.col(f"lo_{m}")
     return joined.select(F.col("k").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.coalesce(inside, F.lit(False)).alias("kept"))
