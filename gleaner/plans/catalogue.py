@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from gleaner.plans import documents, guides, metagame, records, relations  # noqa: F401
+from gleaner.plans import documents, guides, metagame, records, relations, whole  # noqa: F401

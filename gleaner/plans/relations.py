@@ -390,10 +390,8 @@ def archetype_cosines(spark: SparkSession, d: str) -> DataFrame:
     return similarity.self_cosine(_vectors(spark, d).drop("format"), "archetype", ["slug"]).withColumn("cosine", F.round("cosine", 9))
 
 
-@query("leader_clusters")
-def leader_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """Leader clustering of each format's archetypes."""
-    v = _vectors(spark, d)
+def clusters(spark: SparkSession, d: str, v: DataFrame) -> DataFrame:
+    """Leader clusters of each format's archetypes by their vectors v (format, archetype, slug, w)."""
     sizes = decks(spark, d).groupBy("format", "archetype").agg(F.count(F.lit(1)).alias("decks"))
     a, b = v.withColumnRenamed("archetype", "a"), v.withColumnRenamed("archetype", "b")
     dots = a.withColumnRenamed("w", "x").join(b.withColumnRenamed("w", "y"), ["format", "slug"]).where("a < b").groupBy("format", "a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("d"))
@@ -403,6 +401,12 @@ def leader_clusters(spark: SparkSession, d: str) -> DataFrame:
     return similarity.leaders(sizes, scores, "format", "archetype", "decks", 0.9)
 
 
+@query("leader_clusters")
+def leader_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Leader clustering of each format's archetypes."""
+    return clusters(spark, d, _vectors(spark, d))
+
+
 @query(
     "nearest_profile",
     f"""
