@@ -7,12 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gleaner.operators import guides, priority, similarity, tallies
+from gleaner.functions import text
+from gleaner.operators import containment, diff, guides, priority, similarity, tallies
 from gleaner.plans.bindings import CATALOG, DECKS, LINES, catalog, decks, lines
 from gleaner.plans.registry import query
 from gleaner.plans.relations import clusters
+from gleaner.session import table
 
 _VEC = f"""{DECKS}, {LINES}, v AS (SELECT archetype, slug, sum(least(qty, 4)) AS w FROM decks JOIN lines USING (deck_id) GROUP BY 1, 2), nrm AS (SELECT archetype, sqrt(sum(w * w)) AS n FROM v GROUP BY 1)"""
+_COMBOS = """SELECT DISTINCT p_brand || '/' || p_size AS combo, p_brand, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM part"""
 
 
 def _vectors(spark: SparkSession, d: str) -> DataFrame:
@@ -20,6 +23,10 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
     return lines(spark, d).join(rows, "deck_id").groupBy("format", "archetype", "slug").agg(F.sum(F.least("qty", F.lit(4))).alias("w"))
 
 
+def _combos(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select(F.concat_ws("/", "p_brand", "p_size").alias("combo"), "p_brand", text.ascii_slug(F.col("p_name")).alias("slug"))
+
+
 def _lists(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return lines(spark, d).join(decks(spark, d).select("deck_id", *columns), "deck_id")
 
@@ -118,3 +125,57 @@ r AS (SELECT archetype, min(level) FILTER (100 * n >= 10 * t) AS lo, max(level)
 def style_levels_whole(spark: SparkSession, d: str) -> DataFrame:
     """Levels with a tenth of all decks, filled to a range, and the most played one."""
     return guides.levels(decks(spark, d).groupBy("archetype", F.col("place").alias("level")).agg(F.count(F.lit(1)).alias("n")), "archetype", "level", "n", 10)
+
+
+@query(
+    "contained_combos_whole",
+    f"""
+WITH {LINES}, c AS (SELECT combo, slug FROM ({_COMBOS})), n AS (SELECT combo, count(*) AS n FROM c GROUP BY 1), l AS (SELECT DISTINCT deck_id, slug FROM lines)
+SELECT combo, deck_id, n - count(*) AS lacking FROM c JOIN n USING (combo) JOIN l USING (slug) GROUP BY combo, deck_id, n HAVING n - count(*) <= 1 AND n > 1
+""",
+)
+def contained_combos_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Combinations of all parts (brand and size) that a deck holds or lacks one card of."""
+    return containment.contained(_combos(spark, d), lines(spark, d), "combo", "deck_id", "slug", missing=1)
+
+
+@query(
+    "win_lines_whole",
+    f"""
+WITH {LINES}, c AS ({_COMBOS}), f AS (SELECT combo, count(*) AS n, CAST(substr(p_brand, 7) AS INTEGER) % 3 = 0 AS wins, 'r' || (CAST(substr(p_brand, 7) AS INTEGER) % 4) AS makes FROM c GROUP BY combo, p_brand),
+l AS (SELECT DISTINCT deck_id, slug FROM lines), h AS (SELECT deck_id, c.combo FROM c JOIN l USING (slug) JOIN f ON f.combo = c.combo GROUP BY deck_id, c.combo, n HAVING count(*) = n), x AS (SELECT h.deck_id, f.* FROM h JOIN f USING (combo))
+SELECT deck_id, combo, CASE WHEN wins THEN 'outright' WHEN EXISTS (SELECT 1 FROM x y WHERE y.deck_id = x.deck_id AND y.wins AND y.makes = x.makes) THEN 'chained' ELSE 'outlet' END AS tier FROM x
+""",
+)
+def win_lines_whole(spark: SparkSession, d: str) -> DataFrame:
+    """What a deck's combinations of all parts (brand and size) lead to."""
+    n = F.substring("p_brand", 7, 9).cast("int")
+    combos = _combos(spark, d).select("combo", "slug", (n % 3 == 0).alias("wins"), F.concat(F.lit("r"), (n % 4).cast("string")).alias("makes"))
+    return guides.win_lines(combos, lines(spark, d), "combo", "deck_id", "slug", "wins", "makes")
+
+
+@query(
+    "set_signatures_whole",
+    """
+WITH c AS (SELECT l_orderkey, string_agg(DISTINCT CAST(l_suppkey AS VARCHAR), '|' ORDER BY CAST(l_suppkey AS VARCHAR)) AS signature FROM lineitem GROUP BY 1)
+SELECT signature, min(l_orderkey) AS kept, count(*) - 1 AS dropped FROM c GROUP BY 1 HAVING count(*) > 1
+""",
+)
+def set_signatures_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Orders whose lines have the same set of suppliers, the first kept."""
+    rows = containment.signature(table(spark, d, "lineitem"), ["l_orderkey"], "l_suppkey")
+    return rows.groupBy("signature").agg(F.min("l_orderkey").alias("kept"), (F.count(F.lit(1)) - 1).alias("dropped")).where("dropped > 0")
+
+
+@query(
+    "list_differences_whole",
+    f"""
+WITH {DECKS}, {LINES}, x AS (SELECT archetype, board, slug, coalesce(sum(qty) FILTER (year(ts) = 1998), 0) - coalesce(sum(qty) FILTER (year(ts) = 1997), 0) AS q FROM lines JOIN decks USING (deck_id) GROUP BY 1, 2, 3)
+SELECT archetype, board, slug, CAST(greatest(q, 0) AS BIGINT) AS added, CAST(greatest(-q, 0) AS BIGINT) AS removed FROM x WHERE q <> 0
+""",
+)
+def list_differences_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Copies added to and removed from every archetype's list from one year to the next."""
+    rows = _lists(spark, d, "archetype", "ts")
+    total = lambda y: rows.where(F.year("ts") == y).groupBy("archetype", "board", "slug").agg(F.sum("qty").alias("qty"))
+    return diff.list_diff(total(1998), total(1997), ["archetype", "board", "slug"], "qty")
