@@ -2,6 +2,7 @@
 
 Null or word-free texts have no windows and are clean; items without words match nothing; repeated items
 and rows give repeated results; other columns pass through untouched, but for those named as an added one.
+An item without an id is left out unless unnamed=True: then its windows are hits as any other's, and only the listed items lack it.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ def window_set(rows: list[tuple[str, str]], size: int) -> dict[int, dict[int, di
         k = min(size, len(start))
         for key, i in zip(*(x.tolist() for x in spans.windows(h, doc, k))):
             owners = out.setdefault(k, {}).setdefault(key, {}).setdefault(_phrase(raw, start[i : i + k], end[i : i + k]), [])
-            if item not in owners:
+            if item not in owners:  # None for an item without an id: the window is known, and nobody is listed
                 owners.append(item)
     return out
 
@@ -86,7 +87,7 @@ def _scan(table, text: str, before: bool):
                 owners: dict[int, set[str]] = {}
                 for d in range(j - i) if before else ():
                     firsts, lasts, had = earlier[i + d]
-                    if had:
+                    if firsts:
                         owners[d] = set(had)
                         covered[first_word[d] + np.array(firsts)] += 1
                         covered[first_word[d] + np.array(lasts)] -= 1
@@ -108,7 +109,7 @@ def _scan(table, text: str, before: bool):
                     lo, hi = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
                     for spot, values in zip(spots, (lo, hi, start[a + lo] - offsets[d], end[a + hi - 1] - offsets[d])):
                         spot.append(values.tolist())
-                    items.append(sorted(owners.get(d, ())))
+                    items.append(sorted(x for x in owners.get(d, ()) if x is not None))
             base = [(n, c) for n, c in zip(batch.schema.names, batch.columns) if n not in ADDED]
             added = [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), *(pa.array(x, pa.list_(pa.int32())) for x in spots), pa.array(items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([*(c for _, c in base), *added], names=[*(n for n, _ in base), *ADDED])
@@ -116,7 +117,7 @@ def _scan(table, text: str, before: bool):
     return run
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text", size: int = 10, keep: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text", size: int = 10, keep: list[str] | None = None, block_bytes: int = BLOCK_BYTES, unnamed: bool = False) -> DataFrame:
     """docs with words, hit words, hit spans (in words, in bytes) and the sorted ids of items whose windows occur.
 
     keep names the columns of docs to carry along (all by default). The benchmark's size is measured first: up to
@@ -126,7 +127,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str
     spark = docs.sparkSession
     out = (docs if keep is None else docs.select(*keep)).drop(*ADDED)
     schema = T.StructType([*out.schema.fields, *T.StructType.fromDDL(f"{WORDS} long, {HITS} long, {FIRST} array<int>, {LAST} array<int>, {STARTS} array<int>, {ENDS} array<int>, {ITEMS} array<string>").fields])
-    bench = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
+    bench = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null" if unnamed else "i is not null and t is not null")
     total = bench.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
     for b in range(blocks):
@@ -140,7 +141,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """docs without the documents that hold a benchmark window; the columns of docs only."""
     inner, of, back = shielded(docs)
-    return back(scan(inner, benchmark, text=of(text), **options).where(F.size(ITEMS) == 0))
+    return back(scan(inner, benchmark, text=of(text), **options).where(F.col(HITS) == 0))
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
@@ -152,7 +153,7 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **op
     starts = F.concat(F.array(F.lit(0)), F.col(ENDS))
     stops = F.concat(F.col(STARTS), F.array(F.octet_length(text)))
     kept = F.concat_ws("", F.transform(F.arrays_zip(starts.alias("s"), stops.alias("e")), lambda x: F.substring(raw, x["s"] + 1, x["e"] - x["s"]).cast("string")))
-    out = out.withColumn(text, F.when(F.size(ITEMS) > 0, kept).otherwise(F.col(text)))
+    out = out.withColumn(text, F.when(F.col(HITS) > 0, kept).otherwise(F.col(text)))
     return back(out)
 
 
@@ -165,7 +166,7 @@ def report(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", **opti
         F.col(HITS).alias("n_hit"),
         F.size(ITEMS).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", ITEMS).cast("binary"), 256).alias("items_sha256"),
-        (F.size(ITEMS) > 0).alias("contaminated"),
+        (F.col(HITS) > 0).alias("contaminated"),
     )
 
 

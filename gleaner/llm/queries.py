@@ -50,7 +50,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
