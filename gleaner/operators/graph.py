@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gleaner.session import written
 
 
-def min_label(spark: SparkSession, edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
+def min_label(spark: SparkSession, edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, label): the smallest node reachable, by label propagation with pointer jumping.
 
     Every round is a table in the session's shared folder, so lineage stays short and a lost executor loses nothing.
@@ -16,7 +16,7 @@ def min_label(spark: SparkSession, edges: DataFrame, a: str, b: str, rounds: int
     both = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(F.col(b), F.col(a))).distinct()
     both = written(both)
     labels = written(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("m")).select("node", F.least("node", "m").alias("label")))
-    for _ in range(rounds):
+    while True:
         near = both.join(labels.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("other"))
         step = labels.join(near, "node").select("node", F.least("label", "other").alias("label"), "label")
         step = step.toDF("node", "label", "was")
@@ -24,8 +24,7 @@ def min_label(spark: SparkSession, edges: DataFrame, a: str, b: str, rounds: int
         moved = written(step.join(hop, "label").select("node", F.least("label", "next").alias("label"), (F.least("label", "next") != F.col("was")).alias("moved")))
         labels = moved.select("node", "label")
         if moved.where("moved").isEmpty():
-            break
-    return labels
+            return labels
 
 
 def union_with_apart(edges: DataFrame, apart: DataFrame, group: str) -> DataFrame:
@@ -60,16 +59,22 @@ def union_with_apart(edges: DataFrame, apart: DataFrame, group: str) -> DataFram
     return edges.groupBy(group).cogroup(apart.groupBy(group)).applyInPandas(run, f"{group} {kind}, name {name}, root {name}")
 
 
-def roots(spark: SparkSession, parents: DataFrame, node: str, parent: str, depth: int = 32) -> DataFrame:
-    """(node, root): the last node of each chain of parents; null if the chain runs in a circle."""
+def roots(spark: SparkSession, parents: DataFrame, node: str, parent: str) -> DataFrame:
+    """(node, root): the last node of each chain of parents; null if the chain runs in a circle.
+
+    Steps double until nothing moves, or until they exceed the number of rows, which only a circle does. Every round is a
+    table in the session's shared folder.
+    """
     now = parents.select(F.col(node).alias("node"), F.col(parent).alias("at"))
     up = now.select(F.col("node").alias("at"), F.col("at").alias("next"))
     state = now.select("node", F.coalesce("at", "node").alias("at"))
-    jumps = max(1, depth.bit_length())
     hop = up.select("at", F.coalesce("next", "at").alias("next"))
-    for _ in range(jumps):
-        state = state.join(hop, "at", "left").select("node", F.coalesce("next", "at").alias("at"))
-        hop = hop.alias("h").join(hop.select(F.col("at").alias("next"), F.col("next").alias("far")), "next", "left").select("at", F.coalesce("far", "next").alias("next"))
+    for _ in range(max(1, now.count().bit_length())):
+        moved = written(state.join(hop, "at", "left").select("node", F.coalesce("next", "at").alias("at"), (F.coalesce("next", "at") != F.col("at")).alias("moved")))
+        state = moved.select("node", "at")
+        if moved.where("moved").isEmpty():
+            break
+        hop = written(hop.join(hop.select(F.col("at").alias("next"), F.col("next").alias("far")), "next", "left").select("at", F.coalesce("far", "next").alias("next")))
     last = up.where("next is null").select("at", F.lit(True).alias("ends"))
     out = state.join(last, "at", "left").join(up.select("at", F.lit(True).alias("known")), "at", "left")
     return out.select("node", F.when(F.col("ends") | F.col("known").isNull(), F.col("at")).alias("root"))

@@ -3,6 +3,7 @@
 import math
 from collections import defaultdict
 
+from gleaner.operators import graph
 from gleaner.plans import registry
 from gleaner.plans.bindings import DECKS, LINES
 
@@ -36,3 +37,10 @@ def test_signatures_take_all_lines(spark, tmp_path):
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_suppkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
     got = ALL["set_signatures_whole"](spark, str(tmp_path)).collect()
     assert [tuple(r[c] for c in ("signature", "kept", "dropped")) for r in got] == [("7|8", 1, 1)]
+
+
+def test_deep_chains_have_roots(spark):
+    """A chain of 300 parents, one circle of three, and one node whose parent is not a row."""
+    rows = [(i, i - 1 if i else None) for i in range(300)] + [(1000, 1001), (1001, 1002), (1002, 1000), (2000, 5)]
+    got = {r["node"]: r["root"] for r in graph.roots(spark, spark.createDataFrame(rows, "n long, p long"), "n", "p").collect()}
+    assert got == {**{i: 0 for i in range(300)}, 1000: None, 1001: None, 1002: None, 2000: 0}
