@@ -65,13 +65,13 @@ def canonical_pages(spark: SparkSession, d: str) -> DataFrame:
 
 @query("page_paragraphs")
 def page_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    """Paragraphs with sections and scenes by a real tokenizer."""
+    """Paragraphs with sections and scenes by a real tokenizer."""
     return html.paragraphs(table(spark, d, "pages"), "page_id", "html", least=20)
 
 
 @query("longest_paragraph")
 def longest_paragraph(spark: SparkSession, d: str) -> DataFrame:
-    """The longest paragraph of a page."""
+    """The longest paragraph of a page."""
     rows = html.paragraphs(table(spark, d, "pages"), "page_id", "html").where("kind = 'p'")
     return rows.groupBy("page_id").agg(F.max_by("text", F.struct(F.length("text"), -F.col("pos"))).alias("text"))
 

@@ -399,7 +399,7 @@ SELECT user_id, max(n) AS longest FROM (SELECT user_id, k, count(*) FILTER (fail
 """,
 )
 def failure_streaks(spark: SparkSession, d: str) -> DataFrame:
-    """The longest run of days with a failure."""
+    """The longest run of days with a failure."""
     days = table(spark, d, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.bool_or(F.col("event_type") == "error").alias("failed"))
     w = Window.partitionBy("user_id").orderBy("day")
     runs = days.withColumn("k", F.sum((~F.col("failed")).cast("int")).over(w)).groupBy("user_id", "k").agg(F.count_if("failed").alias("n"))
@@ -436,7 +436,7 @@ def sitemap_entries(spark: SparkSession, d: str) -> DataFrame:
     """SELECT p_name AS name, p_type AS "set", min(p_partkey) AS first, count(*) AS printings FROM part WHERE p_size > 1 AND p_retailprice > 0 AND NOT regexp_matches(p_name, 'arena|mtgo|sample') GROUP BY 1, 2""",
 )
 def first_printed_sets(spark: SparkSession, d: str) -> DataFrame:
-    """Eligible printings of each name and set, the first of each."""
+    """Eligible printings of each name and set, the first of each."""
     p = table(spark, d, "part").where((F.col("p_size") > 1) & (F.col("p_retailprice") > 0) & ~F.col("p_name").rlike("arena|mtgo|sample"))
     return p.groupBy(F.col("p_name").alias("name"), F.col("p_type").alias("set")).agg(F.min("p_partkey").alias("first"), F.count(F.lit(1)).alias("printings"))
 
@@ -552,7 +552,7 @@ def book_counts(spark: SparkSession, d: str) -> DataFrame:
     """SELECT count(*) FILTER (s_suppkey IS NOT NULL) AS matched, count(*) FILTER (s_suppkey IS NULL) AS unmatched FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_acctbal > 0""",
 )
 def matched_ids(spark: SparkSession, d: str) -> DataFrame:
-    """How many rows an id map covers."""
+    """How many rows an id map covers."""
     ids = table(spark, d, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("l_suppkey"), F.lit(True).alias("known"))
     x = table(spark, d, "lineitem").select("l_suppkey").join(ids, "l_suppkey", "left")
     return x.agg(F.count_if(F.col("known").isNotNull()).alias("matched"), F.count_if(F.col("known").isNull()).alias("unmatched"))
