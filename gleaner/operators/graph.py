@@ -31,7 +31,7 @@ def union_with_apart(edges: DataFrame, apart: DataFrame, group: str) -> DataFram
     """Groups of names joined by edges in order (column ord), except unions that would bring an apart pair together.
 
     edges: group, ord, a, b; apart: group, a, b. Whether a union holds depends on the unions before it, so each group is
-    one task; groups must be bounded. Result: group, name, root (the first name of its set in order).
+    one task; groups must be bounded. Repeated edges change nothing, so only the first of each is sent. Result: group, name, root (the first name of its set in order).
     """
 
     def run(e: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
@@ -55,6 +55,7 @@ def union_with_apart(edges: DataFrame, apart: DataFrame, group: str) -> DataFram
             members[p] += members.pop(q)
         return pd.DataFrame({group: [e[group].iloc[0]] * len(root), "name": list(root), "root": list(root.values())}) if len(e) else pd.DataFrame({group: [], "name": [], "root": []})
 
+    edges = edges.groupBy(group, "a", "b").agg(F.min("ord").alias("ord"))
     kind, name = dict(edges.dtypes)[group], dict(edges.dtypes)["a"]
     return edges.groupBy(group).cogroup(apart.groupBy(group)).applyInPandas(run, f"{group} {kind}, name {name}, root {name}")
 

@@ -3,6 +3,8 @@
 import math
 from collections import defaultdict
 
+from pyspark.sql import GroupedData
+
 from gleaner.operators import graph
 from gleaner.plans import registry
 from gleaner.plans.bindings import DECKS, LINES
@@ -44,3 +46,19 @@ def test_deep_chains_have_roots(spark):
     rows = [(i, i - 1 if i else None) for i in range(300)] + [(1000, 1001), (1001, 1002), (1002, 1000), (2000, 5)]
     got = {r["node"]: r["root"] for r in graph.roots(spark, spark.createDataFrame(rows, "n long, p long"), "n", "p").collect()}
     assert got == {**{i: 0 for i in range(300)}, 1000: None, 1001: None, 1002: None, 2000: 0}
+
+
+def test_repeated_edges_are_sent_once(spark, monkeypatch):
+    """300 edges, three of them distinct, reach the group's task as three rows, with the roots of the first of each."""
+    sent = {}
+    cogroup = GroupedData.cogroup
+
+    def seen(self, other):
+        sent["rows"] = self._df.count()
+        return cogroup(self, other)
+
+    monkeypatch.setattr(GroupedData, "cogroup", seen)
+    e = spark.createDataFrame([("g", i, *("ab", "bc", "cd")[i % 3]) for i in range(300)], "g string, ord int, a string, b string")
+    apart = spark.createDataFrame([("g", "a", "c")], "g string, a string, b string")
+    got = {r["name"]: r["root"] for r in graph.union_with_apart(e, apart, "g").collect()}
+    assert sent["rows"] == 3 and got["a"] == got["b"] != got["c"] == got["d"]
