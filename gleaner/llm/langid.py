@@ -34,7 +34,8 @@ BUCKETS, LEXICON, STEPS, BLOCK, CACHE = 1 << 17, 2000, 40, 32, 400_000
 #: Scores are held within this range, so that a block's product stays within a double's.
 CLIP = 8.0
 
-_WORD = re.compile(r"[^\W\d_]+")
+#: A longer run of letters is labelled in consecutive pieces of 60.
+_WORD = re.compile(r"[^\W\d_]{1,60}")
 
 
 def words_of(text: str | None) -> list[str]:
@@ -44,7 +45,7 @@ def words_of(text: str | None) -> list[str]:
 def features(types: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, word) of every feature of the words: the word itself, affixes of one to four bytes and n-grams of two and
     three bytes, which see where a word begins and ends. Ordered by word; each has at least one."""
-    marked = [f"^{x[:60]}$".encode("utf-8", "surrogatepass") for x in types]
+    marked = [f"^{x}$".encode("utf-8", "surrogatepass") for x in types]
     ends = np.cumsum([len(x) for x in marked])
     starts = ends - [len(x) for x in marked]
     raw = np.frombuffer(b"".join(marked), np.uint8)

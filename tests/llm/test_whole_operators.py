@@ -2,7 +2,7 @@
 
 import pytest
 
-from gleaner.llm import decontaminate, quality
+from gleaner.llm import decontaminate, langid, quality
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 
@@ -32,3 +32,10 @@ def test_items_without_ids_are_hits(spark, block):
     assert got == {1: (3, 0, True), 2: (5, 1, True), 3: (0, 0, False), 4: (0, 0, False)}
     assert {r[0] for r in decontaminate.drop_contaminated(docs, bench, block_bytes=block, unnamed=True).select("doc_id").collect()} == {3, 4}
     assert decontaminate.cut_spans(docs, bench, block_bytes=block, unnamed=True).where("text rlike 'alpha'").count() == 0
+
+
+def test_long_runs_are_labelled_to_their_end():
+    run = "a" * 100 + "b" * 100
+    assert "".join(langid.words_of(run)) == run and max(map(len, langid.words_of(run))) == 60
+    ends = [set(langid.features(langid.words_of(run[:100] + x * 100))[0].tolist()) for x in "bc"]
+    assert ends[0] != ends[1]
