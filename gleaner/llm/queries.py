@@ -62,4 +62,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash_near_dedup": neardup.SQL, "op4_quality_rules": quality.SQL, "op7_repeated_strings": suffixes.SQL, "op8_line_dedup": linededup.SQL, "op9_decontaminate": decontaminate.SQL}
+    return {"op2_secret_scan": secrets.SQL, "op3_minhash_near_dedup": neardup.SQL, "op4_quality_rules": quality.SQL, "op7_repeated_strings": suffixes.SQL, "op8_line_dedup": linededup.SQL, "op9_decontaminate": decontaminate.SQL}

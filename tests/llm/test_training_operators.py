@@ -275,38 +275,6 @@ def test_repeated_strings_with_null_and_repeated_ids(docs):
     assert sorted(r["n_removed"] > 0 for r in out if r["doc_id"] == 0) == [False, True]
 
 
-def test_secrets(unique, unique_docs):
-    got = by_id(secrets.report(unique_docs))
-    kinds = [("assign", re.compile(secrets.ASSIGN), 6), ("access", re.compile("AKIA[A-Z0-9]+"), 20), ("hex", re.compile("[0-9a-f]+"), 24)]
-    for d, text, *_ in unique:
-        spans, counts = [], Counter()
-        for k, (name, p, least) in enumerate(kinds):
-            for m in p.finditer(text or ""):
-                if len(m[2] if name == "assign" else m[0]) >= least:
-                    spans.append((m.start(), k, m.end()))
-                    counts[name] += 1
-        r = got[d]
-        told = ",".join(f"{kinds[k][0]}:{s}:{e}" for s, k, e in sorted(spans))
-        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(counts[k] for k in ("assign", "access", "hex"))
-        assert r["base_sha256"] == hashlib.sha256(told.encode()).hexdigest()
-        assert set(told.split(",")) - {""} <= set(r["spans"].split(","))
-    key = next(r for r in unique if "fQ8zR2" in (r[1] or ""))
-    at = key[1].index("fQ8zR2")
-    assert f"entropy:{at}:{at + 24}" in got[key[0]]["spans"].split(",")
-    masked = by_id(secrets.masked(unique_docs))
-    assert "hunter2" not in masked[key[0]]["text"] and "fQ8z" not in masked[key[0]]["text"] and masked[key[0]]["text"].startswith("[secret]")
-
-
-def test_window_entropy(spark):
-    cases = ["a" * 30, "ab" * 15, "abcdefghijklmnopqrst", "fQ8zR2xLpW9sVbN4tKc7YdJ3", "short"]
-
-    def best(s, w=20):
-        return max((-sum(c / w * math.log2(c / w) for c in Counter(s[i : i + w]).values()) for i in range(len(s) - w + 1)), default=0.0)
-
-    got = spark.createDataFrame([(c,) for c in cases], "c string").select(secrets.best_entropy(F.col("c"))).collect()
-    assert np.allclose([r[0] for r in got], [best(c) for c in cases])
-
-
 def test_quality_equals_sql(docs, world, same):
     import duckdb
 
