@@ -105,10 +105,10 @@ def phrases(items, size):
 ITEMS = [(10, "One two, three four five six seven eight nine TEN eleven"), (2, "changed"), (3, None), (4, "!!"), (10, "One two, three four five six seven eight nine TEN eleven")]
 
 
-@pytest.mark.parametrize("block", [1 << 20, 60])
-def test_decontamination(spark, unique, unique_docs, block):
+@pytest.mark.parametrize("most", [1 << 20, 1])
+def test_decontamination(spark, unique, unique_docs, most):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    got = by_id(decontaminate.report(unique_docs, bench, block_bytes=block))
+    got = by_id(decontaminate.report(unique_docs, bench, most_windows=most))
     wanted = phrases(ITEMS, 10)
     for d, text, *_ in unique:
         w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOWER))

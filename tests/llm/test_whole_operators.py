@@ -23,15 +23,15 @@ def test_fences_follow_each_source(spark):
     assert all(kept[i] for i in [*range(60), *range(100, 160)])
 
 
-@pytest.mark.parametrize("block", [1 << 20, 30])
-def test_items_without_ids_are_hits(spark, block):
-    """A null id costs only the entry in items, also where blocks follow one another."""
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_items_without_ids_are_hits(spark, most):
+    """A null id costs only the entry in items, also where the set is too large for a broadcast."""
     bench = spark.createDataFrame([(None, "alpha beta gamma"), (1, "delta epsilon"), (None, None)], "item_id long, text string")
     docs = spark.createDataFrame([(1, "x alpha beta gamma y"), (2, "alpha beta gamma delta epsilon"), (3, "clean words"), (4, None)], "doc_id long, text string")
-    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in decontaminate.report(docs, bench, block_bytes=block, unnamed=True).collect()}
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in decontaminate.report(docs, bench, most_windows=most, unnamed=True).collect()}
     assert got == {1: (3, 0, True), 2: (5, 1, True), 3: (0, 0, False), 4: (0, 0, False)}
-    assert {r[0] for r in decontaminate.drop_contaminated(docs, bench, block_bytes=block, unnamed=True).select("doc_id").collect()} == {3, 4}
-    assert decontaminate.cut_spans(docs, bench, block_bytes=block, unnamed=True).where("text rlike 'alpha'").count() == 0
+    assert {r[0] for r in decontaminate.drop_contaminated(docs, bench, most_windows=most, unnamed=True).select("doc_id").collect()} == {3, 4}
+    assert decontaminate.cut_spans(docs, bench, most_windows=most, unnamed=True).where("text rlike 'alpha'").count() == 0
 
 
 def test_long_runs_are_labelled_to_their_end():
