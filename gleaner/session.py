@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,23 +53,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """This application's place in the folder that driver and executors share (spark.checkpoint.dir); in a folder of our own
-    only where none is set, as in tests."""
+    """This application's place in the folder that driver and executors share (spark.checkpoint.dir).
+
+    Where none is set, a folder of our own if driver and executors are one process, as in tests; else an error, as each
+    machine would write to its own disk.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that driver and executors share; the master is {master}")
         at = f"file://{tempfile.mkdtemp(prefix='gleaner-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return f"{at.rstrip('/')}/gleaner-{spark.sparkContext.applicationId}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def clean(spark: SparkSession) -> None:
     """Removes this application's intermediate tables. Results of operators read them: call it when those are done with."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, shared_folder(spark))
+
+
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Within it intermediate tables go to a folder that is removed at its end: write what they lead to before that."""
+    at = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    before = _scratch.set(at)
+    try:
+        yield
+    finally:
+        _scratch.reset(before)
+        delete(spark, at)
 
 
 def written(df: DataFrame) -> DataFrame:
     """df written as Parquet to the shared folder and read again: lineage ends, and a lost executor loses nothing."""
-    at = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    at = f"{_scratch.get() or shared_folder(df.sparkSession) + '/tables'}/{uuid.uuid4().hex}"
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Holds a session setting at value for what is executed within."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
