@@ -32,21 +32,27 @@ BLOCK = 512
 UNIT = 1 << 40
 
 
-def _class(ranges: str) -> str:
-    """A class of the ranges (two characters each) and their twins."""
+def _class(ranges: str, twins: bool) -> str:
+    """A class of the ranges (two characters each), with their twins if wanted."""
     ends = [(ranges[i], ranges[i + 1]) for i in range(0, len(ranges), 2)]
     quoted = lambda c: f"\\{c}" if not c.isalnum() and ord(c) < TWIN else c
-    return "[" + "".join(f"{quoted(chr(ord(a) + t))}-{quoted(chr(ord(b) + t))}" for t in (0, TWIN) for a, b in ends) + "]"
+    return "[" + "".join(f"{quoted(chr(ord(a) + t))}-{quoted(chr(ord(b) + t))}" for t in (0, TWIN)[: 1 + twins] for a, b in ends) + "]"
 
 
-#: Patterns of the contract. The longest runs of its classes; the least lengths of access and hex are part of the pattern.
+def _access(twins: bool) -> str:
+    return ("".join(_class(c + c, True) for c in "AKIA") if twins else "AKIA") + _class("AZ09", twins) + "{16,}"
+
+
+def _hex(twins: bool) -> str:
+    return _class("09af", twins) + "{24,}"
+
+
+#: Patterns of the contract; the least lengths of access and hex are part of theirs.
 ASSIGN, LEAST_ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6
-ACCESS = "".join(_class(c + c) for c in "AKIA") + _class("AZ09") + "{16,}"
-HEX = _class("09af") + "{24,}"
 #: Characters, pattern of candidate runs and the entropy in bits that a window must reach.
 CLASSES = [
-    ("0123456789abcdefABCDEF", _class("09AFaf") + "{20,}", 3.0),
-    ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=", _class("AZaz09++//__--") + "{20,}" + _class("==") + "{0,2}", 3.9),
+    ("0123456789abcdefABCDEF", lambda twins: _class("09AFaf", twins) + "{20,}", 3.0),
+    ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=", lambda twins: _class("AZaz09++//__--", twins) + "{20,}" + _class("==", twins) + "{0,2}", 3.9),
 ]
 #: Candidates that are never secrets: numbers, words and paths of words, and marked examples.
 ALLOWED, MARKED = r"^(?:[0-9]++|[a-z][a-z/_+-]*+)$", ("example", "sample", "dummy", "placeholder", "xxxx")
@@ -125,13 +131,15 @@ def _marked(wanted: Column, kind: int) -> tuple[Column, Column]:
     return text, F.transform(kept, lambda x: F.struct(x["at"]["s"].alias("s"), F.lit(kind).alias("k"), x["at"]["e"].alias("e")))
 
 
-def _pass(df: DataFrame, pattern: str, kind: int, into: str, wanted) -> DataFrame:
-    """df (columns t and others) with the spans of pattern's wanted matches added to array column into and marked in t.
+def _pass(df: DataFrame, make, kind: int, into: str, wanted) -> DataFrame:
+    """df (columns t and others) with the spans of a pattern's wanted matches added to array column into and marked in t.
 
-    wanted makes a boolean of each match from t and m. Texts without a match skip every step.
+    make gives the pattern with or without twins; a text without spans has none, and the plain classes are quicker. wanted
+    makes a boolean of each match from t and m. Texts without a match skip every step.
     """
     rest = [c for c in df.columns if c not in ("t", into)]
-    hit = F.col("t").rlike(pattern)
+    plain, pattern = make(False), make(True)
+    hit = F.when((F.size("base") == 0) & (F.size("added") == 0), F.col("t").rlike(plain)).otherwise(F.col("t").rlike(pattern))
     none = F.expr("cast(null as array<string>)")
     x = df.select(*rest, "t", into, F.when(hit, F.regexp_extract_all("t", F.lit(pattern), F.lit(0))).otherwise(none).alias("m"))
     x = x.select(*rest, "t", into, "m", F.when(F.col("m").isNotNull(), wanted(F.col("t"), F.col("m"))).alias("y"))
@@ -161,9 +169,9 @@ def _found(docs: DataFrame, key: str, text: str) -> DataFrame:
     df = docs.select(F.col(key), F.when(t.rlike(own), F.regexp_replace(t, own, "\n")).otherwise(t).alias("t"), _none().alias("base"), _none().alias("added"))
     every = lambda t, m: F.transform(m, lambda x: F.lit(True))
     long = lambda t, m: F.transform(F.regexp_extract_all(t, F.lit(ASSIGN), F.lit(2)), lambda x: F.length(x) >= LEAST_ASSIGN)
-    df = _pass(_pass(_pass(df, ASSIGN, 0, "base", long), ACCESS, 1, "base", every), HEX, 2, "base", every)
-    for characters, pattern, threshold in CLASSES:
-        df = _pass(df, pattern, 3, "added", _secret(characters, threshold))
+    df = _pass(_pass(_pass(df, lambda twins: ASSIGN, 0, "base", long), _access, 1, "base", every), _hex, 2, "base", every)
+    for characters, make, threshold in CLASSES:
+        df = _pass(df, make, 3, "added", _secret(characters, threshold))
     return df
 
 
