@@ -27,8 +27,10 @@ from gleaner.llm.common import column, cut, in_arrow, kept, shielded, utf8, writ
 BANDS, ROWS = 56, 7
 #: Signature values compared, the size of a batch, and the chance at which a true pair may be given up.
 COMPARED, BATCH, MISS = 128, 16, 1e-6
-#: Members of a bucket, and of a family, that are compared with one another in one place.
-BLOCK, SIDE = 4096, 1024
+#: Rows, and columns, that are compared in one place: of a bucket, and of a family.
+BLOCK, SIDE = 256, 256
+#: Rows of a table of buckets or families (fifty bytes each) that is broadcast, so that a hot one needs no shuffle.
+BROADCAST = 200_000
 
 _SCHEMA = "d long, n long, f1 long, f2 long, sig binary, bands array<long>"
 
@@ -214,12 +216,18 @@ def _best_center(members: DataFrame, labels: DataFrame) -> DataFrame:
     return _pairs(stars.groupBy("node").agg(F.max_by("center", F.struct("count", -F.col("center"))).alias("center")), "node", "center")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A written table that is broadcast up to BROADCAST rows; beyond that adaptive execution splits the join's hot keys."""
+    return F.broadcast(df) if df.count() <= BROADCAST else df
+
+
 def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members of buckets that hold several components, and the bucket's largest component main."""
+    """The members of buckets that hold several components, with the bucket's largest component main, a hashed member one
+    of it, and the number of its members (most) and of all."""
     placed = written(members.join(labels, "node").select("key", "node", "label"))
     sizes = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.min_by("node", F.xxhash64("node", "key")).alias("one"))
-    main = sizes.groupBy("key").agg(F.max_by(F.struct("label", "one"), F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    return placed.join(written(main.select("key", F.col("main.label").alias("main"), F.col("main.one").alias("one"))), "key")
+    main = sizes.groupBy("key").agg(F.max_by(F.struct("label", "one", "n"), F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return placed.join(_small(written(main.select("key", F.col("main.label").alias("main"), F.col("main.one").alias("one"), F.col("main.n").alias("most"), "all"))), "key")
 
 
 def _representatives(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -271,44 +279,74 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
+def _blocks(members: DataFrame, group: str, width: int) -> DataFrame:
+    """members (group, node, label, main, most, all) dealt into places (rb, cb) that no group, however large, can fill.
+
+    Those outside the group's largest component are rows, of which a place holds about width; all are columns, likewise.
+    Every row meets every column in one place. A member is sent once for each block of the other kind.
+    """
+    mine = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.ceil(n / width)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.ceil(n / width).cast("int") - 1))
+    rest = F.col("all") - F.col("most")
+    columns = members.select(group, "node", "label", every(rest).alias("rb"), mine(F.col("all"), 1).alias("cb"), F.lit(0).alias("role"))
+    rows = members.where("label <> main").select(group, "node", "label", mine(rest, 2).alias("rb"), every(F.col("all")).alias("cb"), F.lit(1).alias("role"))
+    return columns.union(rows)
+
+
+def _near(table: pa.Table, s: int, e: int, percent: int, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the pairs of different components in rows s to e of table that neither the sizes of their sets nor
+    the batches of their signatures rule out."""
+    label, role, size = (table[c].to_numpy()[s:e] for c in ("label", "role", "n"))
+    sig = np.frombuffer(b"".join(table["sig"].slice(s, e - s).to_pylist()), np.uint16).reshape(-1, COMPARED)
+    rows, columns = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
+    n, m = size[rows][:, None], size[columns][None]
+    x, y = np.nonzero((label[rows][:, None] != label[columns][None]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+    x, y, matches = rows[x], columns[y], 0
+    for k, enough in enumerate(least):
+        at = slice(k * BATCH, (k + 1) * BATCH)
+        matches = matches + (sig[x, at] == sig[y, at]).sum(axis=1)
+        alive = matches >= enough
+        x, y, matches = x[alive], y[alive], matches[alive]
+    return x, y
+
+
 def _survivors(percent: int):
-    """Streams the members of bucket blocks: compares those outside the bucket's main component with the members of
-    other components by signature batches, and emits edges that connect the components of surviving pairs."""
+    """Streams the places of buckets and emits edges that connect the components of surviving pairs."""
     least = least_matches(percent)
 
-    def against(x, others, sig):
-        alive, matches = others, np.zeros(len(others), np.int64)
-        for k, m in enumerate(least):
-            at = slice(k * BATCH, (k + 1) * BATCH)
-            matches = matches + (sig[alive, at] == sig[x, at]).sum(axis=1)
-            near = matches >= m
-            alive, matches = alive[near], matches[near]
-            if not len(alive):
-                break
-        return alive
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, edges in _grouped(batches, ["key", "i", "j"]):
-            label, main, i, j, block = (table[c].to_numpy() for c in ("label", "main", "i", "j", "block"))
-            sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(-1, COMPARED)
-            out = []
+        for table, edges in _grouped(batches, ["key", "rb", "cb"]):
+            label, out = table["label"].to_numpy(), []
             for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                rows, sets = np.arange(s, e), _Sets()
-                for x in (s + np.flatnonzero(label[s:e] != main[s])).tolist():
-                    wanted = label[s:e] != label[x]
-                    if i[s] != j[s]:
-                        wanted &= block[s:e] != block[x]
-                    for y in set(label[against(x, rows[wanted], sig)].tolist()):
-                        sets.join(int(label[x]), y)
-                out += sets.edges()
+                x, y = _near(table, s, e, percent, least)
+                joined = _Sets()
+                for a, b in {*zip(label[s + x].tolist(), label[s + y].tolist())}:
+                    joined.join(a, b)
+                out += joined.edges()
             yield _edge_batch(out)
 
     return run
 
 
+def _open_members(percent: int):
+    """Streams the places of families and passes on the rows and columns of surviving pairs."""
+    least, names = least_matches(percent), ["family", "rb", "cb", "role", "node", "label"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in _grouped(batches, ["family", "rb", "cb"]):
+            keep = [s + v for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()) for v in (np.unique(v) for v in _near(table, s, e, percent, least))]
+            yield from table.select(names).take(pa.array(np.concatenate(keep))).combine_chunks().to_batches() or [_empty(table.select(names))]
+
+    return run
+
+
+def _empty(table: pa.Table) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in table.schema], names=table.schema.names)
+
+
 def _exact(percent: int):
-    """Streams blocks of a family: rows (role 1) against columns (role 0) on their full sets, and emits edges that
-    connect the components of linked pairs."""
+    """Streams the places of families: rows (role 1) against columns (role 0) on their full sets, and emits edges that
+    connect the components of linked pairs. A row is not compared with components that it has met already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, edges in _grouped(batches, ["family", "rb", "cb"]):
@@ -324,14 +362,22 @@ def _exact(percent: int):
                 owner = np.repeat(np.arange(len(columns)), size[columns])
                 order = np.argsort(values, kind="stable")
                 values, owner = values[order], owner[order]
+                root = label[s + columns].copy()
                 for r in rows.tolist():
+                    mine = joined.root(int(label[s + r]))
+                    other = root != mine
+                    if not other.any():
+                        continue
                     lo, hi = np.searchsorted(values, sets[r], "left"), np.searchsorted(values, sets[r], "right")
                     n = hi - lo
                     at = np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())
                     both = np.bincount(owner[at], minlength=len(columns))
-                    near = (100 * both >= percent * (size[r] + size[columns] - both)) & (label[s + columns] != label[s + r])
-                    for y in set(label[s + columns[near]].tolist()):
-                        joined.join(int(label[s + r]), y)
+                    near = other & (100 * both >= percent * (size[r] + size[columns] - both))
+                    for y in set(root[near].tolist()):
+                        joined.join(mine, y)
+                        now = joined.root(mine)
+                        root[(root == mine) | (root == y)] = now
+                        mine = now
                 out += joined.edges()
             yield _edge_batch(out)
 
@@ -343,7 +389,7 @@ def _sets(size: int):
         for batch in batches:
             raw, off = utf8(column(batch, "t"))
             found = [x.tobytes() for i, j in cut(off) for x in distinct_sets(raw[off[i] : off[j]], off[i : j + 1] - off[i], size)]
-            yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in ("node", "label", "family", "main", "cbs", "rbs")), pa.array(found, pa.binary())], names=["node", "label", "family", "main", "cbs", "rbs", "s"])
+            yield pa.RecordBatch.from_arrays([column(batch, "node"), pa.array(found, pa.binary())], names=["node", "s"])
 
     return run
 
@@ -359,34 +405,24 @@ def _sorted_by(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def _families(members: DataFrame, labels: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(label, family): components that are connected by bucket neighbours whose signatures don't rule a link out.
-
-    The members of a bucket are dealt into blocks of about BLOCK by a hash, and each pair of blocks is compared in one
-    place, so that no task holds more than two blocks, and only connecting edges become rows.
-    """
-    rows = written(_open_buckets(members, labels))
-    n = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(n, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    placed = dealt.select("key", "node", "label", "main", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    placed = placed.join(reps.select("node", "sig"), "node").select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "label", "main", "block", "sig")
-    edges = in_arrow(_sorted_by(placed, "key", "i", "j"), _survivors(percent), "a long, b long")
+    """(label, family): components that are connected by bucket neighbours whose signatures don't rule a link out."""
+    dealt = _blocks(written(_open_buckets(members, labels)), "key", BLOCK).join(reps.select("node", "n", "sig"), "node")
+    edges = in_arrow(_sorted_by(dealt, "key", "rb", "cb"), _survivors(percent), "a long, b long")
     return components(edges).select(F.col("node").alias("label"), F.col("label").alias("family"))
 
 
-def _family_links(families: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _family_links(families: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Edges (a, b) between the components of a family that a link joins: every node outside the family's largest
-    component is held against all nodes of the family on their full sets, in blocks of rows and columns."""
+    component is held against all nodes of the family, first by sizes and signatures, then on full sets. Sets are made
+    and sent of those nodes only, and to those places only, that the first look leaves over."""
     inside = written(labels.join(families, "label"))
     parts = inside.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
     whole = parts.groupBy("family").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
-    blocks = whole.select("family", "main", F.ceil(F.col("all") / SIDE).cast("int").alias("cbs"), F.ceil((F.col("all") - F.col("most")) / SIDE).cast("int").alias("rbs"))
-    nodes = inside.join(written(blocks), "family").join(texts.select(F.col("d").alias("node"), "t"), "node").select("node", "label", "family", "main", "cbs", "rbs", "t")
-    sets = written(in_arrow(nodes, _sets(size), "node long, label long, family long, main long, cbs int, rbs int, s binary"))
-    mine = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = sets.select("family", every("rbs").alias("rb"), mine("cbs", 1).alias("cb"), F.lit(0).alias("role"), "label", "s")
-    rows = sets.where("label <> main").select("family", mine("rbs", 2).alias("rb"), every("cbs").alias("cb"), F.lit(1).alias("role"), "label", "s")
-    return in_arrow(_sorted_by(columns.union(rows), "family", "rb", "cb"), _exact(percent), "a long, b long")
+    dealt = _blocks(written(inside.join(_small(written(whole)), "family")), "family", SIDE).join(reps.select("node", "n", "sig"), "node")
+    left = written(in_arrow(_sorted_by(dealt, "family", "rb", "cb"), _open_members(percent), "family long, rb int, cb int, role int, node long, label long"))
+    wanted = left.select("node").distinct().join(texts.select(F.col("d").alias("node"), "t"), "node")
+    sets = written(in_arrow(wanted, _sets(size), "node long, s binary"))
+    return in_arrow(_sorted_by(left.join(sets, "node"), "family", "rb", "cb"), _exact(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -397,7 +433,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     texts = docs.select(F.col(key).cast("long").alias("d"), F.col(text).alias("t"))
     marked = written(in_arrow(texts, _signatures(size), _SCHEMA))
     graph = marked.where("n > 0 and d is not null")
-    reps = written(graph.groupBy("f1", "f2").agg(F.min("d").alias("node"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
+    reps = written(graph.groupBy("f1", "f2").agg(F.min("d").alias("node"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
     classes = reps.select("f1", "f2", "node")
     nodes = written(graph.select("d", "f1", "f2").join(classes, ["f1", "f2"]).select("d", "f1", "f2", "node"))
 
@@ -414,7 +450,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         labels = _joined(labels, _verified(_pruned(pairs, reps, percent), texts, size, percent))
         tried = pairs if tried is None else tried.union(pairs)
     families = written(_families(members, labels, reps, percent))
-    labels = _joined(labels, written(_family_links(families, labels, texts, size, percent)))
+    labels = _joined(labels, written(_family_links(families, labels, reps, texts, size, percent)))
 
     final = nodes.join(labels, "node", "left").select("d", "f1", "f2", F.coalesce("label", "node").alias("c")).distinct()
     out = marked.select("d", "n", "f1", "f2").join(final, ["d", "f1", "f2"], "left")
