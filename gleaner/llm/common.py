@@ -9,15 +9,20 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from gleaner.session import shared_folder, ship, written  # noqa: F401  shared with the rest of the library
+from gleaner.session import setting, shared_folder, ship, written  # noqa: F401  shared with the rest of the library
 
 #: Word separators of the contracts: space and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]"
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bounds the rows of an Arrow batch, so that a batch of long texts fits a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+BATCH_SETTING, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "512"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the rows of an Arrow batch, so that a batch of long texts fits a Python worker. Spark reads this setting when a
+    result is executed, so it stays; a value that the caller has set is left alone."""
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
 
 
 def in_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:

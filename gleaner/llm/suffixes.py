@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.llm import spans
-from gleaner.llm.common import column, cut, in_arrow, utf8, written
+from gleaner.llm.common import BATCH_SETTING, column, cut, in_arrow, setting, utf8, written
 
 #: Bytes of a string that may not occur twice, and of a leader.
 SIZE, LEAD = 100, 32
@@ -201,8 +201,8 @@ def _sorted_neighbours(tuples: DataFrame, again: bool) -> DataFrame:
     n = int(tuples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["lead"] if again else ["lead", "same"]  # strings need not meet by leader, which spreads a frequent one
     ordered = tuples.repartition(n, *keys).sortWithinPartitions("lead", "same", "d", "spot")
-    tuples.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
-    return written(ordered.mapInArrow(_neighbours(again), "d long, lo int, more int, lead long, check boolean"))
+    with setting(tuples.sparkSession, BATCH_SETTING, "65536"):  # tuples are small
+        return written(ordered.mapInArrow(_neighbours(again), "d long, lo int, more int, lead long, check boolean"))
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
