@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleaner.llm import decontaminate, langid, linededup, neardup, pieces
-from gleaner.llm.common import shared_folder
-from gleaner.session import table
+from gleaner.llm.common import shielded
+from gleaner.session import delete, scratch, shared_folder, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,9 +18,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later occurrences of repeated three-line windows; documents that lose every line with a word go."""
-    out = linededup.line_dedup(docs)
+    inner, of, back = shielded(docs)
+    out = linededup.line_dedup(inner, key=of("doc_id"), text=of("text"))
     left = F.coalesce(F.size(linededup.GONE), F.lit(0)) < F.col(linededup.LINES)
-    return out.where(left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return back(out.where(left).withColumn(of("n_chars"), F.length(of("text")).cast("long")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +47,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STAGES over documents, each stage's result written to the shared folder and read by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """STAGES over documents, each stage's result written to the shared folder and read by the next. The tables of a stage go
+    once its result is written, and its result once the next stage's is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         at = f"{shared_folder(spark)}/pipeline/{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(at)
-        docs = spark.read.parquet(at)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(at)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(at), at
     return docs
