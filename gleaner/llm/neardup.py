@@ -28,7 +28,7 @@ BANDS, ROWS = 56, 7
 #: Signature values compared, the size of a batch, and the chance at which a true pair may be given up.
 COMPARED, BATCH, MISS = 128, 16, 1e-6
 #: Rows, and columns, that are compared in one place: of a bucket, and of a family.
-BLOCK, SIDE = 256, 256
+BLOCK, SIDE = 256, 128
 #: Rows of a table of buckets or families (fifty bytes each) that is broadcast, so that a hot one needs no shuffle.
 BROADCAST = 200_000
 
