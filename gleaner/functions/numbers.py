@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DoubleType
 
 
-def half_even(digits: int):
-    """Rounding of doubles on their exact binary value, ties to even; built-in round() works on the decimal text."""
+def half_even(digits: int) -> Callable[[Column], Column]:
+    """Rounding of doubles on their exact binary value, ties to even; built-in round() works on the decimal text.
+
+    The product with the power of ten is taken with its rounding error (both factors split in halves of 26 bits), so that
+    a value just beside a tie is seen to be beside it.
+    """
+    scale, splitter = 10.0**digits, 134217729.0
+
+    def parts(v: Column) -> tuple[Column, Column]:
+        high = v * splitter - (v * splitter - v)
+        return high, v - high
 
-    @F.pandas_udf(DoubleType())
-    def rounded(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: round(v, digits), na_action="ignore")
+    def rounded(x: Column) -> Column:
+        (a, b), (c, d), product = parts(x), parts(F.lit(scale)), x * scale
+        error = ((a * c - product) + a * d + b * c) + b * d
+        low = F.floor(product).cast("double")
+        beside = (product - low - 0.5) + error
+        even = F.when(F.pmod(low, F.lit(2.0)) == 0, low).otherwise(low + 1)
+        whole = F.when(beside > 0, low + 1).when(beside < 0, low).otherwise(even)
+        return F.when(F.abs(product) < 2.0**51, whole / scale).otherwise(x)
 
     return rounded
 

@@ -34,6 +34,12 @@ def nfkc(names: pd.Series) -> pd.Series:
     return names.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 
 
+@F.pandas_udf(StringType())
+def unmarked(names: pd.Series) -> pd.Series:
+    """Compatibility-decomposed names without combining marks; null stays null."""
+    return names.map(lambda x: "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)), na_action="ignore")
+
+
 def slug(name: Column) -> Column:
     """ascii_slug of the front face (before //) after Unicode folding."""
     return ascii_slug(nfkd_ascii(F.trim(F.split_part(name, F.lit("//"), F.lit(1)))))

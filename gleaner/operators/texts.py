@@ -43,17 +43,6 @@ def line_tree(lines: DataFrame, key: str, pos: str, line: str, levels: dict[str,
     return out.drop(*(f"_{n}" for n in levels))
 
 
-def evidence(claims: DataFrame, sources: DataFrame, key: str, quote: str, text: str, least: int = 8) -> DataFrame:
-    """claims with a reason why their quote does not count: too short, no source, not in it; null if it holds. White space
-    and case are folded, and a quote must stand on word boundaries."""
-    fold = lambda c: F.trim(F.regexp_replace(F.lower(c), r"\s+", " "))
-    x = claims.join(sources.select(key, fold(F.col(text)).alias("_t")), key, "left")
-    q = fold(F.col(quote))
-    at = F.instr(F.concat(F.lit(" "), F.col("_t"), F.lit(" ")), F.concat(F.lit(" "), q, F.lit(" "))) > 0
-    reason = F.when(F.length(q) < least, "too short").when(F.col("_t").isNull(), "no source").when(~at, "not in the source")
-    return x.withColumn("reason", reason).drop("_t")
-
-
 def retrieved(facts: DataFrame, text: str, kind: str, terms: list[str], bonus: dict[str, int], k: int, order: list[Column]) -> DataFrame:
     """The k best facts of each kind: three points a stem that occurs plus the kind's bonus; facts without a hit are out."""
     stems = tx.stems(F.col(text), [])
@@ -83,14 +72,30 @@ def spotted(texts: DataFrame, names: DataFrame, key: str, text: str, name: str,
     return spans.select(key, F.explode(chosen).alias("x")).select(key, F.col("x.at").alias("at"), F.col(f"x.{name}").alias(name))
 
 
-def longest_prefix(rows: DataFrame, names: DataFrame, text: str, name: str, lengths: int = 32) -> DataFrame:
-    """The longest name that each text starts with (null if none): equal on every head of the text, not by comparing all."""
-    heads = rows.select(F.col(text).alias("_t")).distinct().select("_t", F.explode(F.sequence(F.lit(1), F.least(F.length("_t"), F.lit(lengths)))).alias("_n")).select("_t", F.left("_t", F.col("_n")).alias(name))
-    best = heads.join(names.select(name).distinct(), name).groupBy("_t").agg(F.max_by(name, F.length(name)).alias(name))
+def longest_prefix(rows: DataFrame, names: DataFrame, text: str, name: str) -> DataFrame:
+    """The longest name that each text starts with (null if none): equal on the heads of the text that are as long as a
+    name, not by comparing all."""
+    known = names.select(name).where(F.length(name) > 0).distinct()
+    lengths = known.agg(F.array_sort(F.collect_set(F.length(name)))).scalar()
+    heads = rows.select(F.col(text).alias("_t")).distinct().select("_t", F.explode(lengths).alias("_n")).where("_n <= length(_t)").select("_t", F.left("_t", F.col("_n")).alias(name))
+    best = heads.join(known, name).groupBy("_t").agg(F.max_by(name, F.length(name)).alias(name))
     return rows.join(best, rows[text] == best["_t"], "left").drop("_t")
 
 
 def key_values(json: Column, key: str) -> Column:
-    """The string and number values of a key at any depth of a JSON text, in order, without repeats."""
-    found = F.regexp_extract_all(json, F.lit(rf'"{key}"\s*:\s*("(?:[^"\\]|\\.)*"|-?[0-9.eE+-]+)'), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda x: F.trim(x, F.lit('"'))))
+    """The string and number values of a key at any depth of a JSON text, in order, without repeats.
+
+    One pattern cuts the text into strings with their escapes, numbers, words and signs; a value is what follows the key's
+    string and a colon. Null for a null text.
+    """
+    tokens = F.regexp_extract_all(json, F.lit(r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.eE+-]*+|[a-z]++|[{}\[\],:]'), F.lit(0))
+    plain = F.transform(tokens, lambda t: F.when(t.startswith('"'), F.get(F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>"), 0)))
+
+    def values(x: Column) -> Column:
+        at = lambda i: F.get(x["t"], i)
+        told = lambda i: (at(i) == ":") & (F.get(x["s"], i - 1) == key)
+        found = F.transform(x["t"], lambda t, i: F.when((i >= 2) & told(i - 1), F.when(t.startswith('"'), F.get(x["s"], i)).when(t.rlike("^[-0-9]"), t)))
+        return F.array_distinct(F.filter(found, lambda v: v.isNotNull()))
+
+    both = F.struct(tokens.alias("t"), plain.alias("s"))
+    return F.when(json.isNotNull(), F.transform(F.array(both), values)[0])

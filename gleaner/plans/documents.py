@@ -50,7 +50,7 @@ def embedded_json(spark: SparkSession, d: str) -> DataFrame:
     """SELECT DISTINCT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href FROM pages""",
 )
 def page_links(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct links of a page."""
+    """Distinct links of a page."""
     return table(spark, d, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1)))).alias("href"))
 
 
@@ -65,7 +65,7 @@ def canonical_pages(spark: SparkSession, d: str) -> DataFrame:
 
 @query("page_paragraphs")
 def page_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    """Paragraphs with sections and scenes by a real tokenizer."""
+    """Paragraphs with sections and scenes by a real tokenizer."""
     return html.paragraphs(table(spark, d, "pages"), "page_id", "html", least=20)
 
 
@@ -100,23 +100,6 @@ def carried_headings(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "chapter", "section")
 
 
-@query(
-    "evidence_reasons",
-    """
-WITH f AS (SELECT doc_id, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS t FROM documents), c AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN split_part(text, ' ', 2) || ' ' || split_part(text, ' ', 3) || ' ' || split_part(text, ' ', 4) WHEN 1 THEN 'of' WHEN 2 THEN 'never said anywhere' ELSE substr(text, 3, 12) END AS quote FROM documents),
-q AS (SELECT doc_id, quote, trim(regexp_replace(lower(quote), '\\s+', ' ', 'g')) AS q FROM c)
-SELECT doc_id, CASE WHEN length(q) < 8 THEN 'too short' WHEN NOT contains(' ' || t || ' ', ' ' || q || ' ') THEN 'not in the source' END AS reason FROM q JOIN f USING (doc_id)
-""",
-)
-def evidence_reasons(spark: SparkSession, d: str) -> DataFrame:
-    """Why a quote does not count; null if it holds."""
-    docs = table(spark, d, "documents")
-    word = lambda n: F.split_part("text", F.lit(" "), F.lit(n))
-    k = F.col("doc_id") % 4
-    quote = F.when(k == 0, F.concat_ws(" ", word(2), word(3), word(4))).when(k == 1, "of").when(k == 2, "never said anywhere").otherwise(F.substring("text", 3, 12))
-    return texts.evidence(docs.select("doc_id", quote.alias("quote")), docs.select("doc_id", "text"), "doc_id", "quote", "text").select("doc_id", "reason")
-
-
 @query(
     "retrieved_facts",
     """
@@ -246,7 +229,7 @@ def document_bodies(spark: SparkSession, d: str) -> DataFrame:
 
 @query("published_manifest", f"""WITH {DECKS} SELECT player AS key, 'new' AS status FROM decks WHERE regexp_matches(replace(player, '#', '-'), '^[A-Za-z0-9_-]+$') GROUP BY 1""".replace("SELECT player AS key", "SELECT replace(player, '#', '-') AS key"))
 def published_manifest(spark: SparkSession, d: str) -> DataFrame:
-    """Documents first, then their manifest, the pointer last."""
+    """Documents first, then their manifest, the pointer last."""
     import uuid
 
     from gleaner.session import shared_folder

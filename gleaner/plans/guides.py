@@ -120,7 +120,7 @@ def color_identity(spark: SparkSession, d: str) -> DataFrame:
 
 @query("constrained_fill")
 def constrained_fill(spark: SparkSession, d: str) -> DataFrame:
-    """A greedy fill by roles, with limits on flagged cards and forbidden combinations."""
+    """A greedy fill by roles, with limits on flagged cards and forbidden combinations."""
     pool = guides.pool(_page_cards(spark, d), "archetype", "slug", 60).join(catalog(spark, d), "slug")
     x = pool.select("archetype", "slug", F.col("kind").alias("role"), "best", F.when(F.col("color") == 0, "restricted").alias("flag"))
     combos = {"a": {"red-ring", "red-rod"}, "b": {"hot-plate", "old-plate"}}
@@ -175,7 +175,7 @@ WITH {DECKS} SELECT player AS entity, count(*) AS mentions, count(DISTINCT CAST(
 """,
 )
 def entity_stats(spark: SparkSession, d: str) -> DataFrame:
-    """Pages, first and last sight and the weighted score of each entity."""
+    """Pages, first and last sight and the weighted score of each entity."""
     weight = F.when(F.col("published"), 2).otherwise(1) + (F.col("place") == 1).cast("int")
     return decks(spark, d).groupBy(F.col("player").alias("entity")).agg(
         F.count(F.lit(1)).alias("mentions"), F.count_distinct(F.to_date("ts")).alias("pages"), F.to_date(F.min("ts")).alias("first_seen"), F.to_date(F.max("ts")).alias("last_seen"), F.sum(weight).alias("weight")
@@ -246,7 +246,7 @@ SELECT archetype, days, n FROM (SELECT *, row_number() OVER (PARTITION BY archet
 """,
 )
 def archetype_tiles(spark: SparkSession, d: str) -> DataFrame:
-    """The longest window's tile, a shorter one only if it has what the longer lacks."""
+    """The longest window's tile, a shorter one only if it has what the longer lacks."""
     tiles = windows.trailing(decks(spark, d), "ts", NOW).groupBy("archetype", F.col("window").alias("days")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("place") == 1).alias("keys"))
     return priority.first_per_key(tiles, ["archetype"], [(F.col("keys") == 0).cast("int"), -F.col("days")]).drop("keys")
 
@@ -272,7 +272,7 @@ WITH {DECKS} SELECT deck_id, coalesce(CASE WHEN published THEN archetype END, CA
 """,
 )
 def naming_cascade(spark: SparkSession, d: str) -> DataFrame:
-    """A name from the source, else the nearest, else the colours."""
+    """A name from the source, else the nearest, else the colours."""
     a, b, c = F.when(F.col("published"), F.col("archetype")), F.when(F.col("place") <= 2, F.col("kind")), F.when(F.col("prestige") == 1, F.lit("Colorless"))
     via = F.when(a.isNotNull(), "source").when(b.isNotNull(), "nearest").otherwise("colors")
     return decks(spark, d).select("deck_id", F.coalesce(a, b, c, F.lit("Other")).alias("name"), via.alias("via"))
@@ -324,7 +324,7 @@ SELECT p_partkey, CASE WHEN o.uri IS NULL THEN 'missing' WHEN o.uri <> n.uri THE
 """,
 )
 def reusable_results(spark: SparkSession, d: str) -> DataFrame:
-    """Computed results reused while their source is the same."""
+    """Computed results reused while their source is the same."""
     part = table(spark, d, "part")
     old = part.where("p_partkey % 4 <> 0").select("p_partkey", F.col("p_brand").alias("was"), F.col("p_size").alias("v"))
     now = part.select("p_partkey", F.when(F.col("p_partkey") % 5 == 0, "new").otherwise(F.col("p_brand")).alias("uri")).join(old, "p_partkey", "left")
@@ -340,7 +340,7 @@ SELECT format, archetype, CASE WHEN k <= 2 THEN 1 ELSE 2 END AS tier FROM r WHER
 """,
 )
 def coverage_tiers(spark: SparkSession, d: str) -> DataFrame:
-    """The first of each format, then all with enough results."""
+    """The first of each format, then all with enough results."""
     ts, now = F.col("ts"), windows.at(NOW)
     c = decks(spark, d).where((ts >= now - F.expr("interval 90 days")) & (ts < now)).groupBy("format", "archetype").agg(F.count(F.lit(1)).alias("n"))
     r = c.withColumn("k", F.row_number().over(Window.partitionBy("format").orderBy(F.desc("n"), "archetype")))
@@ -385,7 +385,7 @@ SELECT slug, p.decks, e.price, p.slug IS NULL AS added FROM p FULL JOIN e USING
 """,
 )
 def enriched_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Pages with an entry of another source, and pages of entries alone."""
+    """Pages with an entry of another source, and pages of entries alone."""
     p = lines(spark, d).join(decks(spark, d).where("published").select("deck_id"), "deck_id").groupBy("slug").agg(F.count_distinct("deck_id").alias("decks")).withColumn("own", F.lit(True))
     e = catalog(spark, d).where("color <> 1").select("slug", "price")
     return p.join(e, "slug", "full").select("slug", "decks", "price", F.col("own").isNull().alias("added"))
@@ -399,7 +399,7 @@ SELECT user_id, max(n) AS longest FROM (SELECT user_id, k, count(*) FILTER (fail
 """,
 )
 def failure_streaks(spark: SparkSession, d: str) -> DataFrame:
-    """The longest run of days with a failure."""
+    """The longest run of days with a failure."""
     days = table(spark, d, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.bool_or(F.col("event_type") == "error").alias("failed"))
     w = Window.partitionBy("user_id").orderBy("day")
     runs = days.withColumn("k", F.sum((~F.col("failed")).cast("int")).over(w)).groupBy("user_id", "k").agg(F.count_if("failed").alias("n"))
@@ -411,7 +411,7 @@ def failure_streaks(spark: SparkSession, d: str) -> DataFrame:
     """SELECT p_partkey AS id, p_name AS name, p_size AS size FROM part WHERE p_type = 'PROMO'""",
 )
 def json_lines_read(spark: SparkSession, d: str) -> DataFrame:
-    """JSON lines written and read back, filtered on the raw line before parsing."""
+    """JSON lines written and read back, filtered on the raw line before parsing."""
     import uuid
 
     at = f"{shared_folder(spark)}/lines/{uuid.uuid4().hex}"
@@ -436,7 +436,7 @@ def sitemap_entries(spark: SparkSession, d: str) -> DataFrame:
     """SELECT p_name AS name, p_type AS "set", min(p_partkey) AS first, count(*) AS printings FROM part WHERE p_size > 1 AND p_retailprice > 0 AND NOT regexp_matches(p_name, 'arena|mtgo|sample') GROUP BY 1, 2""",
 )
 def first_printed_sets(spark: SparkSession, d: str) -> DataFrame:
-    """Eligible printings of each name and set, the first of each."""
+    """Eligible printings of each name and set, the first of each."""
     p = table(spark, d, "part").where((F.col("p_size") > 1) & (F.col("p_retailprice") > 0) & ~F.col("p_name").rlike("arena|mtgo|sample"))
     return p.groupBy(F.col("p_name").alias("name"), F.col("p_type").alias("set")).agg(F.min("p_partkey").alias("first"), F.count(F.lit(1)).alias("printings"))
 
@@ -446,7 +446,7 @@ def first_printed_sets(spark: SparkSession, d: str) -> DataFrame:
     """SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1998-07-01' - INTERVAL 7 DAY AND o_orderdate <= TIMESTAMP '1998-07-01' + INTERVAL 372 DAY AND contains(o_orderpriority, 'URGENT')""",
 )
 def upcoming_events(spark: SparkSession, d: str) -> DataFrame:
-    """Events within a horizon, tagged by name."""
+    """F16: events within a horizon, of one kind."""
     ts, now = F.col("o_orderdate"), F.lit(NOW).cast("timestamp")
     return table(spark, d, "orders").where((ts >= now - F.expr("interval 7 days")) & (ts <= now + F.expr("interval 372 days")) & F.contains("o_orderpriority", F.lit("URGENT"))).select("o_orderkey", "o_orderdate")
 
@@ -471,7 +471,7 @@ SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_name || ' // ' || p_type ELSE
 """,
 )
 def display_names(spark: SparkSession, d: str) -> DataFrame:
-    """Names as shown, without cross references, links and dates, and as a URL fragment."""
+    """Names as shown, without cross references, links and dates, and as a URL fragment."""
     name = F.col("p_name")
     clean = F.regexp_replace(F.regexp_replace(F.concat(name, F.lit(" (see rule 100.1a) [x](http://y).")), r" ?\(see rule [0-9.]+[a-z]?\)", ""), r"\[([^\]]+)\]\([^)]*\)", "$1")
     undated = F.trim(F.regexp_replace(F.replace(F.concat("p_brand", F.lit(" 2024-01-05")), F.lit("2024-01-05"), F.lit(" ")), r"\s{2,}", " "))
@@ -487,7 +487,7 @@ SELECT doc_id, CASE WHEN regexp_matches(t, 'search|draw') THEN 'advantage' WHEN
 """,
 )
 def role_classes(spark: SparkSession, d: str) -> DataFrame:
-    """The first rule that a text meets."""
+    """The first rule that a text meets; X16 is card_roles."""
     from gleaner.functions.classify import first_match
 
     rules = [("search|draw", "advantage"), (r"destroy|exile|\bthe\b", "removal"), ("token", "tokens"), (r"\bde\b|\bder\b", "ramp")]
@@ -501,7 +501,7 @@ WITH n AS (SELECT DISTINCT p_name AS name FROM part), w AS (SELECT DISTINCT unne
 """,
 )
 def alias_shortenings(spark: SparkSession, d: str) -> DataFrame:
-    """Names that an alias shortens: a proper subset of their words, no variant words."""
+    """Names that an alias shortens: a proper subset of their words, no variant words."""
     n = table(spark, d, "part").select(F.col("p_name").alias("name")).distinct().where(F.size(F.split("name", " ")) > 1)
     return n.select("name", F.explode(F.array_distinct(F.split("name", " "))).alias("alias")).where("alias not in ('old', 'hot')").select("alias", "name")
 

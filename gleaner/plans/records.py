@@ -89,7 +89,7 @@ SELECT * FROM (SELECT deck_id, concat_ws(',', CASE WHEN main < 60 THEN 'few card
 """,
 )
 def deck_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Problems of published lists, all at once."""
+    """Problems of published lists, all at once."""
     x = lines(spark, d).join(catalog(spark, d).select("slug", "kind"), "slug", "left").join(decks(spark, d).where("published").select("deck_id"), "deck_id")
     q = x.groupBy("deck_id").agg(
         F.coalesce(F.sum(F.when(F.col("board") == "main", F.col("qty"))), F.lit(0)).alias("main"), F.max("qty").alias("most"), F.count_if(F.col("kind").isNull()).alias("unknown"), F.count_if(F.col("kind") == "PROMO").alias("promo")

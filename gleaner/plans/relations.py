@@ -210,7 +210,7 @@ SELECT kind, archetype, n FROM r WHERE k = 1 AND n >= 50 AND (nxt IS NULL OR n >
 """,
 )
 def confident_matches(spark: SparkSession, d: str) -> DataFrame:
-    """The best candidate, only if it is well ahead of the next."""
+    """The best candidate, only if it is well ahead of the next."""
     x = decks(spark, d).groupBy("kind", "archetype").agg(F.count(F.lit(1)).alias("n"))
     return matching.confident(x, "kind", "n", "archetype", 50, 1.1)
 
@@ -403,7 +403,7 @@ def clusters(spark: SparkSession, d: str, v: DataFrame) -> DataFrame:
 
 @query("leader_clusters")
 def leader_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """Leader clustering of each format's archetypes."""
+    """Leader clustering of each format's archetypes."""
     return clusters(spark, d, _vectors(spark, d))
 
 
@@ -449,7 +449,7 @@ def components_by_link(spark: SparkSession, d: str) -> DataFrame:
 
 @query("unions_with_apart")
 def unions_with_apart(spark: SparkSession, d: str) -> DataFrame:
-    """Names joined in order, but never across a pair kept apart."""
+    """Names joined in order, but never across a pair kept apart."""
     parts = table(spark, d, "part")
     edges = parts.select("p_brand", F.col("p_partkey").alias("ord"), F.col("p_name").alias("a"), F.col("p_type").alias("b"))
     apart = parts.select("p_brand", F.lit("SMALL").alias("a"), F.lit("LARGE").alias("b")).distinct()

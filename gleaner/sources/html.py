@@ -80,3 +80,57 @@ def paragraphs(pages: DataFrame, key: str, html: str, least: int = 1, links: flo
 
     fields = T.StructType([pages.schema[key], *T.StructType.fromDDL("pos int, kind string, text string, section string, scene int").fields])
     return pages.select(key, html).mapInPandas(run, fields)
+
+
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+
+
+class _Elements(HTMLParser):
+    """Rows [pos, tag, attributes, positions and tags of the elements around it, text] of the wanted elements."""
+
+    def __init__(self, wanted: frozenset[str], bare: frozenset[str]):
+        super().__init__(convert_charrefs=True)
+        self.wanted, self.bare, self.rows, self.open, self.n = wanted, bare, [], [], 0
+
+    def handle_starttag(self, tag, attrs):
+        around = self.open
+        self.n += 1
+        row = None
+        if tag in self.wanted or tag in self.bare:
+            row = [self.n, tag, {k: v or "" for k, v in attrs}, [x[0] for x in around], [x[1] for x in around], []]
+            self.rows.append(row)
+        if tag not in _VOID:
+            self.open = [*around, (self.n, tag, row[5] if tag in self.wanted else None)]
+
+    def handle_endtag(self, tag):
+        last = max((i for i, x in enumerate(self.open) if x[1] == tag), default=None)
+        if last is not None:
+            self.open = self.open[:last]
+
+    def handle_data(self, data):
+        if not any(x[1] in ("script", "style") for x in self.open):
+            for _, _, parts in self.open:
+                if parts is not None:
+                    parts.append(data)
+
+
+def elements(pages: DataFrame, key: str, html: str, tags: list[str], bare: list[str] = ()) -> DataFrame:
+    """A row per element of the tags: key, pos (its place in the page), tag, attrs, within (positions of the elements around
+    it, outermost first), kinds (their tags) and text (of all that is inside, white space collapsed; null for tags in bare).
+
+    What a page means is left to DataFrame operations on these rows. Null and empty pages have none.
+    """
+    wanted, no_text = frozenset(tags), frozenset(bare)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for k, h in zip(pdf[key], pdf[html]):
+                p = _Elements(wanted, no_text)
+                p.feed(h or "")
+                p.close()
+                rows += [(k, *r[:5], " ".join("".join(r[5]).split()) if r[1] in wanted else None) for r in p.rows]
+            yield pd.DataFrame(rows, columns=[key, "pos", "tag", "attrs", "within", "kinds", "text"])
+
+    fields = T.StructType([pages.schema[key], *T.StructType.fromDDL("pos int, tag string, attrs map<string,string>, within array<int>, kinds array<string>, text string").fields])
+    return pages.select(key, html).mapInPandas(run, fields)

@@ -36,8 +36,22 @@ def by_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def embedded(body: Column, marker: str, schema: str) -> Column:
-    """The JSON object that follows a script's marker up to a closing brace and semicolon, as a struct."""
-    return F.from_json(F.regexp_extract(body, rf"{marker}\s*(\{{.*?\}})\s*;", 1), schema)
+    """The JSON value that follows a script's marker (a pattern) as a struct, whatever comes after it.
+
+    The value ends where its brackets close; brackets, braces and semicolons inside strings don't count, nor do line ends.
+    Null if there is no marker or the value is cut short.
+    """
+    rest = F.regexp_extract(body, rf"(?s)(?:{marker})\s*([{{\[].*)", 1)
+    tokens = F.regexp_extract_all(rest, F.lit(r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\]]|[^"{}\[\]]++|"'), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(0).alias("end"))
+
+    def step(acc: Column, t: Column) -> Column:
+        depth = acc["depth"] + F.when(t.isin("{", "["), 1).when(t.isin("}", "]"), -1).otherwise(0)
+        n = acc["n"] + F.length(t)
+        return F.when(acc["end"] > 0, acc).otherwise(F.struct(depth.alias("depth"), n.alias("n"), F.when(depth == 0, n).otherwise(0).alias("end")))
+
+    end = F.aggregate(tokens, start, step)["end"]
+    return F.when(end > 0, F.from_json(F.left(rest, end), schema))
 
 
 def sitemap(xml: Column) -> Column:
@@ -50,3 +64,23 @@ def sitemap(xml: Column) -> Column:
 def canonical(url: Column) -> Column:
     """A URL without scheme, www or m subdomain, query, fragment and trailing slash, in lower case."""
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(url), r"[?#].*$", ""), r"^[a-z]+://(?:www\.|m\.)?", ""), r"/+$", "")
+
+
+def indirect(spark: SparkSession, manifest: str) -> str:
+    """The address that a manifest (one JSON object) gives: of the line file, else of the plain file. None is an error."""
+    found = spark.read.schema("jsonl_download_uri string, download_uri string").option("multiLine", True).json(manifest).first()
+    at = found and (found["jsonl_download_uri"] or found["download_uri"])
+    if not at:
+        raise ValueError(f"{manifest} gives no address")
+    return at
+
+
+def id_map(spark: SparkSession, path: str) -> DataFrame:
+    """(id, other) of a tab-separated file without a heading; lines with fewer fields are left out."""
+    return spark.read.schema("id string, other string").option("sep", "\t").csv(path).where("id is not null and other is not null")
+
+
+def folder(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(path, document) of the files of a folder, one JSON document each; files that do not decode are left out."""
+    text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    return text.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", schema).alias("document")).where(F.get_json_object("value", "$").isNotNull() & F.col("document").isNotNull())

@@ -1,7 +1,6 @@
 """Operators against plain Python on small worlds: boundaries, ties, nulls and empty inputs."""
 
 import datetime as dt
-import struct
 import uuid
 
 import numpy as np
@@ -178,14 +177,6 @@ def test_history_files_in_spark(spark, tmp_path):
     assert got.count() == 6 and {r["printing"] for r in got.collect()} == set(ids[:2])
 
 
-def test_image_headers():
-    assert images.header_size(b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + struct.pack(">II", 30, 20)) == (30, 20)
-    assert images.header_size(b"GIF89a" + struct.pack("<HH", 7, 9)) == (7, 9)
-    assert images.header_size(b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x0b\x08" + struct.pack(">HH", 5, 6) + b"\0" * 8) == (6, 5)
-    assert images.header_size(b"RIFF\0\0\0\0WEBPVP8X" + b"\0" * 8 + (9).to_bytes(3, "little") + (4).to_bytes(3, "little")) == (10, 5)
-    assert images.header_size(b"nope") is None and images.header_size(None) is None and images.header_size(b"\xff\xd8\xff") is None
-
-
 def test_json_sources(spark, tmp_path):
     from pyspark.sql.types import StructType
 
