@@ -5,7 +5,8 @@ between labels are learned. Marginals come from forward-backward over the whole
 language with the largest mean marginal, which is its score.
 
 A text that is null or has no letter is `und` with score 0, and so is every text if no language could be learned.
-Training reads a bounded sample; prediction reads text alone. Other columns pass through untouched, but for those named as an added one.
+Training reads a bounded sample, cut into short segments where the rows lie; prediction reads text alone. Other columns
+pass through untouched, but for those named as an added one.
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ from gleaner.llm.common import column, crc_bucket, in_arrow, kept, shielded
 UNKNOWN = "und"
 LABEL, SCORE, WORDS = "_gl_lang", "_gl_score", "_gl_word_labels"
 
-#: Bounds of the training sample: documents a language, languages, segments a document and words a segment.
-SAMPLE_DOCS, SAMPLE_LANGS, SEGMENTS, SEGMENT_WORDS = 400, 64, 6, 20
-#: Hashed feature weights, lexicon words a language, steps of the optimiser, words in a block, cached word types.
+#: Bounds of the training sample: documents a language and in all, languages, segments a document and words a segment.
+SAMPLE_DOCS, SAMPLE_ALL, SAMPLE_LANGS, SEGMENTS, SEGMENT_WORDS = 400, 6400, 200, 6, 20
+#: Hashed feature weights, lexicon words a language, steps of the optimiser, words in a block, cached word types (of 16 languages).
 BUCKETS, LEXICON, STEPS, BLOCK, CACHE = 1 << 17, 2000, 40, 32, 400_000
 #: Scores are held within this range, so that a block's product stays within a double's.
 CLIP = 8.0
@@ -73,13 +74,18 @@ class Model:
     lexicon_weights: np.ndarray | None = None
 
 
-def chains(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Blocks of BLOCK words: (first word, words, document) of each, for documents that follow one another."""
-    per = -(-lengths // BLOCK)
+def block_words(k: int) -> int:
+    """Words in a block for k labels: a block keeps k * k numbers, so that blocks of many labels are longer."""
+    return BLOCK * max(1, -(-k // 16)) ** 2
+
+
+def chains(lengths: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Blocks of words: (first word, words, document) of each, for documents that follow one another."""
+    per = -(-lengths // block)
     doc = np.repeat(np.arange(len(lengths)), per)
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(per) - per, per)
-    first = (np.cumsum(lengths) - lengths)[doc] + nth * BLOCK
-    return first, np.minimum(BLOCK, lengths[doc] - nth * BLOCK), doc
+    first = (np.cumsum(lengths) - lengths)[doc] + nth * block
+    return first, np.minimum(block, lengths[doc] - nth * block), doc
 
 
 def marginals(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,17 +95,19 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tup
     document, and each block is then filled in from both of its ends.
     """
     k, a = scores.shape[1], np.exp(np.clip(trans, -CLIP, CLIP))
-    first, size, doc = chains(lengths)
+    block = min(block_words(k), int(lengths.max(initial=1)))
+    first, size, doc = chains(lengths, block)
     n = len(first)
     p = np.exp(np.clip(scores - scores.max(axis=1, keepdims=True), -2 * CLIP, 0))
-    at = np.minimum(first[:, None] + np.arange(BLOCK), len(p) - 1)
-    live = np.arange(BLOCK) < size[:, None]
+    at = np.minimum(first[:, None] + np.arange(block), len(p) - 1)
+    live = np.arange(block) < size[:, None]
     q = p[at]
     transfer = np.broadcast_to(np.eye(k), (n, k, k)).copy()
-    for t in range(BLOCK):
+    for t in range(block):
         step = (transfer.reshape(-1, k) @ a).reshape(n, k, k) * q[:, t, None, :]
         transfer = np.where(live[:, t, None, None], step, transfer)
-    transfer /= transfer.max(axis=(1, 2), keepdims=True)
+        if t % BLOCK == BLOCK - 1 or t == block - 1:
+            transfer /= transfer.max(axis=(1, 2), keepdims=True)
     left, right = np.full((n, k), 1 / k), np.ones((n, k))
     opens = np.searchsorted(doc, np.arange(len(lengths)))
     count = np.bincount(doc, minlength=len(lengths))
@@ -110,15 +118,15 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tup
         d = opens[count > t] + count[count > t] - 1 - t
         v = np.einsum("nij,nj->ni", transfer[d + 1], right[d + 1])
         right[d] = v / v.sum(axis=1, keepdims=True)
-    alpha, beta, before = np.empty((n, BLOCK, k)), np.empty((n, BLOCK, k)), np.empty((n, BLOCK, k))
+    alpha, beta, before = np.empty((n, block, k)), np.empty((n, block, k)), np.empty((n, block, k))
     v = left
-    for t in range(BLOCK):
+    for t in range(block):
         before[:, t] = v
         nxt = (v @ a) * q[:, t]
         v = np.where(live[:, t, None], nxt / nxt.sum(axis=1, keepdims=True), v)
         alpha[:, t] = v
     v = right
-    for t in range(BLOCK - 1, -1, -1):
+    for t in range(block - 1, -1, -1):
         beta[:, t] = v
         nxt = (v * q[:, t]) @ a.T
         v = np.where(live[:, t, None], nxt / nxt.sum(axis=1, keepdims=True), v)
@@ -131,18 +139,21 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tup
     return post, a * ((before / norm[:, None]).T @ reach)
 
 
-def train(rows: list[tuple[str, str]]) -> Model | None:
-    """A model from (text, language) rows, already sampled. Segments of different documents follow one another in the
+def segments(text: str | None) -> list[str]:
+    """SEGMENTS runs of SEGMENT_WORDS words of a text, evenly spread and joined by blanks: what training sees of it."""
+    w = words_of(text)
+    spots = np.unique(np.linspace(0, max(0, len(w) - SEGMENT_WORDS), SEGMENTS).astype(int)) if w else []
+    return [" ".join(w[s : s + SEGMENT_WORDS]) for s in spots]
+
+
+def train(rows: list[tuple[list[str], str]]) -> Model | None:
+    """A model from (segments, language) rows, already sampled. Segments of different documents follow one another in the
     training chains, so that the transitions see changes of language."""
-    texts = [(words_of(t), lang) for t, lang in rows]
-    labels = sorted({lang for w, lang in texts if w})
+    labels = sorted({lang for found, lang in rows if found})
     if not labels:
         return None
     label = {x: i for i, x in enumerate(labels)}
-    parts = []
-    for w, lang in texts:
-        spots = np.unique(np.linspace(0, max(0, len(w) - SEGMENT_WORDS), SEGMENTS).astype(int)) if w else []
-        parts += [(w[s : s + SEGMENT_WORDS], label[lang]) for s in spots]
+    parts = [(s.split(" "), label[lang]) for found, lang in rows for s in found]
     parts.sort(key=lambda x: zlib.crc32(" ".join(x[0]).encode("utf-8", "surrogatepass")))
     tokens, gold = [x for w, _ in parts for x in w], np.repeat([y for _, y in parts], [len(w) for w, _ in parts])
     lengths = np.array([sum(len(w) for w, _ in parts[i : i + 16]) for i in range(0, len(parts), 16)])
@@ -170,7 +181,7 @@ def train(rows: list[tuple[str, str]]) -> Model | None:
     np.add.at(edges, (gold[np.flatnonzero(inner) - 1], gold[inner]), 1)
     for _ in range(STEPS):
         emit = np.add.reduceat(weights[index], starts, axis=0) + lex @ lexical
-        post, pairs = marginals(emit[word], lengths, trans)
+        post, pairs = _in_slices(emit[word], lengths, trans)
         expected = np.stack([np.bincount(word, post[:, y], n) for y in range(k)], axis=1)
         error = right - expected
         grads = (
@@ -189,6 +200,15 @@ def _lexical(types: list[str], lexicon: dict[str, int], k: int) -> np.ndarray:
     return np.array([[(int(b) >> y) & 1 for y in range(k)] for b in bits], float).reshape(len(types), k)
 
 
+def _in_slices(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray, limit: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+    """marginals() over slices of documents, so that what a slice holds of k labels a word stays bounded."""
+    ends, k = np.cumsum(lengths), scores.shape[1]
+    parts = np.searchsorted(ends, np.arange(0, ends[-1], max(1, limit // k)), "left")
+    cuts = [*dict.fromkeys(parts.tolist()), len(lengths)]
+    found = [marginals(scores[ends[i] - lengths[i] : ends[j - 1]], lengths[i:j], trans) for i, j in zip(cuts[:-1], cuts[1:]) if j > i]
+    return np.concatenate([p for p, _ in found]), sum(x for _, x in found)
+
+
 class _Index(dict):
     """Numbers for words; those met for the first time are listed in new."""
 
@@ -206,6 +226,7 @@ class Labeller:
 
     def __init__(self, model: Model):
         self.model = model
+        self.cache = CACHE * 16 // max(16, len(model.labels))
         self.known = _Index()
         self.scores = np.zeros((0, len(model.labels)), np.float32)
 
@@ -230,7 +251,7 @@ class Labeller:
             self._learn(new)
         some = lengths[lengths > 0]
         post, _ = marginals(self.scores[at].astype(float), some, self.model.trans)
-        if len(self.known) > CACHE:
+        if len(self.known) > self.cache:
             for x in new:
                 del self.known[x]
             self.scores = self.scores[: len(self.known)]
@@ -243,7 +264,7 @@ def _labeller(model: Model) -> Labeller:
     return kept(("labels", id(model)), lambda: Labeller(model))
 
 
-def _groups(texts: list[str | None], limit: int = 400_000) -> Iterator[tuple[int, int]]:
+def _groups(texts: list[str | None], limit: int) -> Iterator[tuple[int, int]]:
     i = 0
     while i < len(texts):
         j, size = i, 0
@@ -261,7 +282,7 @@ def _predict(model, text: str, words: bool):
         for batch in batches:
             texts = column(batch, text).to_pylist()
             langs, scores, tags = [], [], []
-            for i, j in _groups(texts) if m else ():
+            for i, j in _groups(texts, 400_000 * 16 // max(16, len(m.labels))) if m else ():
                 for w, post in labeller(texts[i:j]):
                     if not w:
                         langs.append(UNKNOWN), scores.append(0.0), tags.append([])
@@ -279,21 +300,34 @@ def _predict(model, text: str, words: bool):
     return run
 
 
-def sample(docs: DataFrame, *, key: str, text: str, lang: str, where: Column) -> list[tuple[str, str]]:
-    """About SAMPLE_DOCS rows of each of the SAMPLE_LANGS most frequent languages, chosen by a hash of key."""
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [segments(t) for t in column(batch, "t").to_pylist()]
+        yield pa.RecordBatch.from_arrays([column(batch, "o"), column(batch, "l"), pa.array(found, pa.list_(pa.string()))], names=["o", "l", "s"])
+
+
+def sample(docs: DataFrame, *, key: str, text: str, lang: str, where: Column, most_docs: int, most_langs: int) -> list[tuple[list[str], str]]:
+    """Segments and language of about most_docs rows of each of the most_langs most frequent languages, chosen by a hash of
+    key. Rows are cut into segments where they lie; only those reach the driver."""
     labelled = docs.where(where & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
-    counts = labelled.groupBy("l").count().orderBy(F.desc("count"), "l").limit(SAMPLE_LANGS).collect()
+    counts = labelled.groupBy("l").count().orderBy(F.desc("count"), "l").limit(most_langs).collect()
     if not counts:
         return []
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r["l"], min(1.0, SAMPLE_DOCS / r["count"]))))
+    each = max(8, min(most_docs, SAMPLE_ALL // len(counts)))
+    share = F.create_map(*(F.lit(x) for r in counts for x in (r["l"], min(1.0, each / r["count"]))))
     order = F.pmod(F.xxhash64(F.col("k")), F.lit(1 << 30))
-    chosen = labelled.where(order < F.try_element_at(share, F.col("l")) * (1 << 30)).orderBy(order, "k", "t").limit(2 * SAMPLE_DOCS * len(counts))
-    return [(r["t"], r["l"]) for r in chosen.select("t", "l").collect()]
+    chosen = labelled.where(order < F.try_element_at(share, F.col("l")) * (1 << 30)).select(order.alias("o"), "t", "l")
+    cut = in_arrow(chosen, _segments, "o long, l string, s array<string>")
+    return [(r["s"], r["l"]) for r in cut.orderBy("o", "l", "s").limit(2 * each * len(counts)).collect()]
 
 
-def fit(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", where: Column | None = None):
-    """A broadcast model learned from the labelled rows of docs that where admits (all by default)."""
-    rows = sample(docs, key=key, text=text, lang=lang, where=F.lit(True) if where is None else where)
+def fit(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", where: Column | None = None, most_docs: int = SAMPLE_DOCS, most_langs: int = SAMPLE_LANGS):
+    """A broadcast model learned from the labelled rows of docs that where admits (all by default).
+
+    The sample's bounds: about most_docs documents a language (fewer where there are many languages, SAMPLE_ALL in all), and
+    the most_langs most frequent languages; documents of others get one of the learned labels.
+    """
+    rows = sample(docs, key=key, text=text, lang=lang, where=F.lit(True) if where is None else where, most_docs=most_docs, most_langs=most_langs)
     return docs.sparkSession.sparkContext.broadcast(train(rows))
 
 
