@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,8 @@ from pyspark.sql import DataFrame, types as T
 from gleaner.llm.common import column, in_arrow, kept
 
 IDS, ROUND = "_gl_ids", "_gl_round_trip"
-MARK, UNKNOWN, CACHE = "▁", 10.0, 400_000
+#: Units that are kept with their pieces, and the longest one kept: longer ones hardly come again.
+MARK, UNKNOWN, CACHE, KEPT = "▁", 10.0, 400_000, 40
 
 
 class Pieces:
@@ -69,13 +71,16 @@ class Pieces:
         n = len(s)
         best, back = [0.0] + [float("-inf")] * n, [None] * (n + 1)
         gaps = [i for i, c in enumerate(s) if c not in self.single]
+        gaps.append(n)
+        done = 0
         for end, (size, score, i) in self.match.iter(s):
-            for g in _until(gaps, end):
-                self._gap(best, back, g)
+            while gaps[done] <= end:
+                self._gap(best, back, gaps[done])
+                done += 1
             value = best[end + 1 - size] + score
             if value > best[end + 1]:
                 best[end + 1], back[end + 1] = value, (size, i)
-        for g in _until(gaps, n):
+        for g in gaps[done:-1]:
             self._gap(best, back, g)
         ids: list[int] = []
         while n:
@@ -98,7 +103,7 @@ class Pieces:
             found = cache.get(unit)
             if found is None:
                 found = self.solve(unit)
-                if len(cache) < CACHE:
+                if len(unit) <= KEPT and len(cache) < CACHE:
                     cache[unit] = found
             ids += found
         return ids
@@ -107,11 +112,6 @@ class Pieces:
         return b"".join(map(self.out.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
 
-def _until(gaps: list[int], end: int) -> Iterator[int]:
-    while gaps and gaps[0] <= end:
-        yield gaps.pop(0)
-
-
 def loaded(model_file: str) -> Pieces:
     """One encoder per Python worker and model, so that its cache outlives a task."""
     return kept(("pieces", model_file), lambda: Pieces(model_file))
@@ -124,7 +124,7 @@ def _encode(model_file: str | None, text: str, check: bool):
             texts = column(batch, text).to_pylist()
             ids = [pieces.encode(t) for t in texts]
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.fromiter((i for x in ids for i in x), np.int32, int(ends[-1]))
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
             added = [pa.ListArray.from_arrays(ends, pa.array(flat))] + [pa.array([pieces.decode(x) == (t or "") for x, t in zip(ids, texts)], pa.bool_())] * check
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, IDS, *[ROUND] * check])
 
