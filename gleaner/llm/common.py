@@ -31,6 +31,12 @@ def in_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return df.mapInArrow(f, schema)
 
 
+def whole_numbers(df: DataFrame, key: str) -> None:
+    """Refuses a key that is no whole number: the operator orders and links documents by it, and a cast would lose it."""
+    if not isinstance(df.schema[key].dataType, T.IntegralType):
+        raise TypeError(f"column {key} is {df.schema[key].dataType.simpleString()}, not a whole number")
+
+
 def shielded(df: DataFrame) -> tuple[DataFrame, Callable[[str], str], Callable[[DataFrame], DataFrame]]:
     """df with neutral column names, what a name has become, and how to get the columns of df back from a result.
 

@@ -1,10 +1,11 @@
 """Token-id files: a wavelet matrix per shard, with access, counting and occurrence lookup on the compressed form.
 
 Ids are written in ascending doc_id order (rows without doc_id first, then by text), each document followed by an end
-id. A shard is one Parquet file of one row: sixteen bit-planes, a rank directory for each, and the documents with their
-lengths. A shard holds about SHARD_TOKENS tokens, however large its partition is.
+id. A shard is one Parquet file of one row: as many bit-planes as the vocabulary's largest id has bits, a rank directory for
+each, and the documents with their lengths. A shard holds about SHARD_TOKENS tokens, however large its partition is.
 
-Null and empty texts are the end id alone. Repeated rows are repeated documents. Only key and text are read.
+Null and empty texts are the end id alone. Repeated rows are repeated documents. A key that is no whole number is refused.
+Only key and text are read.
 """
 
 from __future__ import annotations
@@ -21,16 +22,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gleaner.llm import spans
-from gleaner.llm.common import column, cut, in_arrow, kept, shared_folder, utf8
+from gleaner.llm.common import column, cut, in_arrow, kept, shared_folder, utf8, whole_numbers
 
-PLANES, STEP = 16, 512
+STEP = 512
 SHARD_TOKENS, CACHE = 2_000_000, 1_500_000
 SPECIAL = "<|endoftext|>"
 FORMAT = "part int, nth int, n_tokens long, docs array<long>, lengths array<int>, zeros array<int>, planes array<binary>, ranks array<binary>"
 
 
+def planes_of(largest: int) -> int:
+    """Bits of the largest id."""
+    return max(1, int(largest).bit_length())
+
+
+def _kind(planes: int) -> type:
+    return np.uint16 if planes <= 16 else np.uint32
+
+
 class WaveletMatrix:
-    """Ids below 65,536 as bit-planes from the highest bit down; each plane stably moves zeros before ones."""
+    """Ids as bit-planes from the highest bit down; each plane stably moves zeros before ones."""
 
     def __init__(self, n: int, zeros: list[int], planes: list[bytes], ranks: list[bytes]):
         self.n, self.zeros, self.planes, self.ranks = n, zeros, planes, ranks
@@ -38,10 +48,13 @@ class WaveletMatrix:
         self._ranks = [np.frombuffer(r, np.uint32) for r in ranks]
 
     @classmethod
-    def of(cls, ids: np.ndarray) -> WaveletMatrix:
-        now, zeros, planes, ranks = ids.astype(np.uint16), [], [], []
-        for bit in range(PLANES - 1, -1, -1):
-            one = (now & np.uint16(1 << bit)) != 0
+    def of(cls, ids: np.ndarray, width: int | None = None) -> WaveletMatrix:
+        """width: the number of planes, that of the largest id if not given."""
+        width = planes_of(ids.max(initial=0)) if width is None else width
+        kind = _kind(width)
+        now, zeros, planes, ranks = ids.astype(kind), [], [], []
+        for bit in range(width - 1, -1, -1):
+            one = (now & kind(1 << bit)) != 0
             packed = np.packbits(one, bitorder="little")
             planes.append(packed.tobytes())
             whole = np.zeros(-(-len(packed) // (STEP // 8)) * (STEP // 8), np.uint8)
@@ -73,7 +86,7 @@ class WaveletMatrix:
 
     def access(self, i: int) -> int:
         value = 0
-        for p in range(PLANES):
+        for p in range(len(self.planes)):
             bit = self._bit(p, i)
             value = value << 1 | bit
             i = self.zeros[p] + self._ones(p, i) if bit else i - self._ones(p, i)
@@ -81,8 +94,10 @@ class WaveletMatrix:
 
     def _range(self, value: int, a: int, b: int) -> tuple[int, int]:
         """Where value's occurrences within [a, b) end up after the last plane."""
-        for p in range(PLANES):
-            if value >> (PLANES - 1 - p) & 1:
+        if value >> len(self.planes):
+            return a, a  # no id has that many bits
+        for p in range(len(self.planes)):
+            if value >> (len(self.planes) - 1 - p) & 1:
                 a, b = self.zeros[p] + self._ones(p, a), self.zeros[p] + self._ones(p, b)
             else:
                 a, b = a - self._ones(p, a), b - self._ones(p, b)
@@ -95,19 +110,21 @@ class WaveletMatrix:
     def select(self, value: int, k: int) -> int:
         """The position of the k-th (from 0) occurrence of value."""
         i = self._range(value, 0, self.n)[0] + k
-        for p in range(PLANES - 1, -1, -1):
-            one = value >> (PLANES - 1 - p) & 1
+        for p in range(len(self.planes) - 1, -1, -1):
+            one = value >> (len(self.planes) - 1 - p) & 1
             i = self._select(p, i - self.zeros[p] if one else i, one)
         return i
 
     def decode(self) -> np.ndarray:
         """All ids, by undoing the moves plane by plane from the last."""
-        now = np.zeros(self.n, np.uint16)
-        for p in range(PLANES - 1, -1, -1):
+        width = len(self.planes)
+        kind = _kind(width)
+        now = np.zeros(self.n, kind)
+        for p in range(width - 1, -1, -1):
             one = np.unpackbits(self._bytes[p], count=self.n, bitorder="little").view(bool)
             back = np.empty_like(now)
             back[np.flatnonzero(~one)] = now[: self.zeros[p]]  # indexes, as masks are several times slower
-            back[np.flatnonzero(one)] = now[self.zeros[p] :] | np.uint16(1 << (PLANES - 1 - p))
+            back[np.flatnonzero(one)] = now[self.zeros[p] :] | kind(1 << (width - 1 - p))
             now = back
         return now
 
@@ -185,8 +202,8 @@ class Encoder:
     """The tokenizers library's encoder, asked once for each pre-token, as its merges never cross one.
 
     Texts with other characters than ASCII and Latin letters, or with the special token, go to the library whole. Of the
-    rest the pre-tokens are cut and looked up by a 64-bit hash for a whole batch at once; up to CACHE of them are kept
-    from batch to batch, later ones are encoded anew in each batch.
+    rest the pre-tokens are cut and looked up by two hashes of 64 bits for a whole batch at once (where only one of them
+    agrees, the batch goes to the library); up to CACHE of them are kept from batch to batch, later ones are encoded anew.
     """
 
     def __init__(self, tokenizer_file: str | None):
@@ -195,12 +212,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(tokenizer_file or public_tokenizers.path("byte_bpe_50k.json"))
-        self.width = np.zeros(self.lib.get_vocab_size(), np.int64)
-        for piece, i in self.lib.get_vocab().items():
+        vocabulary = self.lib.get_vocab()
+        self.largest = max(vocabulary.values(), default=0)
+        self.kind = _kind(planes_of(self.largest))
+        self.width = np.zeros(self.largest + 1, np.int64)
+        for piece, i in vocabulary.items():
             self.width[i] = len(piece)  # in the byte-level alphabet, one character is one byte
         self.plain = re.compile(" [A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
         self.known = _Table(CACHE.bit_length() + 1)
-        self.flat, self.first, self.size = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.first, self.size, self.second = np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
 
     def _ids(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first id of each, number of ids of each). Space-led words are encoded as one text and cut apart by width."""
@@ -222,25 +242,32 @@ class Encoder:
             first[some] = at + np.cumsum(size[some]) - size[some]
             parts.append(np.array([x for ids in found for x in ids]))
             at += len(parts[-1])
-        return np.concatenate(parts).astype(np.uint16), first, size
+        return np.concatenate(parts).astype(self.kind), first, size
 
-    def _latin(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-        """The ids of each text in ASCII and Latin letters."""
+    def _latin(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray] | None:
+        """The ids of each text in ASCII and Latin letters; None if two pre-tokens have the same first hash."""
         start = pretokens(raw, offsets)
         end = np.concatenate((start[1:], [len(raw)]))
-        h = spans.span_hash(spans.prefix(spans.byte_values()[raw], "bytes"), start, end, "bytes") | np.uint64(1)
+        values = spans.byte_values()[raw]
+        h = spans.span_hash(spans.prefix(values, "bytes"), start, end, "bytes") | np.uint64(1)
+        second = spans.span_hash(spans.prefix(values, "words"), start, end, "words")
         number = self.known.find(h)
         flat, first, size = self.flat, self.first, self.size
+        found = np.flatnonzero(number >= 0)
+        if (self.second[number[found]] != second[found]).any():
+            return None
         missing = np.flatnonzero(number < 0)
         if len(missing):
             keys, where, again = np.unique(h[missing], return_index=True, return_inverse=True)
             where = missing[where]
+            if (second[where][again] != second[missing]).any():
+                return None
             ids, at, n = self._ids([raw[a:b].tobytes().decode() for a, b in zip(start[where].tolist(), end[where].tolist())])
             number[missing] = len(first) + again
             first, size, flat = np.concatenate((first, at + len(flat))), np.concatenate((size, n)), np.concatenate((flat, ids))
             if len(first) <= CACHE:
                 self.known.add(keys, np.arange(len(self.first), len(first), dtype=np.int32))
-                self.flat, self.first, self.size = flat, first, size
+                self.flat, self.first, self.size, self.second = flat, first, size, np.concatenate((self.second, second[where]))
         first, size = first[number], size[number]
         ends = np.cumsum(size)
         ids = flat[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
@@ -259,8 +286,11 @@ class Encoder:
             for k in range(j - i):
                 bad[k] = bad[k] or SPECIAL.encode() in part[at[k] : at[k + 1]].tobytes()
             good = np.flatnonzero(~bad)
-            latin = iter(self._latin(*utf8(texts.slice(i, j - i).take(pa.array(good))))) if len(good) else iter(())
-            whole = (np.array(self.lib.encode(x.as_py(), add_special_tokens=False).ids, np.uint16) for x in texts.slice(i, j - i).take(pa.array(np.flatnonzero(bad))))
+            latin = self._latin(*utf8(texts.slice(i, j - i).take(pa.array(good)))) if len(good) else []
+            if latin is None:
+                bad[:] = True
+            latin = iter(latin or ())
+            whole = (np.array(self.lib.encode(x.as_py() or "", add_special_tokens=False).ids, self.kind) for x in texts.slice(i, j - i).take(pa.array(np.flatnonzero(bad))))
             out += [next(whole) if b else next(latin) for b in bad.tolist()]
         return out
 
@@ -271,15 +301,17 @@ def encoder(tokenizer_file: str | None) -> Encoder:
 
 
 def _shards(tokenizer_file: str | None, end_id: int):
-    def row(nth: int, docs: list, parts: list[np.ndarray]) -> pa.RecordBatch:
+    def row(nth: int, docs: list, parts: list[np.ndarray], width: int) -> pa.RecordBatch:
         ids = np.concatenate(parts)
-        m = WaveletMatrix.of(ids)
+        m = WaveletMatrix.of(ids, width)
         values = [[TaskContext.get().partitionId()], [nth], [len(ids)], [docs], [[len(p) for p in parts]], [m.zeros], [m.planes], [m.ranks]]
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.binary())]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=[c.split()[0] for c in FORMAT.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer_file), np.array([end_id], np.uint16)
+        encode = encoder(tokenizer_file)
+        width = planes_of(max(encode.largest, end_id))
+        end = np.array([end_id], _kind(width))
         nth, docs, parts, size = 0, [], [], 0
         for batch in batches:
             for d, ids in zip(column(batch, "d").to_pylist(), encode(column(batch, "t"))):
@@ -287,16 +319,17 @@ def _shards(tokenizer_file: str | None, end_id: int):
                 parts.append(np.concatenate((ids, end)))
                 size += len(parts[-1])
                 if size >= SHARD_TOKENS:
-                    yield row(nth, docs, parts)
+                    yield row(nth, docs, parts, width)
                     nth, docs, parts, size = nth + 1, [], [], 0
         if docs:
-            yield row(nth, docs, parts)
+            yield row(nth, docs, parts, width)
 
     return run
 
 
 def write(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", tokenizer_file: str | None = None, end_id: int = 2) -> None:
     """Encodes docs and writes their shards to path, in ascending key order over partitions and shards."""
+    whole_numbers(docs, key)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(key).cast("long").alias("d"), F.col(text).alias("t"))
     ordered = rows.repartitionByRange(n, "d").sortWithinPartitions("d", "t")
@@ -327,8 +360,11 @@ def documents(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     """Per document of the files: start (ids before it), n_tokens and ids_crc32, decoded from the planes."""
     rows = shards(spark, path)
     found = rows.mapInArrow(_read, "part int, nth int, d long, at long, n long, crc long")
-    before = F.sum("n_tokens").over(Window.orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = rows.select("part", "nth", F.coalesce(before, F.lit(0)).alias("before"))
+    totals = sorted((r["part"], r["n"]) for r in rows.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())  # a row for each partition written
+    starts = np.cumsum([0, *(n for _, n in totals)]).tolist()
+    parts = F.broadcast(spark.createDataFrame([(p, at) for (p, _), at in zip(totals, starts)], "part int, of_part long"))
+    inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = rows.select("part", "nth", F.coalesce(inside, F.lit(0)).alias("inside")).join(parts, "part").select("part", "nth", (F.col("of_part") + F.col("inside")).alias("before"))
     return found.join(offsets, ["part", "nth"]).select(F.col("d").alias(key), (F.col("before") + F.col("at")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
 
 
