@@ -13,10 +13,13 @@ about three segments a hundred bytes.
    carry short marks of both. The first copies of those that agree with another are induced string by string: the same
    sort runs over their 100-byte strings.
 
-Nothing depends on the size of a partition or shard, and no group is held in memory: sorted tuples are streamed.
+Nothing depends on the size of a partition or shard, and no group is held in memory: sorted tuples are streamed. A sample of
+documents shows which leaders are frequent; that changes the plan only. Of their tuples a task passes on the first copies
+that it meets, and those of one leader are spread by their bytes and all induced, so that boilerplate of a third of all
+documents fills no task.
 
 Null and empty texts have no bytes. Rows with a null or repeated doc_id are documents of their own, ordered by doc_id
-(nulls first) and text. Only key and text are read.
+(nulls first) and text. A key that is no whole number is refused. Only key and text are read.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.llm import spans
-from gleaner.llm.common import BATCH_SETTING, column, cut, in_arrow, setting, utf8, written
+from gleaner.llm.common import BATCH_SETTING, column, cut, in_arrow, setting, utf8, whole_numbers, written
 
 #: Bytes of a string that may not occur twice, and of a leader.
 SIZE, LEAD = 100, 32
@@ -37,8 +40,11 @@ SIZE, LEAD = 100, 32
 BESIDE, MARKS = (SIZE - LEAD) // 2, 4096
 #: Kinds of segments of one leader that are held to compare their marks; those of leaders with more are all induced.
 HELD = 100_000
-#: Ids of documents to look at again that are broadcast; above this they are joined by shuffle.
+#: Ids of documents to look at again, and frequent leaders, that are broadcast; above this the first are joined by shuffle
+#: and the others treated as any leader.
 BROADCAST_IDS = 200_000
+#: One in so many documents shows the frequent leaders: those with so many tuples there. First copies a task remembers of them.
+SAMPLED, FREQUENT, SEEN = 64, 64, 1_000_000
 
 #: spot packs first string (32 bits), marks before and after (12 bits each), further strings (7 bits) and done (1 bit).
 _TUPLE = "lead long, same long, d long, spot long"
@@ -52,9 +58,37 @@ def _first_copies(lead, same, d, lo) -> np.ndarray:
     return ~again
 
 
-def _emit(lead, same, d, lo, more, before, after) -> pa.RecordBatch:
+class _Seen:
+    """The first copies that a task has met of tuples with frequent leaders."""
+
+    def __init__(self, frequent: np.ndarray):
+        self.frequent, self.first = frequent, {}
+
+    def later(self, lead, same, d, lo) -> np.ndarray:
+        """True for tuples with an earlier copy among those met before."""
+        out = np.zeros(len(lead), bool)
+        for i in np.flatnonzero(_among(lead, self.frequent)).tolist():
+            key, now = (int(lead[i]), int(same[i])), (int(d[i]), int(lo[i]))
+            first = self.first.get(key)
+            if first is not None and first < now:
+                out[i] = True
+            elif first is not None or len(self.first) < SEEN:
+                self.first[key] = now
+        return out
+
+
+def _among(lead: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(lead), bool)
+    lead = lead.astype(np.int64)
+    at = np.minimum(np.searchsorted(frequent, lead), len(frequent) - 1)
+    return frequent[at] == lead
+
+
+def _emit(lead, same, d, lo, more, before, after, seen: _Seen) -> pa.RecordBatch:
     """Tuples as a batch; those with an earlier copy here are done and need no sorting with their like."""
     done = ~_first_copies(lead, same, d, lo)
+    done |= ~done & seen.later(lead, same, d, lo)
     lead = np.where(done, spans.mix(d.astype(np.uint64)), lead)
     spot = lo.astype(np.int64) << 32 | before << 20 | after << 8 | more << 1 | done
     return pa.RecordBatch.from_arrays([pa.array(lead.astype(np.int64)), pa.array(same.astype(np.int64)), pa.array(d), pa.array(spot)], names=["lead", "same", "d", "spot"])
@@ -101,19 +135,27 @@ def segments(raw: np.ndarray, offsets: np.ndarray):
     return h[at], spans.span_hash(sums, lo, hi + SIZE, "bytes"), doc, lo, hi - lo, before, after
 
 
-def _segment_tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = column(batch, "d").to_numpy()
-        raw, off = utf8(column(batch, "t"))
-        for i, j in cut(off):
-            found = segments(raw[off[i] : off[j]], off[i : j + 1] - off[i])
-            if found:
-                lead, same, doc, lo, more, before, after = found
-                yield _emit(lead, same, ids[i + doc], lo - (off[i + doc] - off[i]), more, before, after)
+def _segment_tuples(frequent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen(frequent.value)
+        for batch in batches:
+            ids = column(batch, "d").to_numpy()
+            raw, off = utf8(column(batch, "t"))
+            for i, j in cut(off):
+                found = segments(raw[off[i] : off[j]], off[i : j + 1] - off[i])
+                if found:
+                    lead, same, doc, lo, more, before, after = found
+                    yield _emit(lead, same, ids[i + doc], lo - (off[i + doc] - off[i]), more, before, after, seen)
+
+    return run
 
 
-def _string_tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _string_tuples(frequent):
     """The 100-byte strings of the segments (lo, more, lead) listed with each document."""
+    return lambda batches: _strings(batches, _Seen(frequent.value))
+
+
+def _strings(batches: Iterator[pa.RecordBatch], seen: _Seen) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, off = utf8(column(batch, "t"))
         listed, edges = column(batch, "spots"), column(batch, "spots").offsets.to_numpy()
@@ -129,7 +171,7 @@ def _string_tuples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             owner = np.repeat(doc, n)
             within = np.repeat(lo[mine].astype(np.int64), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             start = at[owner] + within
-            yield _emit(np.repeat(lead[mine], n).view(np.uint64), spans.span_hash(sums, start, start + SIZE, "bytes"), ids[i + owner], within, *[np.zeros(len(within), np.int64)] * 3)
+            yield _emit(np.repeat(lead[mine], n).view(np.uint64), spans.span_hash(sums, start, start + SIZE, "bytes"), ids[i + owner], within, *[np.zeros(len(within), np.int64)] * 3, seen)
 
 
 def _agreeing(lead: np.ndarray, spot: np.ndarray) -> np.ndarray:
@@ -143,9 +185,9 @@ def _agreeing(lead: np.ndarray, spot: np.ndarray) -> np.ndarray:
     return out
 
 
-def _neighbours(again: bool):
+def _neighbours(again: bool, frequent):
     """Streams sorted tuples: a tuple equal to the one before is removed; if again, the first copies of tuples that
-    share a leader and a mark with another are passed on to be looked at string by string."""
+    share a leader and a mark with another, or have a frequent leader, are passed on to be looked at string by string."""
 
     def out(lead, d, spot, check: bool):
         lo, more = (spot >> 32).astype(np.int32), (spot >> 1 & 127).astype(np.int32)
@@ -171,6 +213,10 @@ def _neighbours(again: bool):
             if not again:
                 continue
             rows = tuple(x[new] for x in (lead, d, spot))
+            spread = _among(rows[0], frequent.value)
+            if spread.any():
+                yield out(*(x[spread] for x in rows), True)
+                rows = tuple(x[~spread] for x in rows)
             if crowded is not None:
                 more = rows[0] == crowded
                 if more.any():
@@ -197,22 +243,38 @@ def _neighbours(again: bool):
     return run
 
 
-def _sorted_neighbours(tuples: DataFrame, again: bool) -> DataFrame:
+def _sorted_neighbours(tuples: DataFrame, again: bool, frequent) -> DataFrame:
     n = int(tuples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["lead"] if again else ["lead", "same"]  # strings need not meet by leader, which spreads a frequent one
-    ordered = tuples.repartition(n, *keys).sortWithinPartitions("lead", "same", "d", "spot")
+    keys = [F.col("lead")] if again else [F.col("lead"), F.col("same")]  # strings need not meet by leader, which spreads a frequent one
+    if again and len(frequent.value):
+        spread = tuples.sparkSession.createDataFrame([(x,) for x in frequent.value.tolist()], "lead long").withColumn("spread", F.lit(True))
+        tuples = tuples.join(F.broadcast(spread), "lead", "left")
+        keys.append(F.when(F.col("spread"), F.col("same")).otherwise(0))
+    ordered = tuples.repartition(n, *keys).select("lead", "same", "d", "spot").sortWithinPartitions("lead", "same", "d", "spot")
     with setting(tuples.sparkSession, BATCH_SETTING, "65536"):  # tuples are small
-        return written(ordered.mapInArrow(_neighbours(again), "d long, lo int, more int, lead long, check boolean"))
+        return written(ordered.mapInArrow(_neighbours(again, frequent), "d long, lo int, more int, lead long, check boolean"))
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(d, lo, more): strings lo to lo + more of document d that start earlier elsewhere. texts: unique d, and t."""
-    found = _sorted_neighbours(_arrow(texts, _segment_tuples, _TUPLE), True)
+    frequent = _frequent(texts)
+    found = _sorted_neighbours(_arrow(texts, _segment_tuples(frequent), _TUPLE), True, frequent)
     spots = written(found.where("check").groupBy("d").agg(F.collect_list(F.struct("lo", "more", "lead")).alias("spots")))
     few = spots.count() <= BROADCAST_IDS
     chosen = texts.join(F.broadcast(spots.select("d")), "d", "left_semi") if few else texts
-    strings = _arrow(chosen.join(spots, "d").select("d", "t", "spots"), _string_tuples, _TUPLE)
-    return found.where("not check").select("d", "lo", "more").union(_sorted_neighbours(strings, False).select("d", "lo", "more"))
+    strings = _arrow(chosen.join(spots, "d").select("d", "t", "spots"), _string_tuples(frequent), _TUPLE)
+    return found.where("not check").select("d", "lo", "more").union(_sorted_neighbours(strings, False, frequent).select("d", "lo", "more"))
+
+
+def _frequent(texts: DataFrame):
+    """A broadcast sorted array of the leaders that a sample of documents shows to be frequent."""
+    spark = texts.sparkSession
+    none = spark.sparkContext.broadcast(np.zeros(0, np.int64))
+    some = _arrow(texts.where(F.pmod(F.xxhash64("d"), F.lit(SAMPLED)) == 0), _segment_tuples(none), _TUPLE).where("spot & 1 = 0")
+    listed = some.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT).select("lead").limit(BROADCAST_IDS + 1).collect()
+    if not listed or len(listed) > BROADCAST_IDS:
+        return none
+    return spark.sparkContext.broadcast(np.array(sorted(r["lead"] for r in listed), np.int64))
 
 
 def _arrow(df: DataFrame, f, schema: str) -> DataFrame:
@@ -247,11 +309,12 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(k, d, t): key, a unique document number in order, and the text. Keys that are unique and not null are the numbers."""
+    whole_numbers(docs, key)
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     if rows.groupBy("k").count().where("count > 1 or k is null").isEmpty():
         return rows.withColumn("d", F.col("k"))
     ordered = rows.sort(F.col("k").asc_nulls_first(), F.col("t").asc_nulls_first())
-    return written(ordered.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])).toDF("k long, t string, d long"))
+    return written(ordered.withColumn("d", F.monotonically_increasing_id()))
 
 
 def _applied(docs: DataFrame, key: str, text: str, f, last: str) -> DataFrame:
