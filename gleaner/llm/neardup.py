@@ -7,7 +7,7 @@ collapse first, every member of a bucket is tried against one member, and only m
 in different components are tried against each other.
 
 Null and word-free texts have no set: they are linked with nothing and kept. Rows that repeat a doc_id count as
-one document of the graph. Rows without doc_id have no component and are kept. Only key and text are read, so
+one document of the graph. Rows without doc_id have no component and are kept; a key that is no whole number is refused. Only key and text are read, so
 other columns may have any names.
 """
 
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.llm import spans
-from gleaner.llm.common import column, cut, in_arrow, kept, shielded, utf8, written
+from gleaner.llm.common import column, cut, in_arrow, kept, shielded, utf8, whole_numbers, written
 
 #: Bands and rows a band. A pair at similarity 0.8 is missed by all bands with (1 - 0.8**7)**56, or 2e-6.
 BANDS, ROWS = 56, 7
@@ -430,6 +430,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     size is the words of a shingle; documents are linked if 100 * intersection >= percent * union of their sets.
     """
+    whole_numbers(docs, key)
     texts = docs.select(F.col(key).cast("long").alias("d"), F.col(text).alias("t"))
     marked = written(in_arrow(texts, _signatures(size), _SCHEMA))
     graph = marked.where("n > 0 and d is not null")
