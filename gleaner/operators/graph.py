@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gleaner.operators.bounds import bounded
 from gleaner.session import written
 
 
@@ -31,10 +32,11 @@ def union_with_apart(edges: DataFrame, apart: DataFrame, group: str) -> DataFram
     """Groups of names joined by edges in order (column ord), except unions that would bring an apart pair together.
 
     edges: group, ord, a, b; apart: group, a, b. Whether a union holds depends on the unions before it, so each group is
-    one task; groups must be bounded. Repeated edges change nothing, so only the first of each is sent. Result: group, name, root (the first name of its set in order).
+    one task: of bounds.MOST different edges at most, more are an error. Repeated edges change nothing, so only the first of each is sent. Result: group, name, root (the first name of its set in order).
     """
 
     def run(e: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
+        bounded(e, group), bounded(f, group)
         root: dict = {}
         members: dict = {}
         foes: dict = {}

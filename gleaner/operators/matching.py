@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gleaner.operators.bounds import bounded
 from gleaner.operators.priority import first_per_key
 
 
@@ -60,7 +61,7 @@ def confident(candidates: DataFrame, key: str, score: str, value: str, least: fl
 def greedy_pairs(scores: DataFrame, group: str, a: str, b: str, score: str) -> DataFrame:
     """One-to-one pairs taken in order of score (desc), then a, then b, within each group.
 
-    A pair is taken in the group's own task, which holds that group's candidate pairs; groups must be bounded.
+    A pair is taken in the group's own task, which holds that group's candidate pairs: MOST at most, more are an error.
     """
 
     def take(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -71,15 +72,31 @@ def greedy_pairs(scores: DataFrame, group: str, a: str, b: str, score: str) -> D
         return pdf.iloc[rows]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        bounded(pdf, group)
         return take(pdf.sort_values([score, a, b], ascending=[False, True, True], kind="stable"))
 
     return scores.groupBy(group).applyInPandas(run, scores.schema)
 
 
 def jaccard_pairs(a: DataFrame, b: DataFrame, id_a: str, id_b: str, tokens: str, least: float, on: list[str] | None = None) -> DataFrame:
-    """Pairs with the Jaccard similarity of their token arrays, for pairs that share a token."""
+    """Pairs with the Jaccard similarity of their token arrays, of least or more (above 0).
+
+    Two such sets of n tokens share one among the n - ceil(least * n) + 1 rarest of each, so only those are joined on: a
+    frequent word brings no pairs together unless a set has hardly any other. Each pair is then held on its full sets.
+    """
     on = on or []
-    x = a.select(id_a, *on, F.explode(F.array_distinct(tokens)).alias("_t"), F.size(F.array_distinct(tokens)).alias("_na"))
-    y = b.select(id_b, *on, F.explode(F.array_distinct(tokens)).alias("_t"), F.size(F.array_distinct(tokens)).alias("_nb"))
-    both = x.join(y, [*on, "_t"]).groupBy(*on, id_a, id_b).agg(F.count(F.lit(1)).alias("_n"), F.first("_na").alias("_na"), F.first("_nb").alias("_nb"))
-    return both.withColumn("similarity", F.col("_n") / (F.col("_na") + F.col("_nb") - F.col("_n"))).where(F.col("similarity") >= least).drop("_n", "_na", "_nb")
+    sets = lambda df, i: df.select(F.col(i), *on, F.array_distinct(tokens).alias("_s")).where(F.size("_s") > 0)
+    x, y = sets(a, id_a), sets(b, id_b)
+    each = lambda df, i: df.select(i, *on, F.explode("_s").alias("_t"), F.size("_s").alias("_n"))
+    spread = each(x, id_a).select("_t").union(each(y, id_b).select("_t")).groupBy("_t").agg(F.count(F.lit(1)).alias("_f"))
+
+    def rare(df: DataFrame, i: str) -> DataFrame:
+        ordered = each(df, i).join(spread, "_t").groupBy(i, *on, "_n").agg(F.array_sort(F.collect_list(F.struct("_f", "_t"))).alias("_o"))
+        first = F.col("_n") - F.ceil(F.col("_n") * least - 1e-9).cast("int") + 1
+        return ordered.select(i, *on, F.explode(F.slice("_o", 1, first)).alias("_x")).select(i, *on, F.col("_x._t").alias("_t"))
+
+    pairs = rare(x, id_a).join(rare(y, id_b), [*on, "_t"]).select(*on, id_a, id_b).distinct()
+    held = pairs.join(x.select(id_a, *on, F.col("_s").alias("_a")), [id_a, *on]).join(y.select(id_b, *on, F.col("_s").alias("_b")), [id_b, *on])
+    both = F.size(F.array_intersect("_a", "_b"))
+    out = held.withColumn("similarity", both / (F.size("_a") + F.size("_b") - both)).where(F.col("similarity") >= least)
+    return out.select(*on, id_a, id_b, "similarity")

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gleaner.operators.bounds import bounded
 from gleaner.operators.priority import first_per_key
 
 
@@ -27,12 +28,13 @@ def leaders(sizes: DataFrame, scores: DataFrame, group: str, id_: str, size: str
     """Leader clustering per group: biggest first, each joins its best leader at threshold or leads itself.
 
     The pair scores (a, b, cosine per group) come from Spark; the pass depends on its own order, so a group's items and
-    scored pairs meet in one task. Groups must be bounded (archetypes of a format).
+    scored pairs meet in one task (archetypes of a format): bounds.MOST of each at most, more are an error.
     """
     edges = scores.where(F.col("cosine") >= threshold)
     both = edges.select(group, F.col("a").alias("x"), F.col("b").alias("y"), "cosine").union(edges.select(group, F.col("b").alias("x"), F.col("a").alias("y"), "cosine"))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        bounded(left, group), bounded(right, group)
         near: dict = {}
         for x, y, c in zip(right["x"], right["y"], right["cosine"]):
             near.setdefault(x, {})[y] = c

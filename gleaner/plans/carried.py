@@ -12,7 +12,6 @@ from gleaner.plans.guides import _PAGES, _page_cards
 from gleaner.plans.registry import query
 from gleaner.session import shared_folder, table
 
-K, SIZE = F.col("p_partkey"), F.col("p_size")
 TODAY = "2024-01-30"
 
 
@@ -33,7 +32,7 @@ def saved_stand_in(spark: SparkSession, d: str) -> DataFrame:
 )
 def recent_failures(spark: SparkSession, d: str) -> DataFrame:
     """Failures of today and the six days before."""
-    at = F.when(SIZE % 9 == 0, "never").otherwise(F.concat(F.date_sub(F.lit(TODAY).cast("date"), (SIZE - 20).cast("int")).cast("string"), F.lit("T10:00:00")))
+    at = F.when(F.col("p_size") % 9 == 0, "never").otherwise(F.concat(F.date_sub(F.lit(TODAY).cast("date"), (F.col("p_size") - 20).cast("int")).cast("string"), F.lit("T10:00:00")))
     return table(spark, d, "part").select("p_partkey", state.failed_recently(at, F.lit(TODAY).cast("date")).alias("failed"))
 
 
@@ -49,8 +48,8 @@ def batch_outcomes(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part")
     least = part.groupBy("p_brand").agg(F.min("p_size").alias("m"))
     sent = F.when(F.col("m") % 5 > 0, F.date_sub(F.lit(TODAY).cast("date"), (12 + F.col("m")).cast("int")))
-    items = part.join(least, "p_brand").select(F.col("p_brand").alias("batch"), K.alias("item"), sent.alias("sent"))
-    return state.collected(items, part.where("p_partkey % 10 > 0").select(K.alias("item")), "batch", "item", "sent", F.lit(TODAY).cast("date")).select("batch", "item", "outcome")
+    items = part.join(least, "p_brand").select(F.col("p_brand").alias("batch"), F.col("p_partkey").alias("item"), sent.alias("sent"))
+    return state.collected(items, part.where("p_partkey % 10 > 0").select(F.col("p_partkey").alias("item")), "batch", "item", "sent", F.lit(TODAY).cast("date")).select("batch", "item", "outcome")
 
 
 @query(
@@ -63,9 +62,9 @@ SELECT p_partkey, CASE WHEN tint IS NOT NULL AND source = 'art' AND url = art TH
 def tint_decisions(spark: SparkSession, d: str) -> DataFrame:
     """Keep a cached tint while what it was made from is the same, else read the official or a card's picture."""
     text = lambda c: c.cast("string")
-    art, cards = F.when(SIZE % 3 > 0, F.concat(F.lit("a"), text(SIZE % 4))), F.when(SIZE % 7 > 0, SIZE % 6)
-    tint, source = F.when(K % 4 > 0, "#fff"), F.when(K % 2 == 0, "art").otherwise("card")
-    return table(spark, d, "part").select("p_partkey", state.tint_decision(art, K % 5 > 0, cards, tint, source, F.concat(F.lit("a"), text(K % 4)), F.when(K % 4 == 0, K % 6)).alias("todo"))
+    art, cards = F.when(F.col("p_size") % 3 > 0, F.concat(F.lit("a"), text(F.col("p_size") % 4))), F.when(F.col("p_size") % 7 > 0, F.col("p_size") % 6)
+    tint, source = F.when(F.col("p_partkey") % 4 > 0, "#fff"), F.when(F.col("p_partkey") % 2 == 0, "art").otherwise("card")
+    return table(spark, d, "part").select("p_partkey", state.tint_decision(art, F.col("p_partkey") % 5 > 0, cards, tint, source, F.concat(F.lit("a"), text(F.col("p_partkey") % 4)), F.when(F.col("p_partkey") % 4 == 0, F.col("p_partkey") % 6)).alias("todo"))
 
 
 @query(
@@ -80,9 +79,9 @@ def inherited_tints(spark: SparkSession, d: str) -> DataFrame:
     """A set without its own tint takes that of the main set above it, not one above a circle or outside the list."""
     from gleaner.operators import graph
 
-    parent = F.when(K % 10 == 0, None).when((K % 10 == 9) & (SIZE == 7), K).when(K % 10 == 5, -1).otherwise(K - 1)
-    roots = graph.roots(spark, table(spark, d, "part").select(K.alias("code"), parent.alias("parent")), "code", "parent")
-    own = table(spark, d, "part").where("p_size % 4 > 0 and p_partkey % 10 = 0").select(K.alias("root"), F.concat(F.lit("#"), SIZE.cast("string")).alias("tint"))
+    parent = F.when(F.col("p_partkey") % 10 == 0, None).when((F.col("p_partkey") % 10 == 9) & (F.col("p_size") == 7), F.col("p_partkey")).when(F.col("p_partkey") % 10 == 5, -1).otherwise(F.col("p_partkey") - 1)
+    roots = graph.roots(spark, table(spark, d, "part").select(F.col("p_partkey").alias("code"), parent.alias("parent")), "code", "parent")
+    own = table(spark, d, "part").where("p_size % 4 > 0 and p_partkey % 10 = 0").select(F.col("p_partkey").alias("root"), F.concat(F.lit("#"), F.col("p_size").cast("string")).alias("tint"))
     return roots.join(own, "root").select(F.col("node").alias("code"), "tint", F.when(F.col("node") == F.col("root"), "card").otherwise("parent").alias("source"))
 
 
@@ -90,8 +89,8 @@ def inherited_tints(spark: SparkSession, d: str) -> DataFrame:
 def pages_to_read(spark: SparkSession, d: str) -> DataFrame:
     """Pages without an extraction of the current version."""
     part = table(spark, d, "part")
-    done = part.where("p_size % 3 > 0").select(K.alias("page"), (SIZE % 3).cast("int").alias("version"))
-    return state.without_current(part.select(K.alias("page")), done, "page", 1)
+    done = part.where("p_size % 3 > 0").select(F.col("p_partkey").alias("page"), (F.col("p_size") % 3).cast("int").alias("version"))
+    return state.without_current(part.select(F.col("p_partkey").alias("page")), done, "page", 1)
 
 
 @query(
@@ -101,8 +100,8 @@ def pages_to_read(spark: SparkSession, d: str) -> DataFrame:
 def unresolved_queue(spark: SparkSession, d: str) -> DataFrame:
     """Decks with unresolved names join the queue once, as never tried; those in it keep their attempts."""
     part = table(spark, d, "part")
-    rows = part.select(K.alias("deck"), F.when(SIZE % 2 == 0, F.array("p_name")).otherwise(F.array().cast("array<string>")).alias("names"))
-    queue = part.where("p_size % 4 = 0").select(K.alias("deck"), F.lit(2).alias("attempts"), F.array(F.lit("old")).alias("names"))
+    rows = part.select(F.col("p_partkey").alias("deck"), F.when(F.col("p_size") % 2 == 0, F.array("p_name")).otherwise(F.array().cast("array<string>")).alias("names"))
+    queue = part.where("p_size % 4 = 0").select(F.col("p_partkey").alias("deck"), F.lit(2).alias("attempts"), F.array(F.lit("old")).alias("names"))
     return state.queued(rows, queue, "deck", "names").select("deck", "attempts", F.array_join("names", ",").alias("names"))
 
 
@@ -179,7 +178,7 @@ def matched_primers(spark: SparkSession, d: str) -> DataFrame:
 
     part, name = table(spark, d, "part"), F.col("p_name")
     rows = part.where("p_size % 3 > 0").select(name.alias("id")).union(part.where("p_size % 2 = 0").select("p_brand")).distinct()
-    listed = part.select(F.when(K % 4 == 0, name).otherwise(F.concat_ws("/", name, K.cast("string"))).alias("primer"), name.alias("archetype"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days=SIZE.cast("int"))).alias("updated"), K.alias("pos"))
+    listed = part.select(F.when(F.col("p_partkey") % 4 == 0, name).otherwise(F.concat_ws("/", name, F.col("p_partkey").cast("string"))).alias("primer"), name.alias("archetype"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days=F.col("p_size").cast("int"))).alias("updated"), F.col("p_partkey").alias("pos"))
     merges = part.groupBy(name.alias("id")).agg(F.max("p_brand").alias("leader"))
     return standings.matched_primers(rows, first_per_key(listed, ["primer"], [F.col("pos")]).drop("pos"), merges)
 
@@ -195,7 +194,7 @@ def tile_key_cards(spark: SparkSession, d: str) -> DataFrame:
     """A tile's first key cards, with ids from the catalog where they have none."""
     from gleaner.functions import text as tx
 
-    card = F.struct(K.alias("k"), F.col("p_name").alias("name"), tx.ascii_slug(F.col("p_name")).alias("slug"), F.when(SIZE % 3 > 0, F.concat(F.lit("own"), K.cast("string"))).alias("oracle_id"))
+    card = F.struct(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"), tx.ascii_slug(F.col("p_name")).alias("slug"), F.when(F.col("p_size") % 3 > 0, F.concat(F.lit("own"), F.col("p_partkey").cast("string"))).alias("oracle_id"))
     tiles = table(spark, d, "part").groupBy(F.col("p_brand").alias("id")).agg(F.array_sort(F.collect_list(card)).alias("cards"))
     known = catalog(spark, d).where("slug not like '%ring'").select("slug", F.concat(F.lit("known "), "slug").alias("oracle_id"))
     return standings.key_cards(tiles, known, "id", "cards", 4)
@@ -207,8 +206,8 @@ def tile_key_cards(spark: SparkSession, d: str) -> DataFrame:
 )
 def deck_numbers(spark: SparkSession, d: str) -> DataFrame:
     """A deck's number from its tournament, else its cards, else its course."""
-    entries = F.when(SIZE % 3 == 1, F.array(F.lit(None).cast("string"), F.lit(""), F.when(SIZE % 4 > 0, F.col("p_brand")), F.when(SIZE % 4 > 0, F.lit("later")))).otherwise(F.array().cast("array<string>"))
-    tournament = F.when(SIZE % 3 == 0, F.concat(F.lit("t"), SIZE.cast("string"))).when(SIZE % 2 == 0, "")
+    entries = F.when(F.col("p_size") % 3 == 1, F.array(F.lit(None).cast("string"), F.lit(""), F.when(F.col("p_size") % 4 > 0, F.col("p_brand")), F.when(F.col("p_size") % 4 > 0, F.lit("later")))).otherwise(F.array().cast("array<string>"))
+    tournament = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("t"), F.col("p_size").cast("string"))).when(F.col("p_size") % 2 == 0, "")
     return table(spark, d, "part").select("p_partkey", standings.deck_number(tournament, entries, F.col("p_type")).alias("number"))
 
 

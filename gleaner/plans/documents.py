@@ -115,7 +115,10 @@ def retrieved_facts(spark: SparkSession, d: str) -> DataFrame:
     return out.select("source", "doc_id", "hits", "score", "rank")
 
 
-@query("spotted_names")
+@query(
+    "spotted_names",
+    """SELECT p_partkey, 0 AS at, p_type AS name FROM part UNION ALL SELECT p_partkey, 1, p_name FROM part""",
+)
 def spotted_names(spark: SparkSession, d: str) -> DataFrame:
     """Names in texts, longest first, each word used once."""
     named = table(spark, d, "part").select(F.concat_ws(" ", "p_type", "p_name").alias("body"), "p_partkey")
@@ -196,7 +199,17 @@ def tint_luminance(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", F.round(images.luminance(r, g, b), 6).alias("luminance"))
 
 
-@query("tints")
+@query(
+    "tints",
+    """
+WITH p AS (SELECT p_brand, p_size * 5 % 256 AS r, p_partkey % 256 AS g, p_size * p_partkey % 256 AS b FROM part), m AS (SELECT *, greatest(r, g, b) / 255.0 AS hi, least(r, g, b) / 255.0 AS lo FROM p),
+h AS (SELECT *, hi - lo AS d, CASE WHEN hi = 0 THEN 0 ELSE (hi - lo) / hi END AS w FROM m),
+u AS (SELECT *, CASE WHEN d = 0 THEN 0 WHEN hi = r / 255.0 THEN CASE WHEN g >= b THEN (g - b) / 255.0 / d ELSE (g - b) / 255.0 / d + 6 END WHEN hi = g / 255.0 THEN (b - r) / 255.0 / d + 2 ELSE (r - g) / 255.0 / d + 4 END AS hue FROM h),
+q AS (SELECT p_brand, CAST(floor(hue * 24 / 6) AS INTEGER) AS bin, sum(w) AS mass, sum(r * w) / nullif(sum(w), 0) AS r, sum(g * w) / nullif(sum(w), 0) AS g, sum(b * w) / nullif(sum(w), 0) AS b FROM u GROUP BY 1, 2),
+f AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY round(mass, 9) DESC, bin) = 1)
+SELECT p_brand, lower('#' || lpad(to_hex(CAST(round(coalesce(r, 0)) AS BIGINT)), 2, '0') || lpad(to_hex(CAST(round(coalesce(g, 0)) AS BIGINT)), 2, '0') || lpad(to_hex(CAST(round(coalesce(b, 0)) AS BIGINT)), 2, '0')) AS tint FROM f
+""",
+)
 def tints(spark: SparkSession, d: str) -> DataFrame:
     """The tint of each brand's pixels."""
     px = table(spark, d, "part").select("p_brand", (F.col("p_size") * 5 % 256).alias("r"), (F.col("p_partkey") % 256).alias("g"), (F.col("p_size") * F.col("p_partkey") % 256).alias("b"))

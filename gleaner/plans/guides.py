@@ -68,19 +68,6 @@ def synergy_groups(spark: SparkSession, d: str) -> DataFrame:
     return priority.top_per_group(x, ["archetype", "role"], [F.desc("synergy"), F.col("slug")], 5)
 
 
-@query(
-    "style_levels",
-    f"""
-WITH {DECKS}, s AS (SELECT archetype, place AS level, count(*) AS n FROM decks WHERE year(ts) = 1998 GROUP BY 1, 2), t AS (SELECT *, sum(n) OVER (PARTITION BY archetype) AS t FROM s),
-r AS (SELECT archetype, min(level) FILTER (100 * n >= 20 * t) AS lo, max(level) FILTER (100 * n >= 20 * t) AS hi, arg_max(level, n * 100 - level) AS most_played FROM t GROUP BY 1) SELECT archetype, CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS level, most_played FROM r WHERE lo IS NOT NULL
-""",
-)
-def style_levels(spark: SparkSession, d: str) -> DataFrame:
-    """Levels with a fifth of the decks, filled to a range, and the most played one."""
-    split = decks(spark, d).where("year(ts) = 1998").groupBy("archetype", F.col("place").alias("level")).agg(F.count(F.lit(1)).alias("n"))
-    return guides.levels(split, "archetype", "level", "n", 20)
-
-
 @query(
     "nearest_levels",
     f"""
@@ -127,21 +114,6 @@ def constrained_fill(spark: SparkSession, d: str) -> DataFrame:
     return guides.fill(x, "archetype", "slug", "role", "best", {"PROMO": 3, "SMALL": 4, "LARGE": 2}, 20, {"restricted": 3}, "flag", combos)
 
 
-@query(
-    "win_lines",
-    f"""
-WITH {LINES}, c AS (SELECT DISTINCT p_brand AS combo, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM part WHERE p_size = 9), f AS (SELECT combo, count(*) AS n, CAST(substr(combo, 7) AS INTEGER) % 3 = 0 AS wins, 'r' || (CAST(substr(combo, 7) AS INTEGER) % 4) AS makes FROM c GROUP BY 1),
-l AS (SELECT DISTINCT deck_id, slug FROM lines), h AS (SELECT deck_id, c.combo FROM c JOIN l USING (slug) JOIN f ON f.combo = c.combo GROUP BY deck_id, c.combo, n HAVING count(*) = n), x AS (SELECT h.deck_id, f.* FROM h JOIN f USING (combo))
-SELECT deck_id, combo, CASE WHEN wins THEN 'outright' WHEN EXISTS (SELECT 1 FROM x y WHERE y.deck_id = x.deck_id AND y.wins AND y.makes = x.makes) THEN 'chained' ELSE 'outlet' END AS tier FROM x
-""",
-)
-def win_lines(spark: SparkSession, d: str) -> DataFrame:
-    """What a deck's combinations lead to."""
-    n = F.substring("p_brand", 7, 9).cast("int")
-    combos = table(spark, d, "part").where("p_size = 9").select(F.col("p_brand").alias("combo"), tx.ascii_slug(F.col("p_name")).alias("slug"), (n % 3 == 0).alias("wins"), F.concat(F.lit("r"), (n % 4).cast("string")).alias("makes"))
-    return guides.win_lines(combos, lines(spark, d), "combo", "deck_id", "slug", "wins", "makes")
-
-
 @query(
     "deck_averages",
     f"""WITH {LINES}, {CATALOG} SELECT deck_id, round(sum(qty * color) FILTER (kind <> 'PROMO') / sum(qty) FILTER (kind <> 'PROMO'), 6) AS mana, round(sum(qty * coalesce(price, 0)), 2) AS price FROM lines LEFT JOIN catalog USING (slug) GROUP BY 1""",
@@ -347,22 +319,6 @@ def coverage_tiers(spark: SparkSession, d: str) -> DataFrame:
     return r.where("k <= 2 or n >= 10").select("format", "archetype", F.when(F.col("k") <= 2, 1).otherwise(2).alias("tier"))
 
 
-@query(
-    "flex_cards",
-    f"""
-WITH {DECKS}, {LINES}, s AS (SELECT archetype, deck_id, slug FROM decks JOIN lines USING (deck_id) WHERE board = 'main' AND place = 1 AND year(ts) = 1998 AND month(ts) <= 2), n AS (SELECT archetype, count(DISTINCT deck_id) AS n FROM s GROUP BY 1), p AS (SELECT archetype, slug, count(DISTINCT deck_id) AS k FROM s GROUP BY 1, 2)
-SELECT archetype, slug, k AS decks FROM p JOIN n USING (archetype) WHERE 4 * k >= n AND 2 * k < n QUALIFY row_number() OVER (PARTITION BY archetype ORDER BY k DESC, slug) <= 15
-""",
-)
-def flex_cards(spark: SparkSession, d: str) -> DataFrame:
-    """Cards of a quarter of the lists that are not in the consensus."""
-    rows = decks(spark, d).where("place = 1 and year(ts) = 1998 and month(ts) <= 2").select("deck_id", "archetype")
-    s = lines(spark, d).where("board = 'main'").join(rows, "deck_id")
-    n = s.groupBy("archetype").agg(F.count_distinct("deck_id").alias("n"))
-    p = s.groupBy("archetype", "slug").agg(F.count_distinct("deck_id").alias("decks")).join(n, "archetype").where("4 * decks >= n and 2 * decks < n")
-    return priority.top_per_group(p, ["archetype"], [F.desc("decks"), F.col("slug")], 15).select("archetype", "slug", "decks")
-
-
 @query(
     "opponents",
     f"""

@@ -170,20 +170,6 @@ def breakouts(spark: SparkSession, d: str) -> DataFrame:
     return out.select("format", "slug", "decks", "before", "first_seen", "main_decks", "best_prestige", numbers.share(F.col("decks"), F.col("na")).alias("share"))
 
 
-@query(
-    "consensus_lists",
-    f"""
-WITH {DECKS}, {LINES}, s AS (SELECT archetype, deck_id, board, slug, qty FROM decks JOIN lines USING (deck_id) WHERE place = 1 AND ts >= TIMESTAMP '1998-01-01' AND ts < TIMESTAMP '1998-04-01'),
-n AS (SELECT archetype, count(DISTINCT deck_id) AS n FROM s GROUP BY 1), p AS (SELECT archetype, board, slug, count(*) AS decks, sum(qty) AS copies FROM s GROUP BY ALL)
-SELECT archetype, board, slug, decks, CAST(greatest(1, floor(copies / decks + 0.5)) AS BIGINT) AS quantity FROM p JOIN n USING (archetype) WHERE 2 * decks >= n
-""",
-)
-def consensus_lists(spark: SparkSession, d: str) -> DataFrame:
-    """Cards in at least half of an archetype's lists, copies rounded half up."""
-    rows = decks(spark, d).where("place = 1 and ts >= '1998-01-01' and ts < '1998-04-01'").select("deck_id", "archetype")
-    return tallies.consensus(lines(spark, d).join(rows, "deck_id"), ["archetype"])
-
-
 @query(
     "hands",
     f"""WITH {DECKS}, {LINES} SELECT * FROM (SELECT archetype, slug, CAST(sum(qty) AS BIGINT) AS copies, CAST(row_number() OVER (PARTITION BY archetype ORDER BY sum(qty) DESC, slug) AS INTEGER) AS rank FROM decks JOIN lines USING (deck_id) GROUP BY 1, 2) WHERE rank <= 5""",
@@ -226,19 +212,6 @@ def card_archetype_rollup(spark: SparkSession, d: str) -> DataFrame:
     return x.join(ids, ["slug", "format", "archetype"]).withColumn("avg_copies", F.round(F.col("copies") / F.col("decks"), 1))
 
 
-@query(
-    "majority_colors",
-    f"""
-WITH {DECKS}, {LINES}, {CATALOG}, s AS (SELECT DISTINCT archetype, deck_id, color FROM decks JOIN lines USING (deck_id) JOIN catalog USING (slug) WHERE place = 1),
-k AS (SELECT archetype, count(DISTINCT deck_id) AS known FROM s GROUP BY 1) SELECT archetype, color, count(*) AS n, known FROM s JOIN k USING (archetype) GROUP BY archetype, color, known HAVING 2 * count(*) >= known
-""",
-)
-def majority_colors(spark: SparkSession, d: str) -> DataFrame:
-    """Colours in at least half of the known decks of an archetype."""
-    span = lines(spark, d).join(decks(spark, d).where("place = 1").select("deck_id", "archetype"), "deck_id").join(catalog(spark, d).select("slug", "color"), "slug")
-    return tallies.majority(span, ["archetype"], "deck_id", "color")
-
-
 @query(
     "apportioned_shares",
     f"""

@@ -8,8 +8,6 @@ from gleaner.operators import pages
 from gleaner.plans.registry import query
 from gleaner.session import table
 
-K, SIZE, NAME, TYPE, BRAND = F.col("p_partkey"), F.col("p_size"), F.col("p_name"), F.col("p_type"), F.col("p_brand")
-
 
 def _s(c: Column) -> Column:
     return c.cast("string")
@@ -36,11 +34,11 @@ SELECT p_brand, CAST(p_partkey % 50 AS VARCHAR) AS event_id, slug, CASE p_type W
 )
 def month_index(spark: SparkSession, d: str) -> DataFrame:
     """Events of an index page by address, once each, with the longest format prefix; unknown formats are dropped."""
-    head = F.when(TYPE == "PROMO", "frontier-cup").when(TYPE == "LARGE", "modern-challenge-32").when(TYPE == "SMALL", "modern-league").otherwise("standard-super-qualifier")
-    slug = F.concat(head, F.lit("-2024-01-"), F.lpad(_s(1 + SIZE % 28), 2, "0"), _s(K % 50))
+    head = F.when(F.col("p_type") == "PROMO", "frontier-cup").when(F.col("p_type") == "LARGE", "modern-challenge-32").when(F.col("p_type") == "SMALL", "modern-league").otherwise("standard-super-qualifier")
+    slug = F.concat(head, F.lit("-2024-01-"), F.lpad(_s(1 + F.col("p_size") % 28), 2, "0"), _s(F.col("p_partkey") % 50))
     made = _page(
-        spark, d, F.when(SIZE % 9 > 0, '<li class="decklists-item x">').otherwise("<li>"), '<a class="decklists-link" href="/decklist/', slug, '">',
-        F.when(SIZE % 4 > 0, F.concat(F.lit("<div><h3> "), NAME, F.lit("\n</h3></div>"))).otherwise("<b>no title</b>"), "</a></li>", head="<ul>", tail="</ul>",
+        spark, d, F.when(F.col("p_size") % 9 > 0, '<li class="decklists-item x">').otherwise("<li>"), '<a class="decklists-link" href="/decklist/', slug, '">',
+        F.when(F.col("p_size") % 4 > 0, F.concat(F.lit("<div><h3> "), F.col("p_name"), F.lit("\n</h3></div>"))).otherwise("<b>no title</b>"), "</a></li>", head="<ul>", tail="</ul>",
     )
     formats = spark.createDataFrame([("modern", "Modern"), ("modern-challenge", "Challenge"), ("standard", "Standard")], "prefix string, format string")
     return pages.month_index(made, "p_brand", "html", formats).select("p_brand", "event_id", "slug", "format", "name", "day")
@@ -55,8 +53,8 @@ SELECT p_brand, CAST(p_size AS VARCHAR) AS event_id, p_name AS title, DATE '2024
 )
 def event_list(spark: SparkSession, d: str) -> DataFrame:
     """Dated rows of a list, the first of each event, and whether there is a next page."""
-    day = F.concat(F.lpad(_s(1 + K % 28), 2, "0"), F.lit("/03/24"))
-    made = _page(spark, d, '<tr><td><a href="event?e=', _s(SIZE), '&f=1">', NAME, '</a></td><td class="S12">', F.when(K % 7 > 0, day).otherwise("soon"), "</td></tr>", head="<table>", tail=F.when(F.col("n") % 2 == 0, '</table><a href="?cp=2">Next</a>').otherwise('<a href="?x">Next</a>'))
+    day = F.concat(F.lpad(_s(1 + F.col("p_partkey") % 28), 2, "0"), F.lit("/03/24"))
+    made = _page(spark, d, '<tr><td><a href="event?e=', _s(F.col("p_size")), '&f=1">', F.col("p_name"), '</a></td><td class="S12">', F.when(F.col("p_partkey") % 7 > 0, day).otherwise("soon"), "</td></tr>", head="<table>", tail=F.when(F.col("n") % 2 == 0, '</table><a href="?cp=2">Next</a>').otherwise('<a href="?x">Next</a>'))
     return pages.event_list(made, "p_brand", "html")
 
 
@@ -67,8 +65,8 @@ def event_list(spark: SparkSession, d: str) -> DataFrame:
 def event_placements(spark: SparkSession, d: str) -> DataFrame:
     """Placed decks with archetype, player and family; places without a deck or player are left out."""
     made = _page(
-        spark, d, '<div class="r"><div class="S14" style="', F.when(K % 7 > 0, "width: 42px").otherwise("width:9px"), '">', _s(SIZE), '</div><div><a href="event?e=1&d=', _s(K), '">', NAME, "</a></div>",
-        F.when(K % 5 > 0, F.concat(F.lit('<a class="player" href="p">'), TYPE, F.lit("</a>"))).otherwise(""), F.when(SIZE % 3 > 0, F.concat(F.lit('<img src="/metas_thumbs/'), _s(SIZE), F.lit('.jpg">'))).otherwise('<img src="/x.png">'), "</div>",
+        spark, d, '<div class="r"><div class="S14" style="', F.when(F.col("p_partkey") % 7 > 0, "width: 42px").otherwise("width:9px"), '">', _s(F.col("p_size")), '</div><div><a href="event?e=1&d=', _s(F.col("p_partkey")), '">', F.col("p_name"), "</a></div>",
+        F.when(F.col("p_partkey") % 5 > 0, F.concat(F.lit('<a class="player" href="p">'), F.col("p_type"), F.lit("</a>"))).otherwise(""), F.when(F.col("p_size") % 3 > 0, F.concat(F.lit('<img src="/metas_thumbs/'), _s(F.col("p_size")), F.lit('.jpg">'))).otherwise('<img src="/x.png">'), "</div>",
     )
     return pages.placements(made, "p_brand", "html")
 
@@ -79,8 +77,8 @@ def event_placements(spark: SparkSession, d: str) -> DataFrame:
 )
 def profile_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     """Paragraphs of a profile without boilerplate, from its article if it has one."""
-    tag = lambda end: F.when(SIZE % 5 == 0, "").otherwise(end)
-    body = F.concat(F.lit("<body><p>outside</p>"), tag("<article>"), F.lit("<h2>"), BRAND, F.lit("</h2><p>EXPLORE THE LORE</p><p>"), NAME, F.lit(" &amp;\n <b>more</b></p><div><p>"), F.when(SIZE % 2 == 0, TYPE).otherwise(" "), F.lit("</p></div>"), tag("</article>"), F.lit("</body>"))
+    tag = lambda end: F.when(F.col("p_size") % 5 == 0, "").otherwise(end)
+    body = F.concat(F.lit("<body><p>outside</p>"), tag("<article>"), F.lit("<h2>"), F.col("p_brand"), F.lit("</h2><p>EXPLORE THE LORE</p><p>"), F.col("p_name"), F.lit(" &amp;\n <b>more</b></p><div><p>"), F.when(F.col("p_size") % 2 == 0, F.col("p_type")).otherwise(" "), F.lit("</p></div>"), tag("</article>"), F.lit("</body>"))
     return pages.profile(table(spark, d, "part").select("p_partkey", body.alias("html")), "p_partkey", "html").select("p_partkey", "text")
 
 
@@ -93,7 +91,7 @@ SELECT p_partkey, unnest(CASE WHEN p_size > a THEN [{'text': repeat('y', p_size)
 )
 def archived_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     """The paragraphs of the block that directly holds most text, if that is enough."""
-    body = F.concat(F.lit("<div><p>"), NAME, F.lit("</p><p>"), TYPE, F.lit("</p><hr><p>Art by X</p><p>"), BRAND, F.lit("</p></div><section><p>"), F.expr("repeat('y', p_size)"), F.lit("</p></section><nav><div><p>" + "z" * 900 + "</p></div></nav>"))
+    body = F.concat(F.lit("<div><p>"), F.col("p_name"), F.lit("</p><p>"), F.col("p_type"), F.lit("</p><hr><p>Art by X</p><p>"), F.col("p_brand"), F.lit("</p></div><section><p>"), F.expr("repeat('y', p_size)"), F.lit("</p></section><nav><div><p>" + "z" * 900 + "</p></div></nav>"))
     return pages.archived(table(spark, d, "part").select("p_partkey", body.alias("html")), "p_partkey", "html", least=35).select("p_partkey", "text", "scene")
 
 
@@ -107,9 +105,9 @@ SELECT p_partkey, unnest([{'text': 'An introduction of ' || p_name, 'section': '
 def wiki_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     """Paragraphs and items by section; skipped sections, tables, boxes, nested lists and short texts are left out."""
     body = F.concat(
-        F.lit('<div class="mw-parser-output"><p>An introduction of '), NAME, F.lit("</p><h2>History[edit]</h2><p>What happened to "), NAME, F.lit(" then</p><ul><li>A long list item of "), NAME,
+        F.lit('<div class="mw-parser-output"><p>An introduction of '), F.col("p_name"), F.lit("</p><h2>History[edit]</h2><p>What happened to "), F.col("p_name"), F.lit(" then</p><ul><li>A long list item of "), F.col("p_name"),
         F.lit(" <ul><li>with a nested one</li></ul></li><li>short</li></ul><h3>Sub</h3><p>too short</p><h2>Trivia [ edit | edit source ]</h2><p>Never shown, though it is long</p><h3>In it</h3><p>Never shown either, in its part</p>"),
-        F.lit('<h2>Later</h2><table><tr><td><p>This is in a table, long enough</p></td></tr></table><div class="infobox left"><p>This is in a box, long enough</p></div><p>The last words on '), NAME, F.lit("</p></div>"),
+        F.lit('<h2>Later</h2><table><tr><td><p>This is in a table, long enough</p></td></tr></table><div class="infobox left"><p>This is in a box, long enough</p></div><p>The last words on '), F.col("p_name"), F.lit("</p></div>"),
     )
     return pages.wiki(table(spark, d, "part").select("p_partkey", body.alias("html")), "p_partkey", "html").select("p_partkey", "text", "section", "scene")
 
@@ -125,9 +123,9 @@ def _book_line() -> Column:
     from pyspark.sql import Window
 
     i = _s(F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")))
-    n, t = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")), SIZE % 7
-    out = F.when(t == 0, F.concat(_s(n % 10), F.lit(". "), NAME)).when(t == 1, F.concat(_s(100 + n), F.lit(". "), NAME)).when(t == 2, F.concat(F.lit("100."), i, F.lit(". "), NAME)).when(t == 3, F.concat(F.lit("100."), i, F.lit("ab "), NAME))
-    return out.when(t == 4, F.concat(F.lit("Example: "), NAME)).when(t == 5, F.concat(F.lit("606."), i, F.lit(" "), NAME)).otherwise(F.concat(F.lit(" "), NAME, F.lit(" ")))
+    n, t = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")), F.col("p_size") % 7
+    out = F.when(t == 0, F.concat(_s(n % 10), F.lit(". "), F.col("p_name"))).when(t == 1, F.concat(_s(100 + n), F.lit(". "), F.col("p_name"))).when(t == 2, F.concat(F.lit("100."), i, F.lit(". "), F.col("p_name"))).when(t == 3, F.concat(F.lit("100."), i, F.lit("ab "), F.col("p_name")))
+    return out.when(t == 4, F.concat(F.lit("Example: "), F.col("p_name"))).when(t == 5, F.concat(F.lit("606."), i, F.lit(" "), F.col("p_name"))).otherwise(F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")))
 
 
 @query(
@@ -141,7 +139,7 @@ FROM x LEFT JOIN (SELECT pos, number FROM l) a ON a.pos = pc LEFT JOIN (SELECT p
 )
 def rule_book(spark: SparkSession, d: str) -> DataFrame:
     """A rule book's chapters, sections, rules, subrules and examples, lines that go on, and what has no place."""
-    rows = table(spark, d, "part").select("p_brand", K.alias("pos"), _book_line().alias("line"))
+    rows = table(spark, d, "part").select("p_brand", F.col("p_partkey").alias("pos"), _book_line().alias("line"))
     return pages.book(rows, "p_brand", "pos", "line")
 
 
@@ -154,7 +152,7 @@ SELECT p_brand, min(pos) AS pos, arg_min(p_name, pos) AS term, coalesce(array_to
 )
 def glossary_entries(spark: SparkSession, d: str) -> DataFrame:
     """Glossary entries between blank lines; a term without a definition is a problem."""
-    rows = table(spark, d, "part").select("p_brand", K.alias("pos"), F.when(SIZE % 4 == 0, " ").otherwise(NAME).alias("line"))
+    rows = table(spark, d, "part").select("p_brand", F.col("p_partkey").alias("pos"), F.when(F.col("p_size") % 4 == 0, " ").otherwise(F.col("p_name")).alias("line"))
     return pages.glossary(rows, "p_brand", "pos", "line")
 
 
@@ -164,6 +162,6 @@ def glossary_entries(spark: SparkSession, d: str) -> DataFrame:
 )
 def story_days(spark: SparkSession, d: str) -> DataFrame:
     """The day in a note, else in the slug, else of publication; days that do not exist don't count."""
-    notes = F.array(NAME, F.when(SIZE % 3 == 0, "Editor's Note: This story was originally published on February 24, 2016.").otherwise("It was originally published on Smarch 40, 2016."))
-    slug = F.when(SIZE % 3 == 1, F.concat(F.lit("the-"), _s(SIZE), F.lit("-2019-05-"), F.lpad(_s(1 + K % 20), 2, "0"))).otherwise(F.concat(NAME, F.lit("-2019-99-99")))
-    return table(spark, d, "part").select("p_partkey", pages.story_day(notes, slug, F.when(SIZE % 2 == 0, "2023-06-01T10:00:00Z").otherwise("unknown")).alias("day"))
+    notes = F.array(F.col("p_name"), F.when(F.col("p_size") % 3 == 0, "Editor's Note: This story was originally published on February 24, 2016.").otherwise("It was originally published on Smarch 40, 2016."))
+    slug = F.when(F.col("p_size") % 3 == 1, F.concat(F.lit("the-"), _s(F.col("p_size")), F.lit("-2019-05-"), F.lpad(_s(1 + F.col("p_partkey") % 20), 2, "0"))).otherwise(F.concat(F.col("p_name"), F.lit("-2019-99-99")))
+    return table(spark, d, "part").select("p_partkey", pages.story_day(notes, slug, F.when(F.col("p_size") % 2 == 0, "2023-06-01T10:00:00Z").otherwise("unknown")).alias("day"))

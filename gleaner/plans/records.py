@@ -102,7 +102,7 @@ def deck_audit(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "overlaid_answers",
     f"""
-WITH {DECKS}, o AS (SELECT format, archetype, min(player) AS answer FROM decks WHERE ts < TIMESTAMP '1998-01-01' GROUP BY 1, 2), n AS (SELECT format, archetype, max(player) AS answer FROM decks WHERE ts >= TIMESTAMP '1998-01-01' AND prestige > 1 AND place = 1 GROUP BY 1, 2)
+WITH {DECKS}, o AS (SELECT format, archetype, min(player) AS answer FROM decks WHERE ts < TIMESTAMP '1998-01-01' GROUP BY 1, 2), n AS (SELECT format, archetype, max(player) AS answer FROM decks WHERE ts >= TIMESTAMP '1998-01-01' GROUP BY 1, 2)
 SELECT coalesce(n.format, o.format) AS format, coalesce(n.archetype, o.archetype) AS archetype, coalesce(n.answer, o.answer, 'none') AS answer, n.answer IS NOT NULL AS rewritten FROM n FULL JOIN o ON n.format = o.format AND n.archetype = o.archetype
 """,
 )
@@ -110,7 +110,7 @@ def overlaid_answers(spark: SparkSession, d: str) -> DataFrame:
     """New answers by composite key over the old ones; the others stay."""
     rows = decks(spark, d)
     old = rows.where("ts < '1998-01-01'").groupBy("format", "archetype").agg(F.min("player").alias("old"))
-    new = rows.where("ts >= '1998-01-01' and prestige > 1 and place = 1").groupBy("format", "archetype").agg(F.max("player").alias("new"))
+    new = rows.where("ts >= '1998-01-01'").groupBy("format", "archetype").agg(F.max("player").alias("new"))
     return new.join(old, ["format", "archetype"], "full").select("format", "archetype", F.coalesce("new", "old", F.lit("none")).alias("answer"), F.col("new").isNotNull().alias("rewritten"))
 
 

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from gleaner.functions import text
-from gleaner.operators import containment, diff, graph, matching, probability, similarity, tallies, timeseries, topk
-from gleaner.plans.bindings import DECKS, LINES, PRICES, decks, lines, prices
+from gleaner.operators import containment, diff, graph, matching, probability, similarity, timeseries, topk
+from gleaner.plans.bindings import DECKS, PRICES, decks, prices
 from gleaner.plans.registry import query
 from gleaner.session import table
 
@@ -215,19 +214,6 @@ def confident_matches(spark: SparkSession, d: str) -> DataFrame:
     return matching.confident(x, "kind", "n", "archetype", 50, 1.1)
 
 
-@query(
-    "contained_combos",
-    f"""
-WITH {LINES}, c AS (SELECT DISTINCT p_size AS combo, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM part WHERE p_brand = 'Brand#1' AND p_retailprice < 1000), n AS (SELECT combo, count(*) AS n FROM c GROUP BY 1), l AS (SELECT DISTINCT deck_id, slug FROM lines)
-SELECT combo, deck_id, n - count(*) AS lacking FROM c JOIN n USING (combo) JOIN l USING (slug) GROUP BY combo, deck_id, n HAVING n - count(*) <= 1 AND n > 1
-""",
-)
-def contained_combos(spark: SparkSession, d: str) -> DataFrame:
-    """Combinations that a deck holds or lacks one card of."""
-    combos = table(spark, d, "part").where("p_brand = 'Brand#1' and p_retailprice < 1000").select(F.col("p_size").alias("combo"), text.ascii_slug(F.col("p_name")).alias("slug"))
-    return containment.contained(combos, lines(spark, d), "combo", "deck_id", "slug", missing=1)
-
-
 @query(
     "combo_supersets",
     """
@@ -241,46 +227,6 @@ def combo_supersets(spark: SparkSession, d: str) -> DataFrame:
     return containment.supersets(rows, "combo", "p_name")
 
 
-@query(
-    "cards_everywhere",
-    f"""
-WITH {DECKS}, {LINES}, s AS (SELECT CAST(ts AS DATE) AS day, format, deck_id, slug FROM decks JOIN lines USING (deck_id) WHERE place = 1), n AS (SELECT day, format, count(DISTINCT deck_id) AS n FROM s GROUP BY 1, 2)
-SELECT day, format, slug, count(DISTINCT deck_id) AS decks FROM s JOIN n USING (day, format) GROUP BY day, format, slug, n HAVING count(DISTINCT deck_id) = n
-""",
-)
-def cards_everywhere(spark: SparkSession, d: str) -> DataFrame:
-    """Cards in all decks of a group."""
-    rows = decks(spark, d).where("place = 1").select("deck_id", "format", F.to_date("ts").alias("day"))
-    return tallies.everywhere(lines(spark, d).join(rows, "deck_id"), ["day", "format"])
-
-
-@query(
-    "set_signatures",
-    """
-WITH c AS (SELECT l_orderkey, string_agg(DISTINCT CAST(l_suppkey AS VARCHAR), '|' ORDER BY CAST(l_suppkey AS VARCHAR)) AS signature FROM lineitem WHERE l_linenumber = 1 GROUP BY 1)
-SELECT signature, min(l_orderkey) AS kept, count(*) - 1 AS dropped FROM c GROUP BY 1 HAVING count(*) > 1
-""",
-)
-def set_signatures(spark: SparkSession, d: str) -> DataFrame:
-    """Collections of the same set, the first kept."""
-    rows = table(spark, d, "lineitem").where("l_linenumber = 1")
-    return containment.signature(rows, ["l_orderkey"], "l_suppkey").groupBy("signature").agg(F.min("l_orderkey").alias("kept"), (F.count(F.lit(1)) - 1).alias("dropped")).where("dropped > 0")
-
-
-@query(
-    "list_differences",
-    f"""
-WITH {DECKS}, {LINES}, a AS (SELECT board, slug, sum(qty) AS q FROM lines JOIN decks USING (deck_id) WHERE archetype = 'NATION_1' AND year(ts) = 1998 GROUP BY 1, 2), b AS (SELECT board, slug, sum(qty) AS q FROM lines JOIN decks USING (deck_id) WHERE archetype = 'NATION_1' AND year(ts) = 1997 GROUP BY 1, 2)
-SELECT board, slug, CAST(greatest(coalesce(a.q, 0) - coalesce(b.q, 0), 0) AS BIGINT) AS added, CAST(greatest(coalesce(b.q, 0) - coalesce(a.q, 0), 0) AS BIGINT) AS removed FROM a FULL JOIN b USING (board, slug) WHERE coalesce(a.q, 0) <> coalesce(b.q, 0)
-""",
-)
-def list_differences(spark: SparkSession, d: str) -> DataFrame:
-    """Copies added to and removed from a list."""
-    rows = lines(spark, d).join(decks(spark, d).where("archetype = 'NATION_1'").select("deck_id", "ts"), "deck_id")
-    total = lambda y: rows.where(F.year("ts") == y).groupBy("board", "slug").agg(F.sum("qty").alias("qty"))
-    return diff.list_diff(total(1998), total(1997), ["board", "slug"], "qty")
-
-
 def _snapshot(spark: SparkSession, d: str, until: str) -> DataFrame:
     rows = decks(spark, d).where(F.col("ts") < F.lit(until).cast("timestamp"))
     return rows.groupBy("player").agg(F.count(F.lit(1)).alias("decks"), F.sum("place").cast("bigint").alias("places"))
@@ -373,23 +319,6 @@ def round_robin(spark: SparkSession, d: str) -> DataFrame:
     return topk.round_robin(decks(spark, d), "format", [F.col("place"), F.col("ts"), F.col("deck_id")]).select("deck_id", "format", "turn")
 
 
-_VEC = f"""{DECKS}, {LINES}, v AS (SELECT archetype, slug, sum(least(qty, 4)) AS w FROM decks JOIN lines USING (deck_id) WHERE place = 1 AND year(ts) = 1998 GROUP BY 1, 2), nrm AS (SELECT archetype, sqrt(sum(w * w)) AS n FROM v GROUP BY 1)"""
-
-
-def _vectors(spark: SparkSession, d: str) -> DataFrame:
-    rows = decks(spark, d).where("place = 1 and year(ts) = 1998").select("deck_id", "archetype", "format")
-    return lines(spark, d).join(rows, "deck_id").groupBy("format", "archetype", "slug").agg(F.sum(F.least("qty", F.lit(4))).alias("w"))
-
-
-@query(
-    "archetype_cosines",
-    f"""WITH {_VEC} SELECT a.archetype AS a, b.archetype AS b, round(sum(a.w * b.w) / (x.n * y.n), 9) AS cosine FROM v a JOIN v b USING (slug) JOIN nrm x ON x.archetype = a.archetype JOIN nrm y ON y.archetype = b.archetype WHERE a.archetype < b.archetype GROUP BY a.archetype, b.archetype, x.n, y.n""",
-)
-def archetype_cosines(spark: SparkSession, d: str) -> DataFrame:
-    """Cosines of archetype pairs over shared cards."""
-    return similarity.self_cosine(_vectors(spark, d).drop("format"), "archetype", ["slug"]).withColumn("cosine", F.round("cosine", 9))
-
-
 def clusters(spark: SparkSession, d: str, v: DataFrame) -> DataFrame:
     """Leader clusters of each format's archetypes by their vectors v (format, archetype, slug, w)."""
     sizes = decks(spark, d).groupBy("format", "archetype").agg(F.count(F.lit(1)).alias("decks"))
@@ -401,29 +330,6 @@ def clusters(spark: SparkSession, d: str, v: DataFrame) -> DataFrame:
     return similarity.leaders(sizes, scores, "format", "archetype", "decks", 0.9)
 
 
-@query("leader_clusters")
-def leader_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """Leader clustering of each format's archetypes."""
-    return clusters(spark, d, _vectors(spark, d))
-
-
-@query(
-    "nearest_profile",
-    f"""
-WITH {_VEC}, x AS (SELECT deck_id, slug, sum(least(qty, 4)) AS w FROM lines JOIN decks USING (deck_id) WHERE place = 2 AND year(ts) = 1998 GROUP BY 1, 2), xn AS (SELECT deck_id, sqrt(sum(w * w)) AS n FROM x GROUP BY 1), sz AS (SELECT archetype, count(*) AS decks FROM decks GROUP BY 1),
-c AS (SELECT x.deck_id, v.archetype, sum(x.w * v.w) / (xn.n * nrm.n) AS cosine, decks FROM x JOIN v USING (slug) JOIN xn ON xn.deck_id = x.deck_id JOIN nrm ON nrm.archetype = v.archetype JOIN sz ON sz.archetype = v.archetype GROUP BY x.deck_id, v.archetype, xn.n, nrm.n, decks)
-SELECT deck_id, archetype, round(cosine, 9) AS cosine FROM (SELECT *, row_number() OVER (PARTITION BY deck_id ORDER BY round(cosine, 12) DESC, decks DESC, archetype) AS k FROM c WHERE cosine >= 0.25) WHERE k = 1
-""",
-)
-def nearest_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Each list's nearest profile at a threshold, ties to the bigger."""
-    rows = decks(spark, d)
-    lists = lines(spark, d).join(rows.where("place = 2 and year(ts) = 1998").select("deck_id"), "deck_id").groupBy("deck_id", "slug").agg(F.sum(F.least("qty", F.lit(4))).alias("w"))
-    scores = similarity.sparse_cosine(lists, _vectors(spark, d).drop("format"), "deck_id", "archetype", ["slug"])
-    sizes = rows.groupBy("archetype").agg(F.count(F.lit(1)).alias("decks"))
-    return similarity.assigned(scores.join(sizes, "archetype"), "deck_id", "archetype", "decks", 0.25).select("deck_id", "archetype", F.round("cosine", 9).alias("cosine"))
-
-
 @query("principal_axes")
 def principal_axes(spark: SparkSession, d: str) -> DataFrame:
     """Half-precision vectors projected on their strongest axes."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import classify, dates, numbers, text
 from gleaner.operators import containment, diff, graph, matching, priority, probability, similarity, tallies, texts, timeseries, topk, trends, windows
-from gleaner.sources import history, html, images, jsonlines, sinks
+from gleaner.sources import history, html, jsonlines, sinks
 
 settings.register_profile("spark", max_examples=15, deadline=None)
 settings.load_profile("spark")

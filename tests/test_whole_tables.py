@@ -1,4 +1,4 @@
-"""The whole-table queries cover what their slices leave out; their rows are held against SQL in test_queries."""
+"""Queries over decks and lines take part of every deck, archetype and line; their rows are held against SQL in test_queries."""
 
 import math
 from collections import defaultdict
@@ -23,21 +23,21 @@ def test_leader_clusters_of_all_decks_equal_brute_force(spark, duck, sf_dir):
         if best is None or cosine(vectors[a], vectors[best]) < 0.9:
             leaders[f].append(best := a)
         want[f, a] = best
-    assert {(r["format"], r["archetype"]): r["leader"] for r in ALL["leader_clusters_whole"](spark, sf_dir).collect()} == want
+    assert {(r["format"], r["archetype"]): r["leader"] for r in ALL["leader_clusters"](spark, sf_dir).collect()} == want
 
 
 def test_every_deck_and_archetype_takes_part(spark, duck, sf_dir):
     ((listed,),) = duck.sql(f"WITH {LINES} SELECT count(DISTINCT deck_id) FROM lines JOIN orders ON o_orderkey = deck_id").fetchall()
-    assert ALL["nearest_profile_whole"](spark, sf_dir).select("deck_id").distinct().count() > 0.9 * listed
+    assert ALL["nearest_profile"](spark, sf_dir).select("deck_id").distinct().count() > 0.9 * listed
     both = {r[0] for r in duck.sql(f"WITH {DECKS} SELECT archetype FROM decks JOIN lineitem ON l_orderkey = deck_id WHERE year(ts) = 1998 INTERSECT SELECT archetype FROM decks JOIN lineitem ON l_orderkey = deck_id WHERE year(ts) = 1997").fetchall()}
-    assert {r[0] for r in ALL["list_differences_whole"](spark, sf_dir).select("archetype").distinct().collect()} >= both
+    assert {r[0] for r in ALL["list_differences"](spark, sf_dir).select("archetype").distinct().collect()} >= both
 
 
 def test_signatures_take_all_lines(spark, tmp_path):
     """Orders that agree in their lines numbered 1 only are not the same set; one without such a line counts."""
     rows = [(1, 1, 7), (1, 2, 8), (2, 1, 7), (3, 2, 8), (3, 3, 7)]
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_suppkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
-    got = ALL["set_signatures_whole"](spark, str(tmp_path)).collect()
+    got = ALL["set_signatures"](spark, str(tmp_path)).collect()
     assert [tuple(r[c] for c in ("signature", "kept", "dropped")) for r in got] == [("7|8", 1, 1)]
 
 
