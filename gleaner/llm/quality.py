@@ -3,8 +3,8 @@
 Fixed rules decide first. Of the documents that pass them, a sketch of each metric is kept per language and source:
 counts of buckets whose width grows with the value (5 significant bits), so that sketches merge by adding counts and
 a quantile is off by at most 1/32. A document is kept if each metric is within [q25 - 3 d, q75 + 3 d], where d is the
-quartile distance or the metric's least distance if that is larger. Groups of fewer than SMALL documents use the
-merged sketch of their language, and languages of fewer the merged sketch of all.
+quartile distance or the metric's least distance if that is larger. Groups of fewer than small documents (a parameter,
+SMALL if not given) use the merged sketch of their language, and languages of fewer the merged sketch of all.
 
 The least distances of METRICS are wider than most groups' own, so they decide. With spread=True the sketch alone does:
 d is the largest of the quartile distance, the distance from q75 to the upper eighth, and one bucket of q75. The eighth
@@ -91,13 +91,13 @@ def _quartiles(sketch: DataFrame, *by: str) -> DataFrame:
     return upto.groupBy(*by, "m").agg(F.max("n").alias("n"), quartile(1).alias("q1"), quartile(3).alias("q3"), F.min(F.when(8 * F.col("upto") >= 7 * F.col("n"), F.col("b"))).alias("e"))
 
 
-def fences(sketch: DataFrame, spread: bool = False) -> DataFrame:
-    """Per language and source: lo_ and hi_ of each metric, from the smallest group with SMALL documents."""
+def fences(sketch: DataFrame, spread: bool = False, small: int = SMALL) -> DataFrame:
+    """Per language and source: lo_ and hi_ of each metric, from the smallest group with small documents or more."""
     own, language, all_ = (_quartiles(sketch, *by) for by in (("l", "s"), ("l",), ()))
     put = lambda df, p: df.select(*(c for c in df.columns if c in ("l", "s", "m")), *(F.col(c).alias(f"{p}{c}") for c in ("n", "q1", "q3", "e")))
     a, b, c = put(own, "a"), put(language, "b").withColumnsRenamed({"l": "bl", "m": "bm"}), put(all_, "c").withColumnRenamed("m", "cm")
     x = a.join(b, F.col("l").eqNullSafe(F.col("bl")) & (F.col("m") == F.col("bm"))).join(c, F.col("m") == F.col("cm"))
-    q = lambda k: F.when(F.col("an") >= SMALL, F.col(f"a{k}")).when(F.col("bn") >= SMALL, F.col(f"b{k}")).otherwise(F.col(f"c{k}"))
+    q = lambda k: F.when(F.col("an") >= small, F.col(f"a{k}")).when(F.col("bn") >= small, F.col(f"b{k}")).otherwise(F.col(f"c{k}"))
     least = F.create_map(*(F.lit(v) for m, (d, _) in METRICS.items() for v in (m, d)))
     x = x.select("l", "s", "m", q("q1").alias("q1"), q("q3").alias("q3"), q("e").alias("e"))
     if spread:
@@ -112,10 +112,10 @@ def fences(sketch: DataFrame, spread: bool = False) -> DataFrame:
     return x.groupBy("l", "s").agg(*(of(m, c) for m in METRICS for c in ("lo", "hi")))
 
 
-def report(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", spread: bool = False) -> DataFrame:
-    """Per row: the counts, base_failed and kept."""
+def report(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", spread: bool = False, small: int = SMALL) -> DataFrame:
+    """Per row: the counts, base_failed and kept. small: the least documents of a group with thresholds of its own."""
     rows = written(measured(docs, key=key, text=text, lang=lang, source=source))
-    limits = written(fences(sketches(rows), spread)).withColumnsRenamed({"l": "fl", "s": "fs"})
+    limits = written(fences(sketches(rows), spread, small)).withColumnsRenamed({"l": "fl", "s": "fs"})
     joined = rows.join(limits, F.col("l").eqNullSafe(F.col("fl")) & F.col("s").eqNullSafe(F.col("fs")), "left")
     inside = ~F.col("base_failed")
     for m, (_, low) in METRICS.items():

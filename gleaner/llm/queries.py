@@ -13,18 +13,36 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a CRF learned from the documents of which crc32(doc_id) mod 5 is not 0: held_out, lang_pred, score.
+
+    Null, empty and letterless texts are und with score 0; null languages are not learned; repeated rows get equal results;
+    the largest mean marginal decides, the first label of equals; an empty table gives no rows.
+    """
     return langid.report(table(spark, sf_dir, "documents"))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterned and high-entropy spans of every document: counts, digest of the patterned ones, all spans.
+
+    Null and empty texts have none; spans that overlap or tie are listed by start, then kind; repeated rows repeat.
+    """
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates by two-word shingles at 80 per cent: n_shingles, component_id, kept.
+
+    Null, empty and word-free texts are linked with nothing; rows without doc_id have no component and are kept; rows that
+    repeat a doc_id are one document; of a group the smallest doc_id is kept.
+    """
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the fixed rules and the verdict by thresholds of language and source, with the least distances its SQL states.
+
+    Null and empty texts fail; null languages and sources are groups of their own; repeated rows count again.
+    """
     return quality.report(table(spark, sf_dir, "documents"))
 
 
@@ -34,26 +52,50 @@ def op4_quality_rules_by_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best-scoring pieces of every text: tokens, checksum of the ids, and whether decoding restores the text.
+
+    Null and empty texts have no tokens; equal scores go to the longer last piece; repeated rows repeat.
+    """
     return pieces.report(table(spark, sf_dir, "documents"))
 
 
 def op6_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all texts in order of doc_id, read back: start, n_tokens, ids_crc32.
+
+    Null and empty texts are the end id alone; rows without doc_id come first, those with one doc_id in order of text.
+    """
     return wavelet.report(table(spark, sf_dir, "documents"))
 
 
 def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by a 100-byte string that starts earlier: n_bytes, n_removed, n_spans, digest of the rest.
+
+    Null, empty and shorter texts lose nothing; rows with a null or repeated doc_id are documents of their own, by text.
+    """
     return suffixes.report(table(spark, sf_dir, "documents"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later occurrences of three-line windows: lines with a word, removed lines and runs, digest of the rest.
+
+    Null, empty and shorter texts lose nothing; rows without doc_id are left alone; of rows that repeat one all stay.
+    """
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of benchmark items in every document: n_words, n_hit, items, contaminated.
+
+    Null and word-free texts are clean, such items match nothing; an item without an id is a hit that is not listed.
+    """
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One encoding of every document, its tokens attributed to its lines by the largest share, the earlier line of equals.
+
+    Null and empty texts have no tokens and one section; repeated rows repeat.
+    """
     return tokencounts.report(table(spark, sf_dir, "documents"))
 
 
