@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from gleaner.plans import carried, checks, documents, guides, lore, merging, metagame, pages, printings, records, relations, schedule, whole  # noqa: F401
+from gleaner.plans import carried, checks, documents, guides, lore, merging, metagame, pages, printings, records, relations, resolving, schedule, whole  # noqa: F401
