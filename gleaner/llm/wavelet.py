@@ -202,7 +202,7 @@ class Encoder:
     """The tokenizers library's encoder, asked once for each pre-token, as its merges never cross one.
 
     Texts with other characters than ASCII and Latin letters, or with the special token, go to the library whole. Of the
-    rest the pre-tokens are cut and looked up by two hashes of 64 bits for a whole batch at once (where only one of them
+    rest the pre-tokens are cut and looked up by two hashes of 64 and 32 bits for a whole batch at once (where only one of them
     agrees, the batch goes to the library); up to CACHE of them are kept from batch to batch, later ones are encoded anew.
     """
 
@@ -220,7 +220,9 @@ class Encoder:
             self.width[i] = len(piece)  # in the byte-level alphabet, one character is one byte
         self.plain = re.compile(" [A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
         self.known = _Table(CACHE.bit_length() + 1)
-        self.flat, self.first, self.size, self.second = np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        self.flat, self.first, self.size, self.second = np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.values = (spans.byte_values() >> np.uint64(32)).astype(np.uint32)
+        self.powers = np.zeros((2, 0), np.uint32)
 
     def _ids(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first id of each, number of ids of each). Space-led words are encoded as one text and cut apart by width."""
@@ -244,13 +246,21 @@ class Encoder:
             at += len(parts[-1])
         return np.concatenate(parts).astype(self.kind), first, size
 
+    def _second(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A second hash of the spans, of 32 bits and over other powers, as spans.span_hash is made."""
+        if self.powers.shape[1] < len(raw):
+            base = 0x9E3779B1
+            self.powers = np.stack([np.multiply.accumulate(np.concatenate(([1], np.full(len(raw) + (1 << 16), x))).astype(np.uint32), dtype=np.uint32) for x in (base, pow(base, -1, 1 << 32))])
+        sums = np.zeros(len(raw) + 1, np.uint32)
+        np.cumsum(self.values[raw] * self.powers[0, : len(raw)], dtype=np.uint32, out=sums[1:])
+        return (sums[end] - sums[start]) * self.powers[1][start]
+
     def _latin(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray] | None:
         """The ids of each text in ASCII and Latin letters; None if two pre-tokens have the same first hash."""
         start = pretokens(raw, offsets)
         end = np.concatenate((start[1:], [len(raw)]))
-        values = spans.byte_values()[raw]
-        h = spans.span_hash(spans.prefix(values, "bytes"), start, end, "bytes") | np.uint64(1)
-        second = spans.span_hash(spans.prefix(values, "words"), start, end, "words")
+        h = spans.span_hash(spans.prefix(spans.byte_values()[raw], "bytes"), start, end, "bytes") | np.uint64(1)
+        second = self._second(raw, start, end)
         number = self.known.find(h)
         flat, first, size = self.flat, self.first, self.size
         found = np.flatnonzero(number >= 0)
