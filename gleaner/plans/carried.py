@@ -130,8 +130,8 @@ def _window(spark: SparkSession, d: str, days: int) -> DataFrame:
     now = F.lit(NOW).cast("timestamp")
     rows = decks(spark, d).where((F.col("ts") >= now - F.make_dt_interval(days=F.lit(days))) & (F.col("ts") <= now) & (F.col("place") < 5))
     n = rows.groupBy("archetype").agg(F.count(F.lit(1)).alias("decks"))
-    total = rows.agg(F.count(F.lit(1)).alias("total"))
-    return n.join(F.broadcast(total)).select(F.col("archetype").alias("id"), F.lower("archetype").alias("name"), "decks", F.round(F.col("decks") * 100.0 / F.col("total"), 1).alias("share"))
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    return n.select(F.col("archetype").alias("id"), F.lower("archetype").alias("name"), "decks", F.round(F.col("decks") * 100.0 / total, 1).alias("share"))
 
 
 _WINDOW = """(SELECT archetype AS id, count(*) AS decks, round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS share FROM decks WHERE ts >= TIMESTAMP '{now}' - INTERVAL {days} DAY AND ts <= TIMESTAMP '{now}' AND place < 5 GROUP BY 1)"""
