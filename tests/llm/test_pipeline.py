@@ -96,7 +96,8 @@ def one_of_each(texts, size=5):
 def clean(texts, items, size=10):
     words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(LOWER))
     known = {tuple(w[i : i + min(size, len(w))]) for w in map(words, items) if w for i in range(len(w) - min(size, len(w)) + 1)}
-    return {d: t for d, t in texts.items() if not any(tuple(words(t)[i : i + len(k)]) == k for k in known for i in range(len(words(t)) - len(k) + 1))}
+    hit = lambda w: any(tuple(w[i : i + len(k)]) == k for k in known for i in range(len(w) - len(k) + 1))
+    return {d: t for d, t in texts.items() if not hit(words(t))}
 
 
 def test_run_equals_brute_force(spark, unique, unique_docs, tmp_path):
