@@ -202,9 +202,9 @@ def tint_luminance(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "tints",
     """
-WITH p AS (SELECT p_brand, p_size * 5 % 256 AS r, p_partkey % 256 AS g, p_size * p_partkey % 256 AS b FROM part), m AS (SELECT *, greatest(r, g, b) / 255.0 AS hi, least(r, g, b) / 255.0 AS lo FROM p),
+WITH p AS (SELECT p_brand, p_size * 5 % 256 AS r, p_partkey % 256 AS g, p_size * p_partkey % 256 AS b FROM part), m AS (SELECT *, CAST(r AS DOUBLE) / 255 AS x, CAST(g AS DOUBLE) / 255 AS y, CAST(b AS DOUBLE) / 255 AS z, greatest(x, y, z) AS hi, least(x, y, z) AS lo FROM p),
 h AS (SELECT *, hi - lo AS d, CASE WHEN hi = 0 THEN 0 ELSE (hi - lo) / hi END AS w FROM m),
-u AS (SELECT *, CASE WHEN d = 0 THEN 0 WHEN hi = r / 255.0 THEN CASE WHEN g >= b THEN (g - b) / 255.0 / d ELSE (g - b) / 255.0 / d + 6 END WHEN hi = g / 255.0 THEN (b - r) / 255.0 / d + 2 ELSE (r - g) / 255.0 / d + 4 END AS hue FROM h),
+u AS (SELECT *, CASE WHEN d = 0 THEN 0 WHEN hi = x THEN CASE WHEN y >= z THEN (y - z) / d ELSE (y - z) / d + 6 END WHEN hi = y THEN (z - x) / d + 2 ELSE (x - y) / d + 4 END AS hue FROM h),
 q AS (SELECT p_brand, CAST(floor(hue * 24 / 6) AS INTEGER) AS bin, sum(w) AS mass, sum(r * w) / nullif(sum(w), 0) AS r, sum(g * w) / nullif(sum(w), 0) AS g, sum(b * w) / nullif(sum(w), 0) AS b FROM u GROUP BY 1, 2),
 f AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY round(mass, 9) DESC, bin) = 1)
 SELECT p_brand, lower('#' || lpad(to_hex(CAST(round(coalesce(r, 0)) AS BIGINT)), 2, '0') || lpad(to_hex(CAST(round(coalesce(g, 0)) AS BIGINT)), 2, '0') || lpad(to_hex(CAST(round(coalesce(b, 0)) AS BIGINT)), 2, '0')) AS tint FROM f
