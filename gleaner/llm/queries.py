@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import decontaminate, langid, linededup, neardup, pieces, quality, secrets, suffixes, tokencounts, wavelet
+from gleaner.llm import decontaminate, langid, linededup, neardup, periodic, pieces, quality, secrets, suffixes, tokencounts, wavelet
 from gleaner.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,8 +99,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.report(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of 24 words and three periods or more in every text: their number, the one with most periods, digests of all and of the collapsed text.
+
+    Every tenth document by checksum of its doc_id first gets a tail that repeats its own beginning; rows without doc_id never.
+    Null, empty and word-free texts have no runs; of equal exponents the first start decides, then the period; repeated rows repeat.
+    """
+    return periodic.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_minhash_near_dedup, op4_quality_rules, op5_piece_encoding, op6_wavelet_token_files, op7_repeated_strings, op8_line_dedup, op9_decontaminate, op10_token_counts, op4_quality_rules_by_spread)}
+    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_minhash_near_dedup, op4_quality_rules, op5_piece_encoding, op6_wavelet_token_files, op7_repeated_strings, op8_line_dedup, op9_decontaminate, op10_token_counts, op11_periodic_runs, op4_quality_rules_by_spread)}
 
 
 def oracle_sql() -> dict[str, str]:
