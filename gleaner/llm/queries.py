@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import decontaminate, langid, linededup, neardup, periodic, pieces, quality, secrets, suffixes, tokencounts, wavelet
+from gleaner.llm import decontaminate, langid, licenses, linededup, neardup, periodic, pieces, quality, secrets, suffixes, tokencounts, wavelet
 from gleaner.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,8 +108,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(table(spark, sf_dir, "documents"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases and notices of licenses in every text by votes of word hashes for diagonals: places, labels, largest similarity.
+
+    Null, empty and word-free texts have none; of notices that share words the most similar stays, equals all; repeated rows repeat.
+    """
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_minhash_near_dedup, op4_quality_rules, op5_piece_encoding, op6_wavelet_token_files, op7_repeated_strings, op8_line_dedup, op9_decontaminate, op10_token_counts, op11_periodic_runs, op4_quality_rules_by_spread)}
+    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_minhash_near_dedup, op4_quality_rules, op5_piece_encoding, op6_wavelet_token_files, op7_repeated_strings, op8_line_dedup, op9_decontaminate, op10_token_counts, op11_periodic_runs, op13_license_scan, op4_quality_rules_by_spread)}
 
 
 def oracle_sql() -> dict[str, str]:
