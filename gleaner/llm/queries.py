@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleaner.llm import decontaminate, langid, licenses, linededup, neardup, periodic, pieces, quality, secrets, suffixes, tokencounts, wavelet
+from gleaner.llm import decontaminate, langid, licenses, linededup, neardup, negatives, periodic, pieces, quality, secrets, suffixes, tokencounts, wavelet
 from gleaner.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every fiftieth vector and each of its five nearest of its label, three nearest of other labels at 50 to 95 per cent of that score.
+
+    Rows without id or label, without a vector or with a null or non-finite component take no part; rows that repeat an id are one;
+    equal scores go by vec_id; copies count each.
+    """
+    return negatives.report(table(spark, sf_dir, "embeddings"))
+
+
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Phrases and notices of licenses in every text by votes of word hashes for diagonals: places, labels, largest similarity.
 
@@ -117,8 +126,8 @@ def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_minhash_near_dedup, op4_quality_rules, op5_piece_encoding, op6_wavelet_token_files, op7_repeated_strings, op8_line_dedup, op9_decontaminate, op10_token_counts, op11_periodic_runs, op13_license_scan, op4_quality_rules_by_spread)}
+    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_minhash_near_dedup, op4_quality_rules, op5_piece_encoding, op6_wavelet_token_files, op7_repeated_strings, op8_line_dedup, op9_decontaminate, op10_token_counts, op11_periodic_runs, op12_hard_negatives, op13_license_scan, op4_quality_rules_by_spread)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secret_scan": secrets.SQL, "op3_minhash_near_dedup": neardup.SQL, "op4_quality_rules": quality.SQL, "op7_repeated_strings": suffixes.SQL, "op8_line_dedup": linededup.SQL, "op9_decontaminate": decontaminate.SQL}
+    return {"op2_secret_scan": secrets.SQL, "op3_minhash_near_dedup": neardup.SQL, "op4_quality_rules": quality.SQL, "op7_repeated_strings": suffixes.SQL, "op8_line_dedup": linededup.SQL, "op9_decontaminate": decontaminate.SQL, "op12_hard_negatives": negatives.SQL}
