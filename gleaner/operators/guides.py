@@ -1,4 +1,4 @@
-"""Guides: inclusion scores, lift, levels, candidate pools, constrained fill and win lines."""
+"""Guides: inclusion scores, lift, levels, candidate pools, constrained fill."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleaner.operators.bounds import bounded
-from gleaner.operators.containment import contained
 from gleaner.operators.priority import first_per_key
 
 
@@ -85,15 +84,3 @@ def fill(candidates: DataFrame, group: str, card: str, role: str, score: str, ai
 
     kinds = dict(candidates.dtypes)
     return candidates.groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, pick int, {card} {kinds[card]}, {role} {kinds[role]}")
-
-
-def win_lines(combos: DataFrame, decks: DataFrame, combo: str, deck: str, element: str, wins: str, makes: str) -> DataFrame:
-    """Per deck: combinations that it holds, as `outright` if they win, `chained` if another held one wins with what they
-    make, else `outlet`. combos: a row per element, with boolean wins and the resource it makes (null if none)."""
-    held = contained(combos, decks, combo, deck, element).select(combo, deck)
-    facts = combos.groupBy(combo).agg(F.max(wins).alias("_w"), F.max(makes).alias("_m"))
-    x = held.join(facts, combo)
-    outlets = x.where("_w").select(deck, F.col("_m").alias("_uses")).where("_uses is not null").distinct()
-    chained = x.where("not _w").join(outlets, (x[deck] == outlets[deck]) & (x["_m"] == outlets["_uses"]), "left_semi").select(deck, combo, F.lit(True).alias("_c"))
-    out = x.join(chained, [deck, combo], "left")
-    return out.select(deck, combo, F.when(F.col("_w"), "outright").when(F.col("_c"), "chained").otherwise("outlet").alias("tier"))

@@ -140,21 +140,6 @@ def contained_combos(spark: SparkSession, d: str) -> DataFrame:
     return containment.contained(_combos(spark, d), lines(spark, d), "combo", "deck_id", "slug", missing=1)
 
 
-@query(
-    "win_lines",
-    f"""
-WITH {LINES}, c AS ({_COMBOS}), f AS (SELECT combo, count(*) AS n, CAST(substr(p_brand, 7) AS INTEGER) % 3 = 0 AS wins, 'r' || (CAST(substr(p_brand, 7) AS INTEGER) % 4) AS makes FROM c GROUP BY combo, p_brand),
-l AS (SELECT DISTINCT deck_id, slug FROM lines), h AS (SELECT deck_id, c.combo FROM c JOIN l USING (slug) JOIN f ON f.combo = c.combo GROUP BY deck_id, c.combo, n HAVING count(*) = n), x AS (SELECT h.deck_id, f.* FROM h JOIN f USING (combo))
-SELECT deck_id, combo, CASE WHEN wins THEN 'outright' WHEN EXISTS (SELECT 1 FROM x y WHERE y.deck_id = x.deck_id AND y.wins AND y.makes = x.makes) THEN 'chained' ELSE 'outlet' END AS tier FROM x
-""",
-)
-def win_lines(spark: SparkSession, d: str) -> DataFrame:
-    """What a deck's combinations of all parts (brand and size) lead to."""
-    n = F.substring("p_brand", 7, 9).cast("int")
-    combos = _combos(spark, d).select("combo", "slug", (n % 3 == 0).alias("wins"), F.concat(F.lit("r"), (n % 4).cast("string")).alias("makes"))
-    return guides.win_lines(combos, lines(spark, d), "combo", "deck_id", "slug", "wins", "makes")
-
-
 @query(
     "set_signatures",
     """
