@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gleaner.functions import dates, numbers, text as tx
 from gleaner.operators import graph, texts
 from gleaner.plans.bindings import DECKS, LINES, decks, lines
 from gleaner.plans.registry import query
-from gleaner.session import table
+from gleaner.session import setting, table
 from gleaner.sources import html, images, jsonlines, sinks
-from gleaner.streaming import windows as streams
+from gleaner.streaming import seen, windows as streams
 
 
 @query(
@@ -327,3 +329,37 @@ def streamed_matches(spark: SparkSession, d: str) -> DataFrame:
     a = _events(spark, d).where("event_type = 'view'").select("user_id", F.col("ts").alias("ta"), F.col("event_id").alias("view_id"))
     b = _events(spark, d).where("event_type = 'purchase'").select("user_id", F.col("ts").alias("tb"), F.col("event_id").alias("purchase_id"))
     return streams.settled(streams.matched(a, b, "user_id", "ta", "tb", "1 hour"), "append").select("view_id", "purchase_id")
+
+
+@query(
+    "streamed_debuts",
+    """SELECT o_custkey AS customer, CAST(o_orderdate AS TIMESTAMP) AS first_seen FROM (SELECT DISTINCT o_custkey, o_orderdate, lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS before FROM orders) WHERE before IS NULL OR o_orderdate > before + INTERVAL 30 DAY""",
+)
+def streamed_debuts(spark: SparkSession, d: str) -> DataFrame:
+    """Customers whose orders arrive year by year, each reported when seen after 30 days of silence; the state forgets those."""
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderdate").cast("timestamp").alias("ts"))
+    span = orders.agg(F.year(F.min("ts")), F.year(F.max("ts"))).first()
+    years = (orders.where(F.year("ts") == y) for y in range(span[0], span[1] + 1))
+    with setting(spark, *seen.STORE):
+        return streams.reruns(years, lambda rows: seen.first_seen(rows, "ts", "customer")).distinct()
+
+
+@query(
+    "streamed_waits",
+    """SELECT a.event_id AS view_id, b.event_id AS purchase_id FROM (SELECT * FROM events WHERE event_type = 'view') a LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') b ON a.user_id = b.user_id AND b.ts BETWEEN a.ts AND a.ts + INTERVAL 1 HOUR""",
+)
+def streamed_waits(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of one stream with later rows of another, or alone once the wait is over. The last slice is a heartbeat of both
+    streams that moves the watermark past all waits; it belongs to nobody."""
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    span = events.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [span[0] + (span[1] - span[0]) * k / 3 for k in range(1, 3)]
+    edges = [F.col("ts") < cuts[0], (F.col("ts") >= cuts[0]) & (F.col("ts") < cuts[1]), F.col("ts") >= cuts[1]]
+    heartbeat = spark.createDataFrame([(-1, "view"), (-2, "purchase")], "user_id long, event_type string").select(F.lit(None).cast("long").alias("event_id"), "user_id", "event_type", F.lit(span[1] + timedelta(days=30)).alias("ts"))
+
+    def waits(rows: DataFrame) -> DataFrame:
+        a = rows.where("event_type = 'view'").select("user_id", F.col("ts").alias("ta"), F.col("event_id").alias("view_id"))
+        b = rows.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("tb"), F.col("event_id").alias("purchase_id"))
+        return streams.matched(a, b, "user_id", "ta", "tb", "1 hour", "left_outer")
+
+    return streams.reruns([*(events.where(e) for e in edges), heartbeat], waits).where("view_id is not null").select("view_id", "purchase_id")

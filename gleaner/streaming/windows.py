@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -35,49 +35,76 @@ def distinct_within(rows: DataFrame, ts: str, key: str) -> DataFrame:
     return rows.withWatermark(ts, LATENESS).dropDuplicatesWithinWatermark([key])
 
 
-def matched(a: DataFrame, b: DataFrame, key: str, ts_a: str, ts_b: str, within: str) -> DataFrame:
-    """Rows of b up to `within` after a row of a with the same key; both sides wait for each other by watermark."""
+def matched(a: DataFrame, b: DataFrame, key: str, ts_a: str, ts_b: str, within: str, how: str = "inner") -> DataFrame:
+    """Rows of b up to `within` after a row of a with the same key; both sides wait for each other by watermark. With
+    how="left_outer" a row of a that nothing has matched comes out once the watermark is past its wait."""
     x = a.withWatermark(ts_a, LATENESS)
     y = b.withColumnRenamed(key, "_k").withWatermark(ts_b, LATENESS)
-    return x.join(y, (F.col(key) == F.col("_k")) & (F.col(ts_b) >= F.col(ts_a)) & (F.col(ts_b) <= F.col(ts_a) + F.expr(f"interval {within}"))).drop("_k")
+    return x.join(y, (F.col(key) == F.col("_k")) & (F.col(ts_b) >= F.col(ts_a)) & (F.col(ts_b) <= F.col(ts_a) + F.expr(f"interval {within}")), how).drop("_k")
 
 
-def settled(df: DataFrame, mode: str = "complete") -> DataFrame:
+def _place(spark: SparkSession, at: str | None) -> str:
+    return at or f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
+
+
+def tables(spark: SparkSession, folder: str) -> dict[int, str]:
+    """The complete tables of a folder by number. A batch names its table by its own number, and Spark marks it when it is
+    whole, so the folder itself says what the last state is: a query that starts again finds it there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+    return {int(n): f"{folder}/{n}" for n in names if n.isdigit() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/_SUCCESS"))}
+
+
+def settled(df: DataFrame, mode: str = "complete", at: str | None = None) -> DataFrame:
     """Runs the query over what is available and returns its result: the last complete table, or all appended rows.
 
-    State and results live in the shared folder; in complete mode each batch writes its own table and the last one counts.
+    State and results live in the shared folder, or in `at`: called again with the same place, the query goes on from
+    there. In complete mode each batch writes its own table and the last one counts.
     """
-    spark = df.sparkSession
-    at = f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
-    last: list[str] = []
+    spark, at = df.sparkSession, _place(df.sparkSession, at)
     if mode == "append":
         q = df.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     else:
 
         def keep(batch: DataFrame, n: int) -> None:
             batch.write.mode("overwrite").parquet(f"{at}/out/{n}")
-            last[:] = [f"{at}/out/{n}"]
 
         q = df.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(df.schema).parquet(last[0] if last else f"{at}/out")
+    if mode == "append":
+        return spark.read.schema(df.schema).parquet(f"{at}/out")
+    done = tables(spark, f"{at}/out")
+    return spark.read.schema(df.schema).parquet(done[max(done)]) if done else spark.createDataFrame([], df.schema)
+
+
+def reruns(slices: Iterable[DataFrame], query: Callable[[DataFrame], DataFrame], at: str | None = None) -> DataFrame:
+    """What a query appends that is run anew after each slice has arrived, with its state kept between the runs. slices: tables
+    of one schema, each no older than those before it by more than LATENESS."""
+    out = None
+    for rows in slices:
+        at = _place(rows.sparkSession, at)
+        rows.write.mode("append").parquet(f"{at}/in")
+        out = settled(query(rows.sparkSession.readStream.schema(rows.schema).parquet(f"{at}/in")), "append", at)
+    if out is None:
+        raise ValueError("no slice")
+    return out
 
 
-def upserted(rows: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], schema: str) -> DataFrame:
+def upserted(rows: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], schema: str, at: str | None = None) -> DataFrame:
     """A state table that each batch is merged into: merge(state, batch) gives the next state. Returns the last one.
 
-    Every batch writes a new table named by its number, so a batch that runs again overwrites only its own.
+    Every batch writes a new table named by its number, so a batch that runs again overwrites only its own; the last whole
+    table before it is its state, also where an earlier run of the query at the same place wrote it.
     """
-    spark = rows.sparkSession
-    at = f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
-    current: dict[int, str] = {}
+    spark, at = rows.sparkSession, _place(rows.sparkSession, at)
 
     def step(batch: DataFrame, n: int) -> None:
         s = batch.sparkSession
-        before = max((k for k in current if k < n), default=None)
-        state = s.read.schema(schema).parquet(current[before]) if before is not None else s.createDataFrame([], schema)
+        before = {k: v for k, v in tables(s, f"{at}/table").items() if k < n}
+        state = s.read.schema(schema).parquet(before[max(before)]) if before else s.createDataFrame([], schema)
         merge(state, batch).write.mode("overwrite").parquet(f"{at}/table/{n}")
-        current[n] = f"{at}/table/{n}"
 
     rows.writeStream.foreachBatch(step).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(schema).parquet(current[max(current)]) if current else spark.createDataFrame([], schema)
+    done = tables(spark, f"{at}/table")
+    return spark.read.schema(schema).parquet(done[max(done)]) if done else spark.createDataFrame([], schema)
