@@ -5,8 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gleaner.operators.bounds import bounded
-from gleaner.session import written
+from gleaner.session import ship, written
 
 
 def min_label(spark: SparkSession, edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -31,35 +30,49 @@ def min_label(spark: SparkSession, edges: DataFrame, a: str, b: str) -> DataFram
 def union_with_apart(edges: DataFrame, apart: DataFrame, group: str) -> DataFrame:
     """Groups of names joined by edges in order (column ord), except unions that would bring an apart pair together.
 
-    edges: group, ord, a, b; apart: group, a, b. Whether a union holds depends on the unions before it, so each group is
-    one task: of bounds.MOST different edges at most, more are an error. Repeated edges change nothing, so only the first of each is sent. Result: group, name, root (the first name of its set in order).
+    edges: group, ord, a, b; apart: group, a, b. Result: group, name, root (the smallest name of its set). Repeated edges change
+    nothing, so only the first of each counts. Plain components come first: one without an apart pair is a result as it is. Whether
+    a union holds depends on the unions before it, so each other component is one task that takes its edges in order.
     """
+    edges = written(edges.where("a is not null and b is not null").groupBy(group, "a", "b").agg(F.min("ord").alias("ord")))
+    end = lambda c: F.struct(F.col(group).alias("g"), F.col(c).alias("n"))
+    label = min_label(edges.sparkSession, edges.select(end("a").alias("x"), end("b").alias("y")), "x", "y")
+    of = label.select(F.col("node.g").alias(group), F.col("node.n").alias("name"), F.col("label.n").alias("label"))
+    foes = apart.select(group, "a", "b").distinct()
+    at = lambda c: of.select(group, F.col("name").alias(c), F.col("label").alias(f"_{c}"))
+    foes = written(foes.join(at("a"), [group, "a"]).join(at("b"), [group, "b"]).where("_a = _b").select(group, F.col("_a").alias("label"), "a", "b"))
+    split = foes.select(group, "label").distinct()
+    whole = of.join(split, [group, "label"], "left_anti").select(group, "name", F.col("label").alias("root"))
+    torn = edges.join(at("a"), [group, "a"]).withColumnRenamed("_a", "label").join(split, [group, "label"], "left_semi")
 
     def run(e: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
-        bounded(e, group), bounded(f, group)
         root: dict = {}
         members: dict = {}
         foes: dict = {}
         for x, y in zip(f["a"], f["b"]):
             foes.setdefault(x, set()).add(y)
             foes.setdefault(y, set()).add(x)
-        e = e.sort_values("ord")
+        e = e.sort_values(["ord", "a", "b"])
         for x in pd.unique(e[["a", "b"]].to_numpy().ravel()):
             root[x], members[x] = x, [x]
         for x, y in zip(e["a"], e["b"]):
             p, q = root[x], root[y]
-            if p == q or any(foes.get(m, set()) & set(members[q]) for m in members[p]):
+            if p == q:
                 continue
             if len(members[p]) < len(members[q]):
                 p, q = q, p
+            if any(root.get(z) == p for m in members[q] for z in foes.get(m, ())):
+                continue
             for m in members[q]:
                 root[m] = p
             members[p] += members.pop(q)
-        return pd.DataFrame({group: [e[group].iloc[0]] * len(root), "name": list(root), "root": list(root.values())}) if len(e) else pd.DataFrame({group: [], "name": [], "root": []})
+        least = {p: min(m) for p, m in members.items()}
+        return pd.DataFrame({group: [e[group].iloc[0]] * len(root), "name": list(root), "root": [least[p] for p in root.values()]})
 
-    edges = edges.groupBy(group, "a", "b").agg(F.min("ord").alias("ord"))
+    ship(edges.sparkSession)
     kind, name = dict(edges.dtypes)[group], dict(edges.dtypes)["a"]
-    return edges.groupBy(group).cogroup(apart.groupBy(group)).applyInPandas(run, f"{group} {kind}, name {name}, root {name}")
+    by = (group, "label")
+    return whole.unionByName(torn.groupBy(*by).cogroup(foes.groupBy(*by)).applyInPandas(run, f"{group} {kind}, name {name}, root {name}"))
 
 
 def roots(spark: SparkSession, parents: DataFrame, node: str, parent: str) -> DataFrame:

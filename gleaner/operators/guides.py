@@ -5,7 +5,6 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gleaner.operators.bounds import bounded
 from gleaner.operators.priority import first_per_key
 
 
@@ -59,11 +58,10 @@ def fill(candidates: DataFrame, group: str, card: str, role: str, score: str, ai
     """Greedy constrained fill per group: by score (ties by name), first up to each role's aim, then from any role up to
     slots. A card whose flag has reached its limit, or that would complete a forbidden combination, is passed over.
 
-    Each choice depends on those before it, so a group is one task; its candidates are a pool (see pool), of bounds.MOST at most.
+    Each choice depends on those before it, so a group is one task; its candidates are a pool (see pool), bounded by its k.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        bounded(pdf, group)
         ordered = pdf.sort_values([score, card], ascending=[False, True])
         chosen, names, by_role, by_flag = [], set(), {}, {}
 

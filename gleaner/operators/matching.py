@@ -5,8 +5,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gleaner.operators.bounds import bounded
+from gleaner.operators.bounds import MOST
 from gleaner.operators.priority import first_per_key
+from gleaner.operators.rounds import greedy, large_groups
+from gleaner.session import ship, written
 
 
 def nearest(left: DataFrame, right: DataFrame, on: list[str], key: str, day: str, other: str, before: int, after: int, order: list[Column]) -> DataFrame:
@@ -58,24 +60,30 @@ def confident(candidates: DataFrame, key: str, score: str, value: str, least: fl
     return x.where((F.col("_r") == 1) & (F.col(score) >= least) & (F.col("_next").isNull() | (F.col(score) >= times * F.col("_next")))).select(key, value, score)
 
 
-def greedy_pairs(scores: DataFrame, group: str, a: str, b: str, score: str) -> DataFrame:
-    """One-to-one pairs taken in order of score (desc), then a, then b, within each group.
+def greedy_pairs(scores: DataFrame, group: str, a: str, b: str, score: str, most: int = MOST) -> DataFrame:
+    """One-to-one pairs taken in order of score (desc), then a, then b, within each group; of rows that repeat a pair the
+    best scored. Null scores come last.
 
-    A pair is taken in the group's own task, which holds that group's candidate pairs: MOST at most, more are an error.
+    A group of up to `most` pairs is one task; larger ones are settled in rounds of locally best pairs (see rounds.greedy), with the
+    same result.
     """
+    columns = scores.columns
+    once = scores.groupBy(group, a, b).agg(F.max_by(F.struct(*columns), F.coalesce(score, F.lit(float("-inf")))).alias("_r")).select("_r.*")
 
-    def take(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([score, a, b], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         used_a, used_b, rows = set(), set(), []
         for i, (x, y) in enumerate(zip(pdf[a], pdf[b])):
             if x not in used_a and y not in used_b:
                 used_a.add(x), used_b.add(y), rows.append(i)
         return pdf.iloc[rows]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        bounded(pdf, group)
-        return take(pdf.sort_values([score, a, b], ascending=[False, True, True], kind="stable"))
-
-    return scores.groupBy(group).applyInPandas(run, scores.schema)
+    ship(scores.sparkSession)
+    large = large_groups(once, group, most)
+    if large is None:
+        return once.groupBy(group).applyInPandas(run, scores.schema)
+    small = once.join(large, group, "left_anti").select(columns).groupBy(group).applyInPandas(run, scores.schema)
+    return small.unionByName(greedy(written(once.join(large, group, "left_semi").select(columns)), [group], a, b, score))
 
 
 def jaccard_pairs(a: DataFrame, b: DataFrame, id_a: str, id_b: str, tokens: str, least: float, on: list[str] | None = None) -> DataFrame:

@@ -6,8 +6,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gleaner.operators.bounds import bounded
+from gleaner.operators import rounds
+from gleaner.operators.bounds import MOST
 from gleaner.operators.priority import first_per_key
+from gleaner.operators.rounds import large_groups
+from gleaner.session import ship, written
 
 
 def sparse_cosine(a: DataFrame, b: DataFrame, id_a: str, id_b: str, on: list[str], weight: str = "w") -> DataFrame:
@@ -24,32 +27,44 @@ def self_cosine(v: DataFrame, id_: str, on: list[str], weight: str = "w") -> Dat
     return sparse_cosine(a, b, "a", "b", on, weight).where("a < b")
 
 
-def leaders(sizes: DataFrame, scores: DataFrame, group: str, id_: str, size: str, threshold: float) -> DataFrame:
-    """Leader clustering per group: biggest first, each joins its best leader at threshold or leads itself.
+def leaders(sizes: DataFrame, scores: DataFrame, group: str, id_: str, size: str, threshold: float, most: int = MOST) -> DataFrame:
+    """Leader clustering per group: biggest first (of equals the larger id), each joins its best leader at threshold, ties to
+    the bigger, or leads itself.
 
-    The pair scores (a, b, cosine per group) come from Spark; the pass depends on its own order, so a group's items and
-    scored pairs meet in one task (archetypes of a format): bounds.MOST of each at most, more are an error.
+    A group of up to `most` scored pairs is one task; in larger ones an item waits for its bigger neighbours only and is settled in
+    rounds (see rounds.leaders), with the same result.
     """
-    edges = scores.where(F.col("cosine") >= threshold)
-    both = edges.select(group, F.col("a").alias("x"), F.col("b").alias("y"), "cosine").union(edges.select(group, F.col("b").alias("x"), F.col("a").alias("y"), "cosine"))
+    order = F.struct(F.col(size).alias("s"), F.col(id_).alias("i"))
+    of = lambda c: sizes.select(F.col(group).alias("group"), F.col(id_).alias(c), order.alias(f"_{c}"))
+    edges = scores.where(F.col("cosine") >= threshold).select(F.col(group).alias("group"), "a", "b", "cosine")
+    both = edges.select("group", F.col("a").alias("x"), F.col("b").alias("y"), "cosine").union(edges.select("group", F.col("b").alias("x"), F.col("a").alias("y"), "cosine"))
+    up = both.join(of("x"), ["group", "x"]).join(of("y"), ["group", "y"]).where(F.col("_y") > F.col("_x")).groupBy("group", "x", "y", F.col("_y").alias("big")).agg(F.max("cosine").alias("score"))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        bounded(left, group), bounded(right, group)
         near: dict = {}
-        for x, y, c in zip(right["x"], right["y"], right["cosine"]):
+        for x, y, c in zip(right["x"], right["y"], right["score"]):
             near.setdefault(x, {})[y] = c
-        order = left.sort_values([size, id_], ascending=[False, True])
-        chosen, rows = [], []
-        for x in order[id_]:
-            best = max(chosen, key=lambda y: near.get(x, {}).get(y, -1.0), default=None)
-            if best is None or best not in near.get(x, {}):
-                chosen.append(x)
-                best = x
-            rows.append((left[group].iloc[0], x, best))
-        return pd.DataFrame(rows, columns=[group, id_, "leader"])
-
-    schema = f"{group} {dict(sizes.dtypes)[group]}, {id_} {dict(sizes.dtypes)[id_]}, leader {dict(sizes.dtypes)[id_]}"
-    return sizes.groupBy(group).cogroup(both.groupBy(group)).applyInPandas(run, schema)
+        order = left.sort_values(["size", "id"], ascending=[False, False])
+        chosen, rows = {}, []
+        for n, x in enumerate(order["id"]):
+            best = max((y for y in near.get(x, {}) if y in chosen), key=lambda y: (near[x][y], -chosen[y]), default=x)
+            if best == x:
+                chosen[x] = n
+            rows.append((left["group"].iloc[0], x, best))
+        return pd.DataFrame(rows, columns=["group", "id", "leader"])
+
+    ship(sizes.sparkSession)
+    items = sizes.select(F.col(group).alias("group"), F.col(id_).alias("id"), F.col(size).alias("size"))
+    kinds = dict(sizes.dtypes)
+    schema = f"group {kinds[group]}, id {kinds[id_]}, leader {kinds[id_]}"
+    up = written(up)
+    large = large_groups(up, "group", most)
+    few = lambda df: df if large is None else df.join(large, "group", "left_anti")
+    out = few(items).groupBy("group").cogroup(few(up.select("group", "x", "y", "score")).groupBy("group")).applyInPandas(run, schema)
+    if large is not None:
+        edges = up.join(large, "group", "left_semi").select("group", "x", "y", F.lit("near").alias("kind"), F.lit("").alias("rule"), "score", "big")
+        out = out.unionByName(rounds.leaders(items.join(large, "group", "left_semi").withColumn("leads", F.lit(False)), written(edges), threshold, threshold).select("group", "id", "leader"))
+    return out.toDF(group, id_, "leader")
 
 
 def assigned(scores: DataFrame, item: str, leader: str, size: str, threshold: float) -> DataFrame:
@@ -94,13 +109,15 @@ def covariance(df: DataFrame, vector: str, size: int) -> tuple[np.ndarray, np.nd
 
 
 def projected(df: DataFrame, vector: str, size: int, k: int, into: str = "projected") -> DataFrame:
-    """df with its vectors on the k strongest principal axes (strongest last; each axis' largest part is positive)."""
+    """df with its vectors on the k strongest principal axes (strongest last; each axis' largest part is positive); null stays null."""
     mean, cov, _ = covariance(df, vector, size)
     axes = np.linalg.eigh(cov)[1][:, -k:]
     axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(k)])
 
     @F.pandas_udf("array<double>")
     def project(x: pd.Series) -> pd.Series:
-        return pd.Series(list((np.stack(x.to_numpy()).astype(float) - mean) @ axes)) if len(x) else pd.Series([], dtype=object)
+        there = x.notna()
+        onto = iter((np.stack(x[there].to_numpy()).astype(float) - mean) @ axes if there.any() else ())
+        return pd.Series([next(onto) if t else None for t in there], dtype=object)
 
     return df.withColumn(into, project(F.col(vector)))

@@ -116,14 +116,6 @@ def test_merge_plan(spark):
     assert settle(spark, {}) == {}
 
 
-def test_merge_plan_refuses_what_one_task_cannot_hold(spark, monkeypatch):
-    rows = spark.createDataFrame([("g", "a", [1]), ("g", "b", [1])], "group string, id string, decks array<long>")
-    empty = lambda ddl: spark.createDataFrame([], f"group string, {ddl}")
-    monkeypatch.setattr(merging, "MOST", 1)
-    with pytest.raises(Exception, match="more than 1"):
-        merging.planned(rows, empty("a string, b string, score double, days int"), empty("id string, leader string"), empty("a string, b string"), empty("rule string, id string")).collect()
-
-
 def test_half_even_rounds_exact_values(spark):
     rng = random.Random(2)
     values = [2.675, 1.115, 1.005, 0.285, 2.5, 3.5, -2.5, -1.115, 0.125, 1e300, 0.0, *(round(rng.uniform(-50, 50), 3) + 0.0005 for _ in range(2000)), *(rng.randint(-4000, 4000) / 8 for _ in range(500))]
