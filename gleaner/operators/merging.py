@@ -156,16 +156,16 @@ def planned(sizes: DataFrame, scores: DataFrame, previous: DataFrame, apart: Dat
     return made.unionByName(wide.select(F.col("group").cast("string").alias("group"), "id", "leader", F.when(alone, 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("score"), F.when(alone, 0).otherwise(F.coalesce("days", F.lit(0))).alias("days"), "how"))
 
 
-def assigned(plan: DataFrame, sizes: DataFrame, profiles: DataFrame, results: DataFrame) -> DataFrame:
+def assigned(plan: DataFrame, sizes: DataFrame, profiles: DataFrame, results: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The leader that each result without an archetype joins: group, item, leader, score.
 
     profiles: group, id, slug, w: the lists of the longest window; results: group, item, slug, w. A result joins the leader whose
-    own list it scores highest against, at THRESHOLD or more, ties to the bigger; others and those without a list have no row.
+    own list it scores highest against, at threshold or more, ties to the bigger; others and those without a list have no row.
     """
     lead = plan.where("id = leader").select("group", "id")
     of = profiles.join(lead, ["group", "id"], "left_semi")
     scores = sparse_cosine(results.withColumn("_i", F.struct("group", "item")).drop("item"), of.withColumn("_l", F.struct("group", "id")).drop("id"), "_i", "_l", ["group", "slug"])
-    x = scores.select("_i.group", "_i.item", F.col("_l.id").alias("leader"), F.round("cosine", 12).alias("score")).where(F.col("score") >= THRESHOLD)
+    x = scores.select("_i.group", "_i.item", F.col("_l.id").alias("leader"), F.round("cosine", 12).alias("score")).where(F.col("score") >= threshold)
     x = x.join(sizes.select("group", F.col("id").alias("leader"), F.struct("decks", "id").alias("_big")), ["group", "leader"])
     return x.groupBy("group", "item").agg(F.max_by(F.struct("leader", "score"), F.struct("score", "_big")).alias("_b")).select("group", "item", "_b.leader", "_b.score")
 

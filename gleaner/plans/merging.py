@@ -10,26 +10,42 @@ from gleaner.plans.registry import query
 
 #: Days of the windows, the longest first.
 WINDOWS = (1600, 800, 400)
+#: Score at which a single list joins a leader: the lists of the given tables have a few cards each.
+ASSIGNED = 0.3
 
 
-def _inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Archetypes of a format with their decks in each window, and the best cosine of each pair over the windows."""
-    now, rows = F.lit(NOW).cast("timestamp"), decks(spark, d).select("deck_id", F.col("format").alias("group"), F.concat_ws("/", "archetype", "kind").alias("id"), "ts")
-    age = F.datediff(now, F.col("ts"))
-    sizes = rows.groupBy("group", "id").agg(*(F.count_if(age.between(0, n)).alias(f"n{n}") for n in WINDOWS)).select("group", "id", F.array(*(f"n{n}" for n in WINDOWS)).alias("decks"))
-    windows = F.explode(F.filter(F.array(*(F.when(age.between(0, n), n) for n in WINDOWS)), lambda n: n.isNotNull())).alias("days")
-    v = lines(spark, d).join(rows.select("deck_id", "group", "id", windows), "deck_id").groupBy("group", "days", "id", "slug").agg(F.sum(F.least("qty", F.lit(4))).alias("w"))
+def _rows(spark: SparkSession, d: str) -> DataFrame:
+    """Decks in the longest window; those of unpublished orders have no archetype."""
+    age = F.datediff(F.lit(NOW).cast("timestamp"), F.col("ts"))
+    rows = decks(spark, d).select("deck_id", F.col("format").alias("group"), F.when(F.col("published"), F.concat_ws("/", "archetype", "kind")).alias("id"), age.alias("age"))
+    return rows.where(F.col("age").between(0, WINDOWS[0]))
+
+
+def _lists(spark: SparkSession, d: str) -> DataFrame:
+    return lines(spark, d).select("deck_id", "slug", F.least("qty", F.lit(4)).alias("q"))
+
+
+def _inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Archetypes of a format with their decks in each window and their lists in the longest, the best cosine of each pair over the
+    windows, and the lists of the longest window."""
+    rows = _rows(spark, d).where("id is not null")
+    listed = _lists(spark, d)
+    held = rows.join(listed.select("deck_id").distinct().withColumn("listed", F.lit(True)), "deck_id", "left")
+    sizes = held.groupBy("group", "id").agg(*(F.count_if(F.col("age") <= n).alias(f"n{n}") for n in WINDOWS), F.count("listed").alias("lists"))
+    sizes = sizes.select("group", "id", F.array(*(f"n{n}" for n in WINDOWS), "lists").alias("decks"))
+    windows = F.explode(F.filter(F.array(*(F.when(F.col("age") <= n, n) for n in WINDOWS)), lambda n: n.isNotNull())).alias("days")
+    v = listed.join(rows.select("deck_id", "group", "id", windows), "deck_id").groupBy("group", "days", "id", "slug").agg(F.sum("q").alias("w"))
     norm = v.groupBy("group", "days", "id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("n"))
     side = lambda c: v.select("group", "days", "slug", F.col("id").alias(c), F.col("w").alias(f"w{c}"))
     norms = lambda c: norm.select("group", "days", F.col("id").alias(c), F.col("n").alias(f"n{c}"))
     dots = side("a").join(side("b"), ["group", "days", "slug"]).where("a < b").groupBy("group", "days", "a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
     scores = dots.join(norms("a"), ["group", "days", "a"]).join(norms("b"), ["group", "days", "b"]).select("group", "a", "b", F.round(F.col("dot") / (F.col("na") * F.col("nb")), 9).alias("score"), F.col("days").cast("int").alias("days"))
-    return sizes, merging.best_scores(scores)
+    return sizes, merging.best_scores(scores), v.where(F.col("days") == WINDOWS[0]).drop("days")
 
 
 def plan(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The plan, and the scores: last run's groups are those of one kind, two kinds stay apart, two are always together."""
-    sizes, scores = _inputs(spark, d)
+    sizes, scores, _ = _inputs(spark, d)
     kind = F.split_part("id", F.lit("/"), F.lit(2))
     of = lambda k: sizes.where(kind == k).select("group", "id")
     first = of("BUILDING").groupBy("group").agg(F.min("id").alias("leader"))
@@ -49,4 +65,17 @@ def merge_plan(spark: SparkSession, d: str) -> DataFrame:
 def merge_report(spark: SparkSession, d: str) -> DataFrame:
     """The dry run of a plan: pairs above the floor, groups, archetypes merged away, and decks left over."""
     made, scores = plan(spark, d)
-    return merging.report(made, scores, decks(spark, d).where("not published").select(F.col("format").alias("group")), 0.7)
+    return merging.report(made, scores, _rows(spark, d).where("id is null").join(_assigned(spark, d, made).select("group", F.col("item").alias("deck_id")), ["group", "deck_id"], "left_anti"), 0.7)
+
+
+def _assigned(spark: SparkSession, d: str, made: DataFrame) -> DataFrame:
+    sizes, _, lists = _inputs(spark, d)
+    results = _lists(spark, d).join(_rows(spark, d).where("id is null"), "deck_id").groupBy("group", F.col("deck_id").alias("item"), "slug").agg(F.sum("q").alias("w"))
+    return merging.assigned(made, sizes, lists, results, ASSIGNED)
+
+
+@query("merge_assigned")
+def merge_assigned(spark: SparkSession, d: str) -> DataFrame:
+    """Results without an archetype, each with the plan's leader whose list of the longest window it is nearest to."""
+    made = plan(spark, d)[0]
+    return _assigned(spark, d, made).select(F.col("group").alias("format"), F.col("item").alias("deck_id"), "leader", F.round("score", 9).alias("score"))
