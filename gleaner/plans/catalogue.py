@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from gleaner.plans import carried, checks, documents, guides, lore, merged, merging, metagame, pages, printings, records, relations, resolving, schedule, whole, winning  # noqa: F401
+from gleaner.plans import carried, checks, documents, filling, guides, lore, merged, merging, metagame, pages, printings, records, relations, resolving, schedule, whole, winning  # noqa: F401
