@@ -91,3 +91,26 @@ def guarded(outcomes: DataFrame, failed: str, most: float = 0.02) -> DataFrame:
     if not r["fine"]:
         raise ValueError(f"{r['failed']} of {r['all']} failed, more than {most:.0%}")
     return outcomes.where(~F.coalesce(failed, F.lit(False)))
+
+
+def answered(asked: DataFrame, pages: DataFrame, cache: DataFrame, fetched: DataFrame, key: str, now: Column, days: int, budget: int) -> DataFrame:
+    """Each asked key with the tier that answers it, the answer, and what the cache holds for it from now on.
+
+    asked: key, pos (the order of asking); pages: key, value, of this run; cache: key, value, checked_at, a null value saying that there
+    is none; fetched: key, value, ok, what a fetch would bring (ok false: it could not be read; a null value that is ok: there is none).
+
+    Tiers: page (this run's); cache (checked within days, also a remembered none); fetched, for the first `budget` keys by pos that
+    neither answers; stale, the cache's older value where the fetch failed or the budget is spent; none. A none is never an answer,
+    but a fetched one is remembered, so it is not asked for again while it is fresh.
+    """
+    value = lambda df, c: df.select(key, F.col("value").alias(c))
+    x = asked.join(value(pages, "_page").withColumn("_has", F.lit(True)), key, "left")
+    x = x.join(cache.select(key, F.col("value").alias("_old"), F.col("checked_at").alias("_at")), key, "left")
+    fresh = F.col("_at").isNotNull() & (F.datediff(now, F.col("_at")) <= days)
+    x = x.withColumn("_tier", F.when(F.col("_has"), "page").when(fresh, "cache"))
+    wanted = x.where("_tier is null").select(key, "pos").orderBy("pos", key).limit(budget).select(key, F.lit(True).alias("_may"))
+    x = x.join(wanted, key, "left").join(fetched.select(key, F.col("value").alias("_new"), F.coalesce("ok", F.lit(False)).alias("_ok")), key, "left")
+    x = x.withColumn("tier", F.when(F.col("_tier").isNotNull(), F.col("_tier")).when(F.col("_may") & F.col("_ok"), "fetched").when(F.col("_old").isNotNull(), "stale").otherwise("none"))
+    answer = F.when(F.col("tier") == "page", F.col("_page")).when(F.col("tier") == "fetched", F.col("_new")).when(F.col("tier") != "none", F.col("_old"))
+    renewed = F.col("tier").isin("page", "fetched")
+    return x.select(key, "pos", "tier", answer.alias("value"), F.when(renewed, answer).otherwise(F.col("_old")).alias("kept"), F.when(renewed, now).otherwise(F.col("_at")).alias("checked_at"))

@@ -42,7 +42,7 @@ def list_problems(spark: SparkSession, d: str) -> DataFrame:
     """SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""",
 )
 def embedded_json(spark: SparkSession, d: str) -> DataFrame:
-    """The JSON object after a script's marker."""
+    """The JSON object after a script's marker."""
     page = F.concat(F.lit("<script>window.DATA = "), F.col("props"), F.lit("; track();</script>"))
     return table(spark, d, "events").select("event_id", jsonlines.embedded(page, "window\\.DATA =", "k int")["k"].alias("k"))
 
@@ -52,7 +52,7 @@ def embedded_json(spark: SparkSession, d: str) -> DataFrame:
     """SELECT DISTINCT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href FROM pages""",
 )
 def page_links(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct links of a page."""
+    """Distinct links of a page."""
     return table(spark, d, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1)))).alias("href"))
 
 
@@ -73,7 +73,7 @@ def page_paragraphs(spark: SparkSession, d: str) -> DataFrame:
 
 @query("longest_paragraph")
 def longest_paragraph(spark: SparkSession, d: str) -> DataFrame:
-    """The longest paragraph of a page."""
+    """The longest paragraph of a page."""
     rows = html.paragraphs(table(spark, d, "pages"), "page_id", "html").where("kind = 'p'")
     return rows.groupBy("page_id").agg(F.max_by("text", F.struct(F.length("text"), -F.col("pos"))).alias("text"))
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 _SKIP = {"script", "style", "nav", "head", "figcaption", "aside"}
 
@@ -88,9 +88,9 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 class _Elements(HTMLParser):
     """Rows [pos, tag, attributes, positions and tags of the elements around it, text] of the wanted elements."""
 
-    def __init__(self, wanted: frozenset[str], bare: frozenset[str]):
+    def __init__(self, wanted: frozenset[str], bare: frozenset[str], silent: frozenset[str]):
         super().__init__(convert_charrefs=True)
-        self.wanted, self.bare, self.rows, self.open, self.n = wanted, bare, [], [], 0
+        self.wanted, self.bare, self.silent, self.rows, self.open, self.n = wanted, bare, silent, [], [], 0
 
     def handle_starttag(self, tag, attrs):
         around = self.open
@@ -108,29 +108,52 @@ class _Elements(HTMLParser):
             self.open = self.open[:last]
 
     def handle_data(self, data):
-        if not any(x[1] in ("script", "style") for x in self.open):
+        if not any(x[1] in self.silent for x in self.open):
             for _, _, parts in self.open:
                 if parts is not None:
                     parts.append(data)
 
 
-def elements(pages: DataFrame, key: str, html: str, tags: list[str], bare: list[str] = ()) -> DataFrame:
+def elements(pages: DataFrame, key: str, html: str, tags: list[str], bare: list[str] = (), silent: tuple[str, ...] = ("script", "style"), between: str = "") -> DataFrame:
     """A row per element of the tags: key, pos (its place in the page), tag, attrs, within (positions of the elements around
-    it, outermost first), kinds (their tags) and text (of all that is inside, white space collapsed; null for tags in bare).
+    it, outermost first), kinds (their tags) and text (of all that is inside but in silent tags, its pieces joined by `between`, white
+    space collapsed; null for tags in bare).
 
     What a page means is left to DataFrame operations on these rows. Null and empty pages have none.
     """
-    wanted, no_text = frozenset(tags), frozenset(bare)
+    wanted, no_text, quiet = frozenset(tags), frozenset(bare), frozenset(silent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for k, h in zip(pdf[key], pdf[html]):
-                p = _Elements(wanted, no_text)
+                p = _Elements(wanted, no_text, quiet)
                 p.feed(h or "")
                 p.close()
-                rows += [(k, *r[:5], " ".join("".join(r[5]).split()) if r[1] in wanted else None) for r in p.rows]
+                rows += [(k, *r[:5], " ".join(between.join(r[5]).split()) if r[1] in wanted else None) for r in p.rows]
             yield pd.DataFrame(rows, columns=[key, "pos", "tag", "attrs", "within", "kinds", "text"])
 
     fields = T.StructType([pages.schema[key], *T.StructType.fromDDL("pos int, tag string, attrs map<string,string>, within array<int>, kinds array<string>, text string").fields])
     return pages.select(key, html).mapInPandas(run, fields)
+
+
+#: Parts of a page that are no article, and elements that make its lines.
+_AROUND, _LINES = ("script", "style", "nav", "header", "footer", "noscript"), ("h1", "h2", "h3", "h4", "p", "li")
+
+
+def articles(pages: DataFrame, key: str, html: str, most: int = 20_000) -> DataFrame:
+    """key and the text of each page's main article: the lines of its headings, paragraphs and list items, or all of its text if it
+    has none; its first `most` characters.
+
+    The article is the container with most text among the page's <article> elements (the first of equals), else its first <main>,
+    else the page. A line belongs to every container around it. Navigation, headers and footers count nowhere. Pages without text give an empty one.
+    """
+    page = pages.select(key, F.concat(F.lit("<page>"), F.coalesce(html, F.lit(""))).alias("_html"))
+    found = elements(page, key, "_html", ["page", "article", "main", *_LINES], silent=_AROUND, between=" ").where(~F.exists("kinds", lambda k: k.isin(*_AROUND)))
+    size = F.length(F.regexp_replace("text", " ", ""))
+    rank = F.when(F.col("tag") == "article", 2).when(F.col("tag") == "main", 1).when(F.col("tag") == "page", 0)
+    best = F.struct(rank.alias("r"), F.when(F.col("tag") == "article", size).otherwise(0).alias("n"), (-F.col("pos")).alias("p"))
+    main = found.where(rank.isNotNull()).groupBy(key).agg(F.max_by(F.struct(F.col("pos").alias("at"), F.col("text").alias("all")), best).alias("_m")).select(key, "_m.*")
+    lines = found.where(F.col("tag").isin(*_LINES) & (F.col("text") != "")).select(key, "pos", "text", "within").join(main.select(key, "at"), key).where(F.array_contains("within", F.col("at")))
+    joined = lines.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "\n").alias("_t"))
+    return main.join(joined, key, "left").select(key, F.left(F.coalesce("_t", "all"), F.lit(most)).alias("text"))
