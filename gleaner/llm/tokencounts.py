@@ -4,6 +4,9 @@ A token's span follows from the byte lengths of the tokens before it. The spans
 which are the lines of the text (each with its line end) or start at given code points. A token that crosses a boundary
 goes to one section by rule: `largest` (the section with most of its bytes, the earlier one on a tie), `start` or `end`.
 
+A run of white space of LONG code points or more is encoded as the one pre-token that the pattern makes of it, without the
+pattern, whose look-ahead would have to walk back through it; the ids are the same.
+
 Null and empty texts have no tokens and one empty section. Repeated rows give repeated results. Only the named columns
 are read.
 """
@@ -11,6 +14,7 @@ are read.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +24,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from gleaner.llm.common import column, in_arrow
 
 RULES = ("largest", "start", "end")
+#: White space of the pattern, and the length from which a run goes around the pattern.
+LONG = 50_000
+_RUN = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG)
 
 
 class Offsets:
@@ -31,14 +38,25 @@ class Offsets:
 
         with open(ranks_file or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encode = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
+        encoding = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.encode, self.piece = encoding.encode_to_numpy, encoding._encode_single_piece
         self.length = np.zeros(max(ranks.values()) + 1, np.int64)
         for piece, i in ranks.items():
             self.length[i] = len(piece)
 
+    def ids(self, text: str) -> np.ndarray:
+        """The ids of text. The last code point of a long run of white space goes with what follows, as in the pattern."""
+        parts, at = [], 0
+        for m in _RUN.finditer(text):
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            parts += [self.encode(text[at : m.start()], disallowed_special=()), np.array(self.piece(text[m.start() : end]), np.int64)]
+            at = end
+        parts.append(self.encode(text[at:], disallowed_special=()))
+        return np.concatenate(parts).astype(np.int64)
+
     def ends(self, text: str) -> np.ndarray:
         """The byte offset at which each token ends."""
-        return np.cumsum(self.length[self.encode(text, disallowed_special=())])
+        return np.cumsum(self.length[self.ids(text)])
 
 
 def attribute(ends: np.ndarray, bounds: np.ndarray, rule: str) -> tuple[np.ndarray, int]:
