@@ -3,8 +3,8 @@
 Banded MinHash gives candidates; their signatures are compared batch by batch, and a pair is given up as soon as
 the posterior probability that its similarity reaches the threshold falls below the miss probability; survivors
 are verified on their full shingle sets. Links are never enumerated within a group: documents with equal sets
-collapse first, every member of a bucket is tried against one member, and only members of a bucket that are then
-in different components are tried against each other.
+(by a digest of 128 bits of the whole set) collapse first, every member of a bucket is tried against one member, and only where a bucket then still holds
+different components do all documents of these meet, each at the rarest shingles of its set.
 
 Null and word-free texts have no set: they are linked with nothing and kept. Rows that repeat a doc_id count as
 one document of the graph. Rows without doc_id have no component and are kept; a key that is no whole number is refused. Only key and text are read, so
@@ -13,6 +13,7 @@ other columns may have any names.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from math import comb
 
@@ -27,9 +28,9 @@ from gleaner.llm.common import column, cut, in_arrow, kept, shielded, utf8, whol
 BANDS, ROWS = 56, 7
 #: Signature values compared, the size of a batch, and the chance at which a true pair may be given up.
 COMPARED, BATCH, MISS = 128, 16, 1e-6
-#: Rows, and columns, that are compared in one place: of a bucket, and of a family.
-BLOCK, SIDE = 256, 128
-#: Rows of a table of buckets or families (fifty bytes each) that is broadcast, so that a hot one needs no shuffle.
+#: Rows, and columns, that are compared in one place.
+SIDE = 128
+#: Rows of a table of buckets or meetings (fifty bytes each) that is broadcast, so that a hot one needs no shuffle.
 BROADCAST = 200_000
 
 _SCHEMA = "d long, n long, f1 long, f2 long, sig binary, bands array<long>"
@@ -95,7 +96,8 @@ def _signatures(size: int):
                 sigs = np.stack([minhash(s, seeds) for s in sets])
                 bands = spans.mix((sigs.reshape(-1, BANDS, ROWS).astype(np.uint64) * weights).sum(axis=2, dtype=np.uint64)).astype(np.int64)
                 full = np.array([len(s) for s in sets])
-                marks = [np.array([s.sum(dtype=np.uint64) if k == 0 else spans.mix(s ^ np.uint64(k)).sum(dtype=np.uint64) for s in sets], np.uint64).astype(np.int64) for k in (0, 77)]
+                digests = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
+                marks = [np.ascontiguousarray(digests[:, k]) for k in (0, 1)]
                 low = sigs[:, :COMPARED].astype(np.uint16)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(i, j - i), pa.array(full, pa.int64()), *(pa.array(m) for m in marks), pa.array([x.tobytes() for x in low], pa.binary()), pa.ListArray.from_arrays(np.arange(0, (j - i) * BANDS + 1, BANDS, dtype=np.int32), pa.array(bands.ravel()))],
@@ -310,30 +312,12 @@ def _near(table: pa.Table, s: int, e: int, percent: int, least: list[int]) -> tu
     return x, y
 
 
-def _survivors(percent: int):
-    """Streams the places of buckets and emits edges that connect the components of surviving pairs."""
-    least = least_matches(percent)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, edges in _grouped(batches, ["key", "rb", "cb"]):
-            label, out = table["label"].to_numpy(), []
-            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                x, y = _near(table, s, e, percent, least)
-                joined = _Sets()
-                for a, b in {*zip(label[s + x].tolist(), label[s + y].tolist())}:
-                    joined.join(a, b)
-                out += joined.edges()
-            yield _edge_batch(out)
-
-    return run
-
-
 def _open_members(percent: int):
-    """Streams the places of families and passes on the rows and columns of surviving pairs."""
-    least, names = least_matches(percent), ["family", "rb", "cb", "role", "node", "label"]
+    """Streams the places of meetings and passes on the rows and columns of surviving pairs."""
+    least, names = least_matches(percent), ["key", "rb", "cb", "role", "node", "label"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, edges in _grouped(batches, ["family", "rb", "cb"]):
+        for table, edges in _grouped(batches, ["key", "rb", "cb"]):
             keep = [s + v for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()) for v in (np.unique(v) for v in _near(table, s, e, percent, least))]
             yield from table.select(names).take(pa.array(np.concatenate(keep))).combine_chunks().to_batches() or [_empty(table.select(names))]
 
@@ -345,15 +329,17 @@ def _empty(table: pa.Table) -> pa.RecordBatch:
 
 
 def _exact(percent: int):
-    """Streams the places of families: rows (role 1) against columns (role 0) on their full sets, and emits edges that
+    """Streams the places of meetings: rows (role 1) against columns (role 0) on their full sets, and emits edges that
     connect the components of linked pairs. A row is not compared with components that it has met already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, edges in _grouped(batches, ["family", "rb", "cb"]):
+        for table, edges in _grouped(batches, ["key", "rb", "cb"]):
             label, role = table["label"].to_numpy(), table["role"].to_numpy()
             out = []
             for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                sets = [np.frombuffer(x, np.uint64) for x in table["s"].slice(s, e - s).to_pylist()]
+                listed = table["h"].slice(s, e - s).combine_chunks()
+                flat, ends = listed.flatten().to_numpy().view(np.uint64), np.concatenate(([0], np.cumsum(np.diff(listed.offsets.to_numpy()))))
+                sets = [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
                 columns, rows, joined = np.flatnonzero(role[s:e] == 0), np.flatnonzero(role[s:e] == 1), _Sets()
                 if not len(columns) or not len(rows):
                     continue
@@ -388,8 +374,10 @@ def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, off = utf8(column(batch, "t"))
-            found = [x.tobytes() for i, j in cut(off) for x in distinct_sets(raw[off[i] : off[j]], off[i : j + 1] - off[i], size)]
-            yield pa.RecordBatch.from_arrays([column(batch, "node"), pa.array(found, pa.binary())], names=["node", "s"])
+            found = [x for i, j in cut(off) for x in distinct_sets(raw[off[i] : off[j]], off[i : j + 1] - off[i], size)]
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
+            hashes = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([column(batch, "node"), hashes], names=["node", "h"])
 
     return run
 
@@ -404,25 +392,31 @@ def _sorted_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *keys).sortWithinPartitions(*keys)
 
 
-def _families(members: DataFrame, labels: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(label, family): components that are connected by bucket neighbours whose signatures don't rule a link out."""
-    dealt = _blocks(written(_open_buckets(members, labels)), "key", BLOCK).join(reps.select("node", "n", "sig"), "node")
-    edges = in_arrow(_sorted_by(dealt, "key", "rb", "cb"), _survivors(percent), "a long, b long")
-    return components(edges).select(F.col("node").alias("label"), F.col("label").alias("family"))
-
-
-def _family_links(families: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Edges (a, b) between the components of a family that a link joins: every node outside the family's largest
-    component is held against all nodes of the family, first by sizes and signatures, then on full sets. Sets are made
-    and sent of those nodes only, and to those places only, that the first look leaves over."""
-    inside = written(labels.join(families, "label"))
-    parts = inside.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
-    whole = parts.groupBy("family").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
-    dealt = _blocks(written(inside.join(_small(written(whole)), "family")), "family", SIDE).join(reps.select("node", "n", "sig"), "node")
-    left = written(in_arrow(_sorted_by(dealt, "family", "rb", "cb"), _open_members(percent), "family long, rb int, cb int, role int, node long, label long"))
+def _rarest(nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(key, node): nodes at the shingles that they may meet a linked node at. Two linked sets share one of the
+    n - ceil(percent of n) + 1 rarest of each, if all are ranked by one order; a shingle of one node only meets nobody and is left out."""
+    wanted = nodes.select("node").join(texts.select(F.col("d").alias("node"), "t"), "node")
+    sets = written(in_arrow(wanted, _sets(size), "node long, h array<bigint>"))
+    each = sets.select("node", F.explode("h").alias("h"))
+    often = each.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
+    ranked = each.join(often, "h").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("f", "h"))).alias("o"))
+    first = F.size("o") - F.ceil(F.size("o") * F.lit(percent) / 100 - 1e-9).cast("int") + 1
+    met = ranked.select("node", F.explode(F.slice("o", 1, first)).alias("x"))
+    return met.where("x.f > 1").select(F.col("x.h").alias("key"), "node").distinct()
+
+
+def _meeting_links(members: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges (a, b) between components of which a bucket holds several. All nodes of these meet at their rarest shingles only: where
+    one shingle is shared by nodes of several components, those outside the largest are held against all, first by sizes and signatures, then on
+    full sets. Sets are sent of those nodes only, and to those places only, that the first look leaves over."""
+    open_labels = _open_buckets(members, labels).select("label").distinct()
+    nodes = written(labels.join(open_labels, "label"))
+    meetings = written(_open_buckets(written(_rarest(nodes, texts, size, percent)), nodes))
+    dealt = _blocks(meetings, "key", SIDE).join(reps.select("node", "n", "sig"), "node")
+    left = written(in_arrow(_sorted_by(dealt, "key", "rb", "cb"), _open_members(percent), "key long, rb int, cb int, role int, node long, label long"))
     wanted = left.select("node").distinct().join(texts.select(F.col("d").alias("node"), "t"), "node")
-    sets = written(in_arrow(wanted, _sets(size), "node long, s binary"))
-    return in_arrow(_sorted_by(left.join(sets, "node"), "family", "rb", "cb"), _exact(percent), "a long, b long")
+    sets = written(in_arrow(wanted, _sets(size), "node long, h array<bigint>"))
+    return in_arrow(_sorted_by(left.join(sets, "node"), "key", "rb", "cb"), _exact(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -450,8 +444,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         labels = _joined(labels, _verified(_pruned(pairs, reps, percent), texts, size, percent))
         tried = pairs if tried is None else tried.union(pairs)
-    families = written(_families(members, labels, reps, percent))
-    labels = _joined(labels, written(_family_links(families, labels, reps, texts, size, percent)))
+    labels = _joined(labels, written(_meeting_links(members, labels, reps, texts, size, percent)))
 
     final = nodes.join(labels, "node", "left").select("d", "f1", "f2", F.coalesce("label", "node").alias("c")).distinct()
     out = marked.select("d", "n", "f1", "f2").join(final, ["d", "f1", "f2"], "left")

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -47,7 +48,6 @@ def test_near_duplicates_in_small_blocks(spark, monkeypatch):
     """A family whose members are linked in a chain only is one group, whatever the sizes of blocks."""
     base = [f"w{i}" for i in range(200)]
     rows = [(k, " ".join(f"k{k}x{i}" if (i // 4) % 16 == k % 16 and i < 4 * (k + 1) else w for i, w in enumerate(base)), "en", "s", 1) for k in range(14)]
-    monkeypatch.setattr(neardup, "BLOCK", 3)
     monkeypatch.setattr(neardup, "SIDE", 2)
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     sets = sets_of(rows, 2)
@@ -327,3 +327,30 @@ def test_nulls_everywhere(spark, docs):
     for f in (langid.report, secrets.report, quality.report, pieces.report, wavelet.report, tokencounts.report):
         assert f(docs).count() == docs.count()
     assert decontaminate.report(docs, bench).where("contaminated").count() == 0
+
+
+@pytest.mark.parametrize("similar", [False, True])
+def test_templated_documents_send_rows_in_proportion(spark, monkeypatch, similar):
+    """Documents of 60 words on one template, none linked (or in pairs): what is sent to be compared grows with their number."""
+    rng = random.Random(1)
+    template = [f"t{i}" for i in range(60)]
+
+    def rows(n):
+        out = []
+        for i in range(n):
+            w = list(template)
+            for k in rng.sample(range(60), 18):
+                w[k] = f"u{i // 2 if similar else i}x{k}"
+            out.append((i, " ".join(w), "en", "s", 0))
+            if similar and i % 2:
+                out[-1] = (i, out[-2][1] + " more", "en", "s", 0)
+        return out
+
+    sent = []
+    blocks = neardup._blocks
+    monkeypatch.setattr(neardup, "_blocks", lambda *a: (lambda df: sent.append(df.count()) or df)(blocks(*a)))
+    for n in (300, 600, 1200):
+        docs = spark.createDataFrame(rows(n), "doc_id long, text string, lang string, source string, n_chars long")
+        got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, size=1, percent=80).collect()}
+        assert got == {i: i - i % 2 if similar else i for i in range(n)}
+    assert sent[2] <= 4.5 * max(sent[0], 100), sent
