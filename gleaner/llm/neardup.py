@@ -319,15 +319,12 @@ def _open_members(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, edges in _grouped(batches, ["key", "rb", "cb"]):
             keep = [s + v for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()) for v in (np.unique(v) for v in _near(table, s, e, percent, least))]
-            yield from table.select(names).take(pa.array(np.concatenate(keep))).combine_chunks().to_batches() or [_empty(table.select(names))]
+            found = table.select(names).take(pa.array(np.concatenate(keep)))
+            yield pa.RecordBatch.from_arrays([pa.array(c.to_numpy(), c.type) for c in found.columns], names=names)
 
     return run
 
 
-def _empty(table: pa.Table) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in table.schema], names=table.schema.names)
-
-
 def _exact(percent: int):
     """Streams the places of meetings: rows (role 1) against columns (role 0) on their full sets, and emits edges that
     connect the components of linked pairs. A row is not compared with components that it has met already."""
