@@ -4,7 +4,8 @@ Banded MinHash gives candidates; their signatures are compared batch by batch, a
 the posterior probability that its similarity reaches the threshold falls below the miss probability; survivors
 are verified on their full shingle sets. Links are never enumerated within a group: documents with equal sets
 (by a digest of 128 bits of the whole set) collapse first, every member of a bucket is tried against one member, and only where a bucket then still holds
-different components do all documents of these meet, each at the rarest shingles of its set.
+different components do the documents of these meet, each at the rarest shingles of its set; those that sizes and signatures still leave are
+held against each other on full sets, family by family, in blocks.
 
 Null and word-free texts have no set: they are linked with nothing and kept. Rows that repeat a doc_id count as
 one document of the graph. Rows without doc_id have no component and are kept; a key that is no whole number is refused. Only key and text are read, so
@@ -312,8 +313,26 @@ def _near(table: pa.Table, s: int, e: int, percent: int, least: list[int]) -> tu
     return x, y
 
 
+def _survivors(percent: int):
+    """Streams the places of meetings and emits edges that connect the components of surviving pairs."""
+    least = least_matches(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, edges in _grouped(batches, ["key", "rb", "cb"]):
+            label, out = table["label"].to_numpy(), []
+            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                x, y = _near(table, s, e, percent, least)
+                joined = _Sets()
+                for a, b in {*zip(label[s + x].tolist(), label[s + y].tolist())}:
+                    joined.join(a, b)
+                out += joined.edges()
+            yield _edge_batch(out)
+
+    return run
+
+
 def _open_members(percent: int):
-    """Streams the places of meetings and passes on the rows and columns of surviving pairs."""
+    """Streams the places of families and passes on the rows and columns of surviving pairs."""
     least, names = least_matches(percent), ["key", "rb", "cb", "role", "node", "label"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,7 +345,7 @@ def _open_members(percent: int):
 
 
 def _exact(percent: int):
-    """Streams the places of meetings: rows (role 1) against columns (role 0) on their full sets, and emits edges that
+    """Streams the places of families: rows (role 1) against columns (role 0) on their full sets, and emits edges that
     connect the components of linked pairs. A row is not compared with components that it has met already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,14 +421,26 @@ def _rarest(nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     return met.where("x.f > 1").select(F.col("x.h").alias("key"), "node").distinct()
 
 
-def _meeting_links(members: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Edges (a, b) between components of which a bucket holds several. All nodes of these meet at their rarest shingles only: where
-    one shingle is shared by nodes of several components, those outside the largest are held against all, first by sizes and signatures, then on
-    full sets. Sets are sent of those nodes only, and to those places only, that the first look leaves over."""
+def _families(members: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(key, label): components that are connected by documents that meet and whose sizes and signatures don't rule a link out; key
+    is the family. All documents of components of which a bucket holds several meet, at their rarest shingles only, so documents of one
+    template meet where they share more than it, and a meeting sends as many rows as documents share such a shingle."""
     open_labels = _open_buckets(members, labels).select("label").distinct()
     nodes = written(labels.join(open_labels, "label"))
     meetings = written(_open_buckets(written(_rarest(nodes, texts, size, percent)), nodes))
     dealt = _blocks(meetings, "key", SIDE).join(reps.select("node", "n", "sig"), "node")
+    edges = in_arrow(_sorted_by(dealt, "key", "rb", "cb"), _survivors(percent), "a long, b long")
+    return components(edges).select(F.col("label").alias("key"), F.col("node").alias("label"))
+
+
+def _family_links(families: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges (a, b) between the components of a family that a link joins: every node outside the family's largest
+    component is held against all nodes of the family, first by sizes and signatures, then on full sets. Sets are made
+    and sent of those nodes only, and to those places only, that the first look leaves over."""
+    inside = written(labels.join(families, "label"))
+    parts = inside.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    whole = parts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    dealt = _blocks(written(inside.join(_small(written(whole)), "key")), "key", SIDE).join(reps.select("node", "n", "sig"), "node")
     left = written(in_arrow(_sorted_by(dealt, "key", "rb", "cb"), _open_members(percent), "key long, rb int, cb int, role int, node long, label long"))
     wanted = left.select("node").distinct().join(texts.select(F.col("d").alias("node"), "t"), "node")
     sets = written(in_arrow(wanted, _sets(size), "node long, h array<bigint>"))
@@ -441,7 +472,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         labels = _joined(labels, _verified(_pruned(pairs, reps, percent), texts, size, percent))
         tried = pairs if tried is None else tried.union(pairs)
-    labels = _joined(labels, written(_meeting_links(members, labels, reps, texts, size, percent)))
+    families = written(_families(members, labels, reps, texts, size, percent))
+    labels = _joined(labels, written(_family_links(families, labels, reps, texts, size, percent)))
 
     final = nodes.join(labels, "node", "left").select("d", "f1", "f2", F.coalesce("label", "node").alias("c")).distinct()
     out = marked.select("d", "n", "f1", "f2").join(final, ["d", "f1", "f2"], "left")
