@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -28,10 +28,12 @@ from gleaner.llm.common import column, crc_bucket, in_arrow, kept, shielded
 UNKNOWN = "und"
 LABEL, SCORE, WORDS = "_gl_lang", "_gl_score", "_gl_word_labels"
 
-#: Bounds of the training sample: documents a language and in all, languages, segments a document and words a segment.
-SAMPLE_DOCS, SAMPLE_ALL, SAMPLE_LANGS, SEGMENTS, SEGMENT_WORDS = 400, 6400, 200, 6, 20
+#: Bounds of the training sample: documents a language and in all, segments a document and words a segment.
+SAMPLE_DOCS, SAMPLE_ALL, SEGMENTS, SEGMENT_WORDS = 400, 6400, 6, 20
 #: Hashed feature weights, lexicon words a language, steps of the optimiser, words in a block, cached word types (of 16 languages).
 BUCKETS, LEXICON, STEPS, BLOCK, CACHE = 1 << 17, 2000, 40, 32, 400_000
+#: Characters of texts that are labelled together, and words of a slice of one longer text (both of 16 languages or fewer).
+SLICE, LONG_WORDS = 400_000, 1 << 16
 #: Scores are held within this range, so that a block's product stays within a double's.
 CLIP = 8.0
 
@@ -74,6 +76,11 @@ class Model:
     lexicon_weights: np.ndarray | None = None
 
 
+def buckets_of(k: int) -> int:
+    """Hashed features for k labels: BUCKETS up to 64 labels, then fewer, so that the weights stay of one size."""
+    return max(1 << 10, BUCKETS >> max(0, (-(-k // 64) - 1).bit_length()))
+
+
 def block_words(k: int) -> int:
     """Words in a block for k labels: a block keeps k * k numbers, so that blocks of many labels are longer."""
     return BLOCK * max(1, -(-k // 16)) ** 2
@@ -89,7 +96,26 @@ def chains(lengths: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def marginals(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """P(label) of each word of each document, and the expected number of each transition.
+    """P(label) of each word of each document, and the expected number of each transition."""
+    return _both_ways(scores, lengths, trans)[:2]
+
+
+def by_slices(scores_of: Callable[[int, int], np.ndarray], n: int, trans: np.ndarray, step: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first word, marginals) of slices of one document of n words, the last slice first. Messages are carried from slice to
+    slice, forwards once to find where each begins and then backwards, so what is held is one slice, not the document."""
+    trans = np.asarray(trans, float)
+    left, right = [None], None
+    for s in range(0, n - step, step):
+        left.append(_both_ways(scores_of(s, s + step), np.array([step]), trans, left[-1])[2])
+    for s in range((n - 1) // step * step, -1, -step):
+        e = min(n, s + step)
+        post, _, _, right = _both_ways(scores_of(s, e), np.array([e - s]), trans, left[s // step], right)
+        yield s, post
+
+
+def _both_ways(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray, before_all: np.ndarray | None = None, after_all: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """marginals(), and of the last document the message that leaves it and of the first the one that goes before it; before_all
+    and after_all come in there.
 
     Exact forward-backward in blocks: the blocks' transfer matrices are made side by side, carried along each
     document, and each block is then filled in from both of its ends.
@@ -111,6 +137,10 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tup
     left, right = np.full((n, k), 1 / k), np.ones((n, k))
     opens = np.searchsorted(doc, np.arange(len(lengths)))
     count = np.bincount(doc, minlength=len(lengths))
+    if before_all is not None:
+        left[opens] = before_all
+    if after_all is not None:
+        right[opens + count - 1] = after_all
     for t in range(1, int(count.max(initial=0))):
         d = opens[count > t] + t
         v = np.einsum("ni,nij->nj", left[d - 1], transfer[d - 1])
@@ -125,18 +155,18 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tup
         nxt = (v @ a) * q[:, t]
         v = np.where(live[:, t, None], nxt / nxt.sum(axis=1, keepdims=True), v)
         alpha[:, t] = v
-    v = right
+    leaves, v = v[-1], right
     for t in range(block - 1, -1, -1):
         beta[:, t] = v
         nxt = (v * q[:, t]) @ a.T
         v = np.where(live[:, t, None], nxt / nxt.sum(axis=1, keepdims=True), v)
-    words = np.flatnonzero(live)
+    enters, words = v[0], np.flatnonzero(live)
     alpha, beta, before, q = (x.reshape(-1, k)[words] for x in (alpha, beta, before, q))
     post = alpha * beta
     post /= post.sum(axis=1, keepdims=True)
     reach = beta * q
     norm = np.einsum("ni,ij,nj->n", before, a, reach)
-    return post, a * ((before / norm[:, None]).T @ reach)
+    return post, a * ((before / norm[:, None]).T @ reach), leaves, enters
 
 
 def segments(text: str | None) -> list[str]:
@@ -171,7 +201,9 @@ def train(rows: list[tuple[list[str], str]]) -> Model | None:
     lex = _lexical(list(types), lexicon, len(labels))
     k, n = len(labels), len(types)
     starts = np.searchsorted(owner, np.arange(n))
-    weights, trans, lexical = np.zeros((BUCKETS, k)), np.zeros((k, k)), np.zeros((k, k))
+    buckets = buckets_of(k)
+    index = index % buckets
+    weights, trans, lexical = np.zeros((buckets, k)), np.zeros((k, k)), np.zeros((k, k))
     speed = [np.full_like(x, 1e-8) for x in (weights, trans, lexical)]
     right = np.zeros((n, k))
     np.add.at(right, (word, gold), 1)
@@ -185,7 +217,7 @@ def train(rows: list[tuple[list[str], str]]) -> Model | None:
         expected = np.stack([np.bincount(word, post[:, y], n) for y in range(k)], axis=1)
         error = right - expected
         grads = (
-            np.stack([np.bincount(index, error[owner, y], BUCKETS) for y in range(k)], axis=1) - 0.5 * weights,
+            np.stack([np.bincount(index, error[owner, y], buckets) for y in range(k)], axis=1) - 0.5 * weights,
             edges - pairs - 0.5 * trans,
             lex.T @ error - 0.5 * lexical,
         )
@@ -233,30 +265,63 @@ class Labeller:
     def _learn(self, new: list[str]) -> None:
         m = self.model
         index, owner = features(new)
-        emit = np.add.reduceat(m.weights[index], np.searchsorted(owner, np.arange(len(new))), axis=0) + _lexical(new, m.lexicon, len(m.labels)) @ m.lexicon_weights
+        emit = np.add.reduceat(m.weights[index % len(m.weights)], np.searchsorted(owner, np.arange(len(new))), axis=0) + _lexical(new, m.lexicon, len(m.labels)) @ m.lexicon_weights
         self.scores = np.concatenate((self.scores, emit.astype(np.float32)))
 
-    def __call__(self, texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray]]:
-        """Of each text: its words and their label marginals."""
+    def _numbers(self, words: list[list[str]], n: int) -> tuple[np.ndarray, list[str]]:
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, n)
+        new, self.known.new = self.known.new, []
+        if new:
+            self._learn(new)
+        return at, new
+
+    def _forget(self, new: list[str]) -> None:
+        if len(self.known) > self.cache:
+            for x in new:
+                del self.known[x]
+            self.scores = self.scores[: len(self.known)]
+
+    def _long(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:
+        """One text of more than SLICE characters: its words are read, looked up and labelled slice by slice."""
+        k, step = len(self.model.labels), max(block_words(len(self.model.labels)), LONG_WORDS * 16 // max(16, len(self.model.labels)))
+        at, size, part, all_new, real = [], 0, [], [], False
+        for w in chain(_WORD.finditer(text.lower()), [None]):
+            if w is not None:
+                part.append(w.group())
+                real = real or any(c.isalpha() for c in part[-1])
+            if part and (w is None or len(part) == step):
+                found, new = self._numbers([part], len(part))
+                at.append(found.astype(np.int32))
+                all_new += new
+                size, part = size + len(part), []
+        if not size or not real:
+            self._forget(all_new)
+            return 0, np.zeros(k), np.zeros(0, np.int16)
+        total, best = np.zeros(k), np.zeros(size, np.int16)
+        for s, post in by_slices(lambda s, e: self.scores[at[s // step]].astype(float), size, self.model.trans, step):
+            total += post.sum(axis=0)
+            best[s : s + len(post)] = post.argmax(axis=1)
+        self._forget(all_new)
+        return size, total / size, best
+
+    def __call__(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Of each text: its words, the mean of their label marginals, and the best label of each."""
+        if len(texts) == 1 and len(texts[0] or "") > SLICE:
+            return [self._long(texts[0])]
         words = [words_of(t) for t in texts]
         for i, w in enumerate(words):
             if w and not any(c.isalpha() for x in w for c in x):
                 words[i] = []
         lengths = np.array([len(w) for w in words])
+        none = (0, np.zeros(self.scores.shape[1]), np.zeros(0, np.int16))
         if not lengths.sum():
-            return [(w, np.zeros((0, self.scores.shape[1]))) for w in words]
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(lengths.sum()))
-        new, self.known.new = self.known.new, []
-        if new:
-            self._learn(new)
+            return [none for _ in words]
+        at, new = self._numbers(words, int(lengths.sum()))
         some = lengths[lengths > 0]
         post, _ = marginals(self.scores[at].astype(float), some, self.model.trans)
-        if len(self.known) > self.cache:
-            for x in new:
-                del self.known[x]
-            self.scores = self.scores[: len(self.known)]
+        self._forget(new)
         ends = np.cumsum(lengths)
-        return [(w, post[e - n : e]) for w, e, n in zip(words, ends.tolist(), lengths.tolist())]
+        return [(n, post[e - n : e].mean(axis=0), post[e - n : e].argmax(axis=1)) if n else none for e, n in zip(ends.tolist(), lengths.tolist())]
 
 
 def _labeller(model: Model) -> Labeller:
@@ -282,16 +347,15 @@ def _predict(model, text: str, words: bool):
         for batch in batches:
             texts = column(batch, text).to_pylist()
             langs, scores, tags = [], [], []
-            for i, j in _groups(texts, 400_000 * 16 // max(16, len(m.labels))) if m else ():
-                for w, post in labeller(texts[i:j]):
-                    if not w:
+            for i, j in _groups(texts, SLICE * 16 // max(16, len(m.labels))) if m else ():
+                for n, mean, of_words in labeller(texts[i:j]):
+                    if not n:
                         langs.append(UNKNOWN), scores.append(0.0), tags.append([])
                         continue
-                    mean = post.mean(axis=0)
                     best = int(mean.argmax())
                     langs.append(m.labels[best]), scores.append(min(1.0, float(mean[best])))
                     if words:
-                        tags.append([m.labels[y] for y in post.argmax(axis=1).tolist()])
+                        tags.append([m.labels[y] for y in of_words.tolist()])
             if not m:
                 langs, scores, tags = [UNKNOWN] * len(texts), [0.0] * len(texts), [[]] * len(texts)
             added = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())] + [pa.array(tags, pa.list_(pa.string()))] * words
@@ -306,11 +370,12 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([column(batch, "o"), column(batch, "l"), pa.array(found, pa.list_(pa.string()))], names=["o", "l", "s"])
 
 
-def sample(docs: DataFrame, *, key: str, text: str, lang: str, where: Column, most_docs: int, most_langs: int) -> list[tuple[list[str], str]]:
-    """Segments and language of about most_docs rows of each of the most_langs most frequent languages, chosen by a hash of
+def sample(docs: DataFrame, *, key: str, text: str, lang: str, where: Column, most_docs: int, most_langs: int | None) -> list[tuple[list[str], str]]:
+    """Segments and language of about most_docs rows of each language (or of the most_langs most frequent ones), chosen by a hash of
     key. Rows are cut into segments where they lie; only those reach the driver."""
     labelled = docs.where(where & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
-    counts = labelled.groupBy("l").count().orderBy(F.desc("count"), "l").limit(most_langs).collect()
+    counts = labelled.groupBy("l").count().orderBy(F.desc("count"), "l")
+    counts = (counts if most_langs is None else counts.limit(most_langs)).collect()
     if not counts:
         return []
     each = max(8, min(most_docs, SAMPLE_ALL // len(counts)))
@@ -321,11 +386,12 @@ def sample(docs: DataFrame, *, key: str, text: str, lang: str, where: Column, mo
     return [(r["s"], r["l"]) for r in cut.orderBy("o", "l", "s").limit(2 * each * len(counts)).collect()]
 
 
-def fit(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", where: Column | None = None, most_docs: int = SAMPLE_DOCS, most_langs: int = SAMPLE_LANGS):
+def fit(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", where: Column | None = None, most_docs: int = SAMPLE_DOCS, most_langs: int | None = None):
     """A broadcast model learned from the labelled rows of docs that where admits (all by default).
 
-    The sample's bounds: about most_docs documents a language (fewer where there are many languages, SAMPLE_ALL in all), and
-    the most_langs most frequent languages; documents of others get one of the learned labels.
+    The sample's bound: about most_docs documents a language (fewer where there are many languages, SAMPLE_ALL in all, but eight of each).
+    All languages are learned unless most_langs says how many of the most frequent; documents of others then get one of the learned labels.
+    Beyond 64 languages they share fewer hashed features, so that the weights keep their size.
     """
     rows = sample(docs, key=key, text=text, lang=lang, where=F.lit(True) if where is None else where, most_docs=most_docs, most_langs=most_langs)
     return docs.sparkSession.sparkContext.broadcast(train(rows))

@@ -1,18 +1,17 @@
-"""Quality rules with thresholds that follow each language and source, in DataFrame functions only.
+"""Quality rules with thresholds that follow each language, source and length, in DataFrame functions only.
 
-Fixed rules decide first. Of the documents that pass them, a sketch of each metric is kept per language and source:
-counts of buckets whose width grows with the value (5 significant bits), so that sketches merge by adding counts and
-a quantile is off by at most 1/32. A document is kept if each metric is within [q25 - 3 d, q75 + 3 d], where d is the
-quartile distance or the metric's least distance if that is larger. Groups of fewer than small documents (a parameter,
-SMALL if not given) use the merged sketch of their language, and languages of fewer the merged sketch of all.
+Fixed rules decide first. Of the documents that pass them, a sketch of each metric is kept per language, source and length class (bits of
+the number of words, as a short text's metrics scatter more and a long one's windows repeat more): counts of buckets whose width grows
+with the value (5 significant bits), so that sketches merge by adding counts and a quantile is off by at most 1/32.
 
-The least distances of METRICS are wider than most groups' own, so they decide. With spread=True the sketch alone does:
-d is the largest of the quartile distance, the distance from q75 to the upper eighth, and one bucket of q75. The eighth
-gives a width to metrics that are 0 in three quarters of a group; an eighth of junk in a group does not move it.
-Counts up to ALLOWED pass there, so that one repeated line does not fail a short text.
+The quartiles and upper eighth of a group are drawn towards those of its language's documents of that length, and these towards those of
+all of that length, by `prior` documents' weight, so that a small group's thresholds move to its own without a step. A document is kept if
+each metric is at most q75 + bucket + 3 d (and its word length at least q25 - 3 d), where d is the largest of the quartile distance,
+the distance from q75 to the upper eighth and one bucket of q75: nothing else bounds it. The eighth gives a width to metrics that are 0 in
+three quarters of a group. Counts up to ALLOWED pass, as a line or two repeated is no sign of anything.
 
 Null texts are empty and fail. Null languages and sources are groups of their own. Repeated rows count again and get
-the same verdict. Only key, text, lang and source are read.
+the same verdict; ties lie in one bucket and share its verdict; an empty table gives no rows. Only key, text, lang and source are read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -22,12 +21,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gleaner.llm.common import let, written
 
 SYMBOLS, BLANKS = "#*$%&|<>", " \t\n\x0b\f\r"
-SMALL = 50
-#: Metric: its least quartile distance, and whether too small a value fails as well.
-METRICS = {"m_word_length": (50, True), "m_symbols": (20, False), "m_dup_lines": (170, False), "m_repeats": (110, False)}
+#: Documents by whose weight a group's quantiles are drawn towards those of the group around it.
+PRIOR = 50
+#: Metric: whether too small a value fails as well.
+METRICS = {"m_word_length": True, "m_symbols": False, "m_dup_lines": False, "m_repeats": False}
 
-#: With spread, the counts that never fail a document: a symbol, a repeated line, the words of a three-word window and its copy.
-ALLOWED = {"m_symbols": ("n_symbols", 1), "m_dup_lines": ("n_dup_lines", 1), "m_repeats": ("n_repeat_words", 6)}
+#: Counts that never fail a document: a symbol, two repeated lines, and the words of these and of what they repeat, nine a line.
+ALLOWED = {"m_symbols": ("n_symbols", 1), "m_dup_lines": ("n_dup_lines", 2), "m_repeats": ("n_repeat_words", 36)}
 
 
 def _covered(tri: Column) -> Column:
@@ -66,7 +66,7 @@ def measured(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang:
     x = x.select("k", "l", "s", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", _covered(F.col("tri")).alias("n_repeat_words"))
     per = lambda a, scale, b: F.expr(f"({scale} * {a}) div greatest({b}, 1)")
     return x.select(
-        "k", "l", "s", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "k", "l", "s", F.length(F.bin("n_words")).alias("z"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         per("word_chars", 100, "n_words").alias("m_word_length"),
         per("n_symbols", 1000, "n_words").alias("m_symbols"),
         per("n_dup_lines", 1000, "n_lines").alias("m_dup_lines"),
@@ -76,51 +76,46 @@ def measured(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang:
 
 
 def sketches(rows: DataFrame) -> DataFrame:
-    """Bucket counts of each metric per language and source (l, s, m, b, c); sketches merge by adding c."""
+    """Bucket counts of each metric per language, source and length class (l, s, z, m, b, c); sketches merge by adding c."""
     bucket = "shiftleft(shiftright(v, greatest(length(bin(v)) - 6, 0)), greatest(length(bin(v)) - 6, 0))"
-    long = rows.where("not base_failed").select("l", "s", F.explode(F.create_map(*(x for m in METRICS for x in (F.lit(m), F.col(m))))).alias("m", "v"))
-    return long.groupBy("l", "s", "m", F.expr(bucket).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    long = rows.where("not base_failed").select("l", "s", "z", F.explode(F.create_map(*(x for m in METRICS for x in (F.lit(m), F.col(m))))).alias("m", "v"))
+    return long.groupBy("l", "s", "z", "m", F.expr(bucket).alias("b")).agg(F.count(F.lit(1)).alias("c"))
 
 
-def _quartiles(sketch: DataFrame, *by: str) -> DataFrame:
-    """Quartiles and upper eighth (e) of each metric of each merged sketch, and its documents n."""
+def _quantiles(sketch: DataFrame, *by: str) -> DataFrame:
+    """Quartiles (q1, q3) and upper eighth (e) of each metric of each merged sketch, and its documents n."""
     merged = sketch.groupBy(*by, "m", "b").agg(F.sum("c").alias("c"))
     w = Window.partitionBy(*by, "m")
     upto = merged.select(*by, "m", "b", F.sum("c").over(w.orderBy("b")).alias("upto"), F.sum("c").over(w).alias("n"))
-    quartile = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("n"), F.col("b")))
-    return upto.groupBy(*by, "m").agg(F.max("n").alias("n"), quartile(1).alias("q1"), quartile(3).alias("q3"), F.min(F.when(8 * F.col("upto") >= 7 * F.col("n"), F.col("b"))).alias("e"))
-
-
-def fences(sketch: DataFrame, spread: bool = False, small: int = SMALL) -> DataFrame:
-    """Per language and source: lo_ and hi_ of each metric, from the smallest group with small documents or more."""
-    own, language, all_ = (_quartiles(sketch, *by) for by in (("l", "s"), ("l",), ()))
-    put = lambda df, p: df.select(*(c for c in df.columns if c in ("l", "s", "m")), *(F.col(c).alias(f"{p}{c}") for c in ("n", "q1", "q3", "e")))
-    a, b, c = put(own, "a"), put(language, "b").withColumnsRenamed({"l": "bl", "m": "bm"}), put(all_, "c").withColumnRenamed("m", "cm")
-    x = a.join(b, F.col("l").eqNullSafe(F.col("bl")) & (F.col("m") == F.col("bm"))).join(c, F.col("m") == F.col("cm"))
-    q = lambda k: F.when(F.col("an") >= small, F.col(f"a{k}")).when(F.col("bn") >= small, F.col(f"b{k}")).otherwise(F.col(f"c{k}"))
-    least = F.create_map(*(F.lit(v) for m, (d, _) in METRICS.items() for v in (m, d)))
-    x = x.select("l", "s", "m", q("q1").alias("q1"), q("q3").alias("q3"), q("e").alias("e"))
-    if spread:
-        width = F.expr("shiftleft(1L, greatest(length(bin(q3)) - 6, 0))")
-        d = 3 * F.greatest(F.col("q3") - F.col("q1"), F.col("e") - F.col("q3"), width)
-        hi = F.col("q3") + width - 1 + d
-    else:
-        d = 3 * F.greatest(F.col("q3") - F.col("q1"), F.element_at(least, F.col("m")))
-        hi = F.col("q3") + d
-    x = x.select("l", "s", "m", (F.col("q1") - d).alias("lo"), hi.alias("hi"))
+    at = lambda k: F.min(F.when(8 * F.col("upto") >= k * F.col("n"), F.col("b")))
+    return upto.groupBy(*by, "m").agg(F.max("n").alias("n"), at(2).alias("q1"), at(6).alias("q3"), at(7).alias("e"))
+
+
+def fences(sketch: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """Per language, source and length class: lo_ and hi_ of each metric."""
+    own, language, all_ = (_quantiles(sketch, *by) for by in (("l", "s", "z"), ("l", "z"), ("z",)))
+    put = lambda df, p: df.select(*(c for c in df.columns if c in ("l", "s", "z", "m")), *(F.col(c).alias(f"{p}{c}") for c in ("n", "q1", "q3", "e")))
+    a, b, c = put(own, "a"), put(language, "b").withColumnsRenamed({"l": "bl"}), put(all_, "c")
+    x = a.join(b, F.col("l").eqNullSafe(F.col("bl")) & (a["z"] == b["z"]) & (a["m"] == b["m"])).drop(b["z"], b["m"]).join(c, ["z", "m"])
+    drawn = lambda n, q, to: F.expr(f"({n} * {q} + {prior} * {to}) div ({n} + {prior})")
+    x = x.withColumns({f"b{k}": drawn("bn", f"b{k}", f"c{k}") for k in ("q1", "q3", "e")})
+    x = x.select("l", "s", "z", "m", *(drawn("an", f"a{k}", f"b{k}").alias(k) for k in ("q1", "q3", "e")))
+    width = F.expr("shiftleft(1L, greatest(length(bin(q3)) - 6, 0))")
+    d = 3 * F.greatest(F.col("q3") - F.col("q1"), F.col("e") - F.col("q3"), width)
+    x = x.select("l", "s", "z", "m", (F.col("q1") - d).alias("lo"), (F.col("q3") + width - 1 + d).alias("hi"))
     of = lambda m, c: F.max(F.when(F.col("m") == m, F.col(c))).alias(f"{c}_{m}")
-    return x.groupBy("l", "s").agg(*(of(m, c) for m in METRICS for c in ("lo", "hi")))
+    return x.groupBy("l", "s", "z").agg(*(of(m, c) for m in METRICS for c in ("lo", "hi")))
 
 
-def report(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", spread: bool = False, small: int = SMALL) -> DataFrame:
-    """Per row: the counts, base_failed and kept. small: the least documents of a group with thresholds of its own."""
+def report(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", prior: int = PRIOR) -> DataFrame:
+    """Per row: the counts, base_failed and kept. prior: documents by whose weight groups are drawn to those around them."""
     rows = written(measured(docs, key=key, text=text, lang=lang, source=source))
-    limits = written(fences(sketches(rows), spread, small)).withColumnsRenamed({"l": "fl", "s": "fs"})
-    joined = rows.join(limits, F.col("l").eqNullSafe(F.col("fl")) & F.col("s").eqNullSafe(F.col("fs")), "left")
+    limits = written(fences(sketches(rows), prior)).withColumnsRenamed({"l": "fl", "s": "fs", "z": "fz"})
+    joined = rows.join(limits, F.col("l").eqNullSafe(F.col("fl")) & F.col("s").eqNullSafe(F.col("fs")) & (F.col("z") == F.col("fz")), "left")
     inside = ~F.col("base_failed")
-    for m, (_, low) in METRICS.items():
+    for m, low in METRICS.items():
         below = F.col(m) <= F.col(f"hi_{m}")
-        if spread and m in ALLOWED:
+        if m in ALLOWED:
             count, most = ALLOWED[m]
             below |= F.col(count) <= most
         inside &= below
@@ -143,28 +138,31 @@ c AS (
     CAST(len(ln.a) - len(list_distinct(ln.a)) AS BIGINT) AS n_dup_lines, CAST(len(ln.a) AS BIGINT) AS n_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
   FROM t JOIN w USING (r) JOIN ln USING (r) LEFT JOIN rep USING (r)
 ),
-f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, length(bin(n_words)) AS z FROM c),
 v AS (
-  SELECT r, doc_id, l, s, base_failed, m, CASE m WHEN 'm_word_length' THEN (100 * word_chars) // greatest(n_words, 1) WHEN 'm_symbols' THEN (1000 * n_symbols) // greatest(n_words, 1)
-    WHEN 'm_dup_lines' THEN (1000 * n_dup_lines) // greatest(n_lines, 1) ELSE (1000 * n_repeat_words) // greatest(n_words, 1) END AS v, d
-  FROM f, (VALUES ('m_word_length', 50), ('m_symbols', 20), ('m_dup_lines', 170), ('m_repeats', 110)) m(m, d)
+  SELECT r, l, s, z, base_failed, m, CASE m WHEN 'm_word_length' THEN (100 * word_chars) // greatest(n_words, 1) WHEN 'm_symbols' THEN (1000 * n_symbols) // greatest(n_words, 1)
+    WHEN 'm_dup_lines' THEN (1000 * n_dup_lines) // greatest(n_lines, 1) ELSE (1000 * n_repeat_words) // greatest(n_words, 1) END AS v,
+    CASE m WHEN 'm_symbols' THEN n_symbols <= 1 WHEN 'm_dup_lines' THEN n_dup_lines <= 2 WHEN 'm_repeats' THEN n_repeat_words <= 36 ELSE false END AS few
+  FROM f, (VALUES ('m_word_length'), ('m_symbols'), ('m_dup_lines'), ('m_repeats')) m(m)
 ),
-sk AS (SELECT l, s, m, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS b, count(*) AS c FROM v WHERE NOT base_failed GROUP BY ALL),
-g1 AS (SELECT l, s, m, b, sum(c) OVER (PARTITION BY l, s, m ORDER BY b) AS u, sum(c) OVER (PARTITION BY l, s, m) AS n FROM sk),
-q1 AS (SELECT l, s, m, max(n) AS n, min(b) FILTER (4 * u >= n) AS a, min(b) FILTER (4 * u >= 3 * n) AS z FROM g1 GROUP BY ALL),
-k2 AS (SELECT l, m, b, sum(c) AS c FROM sk GROUP BY ALL),
-g2 AS (SELECT l, m, b, sum(c) OVER (PARTITION BY l, m ORDER BY b) AS u, sum(c) OVER (PARTITION BY l, m) AS n FROM k2),
-q2 AS (SELECT l, m, max(n) AS n, min(b) FILTER (4 * u >= n) AS a, min(b) FILTER (4 * u >= 3 * n) AS z FROM g2 GROUP BY ALL),
-k3 AS (SELECT m, b, sum(c) AS c FROM sk GROUP BY ALL),
-g3 AS (SELECT m, b, sum(c) OVER (PARTITION BY m ORDER BY b) AS u, sum(c) OVER (PARTITION BY m) AS n FROM k3),
-q3 AS (SELECT m, min(b) FILTER (4 * u >= n) AS a, min(b) FILTER (4 * u >= 3 * n) AS z FROM g3 GROUP BY ALL),
+sk AS (SELECT l, s, z, m, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS b, count(*) AS c FROM v WHERE NOT base_failed GROUP BY ALL),
+g1 AS (SELECT l, s, z, m, b, sum(c) OVER (PARTITION BY l, s, z, m ORDER BY b) AS u, sum(c) OVER (PARTITION BY l, s, z, m) AS n FROM sk),
+q1 AS (SELECT l, s, z, m, CAST(max(n) AS BIGINT) AS n, min(b) FILTER (8 * u >= 2 * n) AS a, min(b) FILTER (8 * u >= 6 * n) AS y, min(b) FILTER (8 * u >= 7 * n) AS e FROM g1 GROUP BY ALL),
+k2 AS (SELECT l, z, m, b, sum(c) AS c FROM sk GROUP BY ALL),
+g2 AS (SELECT l, z, m, b, sum(c) OVER (PARTITION BY l, z, m ORDER BY b) AS u, sum(c) OVER (PARTITION BY l, z, m) AS n FROM k2),
+q2 AS (SELECT l, z, m, CAST(max(n) AS BIGINT) AS n, min(b) FILTER (8 * u >= 2 * n) AS a, min(b) FILTER (8 * u >= 6 * n) AS y, min(b) FILTER (8 * u >= 7 * n) AS e FROM g2 GROUP BY ALL),
+k3 AS (SELECT z, m, b, sum(c) AS c FROM sk GROUP BY ALL),
+g3 AS (SELECT z, m, b, sum(c) OVER (PARTITION BY z, m ORDER BY b) AS u, sum(c) OVER (PARTITION BY z, m) AS n FROM k3),
+q3 AS (SELECT z, m, min(b) FILTER (8 * u >= 2 * n) AS a, min(b) FILTER (8 * u >= 6 * n) AS y, min(b) FILTER (8 * u >= 7 * n) AS e FROM g3 GROUP BY ALL),
+p AS (SELECT q2.l, q2.z, q2.m, (q2.n * q2.a + 50 * q3.a) // (q2.n + 50) AS a, (q2.n * q2.y + 50 * q3.y) // (q2.n + 50) AS y, (q2.n * q2.e + 50 * q3.e) // (q2.n + 50) AS e FROM q2 JOIN q3 USING (z, m)),
 q AS (
-  SELECT q1.l, q1.s, q1.m, CASE WHEN q1.n >= 50 THEN q1.a WHEN q2.n >= 50 THEN q2.a ELSE q3.a END AS a, CASE WHEN q1.n >= 50 THEN q1.z WHEN q2.n >= 50 THEN q2.z ELSE q3.z END AS z
-  FROM q1 JOIN q2 ON q1.l IS NOT DISTINCT FROM q2.l AND q1.m = q2.m JOIN q3 ON q1.m = q3.m
+  SELECT q1.l, q1.s, q1.z, q1.m, (q1.n * q1.a + 50 * p.a) // (q1.n + 50) AS a, (q1.n * q1.y + 50 * p.y) // (q1.n + 50) AS y, (q1.n * q1.e + 50 * p.e) // (q1.n + 50) AS e
+  FROM q1 JOIN p ON q1.l IS NOT DISTINCT FROM p.l AND q1.z = p.z AND q1.m = p.m
 ),
+h AS (SELECT *, CAST(1 AS BIGINT) << greatest(length(bin(y)) - 6, 0) AS w FROM q),
 ok AS (
-  SELECT v.r, bool_and(NOT base_failed AND v <= z + 3 * greatest(z - a, d) AND (v.m <> 'm_word_length' OR v >= a - 3 * greatest(z - a, d))) AS kept
-  FROM v LEFT JOIN q ON v.l IS NOT DISTINCT FROM q.l AND v.s IS NOT DISTINCT FROM q.s AND v.m = q.m GROUP BY v.r
+  SELECT v.r, bool_and(NOT base_failed AND (few OR v <= y + w - 1 + 3 * greatest(y - a, e - y, w)) AND (v.m <> 'm_word_length' OR v >= a - 3 * greatest(y - a, e - y, w))) AS kept
+  FROM v LEFT JOIN h ON v.l IS NOT DISTINCT FROM h.l AND v.s IS NOT DISTINCT FROM h.s AND v.z = h.z AND v.m = h.m GROUP BY v.r
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(kept, false) AS kept FROM f JOIN ok USING (r)
 """

@@ -39,18 +39,13 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of the fixed rules and the verdict by thresholds of language and source, with the least distances its SQL states.
+    """Counts of the fixed rules and the verdict by thresholds from sketches of language, source and length.
 
-    Null and empty texts fail; null languages and sources are groups of their own; repeated rows count again.
+    Null and empty texts fail; null languages and sources are groups of their own; repeated rows count again; ties share a bucket and its verdict.
     """
     return quality.report(table(spark, sf_dir, "documents"))
 
 
-def op4_quality_rules_by_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op4 with the fences of each sketch alone; op4_quality_rules keeps the least distances that its SQL states."""
-    return quality.report(table(spark, sf_dir, "documents"), spread=True)
-
-
 def op5_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best-scoring pieces of every text: tokens, checksum of the ids, and whether decoding restores the text.
 
@@ -126,7 +121,7 @@ def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_minhash_near_dedup, op4_quality_rules, op5_piece_encoding, op6_wavelet_token_files, op7_repeated_strings, op8_line_dedup, op9_decontaminate, op10_token_counts, op11_periodic_runs, op12_hard_negatives, op13_license_scan, op4_quality_rules_by_spread)}
+    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_minhash_near_dedup, op4_quality_rules, op5_piece_encoding, op6_wavelet_token_files, op7_repeated_strings, op8_line_dedup, op9_decontaminate, op10_token_counts, op11_periodic_runs, op12_hard_negatives, op13_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -37,7 +37,7 @@ def test_fences_follow_each_source(spark):
     rows = [(i, lined(i, 0), "en", "plain") for i in range(60)] + [(100 + i, lined(100 + i, 2 + i % 5), "en", "lists") for i in range(60)]
     rows += [(200, lined(200, 6), "en", "plain"), (201, lined(201, 6), "en", "lists"), (202, lined(202, 1), "en", "plain")]
     docs = spark.createDataFrame(rows, SCHEMA)
-    kept = {r["doc_id"]: r["kept"] for r in quality.report(docs, spread=True).collect()}
+    kept = {r["doc_id"]: r["kept"] for r in quality.report(docs, prior=10).collect()}
     assert (kept[200], kept[201], kept[202]) == (False, True, True)
     assert all(kept[i] for i in [*range(60), *range(100, 160)])
 
