@@ -54,6 +54,13 @@ def pool(rates: DataFrame, key: str, card: str, k: int) -> DataFrame:
     return best.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("best"), card))).where(F.col("_r") <= k).drop("_r")
 
 
+def resolved(rates: DataFrame, known: DataFrame, commanders: DataFrame, key: str, card: str) -> DataFrame:
+    """Per key each card once, under its name in the catalog (known: card, name), with the best of its rates. Cards that the
+    catalog lacks, and commanders of the key (key, name), are left out."""
+    named = rates.join(known.select(card, "name"), card).join(commanders.select(key, "name"), [key, "name"], "left_anti")
+    return named.groupBy(key, "name").agg(F.max("rate").alias("rate"))
+
+
 def fill(candidates: DataFrame, group: str, card: str, role: str, score: str, aims: dict[str, int], slots: int, limits: dict[str, int], flag: str, combos: dict[str, set[str]] | None = None) -> DataFrame:
     """Greedy constrained fill per group: by score (ties by name), first up to each role's aim, then from any role up to
     slots. A card whose flag has reached its limit, or that would complete a forbidden combination, is passed over.

@@ -56,7 +56,7 @@ def spotted(texts: DataFrame, names: DataFrame, key: str, text: str, name: str,
     """Names that occur in each text as whole words, longest first: a word belongs to one name only.
 
     Phrases of one to `longest` words are joined to names by equality; overlaps are settled from the longest on, and of
-    equals from the first on.
+    equals from the first on, within each stretch of hits that touch each other, so a long text is no long fold.
     """
     ws = F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
     starts = lambda n: F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: i + n <= F.size("w"))
@@ -65,7 +65,10 @@ def spotted(texts: DataFrame, names: DataFrame, key: str, text: str, name: str,
     phrases = texts.select(key, ws.alias("w")).where(F.size("w") > 0).select(key, F.explode(grams).alias("g")).select(key, "g.*")
     known = names.select(F.lower(name).alias("phrase"), F.col(name)).distinct()
     found = phrases.join(known, "phrase")
-    spans = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "at", "n", name))).alias("s"))
+    before = Window.partitionBy(key).orderBy("at", F.desc("n"), name).rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.when(F.max(F.col("at") + F.col("n")).over(before) > F.col("at"), 0).otherwise(1)
+    stretches = found.withColumn("_new", apart).withColumn("_s", F.sum("_new").over(Window.partitionBy(key).orderBy("at", F.desc("n"), name).rowsBetween(Window.unboundedPreceding, 0)))
+    spans = stretches.groupBy(key, "_s").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "at", "n", name))).alias("s"))
     none = F.expr(f"cast(array() as array<struct<o:int,at:int,n:int,{name}:string>>)")
     free = lambda acc, x: ~F.exists(acc, lambda y: (y["at"] < x["at"] + x["n"]) & (x["at"] < y["at"] + y["n"]))
     chosen = F.aggregate("s", none, lambda acc, x: F.when(free(acc, x), F.array_append(acc, x)).otherwise(acc))

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gleaner.operators import guides, standings, state
+from gleaner.operators import guides, priority, standings, state
 from gleaner.plans.bindings import CATALOG, DECKS, LINES, NOW, catalog, decks
 from gleaner.plans.guides import _PAGES, _page_cards
 from gleaner.plans.registry import query
@@ -195,7 +195,8 @@ def tile_key_cards(spark: SparkSession, d: str) -> DataFrame:
     from gleaner.functions import text as tx
 
     card = F.struct(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"), tx.ascii_slug(F.col("p_name")).alias("slug"), F.when(F.col("p_size") % 3 > 0, F.concat(F.lit("own"), F.col("p_partkey").cast("string"))).alias("oracle_id"))
-    tiles = table(spark, d, "part").groupBy(F.col("p_brand").alias("id")).agg(F.array_sort(F.collect_list(card)).alias("cards"))
+    first = priority.top_per_group(table(spark, d, "part"), ["p_brand"], [F.col("p_partkey")], 4)
+    tiles = first.groupBy(F.col("p_brand").alias("id")).agg(F.array_sort(F.collect_list(card)).alias("cards"))
     known = catalog(spark, d).where("slug not like '%ring'").select("slug", F.concat(F.lit("known "), "slug").alias("oracle_id"))
     return standings.key_cards(tiles, known, "id", "cards", 4)
 

@@ -71,15 +71,15 @@ def synergy_groups(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "nearest_levels",
     f"""
-WITH {DECKS}, h AS (SELECT DISTINCT archetype, place AS f FROM decks WHERE ts >= TIMESTAMP '1998-06-24' AND ts < TIMESTAMP '1998-07-01'), w AS (SELECT DISTINCT archetype, l AS level FROM h, (VALUES (1), (2), (3), (4), (5)) v(l))
-SELECT archetype, level, f AS found FROM (SELECT *, row_number() OVER (PARTITION BY archetype, level ORDER BY abs(level - f), f DESC) AS k FROM w JOIN h USING (archetype)) WHERE k = 1
+WITH {DECKS}, h AS (SELECT DISTINCT player, place AS f FROM decks), w AS (SELECT DISTINCT player, l AS level FROM h, (VALUES (1), (2), (3), (4), (5)) v(l))
+SELECT player, level, f AS found FROM (SELECT *, row_number() OVER (PARTITION BY player, level ORDER BY abs(level - f), f DESC) AS k FROM w JOIN h USING (player)) WHERE k = 1
 """,
 )
 def nearest_levels(spark: SparkSession, d: str) -> DataFrame:
-    """The nearest level with data, the higher of two."""
-    have = decks(spark, d).where("ts >= '1998-06-24' and ts < '1998-07-01'").select("archetype", F.col("place").alias("level")).distinct()
-    wanted = have.select("archetype").distinct().select("archetype", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("level"))
-    return guides.nearest_level(wanted, have, "archetype", "level", "found")
+    """For each level the nearest one that a player has decks of, the higher of two."""
+    have = decks(spark, d).select("player", F.col("place").alias("level")).distinct()
+    wanted = have.select("player").distinct().select("player", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("level"))
+    return guides.nearest_level(wanted, have, "player", "level", "found")
 
 
 @query(
@@ -89,10 +89,25 @@ WITH {DECKS}, {LINES}, {_PAGES} SELECT archetype, slug, round(best, 9) AS best F
 """,
 )
 def candidate_pools(spark: SparkSession, d: str) -> DataFrame:
-    """The cards with the best rate on any page of a guide."""
+    """The cards with the best rate on any page of a guide."""
     return guides.pool(_page_cards(spark, d), "archetype", "slug", 40).withColumn("best", F.round("best", 9))
 
 
+@query(
+    "resolved_candidates",
+    f"""
+WITH {DECKS}, {LINES}, {_PAGES}, r AS (SELECT archetype, CASE WHEN slug LIKE 'old-%' THEN 'new-' || substr(slug, 5) ELSE slug END AS name, slug, rate FROM page_cards WHERE slug NOT LIKE '%-rod'),
+x AS (SELECT archetype, name, max(rate) AS rate FROM r WHERE NOT (archetype = 'NATION_0' AND name = 'red-ring') GROUP BY 1, 2) SELECT archetype, name, round(rate, 9) AS rate FROM x
+""",
+)
+def resolved_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Cards of pages under their names in the catalog, each once with its best rate; those it lacks and commanders are left out."""
+    names = _page_cards(spark, d).select("slug").distinct().where("slug not like '%-rod'")
+    known = names.select("slug", F.when(F.startswith("slug", F.lit("old-")), F.concat(F.lit("new-"), F.substring("slug", 5, 99))).otherwise(F.col("slug")).alias("name"))
+    commanders = spark.createDataFrame([("NATION_0", "red-ring")], "archetype string, name string")
+    return guides.resolved(_page_cards(spark, d), known, commanders, "archetype", "slug").select("archetype", "name", F.round("rate", 9).alias("rate"))
+
+
 @query(
     "color_identity",
     """
@@ -378,13 +393,18 @@ def json_lines_read(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "sitemap_entries",
-    """SELECT page_id, regexp_replace(url, '[<&].*$', '') AS loc FROM pages WHERE NOT contains(url, '<')""",
+    """SELECT page_id, trim(url) AS loc, CASE WHEN page_id % 2 = 0 THEN '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') END AS lastmod FROM pages""",
 )
 def sitemap_entries(spark: SparkSession, d: str) -> DataFrame:
-    """Locations of a sitemap, whatever its namespace."""
-    url = F.regexp_replace("url", "[<&].*$", "")
-    xml = F.concat(F.lit('<s:urlset xmlns:s="x"><s:url><s:loc> '), url, F.lit(" </s:loc><s:lastmod>2024-01-01</s:lastmod></s:url></s:urlset>"))
-    return table(spark, d, "pages").where("not contains(url, '<')").select("page_id", F.explode(jsonlines.sitemap(xml)).alias("x")).select("page_id", "x.loc")
+    """Locations of sitemaps of two entries each, whatever their namespace, with the last change of those that tell it."""
+    url = F.col("url")
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        url = F.replace(url, F.lit(plain), F.lit(entity))
+    day = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<s:lastmod>2024-01-"), F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0"), F.lit("</s:lastmod>"))).otherwise("")
+    entry = F.concat(F.lit("<s:url><s:loc> "), url, F.lit(" </s:loc>"), day, F.lit("</s:url>"))
+    maps = table(spark, d, "pages").groupBy(F.floor(F.col("page_id") / 2)).agg(F.concat(F.lit('<s:urlset xmlns:s="x">'), F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("<!--"), F.lpad(F.col("page_id").cast("string"), 9, "0"), F.lit("-->"), entry))), ""), F.lit("</s:urlset>")).alias("xml"))
+    found = maps.select(F.explode(jsonlines.sitemap(F.col("xml"))).alias("x")).select("x.loc", "x.lastmod")
+    return table(spark, d, "pages").select("page_id", F.trim("url").alias("loc")).join(found, "loc").select("page_id", "loc", "lastmod")
 
 
 @query(

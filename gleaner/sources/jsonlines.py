@@ -54,11 +54,18 @@ def embedded(body: Column, marker: str, schema: str) -> Column:
     return F.when(end > 0, F.from_json(F.left(rest, end), schema))
 
 
+def _unescaped(text: Column) -> Column:
+    """Text of XML with the five entities that it names."""
+    for entity, plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(entity), F.lit(plain))
+    return text
+
+
 def sitemap(xml: Column) -> Column:
-    """The locations of a sitemap with their last change, whatever the namespace prefix."""
-    loc = F.regexp_extract_all(xml, F.lit(r"<(?:\w+:)?loc>\s*([^<]+?)\s*</"), F.lit(1))
-    last = F.regexp_extract_all(xml, F.lit(r"<(?:\w+:)?lastmod>\s*([^<]+?)\s*</"), F.lit(1))
-    return F.arrays_zip(loc.alias("loc"), last.alias("lastmod"))
+    """The locations of a sitemap, each with its own last change (null if it tells none), whatever the namespace prefix."""
+    one = lambda x, tag: F.nullif(_unescaped(F.regexp_extract(x, rf"<(?:\w+:)?{tag}>\s*([^<]*?)\s*</", 1)), F.lit(""))
+    each = F.regexp_extract_all(xml, F.lit(r"(?s)<(?:\w+:)?(?:url|sitemap)>(.*?)</(?:\w+:)?(?:url|sitemap)>"), F.lit(1))
+    return F.filter(F.transform(each, lambda x: F.struct(one(x, "loc").alias("loc"), one(x, "lastmod").alias("lastmod"))), lambda x: x["loc"].isNotNull())
 
 
 def canonical(url: Column) -> Column:
