@@ -12,12 +12,20 @@ from gleaner.session import delete, scratch, shared_folder, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language."""
+    """Documents with a recognised language.
+
+    Null, empty and letterless texts go, however long; null languages are not learned from; rows that repeat stay or go together; of equal
+    scores the first label counts. An empty table stays empty.
+    """
     return langid.keep_known(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later occurrences of repeated three-line windows; documents that lose every line with a word go."""
+    """Texts without later occurrences of repeated three-line windows; documents that lose every line with a word go.
+
+    Null and empty texts have no line to lose: they go as well, as nothing is left of them. Rows without doc_id are left alone; of rows that
+    repeat one all stay; n_chars follows the text.
+    """
     inner, of, back = shielded(docs)
     out = linededup.line_dedup(inner, key=of("doc_id"), text=of("text"))
     left = F.coalesce(F.size(linededup.GONE), F.lit(0)) < F.col(linededup.LINES)
@@ -25,17 +33,23 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near-duplicates, that of the smallest doc_id: five-word shingles, similarity 0.8 or more.
+
+    Null and word-free texts are linked with nothing and stay; so do rows without doc_id; rows that repeat a doc_id stay or go together.
+    """
     return neardup.drop_near_duplicates(docs, size=5, percent=80)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no ten-word window of a benchmark item."""
+    """Documents that hold no ten-word window of a benchmark item.
+
+    Null and word-free texts hold none; null and word-free items match nothing, items without an id do; repeated rows stay or go together.
+    """
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each document that is left."""
+    """Piece ids of each document that is left; null and empty texts have none, repeated rows repeat."""
     out = pieces.encode(docs)
     return out.select("doc_id", "lang", "source", F.size(pieces.IDS).cast("long").alias("n_tokens"), F.col(pieces.IDS).alias("token_ids"))
 
