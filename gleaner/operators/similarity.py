@@ -21,6 +21,16 @@ def sparse_cosine(a: DataFrame, b: DataFrame, id_a: str, id_b: str, on: list[str
     return dots.join(norm(a, id_a, "_na"), id_a).join(norm(b, id_b, "_nb"), id_b).select(id_a, id_b, F.coalesce(F.try_divide(F.col("_d"), F.col("_na") * F.col("_nb")), F.lit(0.0)).alias("cosine"))
 
 
+def profile_cosine(items: DataFrame, profiles: DataFrame, item: str, profile: str, on: list[str], weight: str = "w") -> DataFrame:
+    """sparse_cosine() of many items with few profiles: the profiles' weights of a key travel as one array, and are spread only where an
+    item's rows already lie together, so the products are summed where they are made. Profiles are as many as an array may hold."""
+    norm = lambda df, i, c: df.groupBy(i).agg(F.sqrt(F.sum(F.col(weight) * F.col(weight))).alias(c))
+    listed = profiles.groupBy(*on).agg(F.collect_list(F.struct(F.col(profile), F.col(weight).alias("_y"))).alias("_p"))
+    met = items.withColumnRenamed(weight, "_x").join(listed, on).select(item, "_x", "_p").repartition(F.col(item))
+    dots = met.select(item, "_x", F.explode("_p").alias("_q")).groupBy(item, F.col(f"_q.{profile}").alias(profile)).agg(F.sum(F.col("_x") * F.col("_q._y")).alias("_d"))
+    return dots.join(norm(items, item, "_na"), item).join(norm(profiles, profile, "_nb"), profile).select(item, profile, F.coalesce(F.try_divide(F.col("_d"), F.col("_na") * F.col("_nb")), F.lit(0.0)).alias("cosine"))
+
+
 def self_cosine(v: DataFrame, id_: str, on: list[str], weight: str = "w") -> DataFrame:
     """Cosines of unordered pairs (a < b) of one collection."""
     a, b = v.withColumnRenamed(id_, "a"), v.withColumnRenamed(id_, "b")
