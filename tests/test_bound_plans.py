@@ -105,3 +105,40 @@ def test_principal_axes_up_to_sign(spark, sf_dir):
     axes = np.linalg.eigh((x - mean).T @ (x - mean) / len(x))[1][:, -8:]
     got = np.array([r["projected"] for r in registry.queries()["principal_axes"](spark, sf_dir).orderBy("vec_id").collect()])
     assert np.allclose(np.abs(got), np.abs((x - mean) @ axes), atol=1e-5)
+
+
+def test_constrained_fill(spark, sf_dir):
+    """The greedy fill of each archetype's pool, with the rules told one by one."""
+    from gleaner.operators import guides
+    from gleaner.plans.bindings import catalog
+    from gleaner.plans.guides import _page_cards
+
+    pool = guides.pool(_page_cards(spark, sf_dir), "archetype", "slug", 60).join(catalog(spark, sf_dir), "slug").select("archetype", "slug", "kind", "best", "color").collect()
+    aims, combos, want = {"PROMO": 3, "SMALL": 4, "LARGE": 2}, [{"red-ring", "red-rod"}, {"hot-plate", "old-plate"}], []
+    for archetype in {r["archetype"] for r in pool}:
+        rows = sorted((r for r in pool if r["archetype"] == archetype), key=lambda r: (-r["best"], r["slug"]))
+        deck = []
+        for step in (1, 2):
+            for r in rows:
+                names = {x["slug"] for x in deck}
+                if len(deck) == 20 or r["slug"] in names or step == 1 and sum(x["kind"] == r["kind"] for x in deck) >= aims.get(r["kind"], 0):
+                    continue
+                if r["color"] == 0 and sum(x["color"] == 0 for x in deck) >= 3 or any(r["slug"] in c and c <= names | {r["slug"]} for c in combos):
+                    continue
+                deck.append(r)
+        want += [(archetype, i, r["slug"], r["kind"]) for i, r in enumerate(deck, 1)]
+    got = [(r["archetype"], r["pick"], r["slug"], r["role"]) for r in registry.queries()["constrained_fill"](spark, sf_dir).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_longest_paragraph(spark, sf_dir):
+    """Of all paragraphs of a page the longest, the first of equals; pages without any have no row."""
+    from gleaner.sources import html
+
+    pages = {r["page_id"]: r["html"] for r in table(spark, sf_dir, "pages").collect()}
+    want = {}
+    for k, page in pages.items():
+        found = [r[1] for r in html.parsed(page) if r[0] == "p" and r[4] < 0.9]
+        if found:
+            want[k] = max(found, key=len)
+    assert {r["page_id"]: r["text"] for r in registry.queries()["longest_paragraph"](spark, sf_dir).collect()} == want
