@@ -9,22 +9,28 @@ from gleaner.session import ship, written
 
 
 def min_label(spark: SparkSession, edges: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, label): the smallest node reachable, by label propagation with pointer jumping.
+    """(node, label): the smallest node reachable, for every node of an edge.
 
-    Every round is a table in the session's shared folder, so lineage stays short and a lost executor loses nothing.
+    A round points every node to its smallest neighbour, follows the pointers to their ends, and goes on with the edges
+    between different ends only: at least half of the nodes that still have such an edge are gone after each. Rounds are tables in the
+    session's shared folder, so lineage stays short and a lost executor loses nothing.
     """
-    both = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(F.col(b), F.col(a))).distinct()
-    both = written(both)
-    labels = written(both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("m")).select("node", F.least("node", "m").alias("label")))
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("other"))
-        step = labels.join(near, "node").select("node", F.least("label", "other").alias("label"), "label")
-        step = step.toDF("node", "label", "was")
-        hop = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        moved = written(step.join(hop, "label").select("node", F.least("label", "next").alias("label"), (F.least("label", "next") != F.col("was")).alias("moved")))
-        labels = moved.select("node", "label")
-        if moved.where("moved").isEmpty():
-            return labels
+    ends = written(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null").distinct())
+    out = ends.select(F.col("a").alias("node")).union(ends.select("b")).distinct().withColumn("label", F.col("node"))
+    left = written(ends.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    while not left.isEmpty():
+        both = left.union(left.select("b", "a"))
+        point = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("to")))
+        moved = True
+        while moved:
+            onward = point.select(F.col("node").alias("to"), F.col("to").alias("next"))
+            far = written(point.join(onward, "to").select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")))
+            point, moved = far.select("node", "to"), not far.where("moved").isEmpty()
+        out = written(out.join(point.select(F.col("node").alias("label"), "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label")))
+        end = lambda c: point.select(F.col("node").alias(c), F.col("to").alias(f"{c}_"))  # noqa: B023, E731
+        joined = left.join(end("a"), "a").join(end("b"), "b").where("a_ <> b_")
+        left = written(joined.select(F.least("a_", "b_").alias("a"), F.greatest("a_", "b_").alias("b")).distinct())
+    return out
 
 
 def union_with_apart(edges: DataFrame, apart: DataFrame, group: str) -> DataFrame:

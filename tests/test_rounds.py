@@ -169,3 +169,26 @@ def test_projection_keeps_nulls(spark):
     rows = [(i, [float(i), float(i % 3)]) for i in range(20)] + [(99, None)]
     out = {r["i"]: r["projected"] for r in similarity.projected(spark.createDataFrame(rows, "i int, v array<double>"), "v", 2, 1).collect()}
     assert out[99] is None and len(out) == 21 and all(len(v) == 1 for i, v in out.items() if i != 99)
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    """A chain of 400 in random order, stars, loops, repeated and null edges, against a plain search."""
+    rng = random.Random(12)
+    ids = list(range(400))
+    rng.shuffle(ids)
+    edges = list(zip(ids, ids[1:])) + [(1000 + k % 3, 1100 + k) for k in range(60)] + [(5000, 5000), (5001, 5002), (5002, 5001), (None, 7), (8, None)] + [(2000 + rng.randint(0, 99), 2000 + rng.randint(0, 99)) for _ in range(45)]
+    near: dict = {}
+    for a, b in edges:
+        if a is not None and b is not None:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    want = {}
+    for x in sorted(near):
+        todo = [x]
+        while todo:
+            y = todo.pop()
+            if y not in want:
+                want[y] = x
+                todo += near[y]
+    got = graph.min_label(spark, spark.createDataFrame(edges * 2, "a long, b long"), "a", "b").collect()
+    assert {r["node"]: r["label"] for r in got} == want and len(got) == len(want)
