@@ -122,12 +122,12 @@ def wiki(pages: DataFrame, key: str, body: str, longer: int = 20) -> DataFrame:
     return x.where(kept).select(key, "pos", "text", "section", "scene")
 
 
-#: Kinds of lines of a rule book, in the order they are tried: kind and pattern of number and text.
+#: Kinds of lines of a rule book, in the order they are tried: kind and pattern of number and text. Sections have three digits or more.
 BOOK = {
     "chapter": r"^(\d)\. (.+)$",
-    "section": r"^(\d{3})\. (.+)$",
-    "rule": r"^(\d{3}\.\d+)\.? (.+)$",
-    "subrule": r"^(\d{3}\.\d+[a-z]+)\.? (.+)$",
+    "section": r"^(\d{3,})\. (.+)$",
+    "rule": r"^(\d{3,}\.\d+)\.? (.+)$",
+    "subrule": r"^(\d{3,}\.\d+[a-z]+)\.? (.+)$",
     "example": r"^(Example): (.+)$",
 }
 

@@ -29,3 +29,8 @@ def parts(n, name="'part ' || k % 7", brand="'Brand#1'", size="CAST(k % 50 + 1 A
 def test_pages_of_one_address_keep_their_own_change(equals_sql):
     pages = "SELECT CAST(k AS BIGINT) AS page_id, CASE k % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE ' https://a.example/?x=1&y=' || k % 3 || ' ' END AS url, '' AS html FROM range(40) r(k)"
     assert len(equals_sql("sitemap_entries", pages=pages)) == 40
+
+
+def test_rule_book_with_sections_of_four_digits(equals_sql):
+    rows = equals_sql("rule_book", part=parts(1500))
+    assert any(r["kind"] == "section" and len(r["number"]) == 4 for r in rows)
