@@ -14,6 +14,11 @@ def ascii_slug(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(name), "[^a-z0-9]+", "-"), F.lit("-"))
 
 
+def upper_simple(text: Column) -> Column:
+    """Upper case character by character: one that has no single capital (ß) stays."""
+    return F.array_join(F.transform(F.split(text, "", -1), lambda c: F.when(F.length(F.upper(c)) == 1, F.upper(c)).otherwise(c)), "")
+
+
 @F.pandas_udf(StringType())
 def nfkd_ascii(names: pd.Series) -> pd.Series:
     """Compatibility-decomposed names without what ASCII lacks; null stays null."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gleaner.functions import text as tx
 from gleaner.operators import checks
 from gleaner.plans.registry import query
 from gleaner.session import table
@@ -24,7 +25,7 @@ def _paragraphs(spark: SparkSession, d: str) -> DataFrame:
 def _claims(spark: SparkSession, d: str) -> DataFrame:
     k, w = F.col("doc_id"), lambda n: F.coalesce(F.get(F.split("text", " ", -1), n - 1), F.lit(""))
     quote = F.when(k % 5 == 0, F.concat(F.lit("“"), w(2), F.lit(" "), w(3), F.lit(" "), w(4), F.lit("…, "))).when(k % 5 == 1, "of").when(k % 5 == 2, "never said anywhere")
-    quote = quote.when(k % 5 == 3, F.substring("text", 3, 12)).otherwise(F.upper(F.concat(w(1), F.lit("  "), w(2))))
+    quote = quote.when(k % 5 == 3, F.substring("text", 3, 12)).otherwise(tx.upper_simple(F.concat(w(1), F.lit("  "), w(2))))
     return _paragraphs(spark, d).where(F.col("index") == k % 3).select("doc_id", (k % 2).cast("int").alias("hint"), quote.alias("quote"))
 
 

@@ -34,3 +34,9 @@ def test_pages_of_one_address_keep_their_own_change(equals_sql):
 def test_rule_book_with_sections_of_four_digits(equals_sql):
     rows = equals_sql("rule_book", part=parts(1500))
     assert any(r["kind"] == "section" and len(r["number"]) == 4 for r in rows)
+
+
+@pytest.mark.parametrize("name", ["checked_events", "located_quotes", "evidence_reasons"])
+def test_quotes_in_capitals_of_letters_without_one(equals_sql, name):
+    documents = "SELECT CAST(k AS BIGINT) AS doc_id, 'straße weiß ich ' || k || chr(10) || 'größe schoß heiß ' || k || chr(10) || 'fuß paß maß' AS text, 'de' AS lang FROM range(20) r(k)"
+    equals_sql(name, documents=documents)
