@@ -59,10 +59,12 @@ def matched(cards: DataFrame, entities: DataFrame, names: DataFrame) -> DataFram
         .when(F.col("kind") == "artifact", of_faces(lambda n: asks(("a", n, ["artifact"], 2))))
     )
     x = cards.withColumn("kind", kind).where("kind is not null").select("card", "kind", F.explode(asked).alias("q")).select("card", "kind", "q.*").where("asked is not null")
-    x = x.withColumn("folded", folded(F.col("asked"))).join(names, "folded").join(entities.select("id", "type", "pages", folded(F.col("name")).alias("_own")), "id")
-    x = x.where(F.array_contains("types", F.col("type")) & agrees(F.col("folded"), F.col("_own")))
-    x = x.withColumn("key", F.struct("card", "kind", "face", "slot", "least"))
-    best = confident(x, "key", "pages", "id", 0, 2).select("key.*", "id", "pages").where("pages >= least")
+    x = x.withColumn("folded", folded(F.col("asked")))
+    # What a name means among entities of these types is the same for all cards that ask.
+    asked_for = x.select("folded", "types").distinct()
+    known = asked_for.join(names, "folded").join(entities.select("id", "type", "pages", folded(F.col("name")).alias("_own")), "id")
+    known = known.where(F.array_contains("types", F.col("type")) & agrees(F.col("folded"), F.col("_own"))).withColumn("key", F.struct("folded", "types"))
+    best = x.join(confident(known, "key", "pages", "id", 0, 2).select("key.*", "id", "pages"), ["folded", "types"]).where("pages >= least")
     by = best.groupBy("card", "kind", "face").agg(*(F.max(F.when(F.col("slot") == s, F.struct("id", "pages"))).alias(s) for s in "ab"))
     better = F.when(F.coalesce(F.col("b.pages") > F.col("a.pages"), F.lit(False)), F.col("b.id")).otherwise(F.coalesce("a.id", "b.id"))
     ids = F.when(F.col("kind") == "plane", F.array("a.id", "b.id")).when(F.col("kind") == "legend", F.array(better)).otherwise(F.array(F.coalesce("a.id", "b.id")))

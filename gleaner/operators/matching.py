@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleaner.operators.bounds import MOST
-from gleaner.operators.priority import first_per_key
+from gleaner.operators.priority import first_per_key, top_per_group
 from gleaner.operators.rounds import greedy, large_groups
 from gleaner.session import ship, written
 
@@ -55,8 +55,8 @@ def prefix_pairs(a: DataFrame, b: DataFrame, name_a: str, name_b: str, least: in
 
 def confident(candidates: DataFrame, key: str, score: str, value: str, least: float, times: float) -> DataFrame:
     """The best candidate per key if it scores least and times the runner-up; otherwise nothing."""
-    w = Window.partitionBy(key).orderBy(F.desc(score), value)
-    x = candidates.withColumn("_r", F.row_number().over(w)).withColumn("_next", F.lead(score).over(w))
+    w = Window.partitionBy(key).orderBy("_r")
+    x = top_per_group(candidates, [key], [F.desc(score), F.col(value)], 2, "_r").withColumn("_next", F.lead(score).over(w))
     return x.where((F.col("_r") == 1) & (F.col(score) >= least) & (F.col("_next").isNull() | (F.col(score) >= times * F.col("_next")))).select(key, value, score)
 
 

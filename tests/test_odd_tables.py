@@ -2,7 +2,9 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from gleaner.operators import entities
 from gleaner.plans import registry
 
 
@@ -40,3 +42,11 @@ def test_rule_book_with_sections_of_four_digits(equals_sql):
 def test_quotes_in_capitals_of_letters_without_one(equals_sql, name):
     documents = "SELECT CAST(k AS BIGINT) AS doc_id, 'straße weiß ich ' || k || chr(10) || 'größe schoß heiß ' || k || chr(10) || 'fuß paß maß' AS text, 'de' AS lang FROM range(20) r(k)"
     equals_sql(name, documents=documents)
+
+
+def test_entities_of_one_name_are_weighed_once(spark):
+    ids = spark.range(20_000)
+    cards = ids.select(F.col("id").alias("card"), F.lit("Basic Land").alias("type_line"), F.array(F.lit("Rix")).alias("names"))
+    known = ids.select("id", F.lit("Rix").alias("name"), F.when(F.col("id") % 2 == 0, "location").otherwise("artifact").alias("type"), F.when(F.col("id") == 8, 90).otherwise(10).alias("pages"))
+    got = entities.matched(cards, known, known.select(F.lit("rix").alias("folded"), "id"))
+    assert got.agg(F.count("*"), F.min("id"), F.max("id"), F.max("position")).first() == (20_000, 8, 8, 0)
