@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.operators import entities
+from gleaner.operators import containment, entities
 from gleaner.plans import registry
 
 
@@ -50,3 +50,23 @@ def test_entities_of_one_name_are_weighed_once(spark):
     known = ids.select("id", F.lit("Rix").alias("name"), F.when(F.col("id") % 2 == 0, "location").otherwise("artifact").alias("type"), F.when(F.col("id") == 8, 90).otherwise(10).alias("pages"))
     got = entities.matched(cards, known, known.select(F.lit("rix").alias("folded"), "id"))
     assert got.agg(F.count("*"), F.min("id"), F.max("id"), F.max("position")).first() == (20_000, 8, 8, 0)
+
+
+def test_copies_of_combinations_are_listed_not_paired(equals_sql):
+    rows = equals_sql("combo_supersets", part=parts(4_000, name="CASE WHEN k % 9 <> 5 THEN 'part ' || k % 4 * (k // 4 % 3) END", size="CAST(k // 8 % 5 * (k % 2) AS INTEGER)"))
+    assert sum(r["same"] for r in rows) > 500 and 0 < sum(not r["same"] for r in rows) < 50
+
+
+def test_containment_in_blocks_of_sets(spark):
+    sets = spark.createDataFrame([(i, f"e{x}") for i in range(30) for x in (i % 5, i % 7, i)], "s int, e string").distinct()
+    held = spark.createDataFrame([(k, f"e{x}") for k in range(12) for x in range(k + 1)], "c int, e string")
+    of, has = {}, {}
+    for s, e in sets.collect():
+        of.setdefault(s, set()).add(e)
+    for c, e in held.collect():
+        has.setdefault(c, set()).add(e)
+    for missing in (0, 1):
+        want = sorted((s, c, len(a - b)) for s, a in of.items() for c, b in has.items() if len(a) > missing and len(a - b) <= missing)
+        for most in (1_000, 20):
+            got = containment.contained(sets, held, "s", "c", "e", missing, most)
+            assert sorted((r["s"], r["c"], r["lacking"]) for r in got.collect()) == want
