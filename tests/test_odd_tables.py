@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.operators import containment, entities
+from gleaner.operators import containment, entities, winning
 from gleaner.plans import registry
 
 
@@ -70,3 +70,10 @@ def test_containment_in_blocks_of_sets(spark):
         for most in (1_000, 20):
             got = containment.contained(sets, held, "s", "c", "e", missing, most)
             assert sorted((r["s"], r["c"], r["lacking"]) for r in got.collect()) == want
+
+
+def test_combinations_of_a_style_lie_in_the_levels_of_all_their_cards(spark):
+    elements = spark.createDataFrame([("p", "a"), ("p", "b"), ("q", "a"), ("r", "b"), ("r", "c")], "combo string, card string")
+    have = spark.createDataFrame([(1, 1, "a"), (1, 3, "a"), (1, 2, "b"), (1, 3, "b"), (1, 2, "c"), (2, 5, "a"), (2, 4, "b")], "style int, level int, card string")
+    got = {(r["deck"]["style"], r["deck"]["level"], r["combo"]) for r in winning.held_by_decks(elements, have).collect()}
+    assert got == {(1, 3, "p"), (1, 1, "q"), (1, 3, "q"), (1, 2, "r"), (2, 5, "q")}
