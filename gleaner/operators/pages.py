@@ -105,11 +105,10 @@ def wiki(pages: DataFrame, key: str, body: str, longer: int = 20) -> DataFrame:
 
     Sections that are no story are left out whole, down to the next second-level heading; so are tables, figures and boxes.
     """
-    e = html.elements(pages, key, body, ["h2", "h3", "h4", "p", "li"], ["div", "table", "figure", "ul", "ol"])
-    boxes = e.where(attr("class").rlike("toc|navbox|infobox")).select(key, F.col("pos").alias("box"))
-    e = e.where(~F.arrays_overlap("kinds", F.array(F.lit("table"), F.lit("figure"))) & F.col("tag").isin("h2", "h3", "h4", "p", "li"))
-    boxed = e.select(key, "pos", F.explode("within").alias("box")).join(boxes, [key, "box"], "left_semi").select(key, "pos").distinct()
-    e = e.join(boxed, [key, "pos"], "left_anti")
+    e = html.elements(pages, key, body, ["h2", "h3", "h4", "p", "li"], classes=True)
+    boxes = ("h2", "h3", "h4", "p", "li", "div", "table", "figure", "ul", "ol")
+    boxed = F.exists(F.zip_with("kinds", "classes", lambda k, c: k.isin(*boxes) & c.rlike("toc|navbox|infobox")), lambda x: x)
+    e = e.where(~F.arrays_overlap("kinds", F.array(F.lit("table"), F.lit("figure"))) & ~boxed)
     heading = F.when(F.col("tag").startswith("h"), F.trim(F.regexp_replace("text", r"\s*\[\s*edit\b.*$", "")))
     w = Window.partitionBy(key).orderBy("pos")
     carried = lambda c: F.last(c, ignorenulls=True).over(w)

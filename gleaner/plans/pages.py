@@ -13,6 +13,11 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def _spread(spark: SparkSession, d: str) -> DataFrame:
+    """Parts dealt over the shuffle's partitions: their table is a few blocks, the pages made of it are many times larger."""
+    return table(spark, d, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+
+
 def _page(spark: SparkSession, d: str, *row: Column | str, head: str = "", tail: Column | str = "") -> DataFrame:
     """A page a brand, with a row of HTML for each of its parts in order."""
     lit = lambda x: F.lit(x) if isinstance(x, str) else x
@@ -79,7 +84,7 @@ def profile_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     """Paragraphs of a profile without boilerplate, from its article if it has one."""
     tag = lambda end: F.when(F.col("p_size") % 5 == 0, "").otherwise(end)
     body = F.concat(F.lit("<body><p>outside</p>"), tag("<article>"), F.lit("<h2>"), F.col("p_brand"), F.lit("</h2><p>EXPLORE THE LORE</p><p>"), F.col("p_name"), F.lit(" &amp;\n <b>more</b></p><div><p>"), F.when(F.col("p_size") % 2 == 0, F.col("p_type")).otherwise(" "), F.lit("</p></div>"), tag("</article>"), F.lit("</body>"))
-    return pages.profile(table(spark, d, "part").select("p_partkey", body.alias("html")), "p_partkey", "html").select("p_partkey", "text")
+    return pages.profile(_spread(spark, d).select("p_partkey", body.alias("html")), "p_partkey", "html").select("p_partkey", "text")
 
 
 @query(
@@ -92,7 +97,7 @@ SELECT p_partkey, unnest(CASE WHEN p_size > a THEN [{'text': repeat('y', p_size)
 def archived_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     """The paragraphs of the block that directly holds most text, if that is enough."""
     body = F.concat(F.lit("<div><p>"), F.col("p_name"), F.lit("</p><p>"), F.col("p_type"), F.lit("</p><hr><p>Art by X</p><p>"), F.col("p_brand"), F.lit("</p></div><section><p>"), F.expr("repeat('y', p_size)"), F.lit("</p></section><nav><div><p>" + "z" * 900 + "</p></div></nav>"))
-    return pages.archived(table(spark, d, "part").select("p_partkey", body.alias("html")), "p_partkey", "html", least=35).select("p_partkey", "text", "scene")
+    return pages.archived(_spread(spark, d).select("p_partkey", body.alias("html")), "p_partkey", "html", least=35).select("p_partkey", "text", "scene")
 
 
 @query(
@@ -109,7 +114,7 @@ def wiki_paragraphs(spark: SparkSession, d: str) -> DataFrame:
         F.lit(" <ul><li>with a nested one</li></ul></li><li>short</li></ul><h3>Sub</h3><p>too short</p><h2>Trivia [ edit | edit source ]</h2><p>Never shown, though it is long</p><h3>In it</h3><p>Never shown either, in its part</p>"),
         F.lit('<h2>Later</h2><table><tr><td><p>This is in a table, long enough</p></td></tr></table><div class="infobox left"><p>This is in a box, long enough</p></div><p>The last words on '), F.col("p_name"), F.lit("</p></div>"),
     )
-    return pages.wiki(table(spark, d, "part").select("p_partkey", body.alias("html")), "p_partkey", "html").select("p_partkey", "text", "section", "scene")
+    return pages.wiki(_spread(spark, d).select("p_partkey", body.alias("html")), "p_partkey", "html").select("p_partkey", "text", "section", "scene")
 
 
 _BOOK = """b AS (SELECT p_brand, p_partkey AS pos, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i, p_size % 7 AS t, p_name FROM part),

@@ -86,7 +86,7 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 
 
 class _Elements(HTMLParser):
-    """Rows [pos, tag, attributes, positions and tags of the elements around it, text] of the wanted elements."""
+    """Rows [pos, tag, attributes, positions and tags of the elements around it, text, classes around it] of the wanted elements."""
 
     def __init__(self, wanted: frozenset[str], bare: frozenset[str], silent: frozenset[str]):
         super().__init__(convert_charrefs=True)
@@ -97,10 +97,10 @@ class _Elements(HTMLParser):
         self.n += 1
         row = None
         if tag in self.wanted or tag in self.bare:
-            row = [self.n, tag, {k: v or "" for k, v in attrs}, [x[0] for x in around], [x[1] for x in around], []]
+            row = [self.n, tag, {k: v or "" for k, v in attrs}, [x[0] for x in around], [x[1] for x in around], [], [x[3] for x in around]]
             self.rows.append(row)
         if tag not in _VOID:
-            self.open = [*around, (self.n, tag, row[5] if tag in self.wanted else None)]
+            self.open = [*around, (self.n, tag, row[5] if tag in self.wanted else None, dict(attrs).get("class") or "")]
 
     def handle_endtag(self, tag):
         last = max((i for i, x in enumerate(self.open) if x[1] == tag), default=None)
@@ -109,15 +109,15 @@ class _Elements(HTMLParser):
 
     def handle_data(self, data):
         if not any(x[1] in self.silent for x in self.open):
-            for _, _, parts in self.open:
+            for _, _, parts, _ in self.open:
                 if parts is not None:
                     parts.append(data)
 
 
-def elements(pages: DataFrame, key: str, html: str, tags: list[str], bare: list[str] = (), silent: tuple[str, ...] = ("script", "style"), between: str = "") -> DataFrame:
+def elements(pages: DataFrame, key: str, html: str, tags: list[str], bare: list[str] = (), silent: tuple[str, ...] = ("script", "style"), between: str = "", classes: bool = False) -> DataFrame:
     """A row per element of the tags: key, pos (its place in the page), tag, attrs, within (positions of the elements around
     it, outermost first), kinds (their tags) and text (of all that is inside but in silent tags, its pieces joined by `between`, white
-    space collapsed; null for tags in bare).
+    space collapsed; null for tags in bare); with `classes` also the class attribute of each element around it.
 
     What a page means is left to DataFrame operations on these rows. Null and empty pages have none.
     """
@@ -130,10 +130,11 @@ def elements(pages: DataFrame, key: str, html: str, tags: list[str], bare: list[
                 p = _Elements(wanted, no_text, quiet)
                 p.feed(h or "")
                 p.close()
-                rows += [(k, *r[:5], " ".join(between.join(r[5]).split()) if r[1] in wanted else None) for r in p.rows]
-            yield pd.DataFrame(rows, columns=[key, "pos", "tag", "attrs", "within", "kinds", "text"])
+                rows += [(k, *r[:5], " ".join(between.join(r[5]).split()) if r[1] in wanted else None, *r[6:][:classes]) for r in p.rows]
+            yield pd.DataFrame(rows, columns=[key, *more.names])
 
-    fields = T.StructType([pages.schema[key], *T.StructType.fromDDL("pos int, tag string, attrs map<string,string>, within array<int>, kinds array<string>, text string").fields])
+    more = T.StructType.fromDDL("pos int, tag string, attrs map<string,string>, within array<int>, kinds array<string>, text string" + ", classes array<string>" * classes)
+    fields = T.StructType([pages.schema[key], *more.fields])
     return pages.select(key, html).mapInPandas(run, fields)
 
 

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.operators import containment, entities, winning
+from gleaner.operators import containment, entities, pages, winning
 from gleaner.plans import registry
 
 
@@ -77,3 +77,16 @@ def test_combinations_of_a_style_lie_in_the_levels_of_all_their_cards(spark):
     have = spark.createDataFrame([(1, 1, "a"), (1, 3, "a"), (1, 2, "b"), (1, 3, "b"), (1, 2, "c"), (2, 5, "a"), (2, 4, "b")], "style int, level int, card string")
     got = {(r["deck"]["style"], r["deck"]["level"], r["combo"]) for r in winning.held_by_decks(elements, have).collect()}
     assert got == {(1, 3, "p"), (1, 1, "q"), (1, 3, "q"), (1, 2, "r"), (2, 5, "q")}
+
+
+def test_pages_of_few_blocks_are_read_by_many_tasks_and_once(spark, equals_sql, tmp_path):
+    rows = equals_sql("wiki_paragraphs", part=parts(200))
+    plan = registry.queries()["wiki_paragraphs"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) == 800 and plan.count("MapInPandas") == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_only_boxes_hide_what_is_in_them(spark):
+    text = "<p>A paragraph that is long enough, {}</p>"
+    body = '<div class="x"><span class="toc">' + text.format("in a span") + '</span><div class="navbox y">' + text.format("in a box") + "</div></div>"
+    got = pages.wiki(spark.createDataFrame([(1, body)], "k int, h string"), "k", "h").collect()
+    assert [r["text"] for r in got] == ["A paragraph that is long enough, in a span"]
