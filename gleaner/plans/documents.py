@@ -10,7 +10,7 @@ from gleaner.functions import dates, numbers, text as tx
 from gleaner.operators import graph, texts
 from gleaner.plans.bindings import DECKS, LINES, decks, lines
 from gleaner.plans.registry import query
-from gleaner.session import setting, table
+from gleaner.session import table
 from gleaner.sources import html, images, jsonlines, sinks
 from gleaner.streaming import seen, windows as streams
 
@@ -340,8 +340,7 @@ def streamed_debuts(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderdate").cast("timestamp").alias("ts"))
     span = orders.agg(F.year(F.min("ts")), F.year(F.max("ts"))).first()
     years = (orders.where(F.year("ts") == y) for y in range(span[0], span[1] + 1))
-    with setting(spark, *seen.STORE):
-        return streams.reruns(years, lambda rows: seen.first_seen(rows, "ts", "customer")).distinct()
+    return streams.reruns(years, lambda rows: rows, run=lambda rows, at: seen.debuts(rows, "ts", "customer", at))
 
 
 @query(

@@ -78,19 +78,42 @@ def settled(df: DataFrame, mode: str = "complete", at: str | None = None) -> Dat
     return spark.read.schema(df.schema).parquet(done[max(done)]) if done else spark.createDataFrame([], df.schema)
 
 
-def reruns(slices: Iterable[DataFrame], query: Callable[[DataFrame], DataFrame], at: str | None = None) -> DataFrame:
+def reruns(slices: Iterable[DataFrame], query: Callable[[DataFrame], DataFrame], at: str | None = None, run: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """What a query appends that is run anew after each slice has arrived, with its state kept between the runs. slices: tables
-    of one schema, each no older than those before it by more than LATENESS."""
-    out = None
+    of one schema, each no older than those before it by more than LATENESS. run(query, place) settles a run: appended rows unless given."""
+    out, run = None, run or (lambda df, at: settled(df, "append", at))
     for rows in slices:
         at = _place(rows.sparkSession, at)
         rows.write.mode("append").parquet(f"{at}/in")
-        out = settled(query(rows.sparkSession.readStream.schema(rows.schema).parquet(f"{at}/in")), "append", at)
+        out = run(query(rows.sparkSession.readStream.schema(rows.schema).parquet(f"{at}/in")), at)
     if out is None:
         raise ValueError("no slice")
     return out
 
 
+def stepped(rows: DataFrame, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]], state: str, schema: str, at: str | None = None) -> DataFrame:
+    """Rows that each batch gives beside a state table: step(state, batch) gives the next state and the batch's rows. Returns the
+    rows of all batches.
+
+    State and rows are tables named by the batch's number, as in upserted(): a batch that runs again overwrites only its own. The
+    rows are written first, so a whole state table vouches for them.
+    """
+    spark, at = rows.sparkSession, _place(rows.sparkSession, at)
+
+    def keep(batch: DataFrame, n: int) -> None:
+        s = batch.sparkSession
+        before = {k: v for k, v in tables(s, f"{at}/table").items() if k < n}
+        old = s.read.schema(state).parquet(before[max(before)]) if before else s.createDataFrame([], state)
+        new, out = step(old, batch)
+        out.write.mode("overwrite").parquet(f"{at}/out/{n}")
+        new.write.mode("overwrite").parquet(f"{at}/table/{n}")
+
+    rows.writeStream.foreachBatch(keep).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    whole, given = tables(spark, f"{at}/table"), tables(spark, f"{at}/out")
+    done = [given[n] for n in sorted(whole)]
+    return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
+
+
 def upserted(rows: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], schema: str, at: str | None = None) -> DataFrame:
     """A state table that each batch is merged into: merge(state, batch) gives the next state. Returns the last one.
 

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from gleaner.plans import registry
 from gleaner.session import setting, shared_folder
 from gleaner.streaming import seen, windows
 
@@ -73,3 +74,21 @@ def test_complete_results_go_on(spark, tmp_path):
 def test_no_slice(spark):
     with pytest.raises(ValueError):
         windows.reruns([], lambda rows: rows)
+
+
+def test_debuts_of_batches_equal_the_timers(spark):
+    """The same keys from a table of last times, without a call per key: a comes daily, c after exactly 30 days, e late within one arrival;
+    the last slice has a row behind the watermark. The table forgets as the state does."""
+    parts = slices(spark, [("a", 0), ("b", 0), ("c", 0), ("d", 0), ("d", 0), (None, 0), ("x", None)], [("a", 20), ("e", 20), ("e", 19)], [("a", 29), ("c", 30), ("b", 31)], [("a", 62)], [("a", 63), ("c", 100)], [("f", 97), ("g", 98)])
+    place = f"{shared_folder(spark)}/streams/debuts-test"
+    out = windows.reruns(parts, lambda rows: rows, place, lambda rows, at: seen.debuts(rows, "ts", "k", at))
+    days = sorted((r["k"], (r["first_seen"] - DAY).days) for r in out.collect())
+    assert days == [("a", 0), ("a", 62), ("b", 0), ("b", 31), ("c", 0), ("c", 100), ("d", 0), ("e", 19), ("g", 98)]
+    state = spark.read.parquet(windows.tables(spark, f"{place}/table")[5]).collect()
+    assert sorted((r["who"], (r["last"] - DAY).days) for r in state) == [("c", 100), ("g", 98)]
+
+
+def test_streamed_debuts_call_no_python_per_key(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(seen, "first_seen", None)
+    got = registry.queries()["streamed_debuts"](spark, sf_dir)
+    assert got.count() == got.distinct().count() > 0
