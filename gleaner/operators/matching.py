@@ -13,7 +13,10 @@ from gleaner.session import ship, written
 
 def nearest(left: DataFrame, right: DataFrame, on: list[str], key: str, day: str, other: str, before: int, after: int, order: list[Column]) -> DataFrame:
     """For each row of left (unique key): the row of right, equal in on, whose date other lies from day - before to
-    day + after and is nearest; ties by order.
+    day + after and is nearest; ties by order, whose columns are of right.
+
+    Of right rows equal in on and date only the first in order can be chosen, so the others are left out before anything is joined: a row
+    of left meets one row a day of its range, however many fall on a day.
 
     The range is an equality on buckets of its own width plus a filter: each right row is placed in its bucket and the
     left row looks in the buckets that its range touches, so no pair outside of them is formed.
@@ -22,7 +25,7 @@ def nearest(left: DataFrame, right: DataFrame, on: list[str], key: str, day: str
     bucket = lambda d: F.floor(F.datediff(d, F.lit("1970-01-01").cast("date")) / width)
     spots = F.sequence(bucket(F.date_sub(F.col(day), before)), bucket(F.date_add(F.col(day), after)))
     a = left.withColumn("_b", F.explode(spots))
-    b = right.withColumn("_b", bucket(F.col(other)))
+    b = first_per_key(right, [*on, other], order).withColumn("_b", bucket(F.col(other)))
     gap = F.datediff(F.col(other), F.col(day))
     pairs = a.join(b, [*on, "_b"]).where(gap.between(-before, after)).withColumn("gap", F.abs(gap)).drop("_b")
     return first_per_key(pairs, [key], [F.col("gap"), *order])
