@@ -156,7 +156,7 @@ def history_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Prices encoded as binary histories and decoded again."""
     key = F.lower(F.lpad(F.hex("printing"), 32, "0"))
     points = prices(spark, d).select(key.alias("printing"), F.lit(0).alias("finish"), dates.day_number(F.col("day")).alias("day"), "cents")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), table(spark, d, "lineitem").count() // 500_000)  # a part is one task's frame
     out = history.points(history.files(points, 9000, 12000, parts))
     return out.select(F.replace("printing", F.lit("-"), F.lit("")).alias("printing"), "day", "cents")
 

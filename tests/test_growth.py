@@ -1,10 +1,17 @@
 """Work that must not grow faster than its input: what meets is counted, not timed."""
 
+import uuid
 from datetime import date, timedelta
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from gleaner.operators import matching
+from gleaner.sources import history
+
+mapped = DataFrame.mapInPandas
 
 
 def test_nearest_joins_one_row_a_day(spark, monkeypatch):
@@ -17,3 +24,18 @@ def test_nearest_joins_one_row_a_day(spark, monkeypatch):
     out = matching.nearest(a, b, ["g"], "a", "day", "other", 1, 1, [-F.col("b")]).select("a", "b", "gap")
     assert sorted(out.collect()) == [(i, 239, 1) for i in range(40)]
     assert met[-1] == 80
+
+
+def test_history_frames_hold_many_cards(spark, monkeypatch):
+    """A file of 300 cards is read in few frames, and its bytes are those of the plain encoder."""
+    ids = [str(uuid.UUID(int=i)) for i in range(300)]
+    pts = [(p, f, 100 + 3 * d, 70 * d + f) for p in ids for f in (0, 2) for d in range(4)]
+    series = {p: {f: [(day, cents) for q, g, day, cents in pts if (q, g) == (p, f)] for f in (0, 2)} for p in ids[:3]}
+    each = lambda k, few: np.array([x[k] for x in pts if x[0] in few], object if k == 0 else np.int64)
+    assert history.encode_points(*(each(k, ids[:3]) for k in range(4)), 100, 200) == history.encode_history(series, 100, 200)
+    data, run = history.encode_points(*(each(k, ids) for k in range(4)), 100, 200), []
+    contents = spark.createDataFrame([(bytearray(data),)], "content binary")
+    monkeypatch.setattr(DataFrame, "mapInPandas", lambda df, f, schema: run.append(f) or mapped(df, f, schema))
+    assert history.points(contents).count() == len(pts)
+    frames = list(run[0](iter([pd.DataFrame({"content": [data]})])))
+    assert len(frames) == 1 and list(frames[0].itertuples(index=False, name=None)) == pts
