@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleaner.functions import text
-from gleaner.session import table
+from gleaner.session import spread, table
 
 #: The fixed clocks of orders and of events.
 NOW, EVENTS_NOW = "1998-07-01 00:00:00", "2024-01-30 00:00:00"
@@ -41,9 +41,15 @@ DECKS = """decks AS (
 
 
 def lines(spark: SparkSession, d: str) -> DataFrame:
-    """deck_id, board (main or side), slug, name, qty: one row per deck, board and name."""
+    """deck_id, board (main or side), slug, name, qty: one row per deck, board and name.
+
+    Lines are dealt by deck, in more parts the more there are, so that what groups or joins them by deck needs no other shuffle and
+    a task holds no more of a larger table.
+    """
     parts = table(spark, d, "part").select("p_partkey", "p_name")
-    rows = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus", "l_quantity").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    of = table(spark, d, "lineitem")
+    rows = of.select("l_orderkey", "l_partkey", "l_linestatus", "l_quantity").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    rows = spread(rows.select("l_orderkey", "l_linestatus", "p_name", "l_quantity"), of.count(), "l_orderkey")
     board = F.when(F.col("l_linestatus") == "F", "main").otherwise("side")
     summed = rows.groupBy(F.col("l_orderkey").alias("deck_id"), board.alias("board"), F.col("p_name").alias("name")).agg(F.sum("l_quantity").cast("bigint").alias("qty"))
     return summed.withColumn("slug", text.ascii_slug(F.col("name")))

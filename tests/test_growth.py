@@ -8,7 +8,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
+from gleaner import session
 from gleaner.operators import matching
+from gleaner.plans import bindings
 from gleaner.sources import history
 
 mapped = DataFrame.mapInPandas
@@ -39,3 +41,11 @@ def test_history_frames_hold_many_cards(spark, monkeypatch):
     assert history.points(contents).count() == len(pts)
     frames = list(run[0](iter([pd.DataFrame({"content": [data]})])))
     assert len(frames) == 1 and list(frames[0].itertuples(index=False, name=None)) == pts
+
+
+def test_lines_are_dealt_by_deck_in_more_parts_the_more_there_are(spark, sf_dir):
+    """Aggregates by deck need no other shuffle, and a large table gets more tasks, not larger ones."""
+    plan = bindings.lines(spark, sf_dir).groupBy("deck_id", "slug").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(l_orderkey") == 1
+    few, many = (session.spread(spark.range(10), n, "id").rdd.getNumPartitions() for n in (1_000_000, 50_000_000))
+    assert few <= 4 and many == 100
