@@ -22,7 +22,8 @@ def _page(spark: SparkSession, d: str, *row: Column | str, head: str = "", tail:
     """A page a brand, with a row of HTML for each of its parts in order."""
     lit = lambda x: F.lit(x) if isinstance(x, str) else x
     body = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", F.concat(*map(lit, row)).alias("h")))), lambda x: x["h"])
-    return table(spark, d, "part").groupBy("p_brand").agg(F.array_join(body, "\n").alias("h"), F.count(F.lit(1)).alias("n")).select("p_brand", F.concat(F.lit(head), "h", lit(tail)).alias("html"))
+    dealt = table(spark, d, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_brand")  # few rows, large pages
+    return dealt.groupBy("p_brand").agg(F.array_join(body, "\n").alias("h"), F.count(F.lit(1)).alias("n")).select("p_brand", F.concat(F.lit(head), "h", lit(tail)).alias("html"))
 
 
 _HEAD = "CASE p_type WHEN 'PROMO' THEN 'frontier-cup' WHEN 'LARGE' THEN 'modern-challenge-32' WHEN 'SMALL' THEN 'modern-league' ELSE 'standard-super-qualifier' END"

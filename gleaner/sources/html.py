@@ -102,6 +102,13 @@ class _Elements(HTMLParser):
         if tag not in _VOID:
             self.open = [*around, (self.n, tag, row[5] if tag in self.wanted else None, dict(attrs).get("class") or "")]
 
+    def closed(self) -> list[list]:
+        """Takes the rows to which nothing can be added any more."""
+        still = {id(parts) for _, _, parts, _ in self.open if parts is not None}
+        done = [r for r in self.rows if id(r[5]) not in still]
+        self.rows = [r for r in self.rows if id(r[5]) in still]
+        return done
+
     def handle_endtag(self, tag):
         last = max((i for i, x in enumerate(self.open) if x[1] == tag), default=None)
         if last is not None:
@@ -114,6 +121,20 @@ class _Elements(HTMLParser):
                     parts.append(data)
 
 
+#: Elements that go out together, and characters of a page that are parsed before those that are whole go out.
+ROWS, PIECE = 5_000, 100_000
+
+
+def pieces(page: str, size: int = PIECE) -> Iterator[str]:
+    """The page cut before a '<' at size characters or later: no text between two tags is cut, so it parses as in one."""
+    at = 0
+    while at < len(page):
+        cut = page.find("<", at + size)
+        cut = len(page) if cut < 0 else cut
+        yield page[at:cut]
+        at = cut
+
+
 def elements(pages: DataFrame, key: str, html: str, tags: list[str], bare: list[str] = (), silent: tuple[str, ...] = ("script", "style"), between: str = "", classes: bool = False) -> DataFrame:
     """A row per element of the tags: key, pos (its place in the page), tag, attrs, within (positions of the elements around
     it, outermost first), kinds (their tags) and text (of all that is inside but in silent tags, its pieces joined by `between`, white
@@ -124,13 +145,19 @@ def elements(pages: DataFrame, key: str, html: str, tags: list[str], bare: list[
     wanted, no_text, quiet = frozenset(tags), frozenset(bare), frozenset(silent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = []
         for pdf in batches:
-            rows = []
             for k, h in zip(pdf[key], pdf[html]):
                 p = _Elements(wanted, no_text, quiet)
-                p.feed(h or "")
+                for piece in pieces(h or ""):
+                    p.feed(piece)
+                    rows += [(k, *r[:5], " ".join(between.join(r[5]).split()) if r[1] in wanted else None, *r[6:][:classes]) for r in p.closed()]
+                    if len(rows) >= ROWS:
+                        yield pd.DataFrame(rows, columns=[key, *more.names])
+                        rows = []
                 p.close()
                 rows += [(k, *r[:5], " ".join(between.join(r[5]).split()) if r[1] in wanted else None, *r[6:][:classes]) for r in p.rows]
+        if rows:
             yield pd.DataFrame(rows, columns=[key, *more.names])
 
     more = T.StructType.fromDDL("pos int, tag string, attrs map<string,string>, within array<int>, kinds array<string>, text string" + ", classes array<string>" * classes)

@@ -11,7 +11,7 @@ from pyspark.sql.classic.dataframe import DataFrame
 from gleaner import session
 from gleaner.operators import matching
 from gleaner.plans import bindings
-from gleaner.sources import history
+from gleaner.sources import history, html
 
 mapped = DataFrame.mapInPandas
 
@@ -49,3 +49,14 @@ def test_lines_are_dealt_by_deck_in_more_parts_the_more_there_are(spark, sf_dir)
     assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(l_orderkey") == 1
     few, many = (session.spread(spark.range(10), n, "id").rdd.getNumPartitions() for n in (1_000_000, 50_000_000))
     assert few <= 4 and many == 100
+
+
+def test_elements_of_a_large_page_go_out_in_pieces(spark, monkeypatch):
+    """A page of 20,000 rows gives frames of some thousand elements, whole and each once; what is still open waits."""
+    run, page = [], "<div>" + "".join(f"<p>row {i} &amp; a < b</p>" for i in range(20_000)) + "</div>"
+    monkeypatch.setattr(DataFrame, "mapInPandas", lambda df, f, schema: run.append(f) or mapped(df, f, schema))
+    html.elements(spark.createDataFrame([(1, "")], "k int, h string"), "k", "h", ["p"], ["div"])
+    frames = list(run[0](iter([pd.DataFrame({"k": [1], "h": [page]})])))
+    assert max(map(len, frames)) < 12_000 and sum(map(len, frames)) == 20_001
+    assert sorted(x for f in frames for x in f["pos"]) == list(range(1, 20_002))
+    assert list(pd.concat(frames).query("tag == 'p'").sort_values("pos")["text"]) == [f"row {i} & a < b" for i in range(20_000)]
