@@ -58,10 +58,10 @@ SELECT deck_id, archetype, round(cosine, 9) AS cosine FROM (SELECT *, row_number
 def nearest_profile(spark: SparkSession, d: str) -> DataFrame:
     """Every deck's nearest profile at a threshold, ties to the bigger."""
     rows = decks(spark, d)
-    lists = _lists(spark, d).groupBy("deck_id", "slug").agg(F.sum(F.least("qty", F.lit(4))).alias("w"))
+    lists = lines(spark, d, each=100_000).join(rows.select("deck_id"), "deck_id").groupBy("deck_id", "slug").agg(F.sum(F.least("qty", F.lit(4))).alias("w"))
     scores = similarity.profile_cosine(lists, _vectors(spark, d).drop("format"), "deck_id", "archetype", ["slug"])
     sizes = rows.groupBy("archetype").agg(F.count(F.lit(1)).alias("decks"))
-    return similarity.assigned(scores.join(sizes, "archetype"), "deck_id", "archetype", "decks", 0.25).select("deck_id", "archetype", F.round("cosine", 9).alias("cosine"))
+    return similarity.assigned(scores.join(F.broadcast(sizes), "archetype"), "deck_id", "archetype", "decks", 0.25).select("deck_id", "archetype", F.round("cosine", 9).alias("cosine"))
 
 
 @query(

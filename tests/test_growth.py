@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from gleaner import session
-from gleaner.operators import matching
+from gleaner.operators import matching, similarity
 from gleaner.plans import bindings
 from gleaner.sources import history, html
 
@@ -51,6 +51,17 @@ def test_lines_are_dealt_by_deck_in_more_parts_the_more_there_are(spark, sf_dir)
     assert few <= 4 and many == 100
 
 
+def test_profiles_come_to_the_items(spark):
+    """Items dealt by item are not dealt again where the profiles' weights are few; where they are many the cosines are the same."""
+    items = spark.createDataFrame([(i, k, float(1 + (i * k) % 5)) for i in range(60) for k in range(i % 7)] + [(None, 1, 1.0)], "i int, k int, w double").repartition("i")
+    profiles = spark.createDataFrame([(p, k, float(1 + (p + k) % 3)) for p in range(4) for k in range(p, 6)], "p int, k int, w double")
+    few, many = (similarity.profile_cosine(items, profiles, "i", "p", ["k"], most=n) for n in (1_000_000, 0))
+    assert few._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    plain = similarity.sparse_cosine(items, profiles, "i", "p", ["k"])
+    of = lambda df: sorted((r["i"], r["p"], round(r["cosine"], 12)) for r in df.collect())
+    assert of(few) == of(many) == of(plain) and len(of(few)) == 150
+
+
 def test_elements_of_a_large_page_go_out_in_pieces(spark, monkeypatch):
     """A page of 20,000 rows gives frames of some thousand elements, whole and each once; what is still open waits."""
     run, page = [], "<div>" + "".join(f"<p>row {i} &amp; a < b</p>" for i in range(20_000)) + "</div>"
