@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from gleaner import session
-from gleaner.operators import matching, similarity
+from gleaner.operators import matching, similarity, winning
 from gleaner.plans import bindings
 from gleaner.sources import history, html
 
@@ -62,6 +62,16 @@ def test_profiles_come_to_the_items(spark):
     assert of(few) == of(many) == of(plain) and len(of(few)) == 150
 
 
+def test_requests_of_styles_dealt_by_style_shuffle_nothing(spark):
+    """A style's cards and commanders meet where they lie; the first of a card's rows gives the same request as all of them."""
+    have = spark.createDataFrame([(s, n, f"c{(s * k) % 7}", k) for s in range(20) for k in range(9) for n in (1 + k % 3, 5)], "style int, level int, card string, pos int").repartition("style")
+    first = have.groupBy("style", "card").agg(F.min(F.struct("level", "pos")).alias("x")).select("style", "x.level", "card", "x.pos")
+    who = spark.createDataFrame([(s, f"c{c}") for s in range(21) for c in (0, 3)], "style int, card string").repartition("style")
+    out = winning.request(have, who)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    assert sorted(out.collect()) == sorted(winning.request(first, who).collect()) and out.where("size(main) > 0").count() == 17
+
+
 def test_elements_of_a_large_page_go_out_in_pieces(spark, monkeypatch):
     """A page of 20,000 rows gives frames of some thousand elements, whole and each once; what is still open waits."""
     run, page = [], "<div>" + "".join(f"<p>row {i} &amp; a < b</p>" for i in range(20_000)) + "</div>"
