@@ -8,8 +8,8 @@ from collections import defaultdict
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from gleaner.operators.containment import contained
-from gleaner.session import ship
+from gleaner.operators.containment import contained, set_classes
+from gleaner.session import ship, written
 
 #: Steps with an aim in their order, roles that take what is left, lands of a deck, and colours in their order.
 STEPS = ((("ramp",), 10), (("draw",), 10), (("removal", "counter"), 10), (("wipe",), 3), (("protection",), 3))
@@ -104,10 +104,13 @@ def fill(candidates: DataFrame, decks: DataFrame, commanders: DataFrame, combos:
     Each step with an aim takes its best cards; the land target follows from the ramp and the cost of what is taken, then again with the payoffs
     that would come; payoffs fill what the lands leave, then come lands, what is missing from any role, and basics. A card is passed over if its
     flag has no room at the level, or if it would complete a combination of a higher bracket. Only combinations that the pool and
-    commanders hold whole go to a deck's task; a choice depends on those before it, so a deck is one task, and its pool is bounded by how it was made.
+    commanders hold whole go to a deck's task, looked for once for all decks with the same cards; a choice depends on those before it, so a deck is one task, and its pool is bounded by how it was made.
     """
+    combos = written(combos.select("combo", "card", "bracket"))
     pool = candidates.select("deck", "card").union(commanders.select("deck", "card")).distinct()
-    held = contained(combos.select("combo", "card"), pool, "combo", "deck", "card").select("deck", "combo")
+    classes = written(set_classes(pool, "deck", "card"))
+    first = pool.join(classes.where("deck = class"), "deck", "left_semi")
+    held = contained(combos.select("combo", "card"), first, "combo", "deck", "card").select(F.col("deck").alias("class"), "combo").join(classes, "class")
     levels = decks.select("deck", F.col("level").alias("_level"))
     above = held.join(levels, "deck").join(combos.groupBy("combo").agg(F.max("bracket").alias("_bracket")), "combo").where("_bracket > _level")
     parts = above.select("deck", "combo").join(combos.select("combo", "card"), "combo")

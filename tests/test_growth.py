@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from gleaner import session
-from gleaner.operators import matching, similarity, winning
+from gleaner.operators import filling, matching, similarity, winning
 from gleaner.plans import bindings
+from gleaner.plans import filling as bound
 from gleaner.sources import history, html
 
 mapped = DataFrame.mapInPandas
@@ -72,6 +73,16 @@ def test_requests_of_styles_dealt_by_style_shuffle_nothing(spark):
     assert sorted(out.collect()) == sorted(winning.request(first, who).collect()) and out.where("size(main) > 0").count() == 17
 
 
+def test_lines_are_read_once_for_filled_decks(spark, sf_dir, monkeypatch):
+    """What a deck is filled from lies in small tables, and levels of the same cards look for combinations once."""
+    candidates, listed, who, combos = bound.inputs(spark, sf_dir)
+    assert not any("lineitem" in f or "orders" in f for df in (candidates, listed, who) for f in df.inputFiles())
+    met, contained = [], filling.contained
+    monkeypatch.setattr(filling, "contained", lambda sets, held, *of: met.append(held.select("deck").distinct().count()) or contained(sets, held, *of))
+    filling.fill(candidates, listed, who, combos)
+    assert met == [listed.count() // 5] == [25]
+
+
 def test_elements_of_a_large_page_go_out_in_pieces(spark, monkeypatch):
     """A page of 20,000 rows gives frames of some thousand elements, whole and each once; what is still open waits."""
     run, page = [], "<div>" + "".join(f"<p>row {i} &amp; a < b</p>" for i in range(20_000)) + "</div>"
