@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from gleaner.operators import rounds
 from gleaner.operators.bounds import MOST
 from gleaner.operators.rounds import large_groups
-from gleaner.operators.similarity import sparse_cosine
+from gleaner.operators.similarity import profile_cosine
 from gleaner.session import ship, written
 
 #: A new member's score, a staying member's score, and how far a member must outgrow its leader to lead.
@@ -160,14 +160,15 @@ def assigned(plan: DataFrame, sizes: DataFrame, profiles: DataFrame, results: Da
     """The leader that each result without an archetype joins: group, item, leader, score.
 
     profiles: group, id, slug, w: the lists of the longest window; results: group, item, slug, w. A result joins the leader whose
-    own list it scores highest against, at threshold or more, ties to the bigger; others and those without a list have no row.
+    own list it scores highest against, at threshold or more, ties to the bigger; others and those without a list have no row. Results dealt by
+    item stay where they are (see similarity.profile_cosine).
     """
-    lead = plan.where("id = leader").select("group", "id")
-    of = profiles.join(lead, ["group", "id"], "left_semi")
-    scores = sparse_cosine(results.withColumn("_i", F.struct("group", "item")).drop("item"), of.withColumn("_l", F.struct("group", "id")).drop("id"), "_i", "_l", ["group", "slug"])
-    x = scores.select("_i.group", "_i.item", F.col("_l.id").alias("leader"), F.round("cosine", 12).alias("score")).where(F.col("score") >= threshold)
-    x = x.join(sizes.select("group", F.col("id").alias("leader"), F.struct("decks", "id").alias("_big")), ["group", "leader"])
-    return x.groupBy("group", "item").agg(F.max_by(F.struct("leader", "score"), F.struct("score", "_big")).alias("_b")).select("group", "item", "_b.leader", "_b.score")
+    lead = plan.where("id = leader").select("group", "id").join(sizes.select("group", "id", "decks"), ["group", "id"])
+    of = profiles.join(lead, ["group", "id"]).select("group", "slug", "w", F.struct("group", "decks", "id").alias("_l"))
+    scores = profile_cosine(results, of, ["group", "item"], "_l", ["group", "slug"])
+    x = scores.select("group", "item", "_l", F.round("cosine", 12).alias("score")).where(F.col("score") >= threshold)
+    best = F.max_by(F.struct(F.col("_l.id").alias("leader"), "score"), F.struct("score", "_l.decks", "_l.id"))
+    return x.groupBy("group", "item").agg(best.alias("_b")).select("group", "item", "_b.leader", "_b.score")
 
 
 def best_scores(scores: DataFrame) -> DataFrame:

@@ -21,20 +21,20 @@ def sparse_cosine(a: DataFrame, b: DataFrame, id_a: str, id_b: str, on: list[str
     return dots.join(norm(a, id_a, "_na"), id_a).join(norm(b, id_b, "_nb"), id_b).select(id_a, id_b, F.coalesce(F.try_divide(F.col("_d"), F.col("_na") * F.col("_nb")), F.lit(0.0)).alias("cosine"))
 
 
-def profile_cosine(items: DataFrame, profiles: DataFrame, item: str, profile: str, on: list[str], weight: str = "w", most: int = 1_000_000) -> DataFrame:
+def profile_cosine(items: DataFrame, profiles: DataFrame, item: str | list[str], profile: str, on: list[str], weight: str = "w", most: int = 1_000_000) -> DataFrame:
     """sparse_cosine() of many items with few profiles: the profiles' weights of a key are one array, which is spread only where an item's
     rows lie together, so the products are summed where they are made. Up to `most` weights are broadcast and items stay as they are dealt (by
     item, see session.spread: a task's memory grows with its items times the profiles); with more, rows meet by key and are dealt by item after that."""
-    squares = F.sum(F.col(weight) * F.col(weight))
+    squares, ids = F.sum(F.col(weight) * F.col(weight)), [item] if isinstance(item, str) else item
     norm = profiles.groupBy(profile).agg(F.sqrt(squares).alias("_nb"))
     weights = profiles.join(norm, profile).groupBy(*on).agg(F.collect_list(F.struct(F.col(profile), F.col(weight).alias("_y"), "_nb")).alias("_p"))
     listed = written(weights)
     few = (listed.agg(F.sum(F.size("_p"))).first()[0] or 0) <= most
-    of = items.where(F.col(item).isNotNull()).select(item, *on, F.col(weight).alias("_x"), F.sqrt(squares.over(Window.partitionBy(item))).alias("_na"))
-    met = of.join(F.broadcast(listed), on) if few else spread(of.join(listed, on), items.count(), item, each=100_000)
-    each = met.select(item, "_na", "_x", F.inline("_p")).groupBy(item, profile)
+    of = items.where(" or ".join(f"`{c}` is not null" for c in ids)).select(*ids, *(c for c in on if c not in ids), F.col(weight).alias("_x"), F.sqrt(squares.over(Window.partitionBy(*ids))).alias("_na"))
+    met = of.join(F.broadcast(listed), on) if few else spread(of.join(listed, on), items.count(), *ids, each=100_000)
+    each = met.select(*ids, "_na", "_x", F.inline("_p")).groupBy(*ids, profile)
     dots = each.agg(F.sum(F.col("_x") * F.col("_y")).alias("_d"), F.max("_na").alias("_na"), F.max("_nb").alias("_nb"))
-    return dots.select(item, profile, F.coalesce(F.try_divide(F.col("_d"), F.col("_na") * F.col("_nb")), F.lit(0.0)).alias("cosine"))
+    return dots.select(*ids, profile, F.coalesce(F.try_divide(F.col("_d"), F.col("_na") * F.col("_nb")), F.lit(0.0)).alias("cosine"))
 
 
 def self_cosine(v: DataFrame, id_: str, on: list[str], weight: str = "w") -> DataFrame:

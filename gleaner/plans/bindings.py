@@ -46,13 +46,12 @@ def lines(spark: SparkSession, d: str, each: int = 500_000) -> DataFrame:
     Lines are dealt by deck, about `each` a task and in more tasks the more there are, so that what groups or joins them by deck needs
     no other shuffle and a task holds no more of a larger table.
     """
-    parts = table(spark, d, "part").select("p_partkey", "p_name")
+    parts = table(spark, d, "part").select("p_partkey", "p_name", text.ascii_slug(F.col("p_name")).alias("slug"))
     of = table(spark, d, "lineitem")
     rows = of.select("l_orderkey", "l_partkey", "l_linestatus", "l_quantity").join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    rows = spread(rows.select("l_orderkey", "l_linestatus", "p_name", "l_quantity"), of.count(), "l_orderkey", each=each)
+    rows = spread(rows.select("l_orderkey", "l_linestatus", "p_name", "slug", "l_quantity"), of.count(), "l_orderkey", each=each)
     board = F.when(F.col("l_linestatus") == "F", "main").otherwise("side")
-    summed = rows.groupBy(F.col("l_orderkey").alias("deck_id"), board.alias("board"), F.col("p_name").alias("name")).agg(F.sum("l_quantity").cast("bigint").alias("qty"))
-    return summed.withColumn("slug", text.ascii_slug(F.col("name")))
+    return rows.groupBy(F.col("l_orderkey").alias("deck_id"), board.alias("board"), F.col("p_name").alias("name"), "slug").agg(F.sum("l_quantity").cast("bigint").alias("qty"))
 
 
 LINES = """lines AS (

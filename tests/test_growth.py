@@ -12,6 +12,7 @@ from gleaner import session
 from gleaner.operators import filling, matching, similarity, winning
 from gleaner.plans import bindings
 from gleaner.plans import filling as bound
+from gleaner.plans import merging as merges
 from gleaner.sources import history, html
 
 mapped = DataFrame.mapInPandas
@@ -83,6 +84,15 @@ def test_lines_are_read_once_for_filled_decks(spark, sf_dir, monkeypatch):
     assert met == [listed.count() // 5] == [25]
 
 
+def test_lists_are_made_once_for_assigned_results(spark, sf_dir, monkeypatch):
+    """The plan, its profiles and the results come from one table of lists, and a list stays where it lies to meet the leaders."""
+    made, of = [], merges.lines
+    monkeypatch.setattr(merges, "lines", lambda *a: made.append(a) or of(*a))
+    for run in (merges.merge_assigned, merges.merge_report):
+        assert not any("lineitem" in f for f in run(spark, sf_dir).inputFiles())
+    assert len(made) == 2
+
+
 def test_elements_of_a_large_page_go_out_in_pieces(spark, monkeypatch):
     """A page of 20,000 rows gives frames of some thousand elements, whole and each once; what is still open waits."""
     run, page = [], "<div>" + "".join(f"<p>row {i} &amp; a < b</p>" for i in range(20_000)) + "</div>"
