@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleaner.functions import text as tx
 from gleaner.operators.priority import top_per_group
+from gleaner.session import spread, written
 
 
 def deck_lines(texts: DataFrame, key: str, text: str) -> DataFrame:
@@ -52,19 +53,22 @@ def retrieved(facts: DataFrame, text: str, kind: str, terms: list[str], bonus: d
     return top_per_group(scored, [kind], [F.desc("score"), *order], k)
 
 
-def spotted(texts: DataFrame, names: DataFrame, key: str, text: str, name: str, longest: int = 6) -> DataFrame:
+def spotted(texts: DataFrame, names: DataFrame, key: str, text: str, name: str, longest: int = 6, most: int = 1_000_000) -> DataFrame:
     """Names that occur in each text as whole words, longest first: a word belongs to one name only.
 
     Phrases of one to `longest` words are joined to names by equality; overlaps are settled from the longest on, and of
-    equals from the first on, within each stretch of hits that touch each other, so a long text is no long fold.
+    equals from the first on, within each stretch of hits that touch each other, so a long text is no long fold. Texts are dealt by key,
+    about 50,000 a task, before phrases are made of them; up to `most` names come to them there, and with more the phrases meet names by a shuffle.
     """
     ws = F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
     starts = lambda n: F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: i + n <= F.size("w"))
     phrase = lambda i, n: F.struct(i.alias("at"), n.alias("n"), F.array_join(F.slice("w", i + 1, n), " ").alias("phrase"))
     grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.transform(starts(n), lambda i: phrase(i, n))))
-    phrases = texts.select(key, ws.alias("w")).where(F.size("w") > 0).select(key, F.explode(grams).alias("g")).select(key, "g.*")
-    known = names.select(F.lower(name).alias("phrase"), F.col(name)).distinct()
-    found = phrases.join(known, "phrase")
+    n = texts.count()
+    dealt = spread(texts.select(key, text), n, key, each=50_000)
+    phrases = dealt.select(key, ws.alias("w")).where(F.size("w") > 0).select(key, F.explode(grams).alias("g")).select(key, "g.*")
+    known = written(names.select(F.lower(name).alias("phrase"), F.col(name)).distinct())
+    found = phrases.join(F.broadcast(known), "phrase") if known.count() <= most else spread(phrases.join(known, "phrase"), n, key, each=50_000)
     before = Window.partitionBy(key).orderBy("at", F.desc("n"), name).rowsBetween(Window.unboundedPreceding, -1)
     apart = F.when(F.max(F.col("at") + F.col("n")).over(before) > F.col("at"), 0).otherwise(1)
     stretches = found.withColumn("_new", apart).withColumn("_s", F.sum("_new").over(Window.partitionBy(key).orderBy("at", F.desc("n"), name).rowsBetween(Window.unboundedPreceding, 0)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from gleaner import session
-from gleaner.operators import filling, matching, similarity, winning
+from gleaner.operators import filling, matching, similarity, texts, winning
 from gleaner.plans import bindings
 from gleaner.plans import filling as bound
 from gleaner.plans import merging as merges
@@ -93,6 +93,15 @@ def test_lists_are_made_once_for_assigned_results(spark, sf_dir, monkeypatch):
     assert len(made) == 2
 
 
+def test_names_come_to_texts_dealt_by_key(spark):
+    """Texts are dealt once, before their phrases are made; many names meet the phrases by a shuffle and give the same."""
+    rows = spark.createDataFrame([(i, f"a red dragon {i % 7} sleeps near the red dragon {i % 7} red") for i in range(70)], "k int, t string")
+    names = spark.createDataFrame([(n,) for n in ["Red", "Red Dragon", "dragon 3", "near the", "sleeps near"]], "name string")
+    few, many = (texts.spotted(rows, names, "k", "t", "name", most=n) for n in (1_000_000, 0))
+    assert few._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(few.collect()) == sorted(many.collect()) and few.count() == 70 * 4
+
+
 def test_elements_of_a_large_page_go_out_in_pieces(spark, monkeypatch):
     """A page of 20,000 rows gives frames of some thousand elements, whole and each once; what is still open waits."""
     run, page = [], "<div>" + "".join(f"<p>row {i} &amp; a < b</p>" for i in range(20_000)) + "</div>"
