@@ -8,7 +8,7 @@ from collections import defaultdict
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from gleaner.operators.containment import contained, set_classes
+from gleaner.operators.containment import contained, holding, set_classes
 from gleaner.session import ship, written
 
 #: Steps with an aim in their order, roles that take what is left, lands of a deck, and colours in their order.
@@ -147,11 +147,26 @@ def brackets(cards: DataFrame, commanders: DataFrame, flags: DataFrame, combos:
 
     cards: deck, card, without commanders; flags: card and the FLAGS; combos: combo, card, bracket, held with the commanders' help.
     """
-    cards, count = cards.select("deck", "card").distinct(), lambda f: F.count_if(F.coalesce(F.col(f), F.lit(False))).alias(f"{f}s")
-    counts = cards.join(flags, "card", "left").groupBy("deck").agg(*(count(f) for f in FLAGS))
-    have = cards.union(commanders.select("deck", "card").join(cards.select("deck").distinct(), "deck", "left_semi")).distinct()
-    held = contained(combos.select("combo", "card"), have, "combo", "deck", "card").join(combos.groupBy("combo").agg(F.max("bracket").alias("_b")), "combo")
-    most = held.groupBy("deck").agg(F.max("_b").alias("_most"))
+    of = lambda df, lead: df.select(F.col("deck").alias("style"), "card", F.lit(lead).alias("lead"))
+    have = of(cards, False).union(of(commanders, True)).groupBy("style", "card").agg(F.lit(1).alias("from"), F.bool_and("lead").alias("lead"))
+    return nested_brackets(have, flags, combos).withColumnRenamed("style", "deck").drop("level")
+
+
+def nested_brackets(have: DataFrame, flags: DataFrame, combos: DataFrame, until: int = 1, often: DataFrame | None = None) -> DataFrame:
+    """style, level, the number of cards with each flag, and bracket, of every deck with a card besides commanders.
+
+    have: style, card (once a style), from, lead (a commander): a style's deck of level n, up to `until`, holds the cards with from <= n. flags, combos: as
+    brackets takes them; often: as containment.holding takes it. Combinations are looked for once in all cards of a style; where have is dealt by
+    style, nothing of it is shuffled.
+    """
+    up = lambda c: F.explode(F.sequence(c, F.lit(until))).alias("level")
+    count = lambda f: F.count_if(F.coalesce(F.col(f), F.lit(False))).alias(f"{f}s")
+    counts = have.where(~F.col("lead")).join(flags, "card", "left").select("style", up("from"), *FLAGS).groupBy("style", "level").agg(*map(count, FLAGS))
+    decks = have.groupBy("style").agg(F.collect_list(F.struct("card", "from")).alias("_m")).select("style", F.col("_m.card").alias("_c"), F.col("_m.from").alias("_f"))
+    sets = combos.groupBy("combo").agg(F.collect_set("card").alias("_cards"), F.max("bracket").cast("int").alias("_b"))
+    first = F.array_max(F.transform("_cards", lambda c: F.get("_f", (F.array_position("_c", c) - 1).cast("int"))))
+    held = holding(decks, "_c", sets, "combo", "_cards", often).select("style", "_b", first.alias("from"))
+    most = held.groupBy("style", "_b").agg(F.min("from").alias("from")).select("style", "_b", up("from")).groupBy("style", "level").agg(F.max("_b").alias("_most"))
     changers, turns, denial = F.col("game_changers"), F.col("extra_turns"), F.col("mass_land_denials")
-    rules = [F.when(changers > LIMITS["game_changer"][3], 4).when(changers > 0, 3), F.when(denial > 0, 4), F.when(turns > LIMITS["extra_turn"][2], 4).when(turns > 0, 2), F.col("_most").cast("int")]
-    return counts.join(most, "deck", "left").select("deck", *(f"{f}s" for f in FLAGS), F.greatest(F.lit(1), *(F.coalesce(r, F.lit(1)) for r in rules)).alias("bracket"))
+    rules = [F.when(changers > LIMITS["game_changer"][3], 4).when(changers > 0, 3), F.when(denial > 0, 4), F.when(turns > LIMITS["extra_turn"][2], 4).when(turns > 0, 2), F.col("_most")]
+    return counts.join(most, ["style", "level"], "left").select("style", "level", *(f"{f}s" for f in FLAGS), F.greatest(F.lit(1), *(F.coalesce(r, F.lit(1)) for r in rules)).alias("bracket"))

@@ -129,3 +129,19 @@ def test_brackets(spark):
     out = filling.brackets(frame([(d, c) for d, cs in decks.items() for c in cs * 2], "deck string, card string"), frame([("g", "boss"), ("z", "boss")], "deck string, card string"), frame(flags, "card string, game_changer boolean, extra_turn boolean, mass_land_denial boolean"), frame([("k", "p", 3), ("k", "boss", 3), ("l", "p", 2), ("l", "q", 2), ("n", "boss", 5), ("n", "q", 5)], "combo string, card string, bracket int"))
     assert {r["deck"]: r["bracket"] for r in out.collect()} == {"a": 1, "b": 3, "c": 4, "d": 4, "e": 2, "f": 4, "g": 3, "h": 2, "i": 1}
     assert {r["deck"]: r["game_changers"] for r in out.collect()}["g"] == 1
+
+
+def test_brackets_of_nested_decks(spark):
+    """Each level of nested decks is what brackets says of the deck by itself."""
+    rng = random.Random(21)
+    cards = [f"n{k:02}" for k in range(24)]
+    have = [(s, c, rng.randint(1, 5), False) for s in range(9) for c in rng.sample(cards, 8)]
+    have = [(s, c, 1, True) if i % 8 == 0 else (s, c, n, lead) for i, (s, c, n, lead) in enumerate(have)]
+    flags = [(c, rng.random() < 0.3, rng.random() < 0.2, rng.random() < 0.1) for c in cards[2:]]
+    combos = [(f"c{i}", c, 2 + i % 4) for i in range(120) for c in rng.sample(cards, rng.choice([1, 2, 2, 3]))]
+    frame = spark.createDataFrame
+    flags, combos = frame(flags, "card string, game_changer boolean, extra_turn boolean, mass_land_denial boolean"), frame(combos, "combo string, card string, bracket int")
+    each = lambda main: frame([(f"{s}/{n}", c) for s, c, first, lead in have for n in range(first, 6) if lead != main], "deck string, card string")
+    want = {tuple(r) for r in filling.brackets(each(True), each(False), flags, combos).collect()}
+    out = filling.nested_brackets(frame(have, "style int, card string, from int, lead boolean"), flags, combos, 5).collect()
+    assert {(f"{r[0]}/{r[1]}", *r[2:]) for r in out} == want and len(out) == len(want) > 30 and {r[-1] for r in want} >= {1, 3, 4}

@@ -1,5 +1,6 @@
 """Work that must not grow faster than its input: what meets is counted, not timed."""
 
+import re
 import uuid
 from datetime import date, timedelta
 
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
 from gleaner import session
-from gleaner.operators import filling, matching, similarity, texts, winning
-from gleaner.plans import bindings
+from gleaner.operators import containment, filling, matching, similarity, texts, winning
+from gleaner.plans import bindings, registry
 from gleaner.plans import filling as bound
 from gleaner.plans import merging as merges
 from gleaner.sources import history, html
@@ -111,3 +112,25 @@ def test_elements_of_a_large_page_go_out_in_pieces(spark, monkeypatch):
     assert max(map(len, frames)) < 12_000 and sum(map(len, frames)) == 20_001
     assert sorted(x for f in frames for x in f["pos"]) == list(range(1, 20_002))
     assert list(pd.concat(frames).query("tag == 'p'").sort_values("pos")["text"]) == [f"row {i} & a < b" for i in range(20_000)]
+
+
+def exchanges(df):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_brackets_look_once_at_the_cards_of_a_style(spark, sf_dir, monkeypatch):
+    """Not once a level: a style is one row where combinations meet it, and no card of a level is a row of a shuffle."""
+    met, holding = [], filling.holding
+    monkeypatch.setattr(filling, "holding", lambda decks, *of: met.append((decks.count(), decks.select("style").distinct().count())) or holding(decks, *of))
+    out = registry.queries()["deck_brackets"](spark, sf_dir)
+    assert met[0][0] == met[0][1] > 100 and "style" in exchanges(out) and not any("level" in e and "card" in e for e in exchanges(out))
+
+
+def test_sets_meet_collections_where_they_lie(spark):
+    """Few sets or many, in one block or in several: the pairs are those of contained, and collections are not shuffled."""
+    held = spark.createDataFrame([(k, [(k * i) % 11 for i in range(k % 9)]) for k in range(60)], "k int, items array<int>").repartition("k")
+    sets = spark.createDataFrame([(s, [s % 5, s % 7, s % 3][: s % 4]) for s in range(40)] + [(99, None)], "s int, of array<int>")
+    of = lambda df: sorted((r["k"], r["s"]) for r in df.collect())
+    one, blocks = (containment.holding(held, "items", sets, "s", "of", most=n) for n in (1_000, 10))
+    plain = containment.contained(sets.select("s", F.explode("of").alias("x")), held.select("k", F.explode("items").alias("x")), "s", "k", "x")
+    assert exchanges(one) == ["k"] and of(one) == of(blocks) == of(plain) and len(of(one)) > 200
