@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from gleaner.operators.containment import contained, holding, set_classes
-from gleaner.session import ship, written
+from gleaner.session import brought, ship, written
 
 #: Steps with an aim in their order, roles that take what is left, lands of a deck, and colours in their order.
 STEPS = ((("ramp",), 10), (("draw",), 10), (("removal", "counter"), 10), (("wipe",), 3), (("protection",), 3))
@@ -161,6 +161,7 @@ def nested_brackets(have: DataFrame, flags: DataFrame, combos: DataFrame, until:
     """
     up = lambda c: F.explode(F.sequence(c, F.lit(until))).alias("level")
     count = lambda f: F.count_if(F.coalesce(F.col(f), F.lit(False))).alias(f"{f}s")
+    flags = brought(flags.select("card", *FLAGS))
     counts = have.where(~F.col("lead")).join(flags, "card", "left").select("style", up("from"), *FLAGS).groupBy("style", "level").agg(*map(count, FLAGS))
     decks = have.groupBy("style").agg(F.collect_list(F.struct("card", "from")).alias("_m")).select("style", F.col("_m.card").alias("_c"), F.col("_m.from").alias("_f"))
     sets = combos.groupBy("combo").agg(F.collect_set("card").alias("_cards"), F.max("bracket").cast("int").alias("_b"))

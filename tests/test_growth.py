@@ -134,3 +134,19 @@ def test_sets_meet_collections_where_they_lie(spark):
     one, blocks = (containment.holding(held, "items", sets, "s", "of", most=n) for n in (1_000, 10))
     plain = containment.contained(sets.select("s", F.explode("of").alias("x")), held.select("k", F.explode("items").alias("x")), "s", "k", "x")
     assert exchanges(one) == ["k"] and of(one) == of(blocks) == of(plain) and len(of(one)) > 200
+
+
+def test_win_lines_of_styles_dealt_by_style_shuffle_no_card(spark):
+    """Cards of a style, its combinations and lines stay where the style lies; a card is no row for each level that has it."""
+    have = spark.createDataFrame([(s, f"c{(s * k) % 11}", 1 + k % 5, k == 0) for s in range(1, 20) for k in range(9)], "style int, card string, from int, lead boolean").dropDuplicates(["style", "card"]).repartition("style")
+    combos = spark.createDataFrame([(f"x{i}", [f"c{i}", f"c{(i + 2) % 11}"], ["Win the game"] if i % 2 else ["Infinite mana"], "P", i) for i in range(11)], "combo string, cards array<string>, results array<string>, tag string, rank long")
+    cards = spark.createDataFrame([(f"c{i}", float(i % 4), {"mana": "Infinite damage"} if i % 3 else {}) for i in range(11)], "card string, mana_value double, kinds map<string,string>")
+    out = winning.style_lines(winning.nested_lines(combos, have, cards, 5))
+    assert sorted(e for e in exchanges(out) if "style" in e) == ["style", "style, card"] and out.count() > 50
+
+
+def test_win_lines_look_once_at_the_cards_of_a_style(spark, sf_dir, monkeypatch):
+    met, holding = [], winning.holding
+    monkeypatch.setattr(winning, "holding", lambda decks, *of: met.append((decks.count(), decks.select("style").distinct().count())) or holding(decks, *of))
+    out = registry.queries()["win_lines"](spark, sf_dir)
+    assert met[0][0] == met[0][1] > 100 and not any("level" in e and "card" in e for e in exchanges(out))
