@@ -14,6 +14,7 @@ from gleaner.operators import containment, filling, matching, similarity, texts,
 from gleaner.plans import bindings, registry
 from gleaner.plans import filling as bound
 from gleaner.plans import merging as merges
+from gleaner.plans import winning as plans
 from gleaner.sources import history, html
 
 mapped = DataFrame.mapInPandas
@@ -150,3 +151,16 @@ def test_win_lines_look_once_at_the_cards_of_a_style(spark, sf_dir, monkeypatch)
     monkeypatch.setattr(winning, "holding", lambda decks, *of: met.append((decks.count(), decks.select("style").distinct().count())) or holding(decks, *of))
     out = registry.queries()["win_lines"](spark, sf_dir)
     assert met[0][0] == met[0][1] > 100 and not any("level" in e and "card" in e for e in exchanges(out))
+
+
+def test_facts_of_guides_read_each_card_of_a_style_once(spark, sf_dir, duck):
+    """No card of a level is a row of a shuffle; notes, key cards and levels are those of the decks."""
+    out = registry.queries()["guide_facts"](spark, sf_dir)
+    assert "style" in exchanges(out) and not any("level" in e and "card" in e for e in exchanges(out))
+    want = duck.sql(f"WITH {plans._BASE} SELECT style, list(DISTINCT level ORDER BY level), list(DISTINCT card ORDER BY card), list(DISTINCT card ORDER BY card) FILTER (level <= 2) FROM have GROUP BY 1").fetchall()
+    facts = {r["guide"]: r["facts"].split("\n") for r in out.collect()}
+    assert len(want) == len(facts) > 100
+    for style, levels, cards, early in want:
+        notes = [x[2:].split(": ")[0] for x in facts[style] if x.startswith("- ")]
+        assert sorted(notes) == sorted(f"{c} ({'utility' if c in (early or []) else 'payoff'})" for c in cards)
+        assert f"Brackets: {', '.join(map(str, levels))}." in facts[style] and f"Key cards: {', '.join(cards[:8])}" in facts[style]
