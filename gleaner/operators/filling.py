@@ -163,7 +163,7 @@ def nested_brackets(have: DataFrame, flags: DataFrame, combos: DataFrame, until:
     count = lambda f: F.count_if(F.coalesce(F.col(f), F.lit(False))).alias(f"{f}s")
     flags = brought(flags.select("card", *FLAGS))
     counts = have.where(~F.col("lead")).join(flags, "card", "left").select("style", up("from"), *FLAGS).groupBy("style", "level").agg(*map(count, FLAGS))
-    decks = have.groupBy("style").agg(F.collect_list(F.struct("card", "from")).alias("_m")).select("style", F.col("_m.card").alias("_c"), F.col("_m.from").alias("_f"))
+    decks = have.groupBy("style").agg(F.collect_list("card").alias("_c"), F.collect_list("from").alias("_f"))
     sets = combos.groupBy("combo").agg(F.collect_set("card").alias("_cards"), F.max("bracket").cast("int").alias("_b"))
     first = F.array_max(F.transform("_cards", lambda c: F.get("_f", (F.array_position("_c", c) - 1).cast("int"))))
     held = holding(decks, "_c", sets, "combo", "_cards", often).select("style", "_b", first.alias("from"))
